@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import shared_dir, stored
+from .store import hashed_sample, shared_dir, stored
 
 
 def nearest_lists(x: np.ndarray, y: np.ndarray, k: int, own: bool) -> np.ndarray:
@@ -130,7 +130,7 @@ def fit_index(rows: DataFrame, sample: int = 12_000, parts: int = 0, k: int = 10
     sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if sizes is None:
         return None
-    got = rows.where(F.size("v") == sizes["dim"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+    got = hashed_sample(rows.where(F.size("v") == sizes["dim"]), sample, "vec_id").select("v").collect()
     x = np.unique(np.array([r["v"] for r in got], np.float64), axis=0)
     x = x[np.random.default_rng(7).permutation(len(x))]
     parts = parts or min(1024, max(4, 1 << round(np.log2(max(1, sizes["count"] / 2000)))))

@@ -11,8 +11,10 @@ reaches the threshold. All counts cover all texts, no text is cut and no posting
    combinations of k from one token group. A prefix is extended until sum(max(c - k + 1, 0)) over its classes and
    groups exceeds the tokens a partner may lack; then two linked nodes share an indexed signature. Groups grow in
    number with the set size, so combinations stay linear in it; a node signs for its own size class and the next.
-4. Round one verifies each node against its signature's smallest node and joins what links. Round two verifies pairs
-   that share a signature but not a component: pairs inside a component cannot change the result.
+4. Round one verifies each node against one node of each of its signatures, the one with the largest share of shared
+   tokens, and joins what links. Round two decides what is left: nodes that share a signature but not a component.
+   They are gathered in blocks (what such signatures connect), large blocks in pairs of tiles of bounded bytes, and
+   overlaps within are counted over the tokens' posting lists. No pair leaves a task unless it joins two components.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from .hashing import U, buffers, by_text, mix, shingles, slices, unique_sorted,
 from .store import partitions, shared_dir, stored
 
 FLUSH = 3 << 20  # tokens held by a map task before its blocks are sent on
+TILE = 8 << 20  # bytes of token sets of a tile
 BLOCK = "part int, kind int, nodes binary, counts binary, tokens binary, extra binary"
 _BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("nodes", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("extra", pa.binary())])
 _NODE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("tokens", pa.binary()), ("dfs", pa.binary())])
@@ -208,7 +211,7 @@ def signatures(tok: np.ndarray, df: np.ndarray, n: int, percent: int, frequent:
     size = max(0, n.bit_length() - 1)
     out = []
     for scheme in (size, size + 1):
-        groups = max(1, (1 << scheme) // 32)
+        groups = max(1, (1 << scheme) // 16)
         group = (mix(tok + U(scheme)) % U(groups)).astype(np.int64)
         covered, members = alone, {}
         for i in range(len(tok)):
@@ -272,6 +275,59 @@ def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "ta", "nb", "tb").mapInArrow(_verify(percent), "a long, b long")
 
 
+def _merges(rows: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Roots of one tile pair that a link joins, as a forest: each pair of different roots is decided once."""
+    sets = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
+    size, root = (np.array([r[c] for r in rows], np.int64) for c in ("n", "root"))
+    names, at = np.unique(root, return_inverse=True)
+    if len(names) < 2:
+        return []
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    edge = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    order = np.argsort(flat, kind="stable")
+    holder = np.repeat(np.arange(len(rows)), np.diff(edge))[order]
+    first = np.searchsorted(flat[order], np.arange(flat.max() + 2))
+    up = np.arange(len(names))
+    most = np.bincount(at).argmax()  # of two different roots one is not the most frequent one
+    out = []
+    for x in np.flatnonzero(at != most):
+        t = flat[edge[x] : edge[x + 1]]
+        n = first[t + 1] - first[t]
+        end = np.cumsum(n)
+        both = np.bincount(holder[np.repeat(first[t] - (end - n), n) + np.arange(end[-1])], minlength=len(rows))
+        hit = np.flatnonzero((100 * both >= percent * (size[x] + size - both)) & (up[at] != up[at[x]]))
+        for y in hit[np.unique(at[hit], return_index=True)[1]]:
+            a, b = up[at[x]], up[at[y]]
+            if a != b:
+                up[up == max(a, b)] = min(a, b)
+                out.append((int(root[x]), int(root[y])))
+    return out
+
+
+def _compare(percent: int):
+    """Rows in order of (block, i, j) -> links between different roots, a tile pair at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done():
+            out = _merges(held, percent)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+
+        for b in batches:
+            for r in b.to_pylist():
+                now = (r["block"], r["i"], r["j"])
+                if now != key and held:
+                    yield done()
+                    held = []
+                key = now
+                held.append(r)
+        if held:
+            yield done()
+
+    return run
+
+
 def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: tuple[int, ...] = (32, 1024)) -> DataFrame:
     """(doc_id, n_shingles, component_id): the classes of the n-gram Jaccard join of ``docs`` (doc_id long, text).
 
@@ -291,24 +347,24 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: t
     nodes = rows.where("tokens is not null").select("node", "n", "tokens", "dfs")
     sigs = stored(nodes.mapInArrow(_sign(percent, frequent), "sig long, node long, n long, s long"), f"{folder}/sigs")
 
-    lists = sigs.groupBy("sig").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top")
+    likeliest = F.max(F.struct((F.col("s") * 1_000_000 / F.col("n")).cast("long").alias("q"), "node"))
+    lists = sigs.groupBy("sig").agg(likeliest.getField("node").alias("b"), (F.min("node") < F.max("node")).alias("several")).where("several")
     pairs = sigs.select("sig", F.col("node").alias("a")).join(lists, "sig").where("a <> b").select("a", "b").distinct()
     first = components(_links(pairs, nodes, percent), f"{folder}/one")
     first = stored(first, f"{folder}/first")
 
-    rooted = sigs.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("sig")
-    left = rooted.join(mixed, "sig").select("sig", "node", "n", "s", "root")
-    x, y = (left.select("sig", *(F.col(c).alias(c + t) for c in ("node", "n", "s", "root"))) for t in "xy")
-    both = F.least("sx", "sy")
-    rest = x.join(y, "sig").where((F.col("rootx") < F.col("rooty")) & (100 * both >= percent * (F.col("nx") + F.col("ny") - both)))
-    rest = rest.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
-    more = stored(_links(rest, nodes, percent), f"{folder}/more")
-
-    root_of = lambda side: first.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
-    edges = more.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    merged = stored(components(edges, f"{folder}/two"), f"{folder}/second").withColumnRenamed("node", "root").withColumnRenamed("root", "r")
-    merged = spark.read.parquet(f"{folder}/second").select(F.col("node").alias("root"), F.col("root").alias("last"))
+    rooted = stored(sigs.select("sig", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
+    mixed = rooted.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("b")).where("r0 < r1").select("sig", "b")
+    meet = rooted.join(mixed, "sig").select(F.col("node").alias("a"), "b").distinct()
+    block = components(meet, f"{folder}/blocks").withColumnRenamed("root", "block")
+    work = stored(block.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")).join(nodes.select("node", "n", "tokens"), "node"), f"{folder}/work")
+    tiles = work.groupBy("block").agg(F.ceil(F.sum(F.octet_length("tokens")) / TILE).alias("tiles"))
+    work = work.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles")).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    work = work.withColumns({"i": F.least("tile", "k"), "j": F.greatest("tile", "k")}).select("block", "i", "j", "node", "root", "n", "tokens")
+    work = work.repartition(parts, "block", "i", "j").sortWithinPartitions("block", "i", "j", "node")
+    more = stored(work.mapInArrow(_compare(percent), "a long, b long"), f"{folder}/more")
+
+    merged = stored(components(more, f"{folder}/two").select(F.col("node").alias("root"), F.col("root").alias("last")), f"{folder}/second")
     singles = merged.join(first.select("node").distinct(), merged.root == F.col("node"), "left_anti").select(F.col("root").alias("node"), "last")
     final = first.join(merged, "root", "left").select("node", F.coalesce("last", "root").alias("last")).union(singles)
 

@@ -10,6 +10,7 @@ import uuid
 import numpy as np
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -68,3 +69,15 @@ def map_array(path: str, dtype) -> np.ndarray:
         finally:
             with contextlib.suppress(OSError):
                 os.unlink(out.name)
+
+
+def hashed_sample(df: DataFrame, most: int, *columns: str) -> DataFrame:
+    """At most ``most`` rows of df, those with the smallest hashes of the columns.
+
+    Rows are first thinned by their hashes to about twice as many, so that each task sends few to where they meet.
+    """
+    h, n = F.xxhash64(*columns), df.count()
+    if n > 2 * most:
+        share = min(1.0, (2 * most + 200) / n)
+        df = df.where(h < int(-(2**63) + share * (2**64 - 1)))
+    return df.orderBy(h, *columns).limit(most)

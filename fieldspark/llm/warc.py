@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import _fs, partitions, shared_dir, stored, write_file
+from .store import _fs, hashed_sample, partitions, shared_dir, stored, write_file
 
 MAGIC = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -114,7 +114,7 @@ def _write(folder: str, dictionary: bytes, roll: int):
     return run
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample: int = 1000, roll: int = 16 << 20) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample: int = 500, roll: int = 16 << 20) -> DataFrame:
     """Writes a record per row of pages (page_id, url, html) and gives (path, records, bytes) of the files.
 
     Of payloads of at least min_bytes that are equal, the row with the smallest page_id is the response (each of its
@@ -125,7 +125,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample: in
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1("html"))
-    some = rows.select("page_id", "url", F.substring("html", 1, 8192).alias("html")).orderBy(F.xxhash64("page_id", "url"), "page_id").limit(sample)
+    some = hashed_sample(rows.select("page_id", "url", F.substring("html", 1, 8192).alias("html")), sample, "page_id", "url")
     samples = [record(r["page_id"], r["url"], r["html"].encode(), digest(r["html"].encode())) for r in some.collect()]
     first = rows.where(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("low"), F.count("*").alias("n")).where("n > 1 and low is not null").select("sha", "low")
     joined = rows.join(first, "sha", "left").withColumn("first", F.when(F.coalesce(F.col("page_id") != F.col("low"), F.lit(True)) & (F.octet_length("html") >= min_bytes), F.col("low")))
