@@ -29,25 +29,43 @@ def _finite(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with the value named once: the expression stays small when the optimizer moves it about."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def project_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
     """(x, y) in metres of degrees; null where they are not finite."""
-    s = F.sin(F.radians(lat))
-    q = (1 - E2) * (s / (1 - E2 * s * s) - F.ln((1 - E * s) / (1 + E * s)) / (2 * E))
-    beta = F.asin(F.greatest(F.least(q / QP, F.lit(1.0)), F.lit(-1.0)))
-    turn = F.radians(lon) - LON0
-    b = RQ * F.sqrt(2 / (1 + SIN_B0 * F.sin(beta) + COS_B0 * F.cos(beta) * F.cos(turn)))
-    x = FALSE_EAST + b * D * F.cos(beta) * F.sin(turn)
-    y = FALSE_NORTH + (b / D) * (COS_B0 * F.sin(beta) - SIN_B0 * F.cos(beta) * F.cos(turn))
-    return _finite(x), _finite(y)
+
+    def beta(s: Column) -> Column:
+        q = (1 - E2) * (s / (1 - E2 * s * s) - F.ln((1 - E * s) / (1 + E * s)) / (2 * E))
+        return F.asin(F.greatest(F.least(q / QP, F.lit(1.0)), F.lit(-1.0)))
+
+    def place(p: Column) -> Column:
+        b, t = p["b"], p["t"]
+        r = RQ * F.sqrt(2 / (1 + SIN_B0 * F.sin(b) + COS_B0 * F.cos(b) * F.cos(t)))
+        x = FALSE_EAST + r * D * F.cos(b) * F.sin(t)
+        y = FALSE_NORTH + (r / D) * (COS_B0 * F.sin(b) - SIN_B0 * F.cos(b) * F.cos(t))
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    at = _let(F.struct(_let(F.sin(F.radians(lat)), beta).alias("b"), (F.radians(lon) - LON0).alias("t")), place)
+    return _let(at["x"], _finite), _let(at["y"], _finite)
 
 
 def unproject_laea(x: Column, y: Column) -> tuple[Column, Column]:
     """(lon, lat) in degrees of metres."""
-    u, v = (x - FALSE_EAST) / D, D * (y - FALSE_NORTH)
-    rho = F.sqrt(u * u + v * v)
-    c = 2 * F.asin(rho / (2 * RQ))
-    beta = F.asin(F.cos(c) * SIN_B0 + v * F.sin(c) * COS_B0 / rho)
-    lon = LON0 + F.atan2(u * F.sin(c), rho * COS_B0 * F.cos(c) - v * SIN_B0 * F.sin(c))
-    lat = beta + SERIES[0] * F.sin(2 * beta) + SERIES[1] * F.sin(4 * beta) + SERIES[2] * F.sin(6 * beta)
-    at = rho == 0
-    return F.when(at, math.degrees(LON0)).otherwise(F.degrees(lon)), F.when(at, math.degrees(LAT0)).otherwise(F.degrees(lat))
+
+    def angles(p: Column) -> Column:
+        rho = F.sqrt(p["u"] * p["u"] + p["v"] * p["v"])
+        return F.struct(p["u"].alias("u"), p["v"].alias("v"), rho.alias("r"), (2 * F.asin(rho / (2 * RQ))).alias("c"))
+
+    def place(p: Column) -> Column:
+        u, v, r, c = (p[n] for n in "uvrc")
+        b = F.asin(F.cos(c) * SIN_B0 + v * F.sin(c) * COS_B0 / r)
+        lon = LON0 + F.atan2(u * F.sin(c), r * COS_B0 * F.cos(c) - v * SIN_B0 * F.sin(c))
+        lat = _let(b, lambda q: q + SERIES[0] * F.sin(2 * q) + SERIES[1] * F.sin(4 * q) + SERIES[2] * F.sin(6 * q))
+        here = r == 0
+        return F.struct(F.when(here, math.degrees(LON0)).otherwise(F.degrees(lon)).alias("lon"), F.when(here, math.degrees(LAT0)).otherwise(F.degrees(lat)).alias("lat"))
+
+    at = _let(_let(F.struct(((x - FALSE_EAST) / D).alias("u"), (D * (y - FALSE_NORTH)).alias("v")), angles), place)
+    return at["lon"], at["lat"]
