@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .hashing import buffers, slices
 from .linear import fit_svm, sigmoid
+from .worker import tidy
 
 # ISO 639-1 codes by language family; any other code is a family of its own.
 FAMILIES = {
@@ -102,6 +103,7 @@ def _sampled(docs: DataFrame, max_rows: int) -> DataFrame:
     chosen = keyed.select("lang", "h").withColumn("k", rank).where(F.col("k") <= max(1, max_rows // langs)).select("lang", "h").distinct()
     texts = keyed.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
+    @tidy
     def features(batches):
         for whole in batches:
             for b in slices(whole):
@@ -132,6 +134,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     names = [c for c in base.columns if c != "text"]
     kept = base.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").cast("string"))
 
+    @tidy
     def run(batches):
         for whole in batches:
             for b in slices(whole):

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .hashing import U, buffers, by_text, mix, shingles, slices, unique_sorted, words
 from .store import partitions, shared_dir, stored
+from .worker import tidy
 
 FLUSH = 3 << 20  # tokens held by a map task before its blocks are sent on
 TILE = 8 << 20  # bytes of token sets of a tile
@@ -64,11 +65,13 @@ def _send_tokens(k: int, parts: int):
         doc = np.array(ids, np.int64)[order]
         out = [(p, 1, node[order][a:b].tobytes(), size[order][a:b].tobytes(), doc[a:b].tobytes(), None) for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if a < b]
         tok = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        sets.clear()
         if len(tok):
             part = (tok % U(parts)).astype(np.uint16 if parts < 65536 else np.int32)
             order = np.argsort(part, kind="stable")
             edge = np.searchsorted(part[order], np.arange(parts + 1))
-            tok, of = (tok >> U(16))[order], np.repeat(np.arange(len(size)), size)[order]
+            tok, of = (tok >> U(16))[order], np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
+            del order
             for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
                 if a < b:
                     c = np.bincount(of[a:b], minlength=len(size))
@@ -76,6 +79,7 @@ def _send_tokens(k: int, parts: int):
                     out.append((p, 0, node[has].tobytes(), c[has].astype(np.uint32).tobytes(), _pack6(tok[a:b]), None))
         return _blocks(out)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sizes, nodes, sets, held = [], [], [], [], 0
         for whole in batches:
@@ -102,6 +106,7 @@ def _send_tokens(k: int, parts: int):
 def _find_shared(parts: int):
     """Blocks of one token range -> the tokens that two or more nodes have, by node; document blocks pass."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, counts, tokens, part = [], [], [], 0
         for b in batches:
@@ -158,6 +163,7 @@ def _find_shared(parts: int):
 def _gather_nodes(percent: int):
     """Blocks of one node range -> a row per document, and a row per node with enough shared tokens to link."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, nodes, sizes, tn, tc, tt, tf = [], [], [], [], [], [], []
         for b in batches:
@@ -237,6 +243,7 @@ def signatures(tok: np.ndarray, df: np.ndarray, n: int, percent: int, frequent:
 
 
 def _sign(percent: int, frequent: tuple[int, ...]):
+    @tidy
     def run(batches):
         for b in batches:
             sig, node, n, s = [], [], [], []
@@ -254,6 +261,7 @@ def _sign(percent: int, frequent: tuple[int, ...]):
 
 
 def _verify(percent: int):
+    @tidy
     def run(batches):
         for b in batches:
             keep = []
@@ -307,6 +315,7 @@ def _merges(rows: list[dict], percent: int) -> list[tuple[int, int]]:
 def _compare(percent: int):
     """Rows in order of (block, i, j) -> links between different roots, a tile pair at a time."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 

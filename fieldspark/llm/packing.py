@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .hashing import buffers, slices
 from .store import shared_dir, stored
 from .word_bpe import word_bpe
+from .worker import tidy
 
 _FIELDS = [("doc_id", "long"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("doc_tokens", "long"), ("sequence_id", "long"), ("offset", "long"), ("group", "long"), ("ids", "binary")]
 SCHEMA = ", ".join(f"`{n}` {t}" for n, t in _FIELDS)
@@ -108,6 +109,7 @@ def _first(level: int, group: int) -> int:
 
 
 def _pack_texts(path: str, end_id: int, length: int, windows: int, slack: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = word_bpe(path)
         group = TaskContext.get().partitionId()
@@ -128,6 +130,7 @@ def _pack_texts(path: str, end_id: int, length: int, windows: int, slack: int):
 
 
 def _pack_rest(level: int, length: int, windows: int, slack: int, last: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = TaskContext.get().partitionId()
         packer = Packer(length, windows, slack, _first(level, group))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .hashing import U, buffers, slices, words
 from .linear import fit_logistic, sigmoid
+from .worker import tidy
 
 BITS = 18
 _SPLIT = np.ones(256, bool)
@@ -106,6 +107,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], max_
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *categories).agg(F.min("text").alias("text"))
 
+    @tidy
     def bags(batches):
         for whole in batches:
             for b in slices(whole):
@@ -131,6 +133,7 @@ def predict_toxicity(docs: DataFrame, chain: ToxicityChain, prefix: str = "p_")
     names = [c for c in base.columns if c != "text"]
     kept = base.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").cast("string"))
 
+    @tidy
     def run(batches):
         for whole in batches:
             for b in slices(whole):
