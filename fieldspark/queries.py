@@ -16,6 +16,7 @@ from .operators.policy import BASELINE, RULES, Policy
 from .plans import stages
 from .sources import files
 from .sources.fixture import LAND_SQL, OCC_SQL, land_edges, occ_raw
+from .streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -648,4 +649,131 @@ def scan_sample(spark, sf):
     return files.scan_sample(_keyed(spark, sf), 500, "id").select(*_IDS, "lon", "lat")
 
 
+@_query('SELECT DISTINCT species_slug, printf(\'r%05d_c%05d\', "row", col) AS cell_id FROM placed WHERE in_bounds', _GRID)
+def cell_id(spark, sf):
+    return grid.assign_cell(_points(spark, sf), EXTENT).where("in_bounds").select("species_slug", S.cell_id(F.col("row"), F.col("col")).alias("cell_id")).distinct()
+
+
+_STAMP = "SELECT o_orderkey AS k, concat(substr(CAST(o_orderdate AS STRING), 1, 10), 'T', lpad(CAST(o_orderkey % 30 AS STRING), 2, '0'), ':05:09', CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'Z' END) AS stamp FROM {orders}"
+
+
+@_query(f"SELECT k, stamp, CAST(epoch(try_strptime(stamp, '%Y-%m-%dT%H:%M:%SZ')) AS BIGINT) AS seconds FROM ({_STAMP.format(orders='orders')})", "")
+def parse_utc(spark, sf):
+    stamps = spark.sql(_STAMP, orders=spark.read.parquet(f"{sf}/orders.parquet"))
+    return stamps.select("k", "stamp", F.unix_timestamp(S.parse_utc(F.col("stamp"))).alias("seconds"))
+
+
+@_query(f", {_LOG} SELECT species_slug, CASE WHEN {_MOST} > 0 THEN {_TOP} END AS top_drop_reason FROM lg")
+def top_drop_reason(spark, sf):
+    return report.policy_summary(runlog_filtered(spark, sf)).select("species_slug", "top_drop_reason")
+
+
+# --- files and folders -----------------------------------------------------------------------------------------------
+
+_TEXTS = ["record_id", "species", "decimalLongitude", "decimalLatitude", "eventDate", "countryCode", "coordinateUncertaintyInMeters", "issues"]
+
+
+def _text_file(spark, sf, sep: str) -> str:
+    path = files.work_dir(spark, "texts")
+    files.sink_csv(occ_raw(spark, sf).select(*_IDS, *_TEXTS), path, sep)
+    return path
+
+
+@_query(f"SELECT {_ID}, record_id, TRY_CAST(decimalLongitude AS DOUBLE) AS decimalLongitude, TRY_CAST(coordinateUncertaintyInMeters AS DOUBLE) AS coordinateUncertaintyInMeters FROM raw")
+def scan_delimited_typed(spark, sf):
+    wanted = {"source": "string", "k": "bigint", "copy_no": "int", "record_id": "string", "decimalLongitude": "double", "absent": "int", "coordinateUncertaintyInMeters": "double"}
+    return files.scan_delimited_typed(spark, _text_file(spark, sf, "\t"), wanted, "\t")
+
+
+@_query("SELECT " + ", ".join(f"CAST({c} AS STRING) AS {c}" for c in [*_IDS, *_TEXTS]) + " FROM raw")
+def scan_csv_all_string(spark, sf):
+    return files.scan_csv_all_string(spark, _text_file(spark, sf, ","))
+
+
+@_query(f"SELECT {_ID}, species, eventDate FROM raw")
+def sink_csv(spark, sf):
+    df = files.scan_csv_all_string(spark, _text_file(spark, sf, ","))
+    return df.select("source", F.col("k").cast("bigint").alias("k"), F.col("copy_no").cast("int").alias("copy_no"), "species", "eventDate")
+
+
+_STAGED = [*_IDS, "species_slug", "occ_uid", "qc_flag_any"]
+
+
+@_query(f"SELECT {', '.join(_STAGED)} FROM flagged WHERE species_slug <> 'beta_major' OR k % 5 = 0")
+def sink_stage(spark, sf):
+    """All species, then one of them again with fewer rows: only its partition is replaced."""
+    root, rows = files.work_dir(spark, "stage"), _flagged(spark, sf).select(*_STAGED)
+    files.sink_stage(rows, root)
+    files.sink_stage(rows.where("species_slug = 'beta_major' and k % 5 = 0"), root)
+    return files.scan_stage(spark, root)
+
+
+@_query(f"SELECT {', '.join(_STAGED)} FROM flagged WHERE species_slug IN ('alpha_minor', 'zeta_fulva')")
+def scan_stage_parquet(spark, sf):
+    root = files.work_dir(spark, "stage")
+    files.sink_stage(_flagged(spark, sf).select(*_STAGED), root)
+    return files.scan_stage(spark, root, ["alpha_minor", "zeta_fulva"])
+
+
+@_query(f", {_LOG} SELECT species_slug, {', '.join(f'CAST({c} AS STRING) AS {c}' for c in ['n_in', 'n_out', *('dropped_' + r for r in _ALL_RULES)])} FROM lg")
+def scan_runlog(spark, sf):
+    path, log = files.work_dir(spark, "runlog"), runlog_filtered(spark, sf)
+    files.sink_csv(log, path)
+    return files.scan_runlog(spark, path, ", ".join(f"`{c}` string" for c in log.columns))
+
+
+_LAYOUT = """SELECT DISTINCT source, species_slug AS slug, k % 4 + 1 AS rank, concat('/landed/raw/', CASE k % 4 WHEN 0 THEN concat('group', CAST(k % 3 AS STRING), '/', lower(source), '/') WHEN 1 THEN concat(lower(source), '/')
+  WHEN 2 THEN concat('group', CAST(k % 3 AS STRING), '/', lower(source), '_') ELSE concat(lower(source), '_') END, species_slug, '_clean.csv') AS path FROM {c} WHERE k % 16 > length(species_slug) % 3 + 8"""
+
+
+@_query(f"SELECT source, slug, path FROM (SELECT *, row_number() OVER (PARTITION BY source, slug ORDER BY rank, path) AS rn FROM ({_LAYOUT.format(c='clean')})) WHERE rn = 1")
+def resolve_layout(spark, sf):
+    return files.resolve_layout(spark.sql(_LAYOUT, c=_clean(spark, sf)).select("path"))
+
+
+@_query("""SELECT i.slug FROM (SELECT species_slug AS slug, max(k) AS m FROM clean WHERE source = 'GBIF' GROUP BY 1) i
+  LEFT JOIN (SELECT species_slug AS slug, max(k) AS m FROM clean WHERE source = 'NBN' AND species_slug <> 'zeta_fulva' GROUP BY 1) o ON o.slug = i.slug WHERE o.m IS NULL OR i.m > o.m""")
+def needs_refresh(spark, sf):
+    rows = _clean(spark, sf).select("source", F.col("species_slug").alias("slug"), F.col("k").alias("modified"))
+    return files.needs_refresh(rows.where("source = 'GBIF'"), rows.where("source = 'NBN' and slug <> 'zeta_fulva'"))
+
+
+# --- streams: what lands in two goes, each read once -------------------------------------------------------------------
+
+
+def _landings(spark, name: str, rows: DataFrame, step) -> str:
+    """Lands the rows in two halves and lets step(folder, stream, out, checkpoint) run after each; returns out."""
+    root = files.work_dir(spark, name)
+    folder, out = f"{root}/landed", f"{root}/out"
+    for half in (rows.where("k % 2 = 0"), rows.where("k % 2 = 1")):
+        files.land(half, folder)
+        step(folder, streams.landed(spark, folder, rows.schema), out, f"{root}/checkpoint")
+    return out
+
+
+@_query(f"SELECT {_ID}, record_id, eventDate FROM raw")
+def stream_ingest(spark, sf):
+    rows = occ_raw(spark, sf).select(*_IDS, "record_id", "eventDate")
+    return spark.read.schema(rows.schema).parquet(_landings(spark, "ingest", rows, lambda _, s, out, at: streams.ingest(s, out, at)))
+
+
+@_query("SELECT DISTINCT source, record_id FROM raw")
+def stream_dedup(spark, sf):
+    rows = occ_raw(spark, sf).select(*_IDS, "record_id", F.timestamp_seconds(F.lit(1_767_225_600) + 3600 * F.col("copy_no")).alias("landed_at"))
+    out = _landings(spark, "dedup", rows, lambda _, s, out, at: streams.ingest(streams.dedup(s, ["source", "record_id"], "landed_at"), out, at))
+    return spark.read.schema(rows.schema).parquet(out).select("source", "record_id")
+
+
+@_query(f"SELECT {_ID}, {_reason(_BASE_RULES)} AS drop_reason FROM t")
+def stream_qc(spark, sf):
+    out = _landings(spark, "qc", _all(spark, sf), lambda _, s, out, at: streams.ingest(streams.judged(s, BASELINE, F.lit(AS_OF)).select(*_IDS, "drop_reason"), out, at))
+    return spark.read.parquet(out)
+
+
+@_query('SELECT species_slug, "row", col, n FROM counts', _GRID)
+def stream_grid_counts(spark, sf):
+    rows = _points(spark, sf).select("k", "species_slug", "lon", "lat")
+    return spark.read.parquet(_landings(spark, "counts", rows, lambda folder, s, out, at: streams.grid_counts(s, folder, out, at, EXTENT)))
+
+
 assert set(EXPECTED) == {"GBIF", "NBN"}

@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared spark.checkpoint.dir; a temp folder only where that is unset, as in tests."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/fieldspark-work"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def land(df: DataFrame, folder: str) -> DataFrame:
+    """Adds Parquet files to a landing folder; returns what lies there now."""
+    df.write.mode("append").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def scan_csv_all_string(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return spark.read.csv(path, header=True, sep=sep, nullValue="NA")
 
@@ -22,12 +37,14 @@ def scan_stage(spark: SparkSession, root: str, species: list[str] | None = None)
 
 
 def sink_stage(df: DataFrame, root: str) -> None:
-    """One partition per species; only the species in df are replaced."""
+    """One partition per species; only the species in df are replaced, none if df is empty."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("species_slug").parquet(root)
 
 
-def sink_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def sink_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Text files with a header; blanks around values stay, nulls are empty."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, sep=sep, **keep).csv(path)
 
 
 def scan_sample(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:

@@ -77,7 +77,7 @@ def test_files(spark, tmp_path):
     assert sorted(r["slug"] for r in files.needs_refresh(i, o).collect()) == ["a", "c"]
 
 
-@pytest.mark.parametrize("name", ["normalise_nbn", "dedup_cross_source", "crossdup_review", "qc_flags", "policy_date_window", "runlog_filtered", "cell_counts"])
+@pytest.mark.parametrize("name", ["normalise_nbn", "dedup_cross_source", "crossdup_review", "qc_flags", "policy_date_window", "runlog_filtered", "cell_counts", "sink_stage", "scan_csv_all_string", "scan_runlog", "resolve_layout", "parse_utc", "stream_ingest", "stream_dedup", "stream_qc", "stream_grid_counts"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     con.sql(f"create view orders as select * from read_parquet('{SF}/orders.parquet')")
