@@ -178,14 +178,21 @@ def _rank(k: int):
     return run
 
 
+def _blocks_of(rows: DataFrame, parts: int, block: int) -> Column:
+    """How many blocks of about ``block`` rows each row's part has (a row per part comes to the driver)."""
+    sizes = {r["part"]: -(-r["count"] // block) for r in rows.groupBy("part").count().collect()}
+    return F.element_at(F.array(*(F.lit(sizes.get(p, 1)) for p in range(parts))), F.col("part") + 1)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_000, **fit) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query row of vectors (vec_id, embedding) the k nearest other rows found.
 
     score is the Euclidean distance in double precision of the original vectors; ties go to the smaller vec_id. Rows
     that usable() leaves out are neither queries nor candidates, nor are vectors of an uncommon length. A row is no
     candidate for a query of its own vec_id; repeated rows are candidates of their own. With fewer candidates than k,
-    all that are found come. Parts of more than ``block`` rows are searched in blocks, so that many equal vectors do
-    not meet in one task. An empty table gives an empty table.
+    all that are found come. Parts of more than ``block`` rows, or of more than ``block`` queries, are searched in
+    blocks of rows by blocks of queries, so that neither meet in one task without a bound. An empty table gives an
+    empty table.
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -196,11 +203,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_00
     rows = rows.where(F.size("v") == index.dim)
     folder = shared_dir(spark, "ann")
     kept = stored(rows.mapInArrow(_routed(index, False), "vec_id long, part int, v binary"), f"{folder}/rows")
-    sizes = {r["part"]: -(-r["count"] // block) for r in kept.groupBy("part").count().collect()}  # a row per part
-    blocks = F.array(*(F.lit(sizes.get(p, 1)) for p in range(index.parts)))
-    kept = kept.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(blocks, F.col("part") + 1)).cast("int"))
-    asked = rows.where(is_query).mapInArrow(_routed(index, True), "vec_id long, part int, v binary")
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part") + 1) - 1))).withColumnRenamed("vec_id", "query_id")
-    near = kept.groupBy("part", "block").cogroup(asked.groupBy("part", "block")).applyInArrow(_rank(k), "query_id long, vec_id long, score double")
+    asked = stored(rows.where(is_query).mapInArrow(_routed(index, True), "vec_id long, part int, v binary").withColumnRenamed("vec_id", "query_id"), f"{folder}/asked")
+    of, to = _blocks_of(kept, index.parts, block), _blocks_of(asked, index.parts, block)
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    kept = kept.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), of).cast("int")).withColumn("q_block", every(to))
+    asked = asked.withColumn("q_block", F.pmod(F.xxhash64("query_id", "v"), to).cast("int")).withColumn("block", every(of))
+    near = kept.groupBy("part", "block", "q_block").cogroup(asked.groupBy("part", "block", "q_block")).applyInArrow(_rank(k), "query_id long, vec_id long, score double")
     place = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -106,6 +106,13 @@ def test_nearest(spark):
     assert ann.search(few.limit(0), F.lit(True)).collect() == []
 
 
+def test_blocks_of_rows_and_queries_change_nothing(spark):
+    r = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(r.standard_normal((90, 4)))] + [(90 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(45)], "vec_id long, embedding array<double>")
+    whole, cut = (sorted(map(tuple, ann.search(df, F.lit(True), block=n).collect())) for n in (1000, 20))
+    assert len(whole) == 1350 and cut == whole
+
+
 def test_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_languages(docs.where(~langid.held_out()))
