@@ -4,7 +4,8 @@ A text's set holds its distinct k-word shingles ("tokens" below). Two texts link
 reaches the threshold. All counts cover all texts, no text is cut and no posting list is capped.
 
 1. Tokens are dealt by hash in binary blocks, and every token that stands in two or more different sets is found with
-   its exact document frequency. Equal sets are one node from here on.
+   its exact document frequency. Equal sets are one node from here on: their tokens are sent once per flush of a map
+   task, and their documents never meet in one task.
 2. A node of n tokens can only link when at least ceil(t*n) of them are shared ones; all others leave. What two nodes
    have in common are shared tokens, so the shared tokens and n are all that verification needs.
 3. Tokens are ordered by (frequency, hash). Rare tokens (class 1) are indexed alone, frequent ones (class k) by
@@ -25,6 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ from .store import partitions, shared_dir, stored
 from .worker import tidy
 
 FLUSH = 3 << 20  # tokens held by a map task before its blocks are sent on
+FLUSH_DOCS = 1 << 17  # documents held, where copies add no tokens
 TILE = 8 << 20  # bytes of token sets of a tile
 BLOCK = "part int, kind int, nodes binary, counts binary, tokens binary, extra binary"
 _BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("nodes", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("extra", pa.binary())])
@@ -55,16 +58,19 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _send_tokens(k: int, parts: int):
-    """Texts -> blocks of tokens by hash (kind 0) and of documents by node (kind 1)."""
+    """Texts -> blocks of tokens by hash (kind 0), of documents (kind 1, anywhere) and of node sizes by node (kind 2).
 
-    def flush(ids, sizes, nodes, sets):
-        node, size = np.array(nodes, np.uint64), np.array(sizes, np.int64)
+    Of equal sets held at the same time one is sent, so copies add documents but no tokens.
+    """
+
+    def flush(ids, sizes, nodes, sets, number):
+        out = [((TaskContext.get().partitionId() + number) % parts, 1, np.array(nodes, np.uint64).tobytes(), np.array(sizes, np.int64).tobytes(), np.array(ids, np.int64).tobytes(), None)]
+        node, size = np.array(list(sets), np.uint64), np.array([len(s) for s in sets.values()], np.int64)
         dest = (node % U(parts)).astype(np.int64)
         order = np.argsort(dest, kind="stable")
         edge = np.searchsorted(dest[order], np.arange(parts + 1))
-        doc = np.array(ids, np.int64)[order]
-        out = [(p, 1, node[order][a:b].tobytes(), size[order][a:b].tobytes(), doc[a:b].tobytes(), None) for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if a < b]
-        tok = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        out += [(p, 2, node[order][a:b].tobytes(), size[order][a:b].tobytes(), None, None) for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if a < b]
+        tok = np.concatenate(list(sets.values())) if sets else np.zeros(0, np.uint64)
         sets.clear()
         if len(tok):
             part = (tok % U(parts)).astype(np.uint16 if parts < 65536 else np.int32)
@@ -81,7 +87,7 @@ def _send_tokens(k: int, parts: int):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sizes, nodes, sets, held = [], [], [], [], 0
+        ids, sizes, nodes, sets, held, number = [], [], [], {}, 0, 0
         for whole in batches:
             for b in slices(whole):
                 data, off = buffers(b.column("text"))
@@ -91,27 +97,28 @@ def _send_tokens(k: int, parts: int):
                     s = unique_sorted(s)
                     sizes.append(len(s))
                     nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) >> 1)
-                    sets.append(s)
-                    held += len(s)
+                    if len(s) and nodes[-1] not in sets:
+                        sets[nodes[-1]] = s
+                        held += len(s)
                 ids += [-(2**63) if i is None else i for i in b.column("doc_id").to_pylist()]
-                if held > FLUSH:
-                    yield flush(ids, sizes, nodes, sets)
-                    ids, sizes, nodes, sets, held = [], [], [], [], 0
+                if held > FLUSH or len(ids) > FLUSH_DOCS:
+                    yield flush(ids, sizes, nodes, sets, number)
+                    ids, sizes, nodes, sets, held, number = [], [], [], {}, 0, number + 1
         if ids:
-            yield flush(ids, sizes, nodes, sets)
+            yield flush(ids, sizes, nodes, sets, number)
 
     return run
 
 
 def _find_shared(parts: int):
-    """Blocks of one token range -> the tokens that two or more nodes have, by node; document blocks pass."""
+    """Blocks of one token range -> the tokens that two or more nodes have, by node; other blocks pass."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, counts, tokens, part = [], [], [], 0
         for b in batches:
             for r in b.to_pylist():
-                if r["kind"] == 1:
+                if r["kind"]:
                     yield _blocks([tuple(r.values())])
                 else:
                     part = r["part"]
@@ -161,30 +168,28 @@ def _find_shared(parts: int):
 
 
 def _gather_nodes(percent: int):
-    """Blocks of one node range -> a row per document, and a row per node with enough shared tokens to link."""
+    """Blocks of one node range -> a row per node with enough shared tokens to link; a row per document passes by."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, nodes, sizes, tn, tc, tt, tf = [], [], [], [], [], [], []
+        nodes, sizes, tn, tc, tt, tf = [], [], [], [], [], []
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == 1:
+                    doc, n, node = (np.frombuffer(r[c], np.int64) for c in ("tokens", "counts", "nodes"))
+                    yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(n), pa.array(node), pa.nulls(len(doc), pa.binary()), pa.nulls(len(doc), pa.binary())], schema=_NODE)
+                elif r["kind"] == 2:
                     nodes.append(np.frombuffer(r["nodes"], np.int64))
                     sizes.append(np.frombuffer(r["counts"], np.int64))
-                    docs.append(np.frombuffer(r["tokens"], np.int64))
                 else:
                     tn.append(np.frombuffer(r["nodes"], np.int64))
                     tc.append(np.frombuffer(r["counts"], np.uint32))
                     tt.append(np.frombuffer(r["tokens"], np.uint64))
                     tf.append(np.frombuffer(r["extra"], np.uint32))
-        if not docs:
-            return
-        doc, node, n = np.concatenate(docs), np.concatenate(nodes), np.concatenate(sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(n), pa.array(node), pa.nulls(len(doc), pa.binary()), pa.nulls(len(doc), pa.binary())], schema=_NODE)
         if not tn:
             return
-        uniq, first = np.unique(node, return_index=True)
-        size = n[first]
+        uniq, first = np.unique(np.concatenate(nodes), return_index=True)
+        size = np.concatenate(sizes)[first]
         of = np.concatenate([np.repeat(np.searchsorted(uniq, a), c) for a, c in zip(tn, tc)])
         have = np.bincount(of, minlength=len(uniq))
         good = (100 * have >= percent * size) & (have > 0)

@@ -62,6 +62,12 @@ def test_edges(spark):
     assert ngram_components(df.limit(0)).collect() == []
 
 
+def test_copies_over_many_tasks(spark):
+    rows = made(4, 60) + [(1000 + i, "the same words again in every copy of it") for i in range(120)] + [(2000, "The same words again in every copy of it now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert sorted((tuple(r) for r in ngram_components(df).collect()), key=str) == brute(rows)
+
+
 def test_large_near_copy_group(spark):
     r = random.Random(5)
     base = [f"t{i}" for i in range(300)]
