@@ -35,7 +35,7 @@ from .hashing import U, buffers, by_text, mix, shingles, slices, unique_sorted,
 from .store import partitions, shared_dir, stored
 from .worker import tidy
 
-FLUSH = 3 << 20  # tokens held by a map task before its blocks are sent on
+FLUSH = 3 << 19  # tokens held by a map task before its blocks are sent on
 FLUSH_DOCS = 1 << 17  # documents held, where copies add no tokens
 TILE = 8 << 20  # bytes of token sets of a tile
 BLOCK = "part int, kind int, nodes binary, counts binary, tokens binary, extra binary"
@@ -76,8 +76,9 @@ def _send_tokens(k: int, parts: int):
             part = (tok % U(parts)).astype(np.uint16 if parts < 65536 else np.int32)
             order = np.argsort(part, kind="stable")
             edge = np.searchsorted(part[order], np.arange(parts + 1))
-            tok, of = (tok >> U(16))[order], np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
+            tok, of = tok[order], np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
             del order
+            tok >>= U(16)
             for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
                 if a < b:
                     c = np.bincount(of[a:b], minlength=len(size))
@@ -89,10 +90,11 @@ def _send_tokens(k: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sizes, nodes, sets, held, number = [], [], [], {}, 0, 0
         for whole in batches:
-            for b in slices(whole):
+            for b in slices(whole, size=2 << 20):
                 data, off = buffers(b.column("text"))
-                h, doc, _, _ = words(data, off)
+                h, doc = words(data, off)[:2]
                 g, d = shingles(h, doc, b.num_rows, k)
+                del h, doc
                 for s in by_text(g, d, b.num_rows):
                     s = unique_sorted(s)
                     sizes.append(len(s))
