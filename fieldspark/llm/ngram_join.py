@@ -10,8 +10,9 @@ reaches the threshold. All counts cover all texts, no text is cut and no posting
    have in common are shared tokens, so the shared tokens and n are all that verification needs.
 3. Tokens are ordered by (frequency, hash). Rare tokens (class 1) are indexed alone, frequent ones (class k) by
    combinations of k from one token group. A prefix is extended until sum(max(c - k + 1, 0)) over its classes and
-   groups exceeds the tokens a partner may lack; then two linked nodes share an indexed signature. Groups grow in
-   number with the set size, so combinations stay linear in it; a node signs for its own size class and the next.
+   groups exceeds the tokens a partner may lack; then two linked nodes share an indexed signature. Nodes too small for
+   that index a plain prefix as well. Groups grow in number with the set size, so combinations stay linear in it; a node
+   signs for its own size class and the next.
 4. Round one verifies each node against one node of each of its signatures, the one with the largest share of shared
    tokens, and joins what links. Round two decides what is left: nodes that share a signature but not a component.
    They are gathered in blocks (what such signatures connect), large blocks in pairs of tiles of bounded bytes, and
@@ -216,6 +217,9 @@ def signatures(tok: np.ndarray, df: np.ndarray, n: int, percent: int, frequent:
 
     frequent: document frequencies above which tokens belong to class 2, 3, ...; class k is indexed by k-combinations.
     The n - len(tok) tokens that no other node has come first in the order, so they only lengthen the prefix.
+    Small nodes may use up their tokens before the prefix is long enough. Then the plain prefix of lack + 1 tokens is
+    indexed alone too, for partners that used up theirs; one that did not shares a combination with the whole node. A
+    node that is unlike even the same set with one more token links with nothing and needs none of this.
     """
     lack = n - -(-percent * n // 100)
     order = np.lexsort((tok, df))
@@ -246,6 +250,8 @@ def signatures(tok: np.ndarray, df: np.ndarray, n: int, percent: int, frequent:
                 for j in range(k):
                     s = mix(s + t[:, j] * U(2 * j + 3))
                 out.append(mix(s + U(scheme * 8 + k)))
+        if covered <= lack and 100 * n >= percent * (n + 1):
+            out.append(tok[: max(0, lack + 1 - alone)])
     return unique_sorted(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 

@@ -1,9 +1,11 @@
 import random
 import re
+from itertools import product
 
+import numpy as np
 import pytest
 
-from fieldspark.llm.ngram_join import ngram_components
+from fieldspark.llm.ngram_join import ngram_components, signatures
 
 
 def brute(rows, k=5, percent=75):
@@ -79,3 +81,28 @@ def test_large_near_copy_group(spark):
         rows.append((i, " ".join(w)))
     out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((tuple(x) for x in out), key=str) == brute(rows)
+
+
+def test_small_nodes_share_a_signature():
+    tok = np.array([11, 22, 33, 44], np.uint64)
+    for df in product([1, 2, 33, 1025], repeat=4):
+        df = np.array(df, np.uint32)
+        if (df[:3] > 1).all():  # the three tokens of one node are in the other one of four
+            own = df > 1
+            a, b = signatures(tok[:3], df[:3], 3, 75, (32, 1024)), signatures(tok[own], df[own], 4, 75, (32, 1024))
+            assert len(np.intersect1d(a, b)), df
+
+
+@pytest.mark.parametrize("frequent", [(1, 2), (1, 3), (2, 3)])
+def test_seven_against_eight_words(spark, frequent):
+    rows = []
+    for i in range(6):
+        w = [f"g{i}w{j}" for j in range(7)]
+        rows.append((100 * i + 1, " ".join(w)))
+        rows.append((100 * i, " ".join([*w, "rare"]) if i % 2 else " ".join(["rare", *w])))
+        for j in range(2 + i % 3):  # texts that make some of the shingles frequent and link with nothing
+            rows.append((100 * i + 10 + j, " ".join([f"p{j}", *w[1:], *(f"q{i}{j}{x}" for x in range(9))])))
+        if frequent[0] > 1:
+            rows.append((100 * i + 50, " ".join([*w[:5], *(f"r{i}{x}" for x in range(9))])))
+    out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), frequent=frequent).collect()
+    assert sorted((tuple(r) for r in out), key=str) == brute(rows)
