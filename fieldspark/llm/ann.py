@@ -153,9 +153,10 @@ def _routed(index: Index, every: bool):
 
 def _rank(k: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        ids, x = rows.column("vec_id").to_numpy(), np.frombuffer(b"".join(rows.column("v").to_pylist()), np.float64).reshape(rows.num_rows, -1)
+        ids, row_id = rows.column("vec_id").to_numpy(), rows.column("row").to_numpy()
+        x = np.frombuffer(b"".join(rows.column("v").to_pylist()), np.float64).reshape(rows.num_rows, -1)
         qid, q = queries.column("query_id").to_numpy(), np.frombuffer(b"".join(queries.column("v").to_pylist()), np.float64).reshape(queries.num_rows, -1)
-        out_q, out_v, out_d = [], [], []
+        out_q, out_r, out_v, out_d = [], [], [], []
         if len(x):
             sq = (x * x).sum(1)
             for lo in range(0, len(q), 128):
@@ -169,11 +170,12 @@ def _rank(k: int):
                     least = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
                     near = np.flatnonzero((row <= least + 1e-9 * (own[i] + sq.max()) + 1e-300) & other)
                     exact = np.sqrt(((x[near] - part[i]) ** 2).sum(1))
-                    best = np.lexsort((ids[near], exact))[:k]
+                    best = np.lexsort((row_id[near], ids[near], exact))[:k]
                     out_q += [qid[lo + i]] * len(best)
+                    out_r += row_id[near[best]].tolist()
                     out_v += ids[near[best]].tolist()
                     out_d += exact[best].tolist()
-        return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_d, pa.float64())})
+        return pa.table({"query_id": pa.array(out_q, pa.int64()), "row": pa.array(out_r, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_d, pa.float64())})
 
     return run
 
@@ -185,11 +187,13 @@ def _blocks_of(rows: DataFrame, parts: int, block: int) -> Column:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_000, **fit) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each query row of vectors (vec_id, embedding) the k nearest other rows found.
+    """(query_id, rank, vec_id, score): for each vec_id of query rows of vectors (vec_id, embedding) the k nearest other rows found.
 
     score is the Euclidean distance in double precision of the original vectors; ties go to the smaller vec_id. Rows
     that usable() leaves out are neither queries nor candidates, nor are vectors of an uncommon length. A row is no
-    candidate for a query of its own vec_id; repeated rows are candidates of their own. With fewer candidates than k,
+    candidate for a query of its own vec_id; repeated rows are candidates of their own. A query row that is repeated asks
+    once. Different vectors under one vec_id are one query: each of them is searched, and a candidate's score is its
+    distance to the nearest of them, so that a query_id has at most k result rows and each candidate row is one. With fewer candidates than k,
     all that are found come. Parts of more than ``block`` rows, or of more than ``block`` queries, are searched in
     blocks of rows by blocks of queries, so that neither meet in one task without a bound. An empty table gives an
     empty table.
@@ -202,12 +206,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_00
         return empty
     rows = rows.where(F.size("v") == index.dim)
     folder = shared_dir(spark, "ann")
-    kept = stored(rows.mapInArrow(_routed(index, False), "vec_id long, part int, v binary"), f"{folder}/rows")
-    asked = stored(rows.where(is_query).mapInArrow(_routed(index, True), "vec_id long, part int, v binary").withColumnRenamed("vec_id", "query_id"), f"{folder}/asked")
+    kept = stored(rows.mapInArrow(_routed(index, False), "vec_id long, part int, v binary").withColumn("row", F.monotonically_increasing_id()), f"{folder}/rows")
+    asked = stored(rows.where(is_query).distinct().mapInArrow(_routed(index, True), "vec_id long, part int, v binary").withColumnRenamed("vec_id", "query_id"), f"{folder}/asked")
     of, to = _blocks_of(kept, index.parts, block), _blocks_of(asked, index.parts, block)
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     kept = kept.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), of).cast("int")).withColumn("q_block", every(to))
     asked = asked.withColumn("q_block", F.pmod(F.xxhash64("query_id", "v"), to).cast("int")).withColumn("block", every(of))
-    near = kept.groupBy("part", "block", "q_block").cogroup(asked.groupBy("part", "block", "q_block")).applyInArrow(_rank(k), "query_id long, vec_id long, score double")
+    near = kept.groupBy("part", "block", "q_block").cogroup(asked.groupBy("part", "block", "q_block")).applyInArrow(_rank(k), "query_id long, row long, vec_id long, score double")
+    near = near.groupBy("query_id", "row").agg(F.first("vec_id").alias("vec_id"), F.min("score").alias("score"))
     place = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -106,6 +106,27 @@ def test_nearest(spark):
     assert ann.search(few.limit(0), F.lit(True)).collect() == []
 
 
+def test_repeated_query_rows_ask_once(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.standard_normal((60, 4)))]
+    rows += [rows[7], rows[7]]  # a repeated candidate
+    several = [(200, [0.5, 0.0, 0.0, 0.0]), (200, [-0.5, 0.0, 0.0, 1.0])]
+    query = lambda i: i % 100 == 0
+    once = spark.createDataFrame([*rows, *several], "vec_id long, embedding array<double>")
+    often = spark.createDataFrame([*rows, *several, *[rows[0]] * 30, *several * 3], "vec_id long, embedding array<double>")
+    want = []
+    for q in (0, 200):
+        asked = [np.array(v) for i, v in [*rows, *several] if i == q]
+        # the copies of a query row are candidates for the other query
+        cands = [(i, np.array(v)) for i, v in [*rows, *several, *[rows[0]] * 30, *several * 3] if i != q]
+        best = sorted((min(float(np.sqrt(((v - a) ** 2).sum())) for a in asked), i) for i, v in cands)[:10]
+        want += [(q, k + 1, i, pytest.approx(d)) for k, (d, i) in enumerate(best)]
+    for block in (1000, 9):
+        assert sorted(map(tuple, ann.search(often, query(F.col("vec_id")), block=block).collect())) == want
+    got = [tuple(x) for x in ann.search(once, query(F.col("vec_id"))).collect()]
+    assert sorted(x[:2] for x in got) == [(q, k) for q in (0, 200) for k in range(1, 11)]
+
+
 def test_blocks_of_rows_and_queries_change_nothing(spark):
     r = np.random.default_rng(3)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(r.standard_normal((90, 4)))] + [(90 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(45)], "vec_id long, embedding array<double>")
