@@ -51,6 +51,31 @@ def test_hamming_pairs(spark, radius):
     assert sorted(tuple(x) for x in simhash.hamming_pairs(df, radius).collect()) == want
 
 
+def test_near_counts_of_edited_texts(spark):
+    r = random.Random(8)
+    texts = []
+    for i in range(30):
+        w = [f"w{r.randrange(5000)}" for _ in range(300)]
+        texts.append(" ".join(w))
+        w[r.randrange(300)] = "changed"
+        texts.append(" ".join(w))
+    base = [f"w{r.randrange(5000)}" for _ in range(400)]
+    for i in range(90):  # a family larger than what is compared by shifts
+        w = list(base)
+        w[r.randrange(400)] = f"u{i}"
+        texts.append(" ".join(w))
+    texts += ["", "", texts[0]]
+    prints = [x.hex() for x in simhash.fingerprints(__import__("pyarrow").array(texts))]
+    apart = lambda a, b: bin(int(a, 16) ^ int(b, 16)).count("1")
+    df = spark.createDataFrame(list(enumerate(prints)), "i int, fingerprint string").repartition(5)
+    for radius in (1, 3, 10):
+        got = {x["i"]: x["n_near"] for x in simhash.with_near_counts(df, radius).collect()}
+        assert got == {i: sum(apart(x, y) <= radius for y in prints) - 1 for i, x in enumerate(prints)}
+    got = {x["i"]: x["n_near"] for x in simhash.with_near_counts(df).collect()}
+    assert sum(got[i] > 0 for i in range(60)) >= 48
+    assert simhash.with_near_counts(df.limit(0)).collect() == []
+
+
 def test_archives(spark, tmp_path):
     rows = [(i, f"http://e/{i}\r\nX: y", f"<p>{'word ' * (i % 7)}</p>" * 20) for i in range(200)] + [(900, None, None), (901, "u", ""), (None, "u", "<p></p>" * 20), (902, "ü", "é" * 100_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("sha", F.lit(1)).repartition(3)
