@@ -95,6 +95,7 @@ class Index:
     """router, parts, probes, dim; sample_recall: of ``probes`` parts on the held-out rows of the sample."""
 
     def __init__(self, x: np.ndarray, parts: int, k: int, recall: float):
+        """parts: at most so many, and at most a sixteenth of the rows of x, so that each is learned from 16 rows or more."""
         held = max(1, len(x) // 8)
         q, x = x[:held], x[held:] if len(x) > held else x
         self.dim, near = x.shape[1], min(k, max(1, len(x) - 1))
@@ -125,7 +126,8 @@ def usable(vectors: DataFrame) -> DataFrame:
 def fit_index(rows: DataFrame, sample: int = 12_000, parts: int = 0, k: int = 10, recall: float = 0.97) -> Index | None:
     """An index for rows of usable(), from the ``sample`` rows with the smallest hashes of vec_id. None without rows.
 
-    Vectors of another length than the most common one take no part. parts 0: about one for 2,000 rows, 4 to 1,024.
+    It is learned for the most common length of vectors. parts 0: about one for 2,000 rows, 4 to 1,024. At most a
+    sixteenth of the sample are made, so a table of more than 125 * ``sample`` rows wants a larger sample.
     """
     sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if sizes is None:
@@ -138,26 +140,28 @@ def fit_index(rows: DataFrame, sample: int = 12_000, parts: int = 0, k: int = 10
 
 
 def _routed(index: Index, every: bool):
+    """Rows (vec_id, v) -> a row per part that they go to. A vector of another length goes to the part -length."""
+
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = np.array(b.column("v").to_pylist(), np.float64)
-            order = index.router.order(x)[:, : index.probes if every else 1]
-            n = order.shape[1]
-            raw = [r.tobytes() for r in x]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("vec_id").to_numpy(), n)), pa.array(order.reshape(-1).astype(np.int32)), pa.array([r for r in raw for _ in range(n)], pa.binary())], ["vec_id", "part", "v"])
+            ids, lists = b.column("vec_id").to_numpy(), b.column("v")
+            size = lists.value_lengths().to_numpy()
+            for d in np.unique(size):
+                own = np.flatnonzero(size == d)
+                x = lists.take(pa.array(own)).flatten().to_numpy().reshape(len(own), d)
+                order = index.router.order(x)[:, : index.probes if every else 1] if d == index.dim else np.full((len(own), 1), -d)
+                n, raw = order.shape[1], [r.tobytes() for r in x]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[own], n)), pa.array(order.reshape(-1).astype(np.int32)), pa.array([r for r in raw for _ in range(n)], pa.binary())], ["vec_id", "part", "v"])
 
     return run
 
 
 def _rank(k: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        ids, row_id = rows.column("vec_id").to_numpy(), rows.column("row").to_numpy()
-        x = np.frombuffer(b"".join(rows.column("v").to_pylist()), np.float64).reshape(rows.num_rows, -1)
-        qid, q = queries.column("query_id").to_numpy(), np.frombuffer(b"".join(queries.column("v").to_pylist()), np.float64).reshape(queries.num_rows, -1)
         out_q, out_r, out_v, out_d = [], [], [], []
-        if len(x):
+        if rows.num_rows and queries.num_rows:
+            ids, row_id, qid = (t.column(c).to_numpy() for t, c in ((rows, "vec_id"), (rows, "row"), (queries, "query_id")))
+            x, q = (np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(t.num_rows, -1) for t in (rows, queries))
             sq = (x * x).sum(1)
             for lo in range(0, len(q), 128):
                 part = q[lo : lo + 128]
@@ -180,17 +184,17 @@ def _rank(k: int):
     return run
 
 
-def _blocks_of(rows: DataFrame, parts: int, block: int) -> Column:
-    """How many blocks of about ``block`` rows each row's part has (a row per part comes to the driver)."""
-    sizes = {r["part"]: -(-r["count"] // block) for r in rows.groupBy("part").count().collect()}
-    return F.element_at(F.array(*(F.lit(sizes.get(p, 1)) for p in range(parts))), F.col("part") + 1)
+def _sizes(rows: DataFrame, block: int, name: str) -> DataFrame:
+    """(part, name): in how many blocks of about ``block`` rows each part is searched."""
+    return rows.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_000, **fit) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vec_id of query rows of vectors (vec_id, embedding) the k nearest other rows found.
 
     score is the Euclidean distance in double precision of the original vectors; ties go to the smaller vec_id. Rows
-    that usable() leaves out are neither queries nor candidates, nor are vectors of an uncommon length. A row is no
+    that usable() leaves out are neither queries nor candidates. Vectors of different lengths have no distance: a query's
+    candidates are those of its own length, all of them if that is not the most common one. A row is no
     candidate for a query of its own vec_id; repeated rows are candidates of their own. A query row that is repeated asks
     once. Different vectors under one vec_id are one query: each of them is searched, and a candidate's score is its
     distance to the nearest of them, so that a query_id has at most k result rows and each candidate row is one. With fewer candidates than k,
@@ -204,14 +208,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_00
     index = fit_index(rows, k=k, **fit)
     if index is None:
         return empty
-    rows = rows.where(F.size("v") == index.dim)
     folder = shared_dir(spark, "ann")
     kept = stored(rows.mapInArrow(_routed(index, False), "vec_id long, part int, v binary").withColumn("row", F.monotonically_increasing_id()), f"{folder}/rows")
     asked = stored(rows.where(is_query).distinct().mapInArrow(_routed(index, True), "vec_id long, part int, v binary").withColumnRenamed("vec_id", "query_id"), f"{folder}/asked")
-    of, to = _blocks_of(kept, index.parts, block), _blocks_of(asked, index.parts, block)
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    kept = kept.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), of).cast("int")).withColumn("q_block", every(to))
-    asked = asked.withColumn("q_block", F.pmod(F.xxhash64("query_id", "v"), to).cast("int")).withColumn("block", every(of))
+    sizes = stored(_sizes(kept, block, "of").join(_sizes(asked, block, "to"), "part"), f"{folder}/sizes")  # parts with rows and queries
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = kept.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), "of").cast("int")).withColumn("q_block", every("to")).drop("of", "to")
+    asked = asked.join(sizes, "part").withColumn("q_block", F.pmod(F.xxhash64("query_id", "v"), "to").cast("int")).withColumn("block", every("of")).drop("of", "to")
     near = kept.groupBy("part", "block", "q_block").cogroup(asked.groupBy("part", "block", "q_block")).applyInArrow(_rank(k), "query_id long, row long, vec_id long, score double")
     near = near.groupBy("query_id", "row").agg(F.first("vec_id").alias("vec_id"), F.min("score").alias("score"))
     place = Window.partitionBy("query_id").orderBy("score", "vec_id")

@@ -131,6 +131,30 @@ def test_nearest(spark):
     assert ann.search(few.limit(0), F.lit(True)).collect() == []
 
 
+def exact(rows, query, k=10):
+    out = []
+    for q, a in rows:
+        if query(q):
+            best = sorted((float(np.sqrt(((np.array(v) - np.array(a)) ** 2).sum())), i) for i, v in rows if i != q and len(v) == len(a))[:k]
+            out += [(q, n + 1, i, pytest.approx(d)) for n, (d, i) in enumerate(best)]
+    return sorted(out, key=lambda x: x[:2])
+
+
+def test_parts_without_rows_or_queries(spark):
+    r = np.random.default_rng(11)
+    search = lambda rows, **more: sorted(map(tuple, ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, **more).collect()))
+    rows = [(i, v.tolist()) for i, v in enumerate(r.standard_normal((199, 4)) + 6 * (np.arange(199) % 5)[:, None], start=1)]
+    got = search(rows)  # one query, so most parts have none
+    assert [x[:2] for x in got] == [(100, k) for k in range(1, 11)] and got[0] == exact(rows, lambda i: i == 100)[0]
+    assert search([x for x in rows if x[0] != 100]) == []
+    assert search(rows[:1]) == [] and search([(100, [1.0, 2.0])]) == []  # no other row
+    for block in (3, 20_000):  # queries of two lengths, one of them without another row
+        mixed = [*[x for x in rows if x[0] < 16], (100, [1.0, 2.0]), (0, [1.0] * 3), *((300 + i, [float(i), 1.0]) for i in range(12))]
+        assert search(mixed, block=block) == exact(mixed, lambda i: i % 100 == 0)
+    ties = [(i, [1.0, float(i > 12)]) for i in range(14)]
+    assert search(ties) == exact(ties, lambda i: i == 0)
+
+
 def test_repeated_query_rows_ask_once(spark):
     r = np.random.default_rng(5)
     rows = [(i, v.tolist()) for i, v in enumerate(r.standard_normal((60, 4)))]
