@@ -8,16 +8,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BYTE = np.random.Generator(np.random.PCG64(20240501)).integers(0, 2**64, 256, dtype=np.uint64)
-_P = 0x9E3779B97F4A7C15 | 1
-_PINV = pow(_P, -1, 2**64)
-_powers: dict[int, np.ndarray] = {}
+_MASK = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+_LONG = 64  # bytes from which a span is hashed on its own
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -29,17 +29,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def _pow(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        _powers[base] = have
-    return have[:n]
-
-
 def buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -92,13 +81,33 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int = 1 << 20):
         lo = hi
 
 
-def span_hash(data: np.ndarray, s: np.ndarray, e: np.ndarray, lo: int, hi: int, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of the spans [s, e) of data[lo:hi]: a polynomial over the bytes, from prefix sums."""
-    d = data[lo:hi]
-    c = np.zeros(hi - lo + 1, np.uint64)
-    np.cumsum(_BYTE[LOWER[d] if lower else d] * _pow(_P, hi - lo), out=c[1:])
-    h = (c[e - lo] - c[s - lo]) * _pow(_PINV, hi - lo + 1)[s - lo]
-    return mix(h + (e - s).astype(np.uint64))
+def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lo: int, hi: int, lower: bool = False, second: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """64-bit hashes of the spans [s, e) of data[lo:hi], and, if asked for, second hashes that are independent of them.
+
+    The bytes enter eight at a time, with the length; spans of more than 64 bytes are hashed by xxh3. Up to eight bytes
+    of one length the hash is one to one.
+    """
+    d = np.zeros(hi - lo + 8, np.uint8)
+    d[: hi - lo] = LOWER[data[lo:hi]] if lower else data[lo:hi]
+    lane = np.ndarray((hi - lo + 1,), "<u8", d, 0, (1,))  # the eight bytes from each place on
+    s, n = s - lo, e - s
+    v = lane[s] & _MASK[np.minimum(n, 8)]
+    size = n.astype(np.uint64) * _SEED
+    h, g = mix(v ^ size), (mix(v * U(0xD6E8FEB86659FD93) + ~size) if second else None)
+    at, j = np.flatnonzero(n > 8), 8
+    while len(at) and j < _LONG:
+        v = lane[s[at] + j] & _MASK[np.minimum(n[at] - j, 8)]
+        h[at] = mix(h[at] ^ v)
+        if second:
+            g[at] = mix(g[at] * U(0xA0761D6478BD642F) + v)
+        j += 8
+        at = at[n[at] > j]
+    for i in at.tolist():
+        x = xxhash.xxh3_128_intdigest(d[s[i] : s[i] + n[i]].data)
+        h[i] = x >> 64
+        if second:
+            g[i] = x & (2**64 - 1)
+    return h, g
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,7 +115,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, space: np.n
     out = []
     for lo, hi in windows(data, offsets):
         s, e = word_spans(data, offsets, lo, hi, space)
-        out.append((span_hash(data, s, e, lo, hi, lower), np.searchsorted(offsets, s, side="right") - 1, s, e))
+        out.append((span_hashes(data, s, e, lo, hi, lower)[0], np.searchsorted(offsets, s, side="right") - 1, s, e))
     if not out:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, z

@@ -9,8 +9,16 @@ import numpy as np
 from .hashing import U
 
 
+def _distinct(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one of each pair (h, g), number of each row's pair)"""
+    _, first, inv = np.unique(h, return_index=True, return_inverse=True)
+    if (g != g[first][inv]).any():
+        _, first, inv = np.unique(np.stack([h, g], 1), axis=0, return_index=True, return_inverse=True)
+    return first, inv.reshape(-1)
+
+
 class Memo:
-    """ids of pieces by the pieces' 64-bit hashes, in an open-addressing table of numpy arrays.
+    """ids of pieces by two independent 64-bit hashes of each, in an open-addressing table of numpy arrays.
 
     ``bits`` bounds what a worker remembers (half of 2**bits pieces); it does not change results.
     """
@@ -21,12 +29,13 @@ class Memo:
 
     def clear(self) -> None:
         self.key = np.zeros(1 << self.bits, np.uint64)
+        self.check = np.zeros(1 << self.bits, np.uint64)
         self.value = np.full(1 << self.bits, -1, np.int32)
         self.n = np.zeros(1 << 12, np.int32)
         self.start = np.zeros(1 << 12, np.int64)
         self.pool, self.used, self.size = np.zeros(1 << 16, np.uint32), 0, 0
 
-    def _add(self, hashes: np.ndarray, texts: list[str]) -> None:
+    def _add(self, hashes: np.ndarray, checks: np.ndarray, texts: list[str]) -> None:
         for lo in range(0, len(texts), 20_000):
             got = self.encode(texts[lo : lo + 20_000])
             n = np.fromiter(got if self.lengths_only else map(len, got), np.int32, len(got))
@@ -50,36 +59,38 @@ class Memo:
             self.value[at[free]] = number[left[free]]  # of several for one slot the last stays
             won = free & (self.value[at] == number[left])
             self.key[at[won]] = hashes[left[won]]
+            self.check[at[won]] = checks[left[won]]
             left = left[~won]
             slot[left] += U(1)
 
-    def _look(self, h: np.ndarray) -> np.ndarray:
+    def _look(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
         mask, out, left, step = U((1 << self.bits) - 1), np.full(len(h), -1, np.int64), np.arange(len(h)), U(0)
         while len(left):
             at = ((h[left] + step) & mask).astype(np.int64)
             value = self.value[at]
-            hit = (self.key[at] == h[left]) & (value >= 0)
+            hit = (self.key[at] == h[left]) & (self.check[at] == g[left]) & (value >= 0)
             out[left[hit]] = value[hit]
             left = left[(value >= 0) & ~hit]
             step += U(1)
         return out
 
-    def find(self, data: np.ndarray, h: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-        """The number under which each span [s, e) of data is remembered, until the next call."""
-        at = self._look(h)
+    def find(self, data: np.ndarray, h: np.ndarray, g: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """The number under which each span [s, e) of data, with hashes h and g, is remembered, until the next call."""
+        at = self._look(h, g)
         new = np.flatnonzero(at < 0)
         if len(new):
-            u, first, inv = np.unique(h[new], return_index=True, return_inverse=True)
-            if self.size + len(u) > 1 << (self.bits - 1):
+            first, inv = _distinct(h[new], g[new])
+            if self.size + len(first) > 1 << (self.bits - 1):
                 self.clear()
                 new = np.arange(len(h))
-                u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-                while len(u) > 1 << (self.bits - 1):
+                first, inv = _distinct(h, g)
+                while len(first) > 1 << (self.bits - 1):
                     self.bits += 1
                     self.clear()
             raw = data.tobytes()
             k = self.size
-            self._add(u, [raw[a:b].decode() for a, b in zip(s[new[first]].tolist(), e[new[first]].tolist())])
+            one = new[first]
+            self._add(h[one], g[one], [raw[a:b].decode() for a, b in zip(s[one].tolist(), e[one].tolist())])
             at[new] = k + inv
         return at
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import buffers, slices, span_hash
+from .hashing import buffers, slices, span_hashes
 from .memo import Memo
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
@@ -67,8 +67,8 @@ def _count(path: str, batch_bytes: int):
                     doc, s, e = segments(data, off)
                     full = s < e
                     n = np.full(len(s), alone, np.int64)
-                    h = span_hash(data, s[full], e[full], 0, len(data))
-                    at = memo.find(data, h, s[full], e[full])
+                    h, g = span_hashes(data, s[full], e[full], 0, len(data), second=True)
+                    at = memo.find(data, h, g, s[full], e[full])
                     n[full] = memo.n[at]
                     total = np.bincount(doc, n, b.num_rows).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size), pa.array(total)], schema=_SCHEMA)

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .hashing import U, mix, span_hash, windows, word_spans
+from .hashing import U, mix, span_hashes, windows, word_spans
 from .memo import Memo
 
 # Byte classes: 1 letter, 2 digit, 3 other sign.
@@ -80,17 +80,18 @@ class WordBpe:
             a = np.flatnonzero(cut)
             w = np.searchsorted(s, a, side="right") - 1
             b = np.minimum(np.append(a[1:], hi - lo), e[w])
-            h = span_hash(d, a, b, 0, hi - lo, lower=True)
+            h, g = span_hashes(d, a, b, 0, hi - lo, lower=True, second=True)
             far = odd[w]
-            h[far] = mix(h[far] + U(1))
-            at = self._find(d, h, a, b, far)
+            own, g[far] = span_hashes(d, a[far], b[far], 0, hi - lo, second=True)  # case tells special tokens from words
+            h[far] = mix(own + U(1))
+            at = self._find(d, h, g, a, b, far)
             got, n = self.memo.stream(at)
             streams.append(got)
             doc = np.searchsorted(offsets, a + lo, side="right") - 1
             per += np.bincount(doc, n, len(per)).astype(np.int64)
         return (np.concatenate(streams) if streams else np.zeros(0, np.uint32)), per
 
-    def _find(self, d, h, a, b, far):
+    def _find(self, d, h, g, a, b, far):
         if far.any():
             # odd words are told from others of equal bytes by a leading NUL, which no plain piece has
             raw = np.concatenate([d, *(x for i, j in zip(a[far], b[far]) for x in (np.zeros(1, np.uint8), d[i:j]))])
@@ -99,7 +100,7 @@ class WordBpe:
             a, b = a.copy(), b.copy()
             a[far], b[far] = start, start + size
             d = raw
-        return self.memo.find(d, h, a, b)
+        return self.memo.find(d, h, g, a, b)
 
 
 @lru_cache(1)

@@ -7,18 +7,22 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 
 from fieldspark.llm import bpe_tree, lm, packing, token_counts
+from fieldspark.llm.hashing import span_hashes
+from fieldspark.llm.memo import Memo
 
+MORSE = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))  # with its complement, one sum for any values of the letters
 ALPHABET = list("ab  \n\t .,'▁é漢字🙂sreLl1 9") + ["'ll", "'re", " the", "<s>", " ", "<|endoftext|>", "́", "İ", "Σ", "\x00", "×", "don't", "12"]
 
 
 def texts(seed=1, n=400):
     r = random.Random(seed)
     made = ["".join(r.choice(ALPHABET) for _ in range(r.randrange(60))) for _ in range(n)]
-    return [*made, None, "", " ", "  ", "a ", " a", "x" * 50_000, "word " * 20_000, "▁", made[0]]
+    return [*made, None, "", " ", "  ", "a ", " a", "x" * 50_000, "word " * 20_000, "▁", made[0], *(w for n in (1024, 2048) for m in (MORSE[:n], MORSE[:n].translate(str.maketrans("ab", "ba"))) for w in (m, m + " " + m[::-1])), "<|ENDOFTEXT|> <|endoftext|> <|EndOfText|>"]
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +31,31 @@ def docs(spark):
     return rows, spark.createDataFrame(rows, "doc_id long, text string, ids string, part int")
 
 
+def test_memo_tells_equal_hashes_apart():
+    memo = Memo(lambda texts: [[len(x), ord(x[0])] for x in texts])
+    data = np.frombuffer(b"abbcccab", np.uint8)
+    s, e = np.array([0, 1, 3, 6, 7]), np.array([1, 3, 6, 7, 8])
+    for _ in range(2):
+        at = memo.find(data, np.zeros(5, np.uint64), np.array([1, 2, 3, 1, 9], np.uint64), s, e)
+        ids, n = memo.stream(at)
+        assert ids.tolist() == [1, 97, 2, 98, 3, 99, 1, 97, 1, 98] and n.tolist() == [2] * 5
+
+
+def test_span_hashes():
+    r = random.Random(3)
+    words = sorted({bytes(r.choice(b"ab") for _ in range(r.randrange(1, 200))) for _ in range(3000)} | {MORSE.encode(), b"\x00", b"\x00\x00"})
+    words += [w.upper() for w in words]
+    data, size = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+    e = np.cumsum(size)
+    for lower in (False, True):
+        h, g = span_hashes(data, e - size, e, 0, len(data), lower, True)
+        want = len({w.lower() if lower else w for w in words})
+        assert len(set(h.tolist())) == len(set(g.tolist())) == want and len(set(h.tolist()) & set(g.tolist())) == 0
+        for i in range(0, len(words), 97):
+            alone = span_hashes(np.frombuffer(words[i], np.uint8), np.array([0]), size[i : i + 1], 0, int(size[i]), lower, True)
+            assert (alone[0][0], alone[1][0]) == (h[i], g[i])
+
+
 def test_token_counts(docs):
     import sentencepiece
 
@@ -131,7 +160,7 @@ def test_kneser_ney(spark, hot):
     r = random.Random(4)
     vocab = [f"w{i}" for i in range(300)] + ["The", "É"]
     rows = [(i, " ".join(vocab[min(len(vocab) - 1, int(r.paretovariate(0.7)))] for _ in range(r.randrange(80))), "x") for i in range(300)]
-    rows += [(None, "w1 w2", "x"), (900, None, "x"), (901, "", "x"), (902, "never seen words", "x"), rows[5]]
+    rows += [(None, "w1 w2", "x"), (900, None, "x"), (910, MORSE, "x"), (911, MORSE.translate(str.maketrans("ab", "ba")), "x"), (901, "", "x"), (902, "never seen words", "x"), rows[5]]
     df = spark.createDataFrame(rows, "doc_id long, text string, part string")
     got = sorted((str(x[0]), *x[1:]) for x in lm.score(df, lm.fit(df.where(~lm.is_held_out()), hot), lm.is_held_out()).collect())
     want = kneser_ney(rows)
