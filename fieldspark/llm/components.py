@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import remove, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,14 +24,15 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     """(node, root) for every node of an edge; root is the smallest node of its component.
 
     edges: long columns (a, b); repeated edges and loops are harmless, nulls are dropped. An empty table gives an empty
-    table. Each round is written to ``folder`` and ends when a round changes nothing, which is when every edge joins a
-    node to its component's smallest node.
+    table. Each round is written to ``folder``, where the last one stays; the end is when a round changes nothing, which is
+    when every edge joins a node to its component's smallest node.
     """
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e, was, k = stored(e, f"{folder}/e0"), None, 0
     while True:
         k += 1
         e = stored(_star(_star(e, True), False), f"{folder}/e{k}")
+        remove(edges.sparkSession, f"{folder}/e{k - 1}")
         row = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if row == was or not row[0]:
             break

@@ -5,7 +5,8 @@ reaches the threshold. All counts cover all texts, no text is cut and no posting
 
 1. Tokens are dealt by hash in binary blocks, and every token that stands in two or more different sets is found with
    its exact document frequency. Equal sets are one node from here on: their tokens are sent once per flush of a map
-   task, and their documents never meet in one task.
+   task, and their documents never meet in one task. Tokens that many sets of a small sample share are hot: they count
+   as the most frequent ones and go straight to their nodes, so that their holders don't meet either.
 2. A node of n tokens can only link when at least ceil(t*n) of them are shared ones; all others leave. What two nodes
    have in common are shared tokens, so the shared tokens and n are all that verification needs.
 3. Tokens are ordered by (frequency, hash). Rare tokens (class 1) are indexed alone, frequent ones (class k) by
@@ -14,9 +15,10 @@ reaches the threshold. All counts cover all texts, no text is cut and no posting
    that index a plain prefix as well. Groups grow in number with the set size, so combinations stay linear in it; a node
    signs for its own size class and the next.
 4. Round one verifies each node against one node of each of its signatures, the one with the largest share of shared
-   tokens, and joins what links. Round two decides what is left: nodes that share a signature but not a component.
-   They are gathered in blocks (what such signatures connect), large blocks in pairs of tiles of bounded bytes, and
-   overlaps within are counted over the tokens' posting lists. No pair leaves a task unless it joins two components.
+   tokens, and joins what links. Round two decides the candidates that are left: nodes that share a signature but not a
+   component. Of signatures with the same nodes one is taken. Its nodes outside its largest component are compared with
+   all its nodes, in pairs of tiles of bounded bytes, by counting overlaps over the tokens' posting lists. No pair leaves
+   a task unless it joins two components.
 """
 
 from __future__ import annotations
@@ -33,33 +35,44 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import U, buffers, by_text, mix, shingles, slices, unique_sorted, words
-from .store import partitions, shared_dir, stored
+from .store import hashed_sample, partitions, remove, shared_dir, stored
 from .worker import tidy
 
 FLUSH = 3 << 19  # tokens held by a map task before its blocks are sent on
 FLUSH_DOCS = 1 << 17  # documents held, where copies add no tokens
 TILE = 8 << 20  # bytes of token sets of a tile
+TOP = 0xFFFFFFFF  # stands for the frequency of hot tokens
 BLOCK = "part int, kind int, nodes binary, counts binary, tokens binary, extra binary"
 _BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("nodes", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("extra", pa.binary())])
 _NODE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("tokens", pa.binary()), ("dfs", pa.binary())])
 
 
-def _pack6(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _blocks(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BLOCK.types)], schema=_BLOCK)
 
 
-def _unpack6(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view(np.uint64)
+def _hot_tokens(docs: DataFrame, k: int, sample: int, share: int, least: int) -> np.ndarray:
+    """Sorted tokens of at least ``least`` and one in ``share`` of the sets of ``sample`` rows: at most ``share`` times a set's mean size."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for whole in batches:
+            for b in slices(whole, size=2 << 20):
+                h, doc = words(*buffers(b.column("text")))[:2]
+                for s in by_text(*shingles(h, doc, b.num_rows, k), b.num_rows):
+                    s = unique_sorted(s)
+                    key = xxhash.xxh3_128_digest(s.tobytes())
+                    if len(s) and key not in seen:
+                        seen.add(key)
+                        yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], ["t"])
 
-def _blocks(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BLOCK.types)], schema=_BLOCK)
+    few = hashed_sample(docs, sample, "doc_id").select("text").mapInArrow(run, "t long")
+    got = few.groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") >= max(2, least, sample // share)).select("t").collect()
+    return np.sort(np.array([r["t"] for r in got], np.int64).view(np.uint64))
 
 
-def _send_tokens(k: int, parts: int):
-    """Texts -> blocks of tokens by hash (kind 0), of documents (kind 1, anywhere) and of node sizes by node (kind 2).
+def _send_tokens(k: int, parts: int, hot: np.ndarray):
+    """Texts -> blocks of tokens by hash (kind 0), of documents (kind 1, anywhere) and by node of sizes (kind 2) and hot tokens (kind 3).
 
     Of equal sets held at the same time one is sent, so copies add documents but no tokens.
     """
@@ -71,20 +84,24 @@ def _send_tokens(k: int, parts: int):
         order = np.argsort(dest, kind="stable")
         edge = np.searchsorted(dest[order], np.arange(parts + 1))
         out += [(p, 2, node[order][a:b].tobytes(), size[order][a:b].tobytes(), None, None) for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if a < b]
-        tok = np.concatenate(list(sets.values())) if sets else np.zeros(0, np.uint64)
+        tok, of = (np.concatenate(list(sets.values())), np.repeat(np.arange(len(size), dtype=np.int32), size)) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
         sets.clear()
-        if len(tok):
-            part = (tok % U(parts)).astype(np.uint16 if parts < 65536 else np.int32)
-            order = np.argsort(part, kind="stable")
+
+        def deal(kind, part, tok, of):
+            order = np.argsort(part.astype(np.uint16) if parts < 65536 else part, kind="stable")
             edge = np.searchsorted(part[order], np.arange(parts + 1))
-            tok, of = tok[order], np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
-            del order
-            tok >>= U(16)
+            tok, of = tok[order], of[order]
             for p, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
                 if a < b:
                     c = np.bincount(of[a:b], minlength=len(size))
                     has = np.flatnonzero(c)
-                    out.append((p, 0, node[has].tobytes(), c[has].astype(np.uint32).tobytes(), _pack6(tok[a:b]), None))
+                    out.append((p, kind, node[has].tobytes(), c[has].astype(np.uint32).tobytes(), tok[a:b].tobytes(), None))
+
+        if len(hot):
+            is_hot = hot[np.minimum(np.searchsorted(hot, tok), len(hot) - 1)] == tok
+            deal(3, dest[of[is_hot]], tok[is_hot], of[is_hot])
+            tok, of = tok[~is_hot], of[~is_hot]
+        deal(0, (tok % U(parts)).astype(np.int32), tok, of)
         return _blocks(out)
 
     @tidy
@@ -118,16 +135,15 @@ def _find_shared(parts: int):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, counts, tokens, part = [], [], [], 0
+        nodes, counts, tokens = [], [], []
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"]:
                     yield _blocks([tuple(r.values())])
                 else:
-                    part = r["part"]
                     nodes.append(np.frombuffer(r["nodes"], np.uint64))
                     counts.append(np.frombuffer(r["counts"], np.uint32))
-                    tokens.append(_unpack6(r["tokens"]))
+                    tokens.append(np.frombuffer(r["tokens"], np.uint64))
         if not tokens:
             return
         tok, cnt = np.concatenate(tokens), np.concatenate(counts).astype(np.int64)
@@ -146,13 +162,12 @@ def _find_shared(parts: int):
         df = np.searchsorted(s, dup, side="right") - np.searchsorted(s, dup)
         del s
         maybe = np.zeros(1 << 22, bool)
-        maybe[(dup & U((1 << 22) - 1)).astype(np.int64)] = True
-        keep = np.flatnonzero(maybe[(tok & U((1 << 22) - 1)).astype(np.int64)])
+        maybe[(dup >> U(42)).astype(np.int64)] = True
+        keep = np.flatnonzero(maybe[(tok >> U(42)).astype(np.int64)])
         tok, of = tok[keep], of[keep]
         at = np.minimum(np.searchsorted(dup, tok), len(dup) - 1)
         hit = dup[at] == tok
-        tok, of, freq = tok[hit], of[hit], df[at[hit]].astype(np.uint32)
-        tok = (tok << U(16)) | U(part & 0xFFFF)
+        tok, of, freq = tok[hit], of[hit], np.minimum(df[at[hit]], TOP - 1).astype(np.uint32)
         dest = (uniq % U(parts)).astype(np.int64)
         rank = np.empty(len(uniq), np.int64)
         by = np.argsort(dest, kind="stable")
@@ -175,7 +190,7 @@ def _gather_nodes(percent: int):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, sizes, tn, tc, tt, tf = [], [], [], [], [], []
+        nodes, sizes, tn, tc, tt, tf, hot = [], [], [], [], [], [], []
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == 1:
@@ -184,11 +199,21 @@ def _gather_nodes(percent: int):
                 elif r["kind"] == 2:
                     nodes.append(np.frombuffer(r["nodes"], np.int64))
                     sizes.append(np.frombuffer(r["counts"], np.int64))
+                elif r["kind"] == 3:
+                    hot.append([np.frombuffer(r[c], d) for c, d in (("nodes", np.int64), ("counts", np.uint32), ("tokens", np.uint64))])
                 else:
                     tn.append(np.frombuffer(r["nodes"], np.int64))
                     tc.append(np.frombuffer(r["counts"], np.uint32))
                     tt.append(np.frombuffer(r["tokens"], np.uint64))
                     tf.append(np.frombuffer(r["extra"], np.uint32))
+        if hot:
+            n, c, tok = (np.concatenate(x) for x in zip(*hot))
+            own = np.zeros(len(n), bool)
+            own[np.unique(n, return_index=True)[1]] = True  # an equal set's other copies say nothing new
+            tn.append(n[own])
+            tc.append(c[own])
+            tt.append(tok[np.repeat(own, c)])
+            tf.append(np.full(len(tt[-1]), TOP, np.uint32))
         if not tn:
             return
         uniq, first = np.unique(np.concatenate(nodes), return_index=True)
@@ -297,36 +322,39 @@ def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _merges(rows: list[dict], percent: int) -> list[tuple[int, int]]:
-    """Roots of one tile pair that a link joins, as a forest: each pair of different roots is decided once."""
+    """Roots of one tile pair that a link joins, as a forest: rows marked as asked are compared with those that are not."""
     sets = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
     size, root = (np.array([r[c] for r in rows], np.int64) for c in ("n", "root"))
+    asked = np.array([r["asked"] for r in rows], bool)
     names, at = np.unique(root, return_inverse=True)
-    if len(names) < 2:
+    base = np.flatnonzero(~asked)
+    if len(names) < 2 or not len(base):
         return []
-    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    edge = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    known, flat = np.unique(np.concatenate([sets[i] for i in base]), return_inverse=True)
     order = np.argsort(flat, kind="stable")
-    holder = np.repeat(np.arange(len(rows)), np.diff(edge))[order]
-    first = np.searchsorted(flat[order], np.arange(flat.max() + 2))
-    up = np.arange(len(names))
-    most = np.bincount(at).argmax()  # of two different roots one is not the most frequent one
+    holder = np.repeat(np.arange(len(base)), [len(sets[i]) for i in base])[order]
+    first = np.searchsorted(flat[order], np.arange(len(known) + 1))
+    up, size_of, root_of = np.arange(len(names)), size[base], at[base]
     out = []
-    for x in np.flatnonzero(at != most):
-        t = flat[edge[x] : edge[x + 1]]
+    for x in np.flatnonzero(asked):
+        t = np.minimum(np.searchsorted(known, sets[x]), len(known) - 1)
+        t = t[known[t] == sets[x]]
+        if not len(t):
+            continue
         n = first[t + 1] - first[t]
         end = np.cumsum(n)
-        both = np.bincount(holder[np.repeat(first[t] - (end - n), n) + np.arange(end[-1])], minlength=len(rows))
-        hit = np.flatnonzero((100 * both >= percent * (size[x] + size - both)) & (up[at] != up[at[x]]))
-        for y in hit[np.unique(at[hit], return_index=True)[1]]:
-            a, b = up[at[x]], up[at[y]]
+        both = np.bincount(holder[np.repeat(first[t] - (end - n), n) + np.arange(end[-1])], minlength=len(base))
+        hit = np.flatnonzero((100 * both >= percent * (size[x] + size_of - both)) & (up[root_of] != up[at[x]]))
+        for y in hit[np.unique(root_of[hit], return_index=True)[1]]:
+            a, b = up[root_of[y]], up[at[x]]
             if a != b:
                 up[up == max(a, b)] = min(a, b)
-                out.append((int(root[x]), int(root[y])))
+                out.append((int(root[x]), int(root[base[y]])))
     return out
 
 
 def _compare(percent: int):
-    """Rows in order of (block, i, j) -> links between different roots, a tile pair at a time."""
+    """Rows in order of (sig, i, j) -> links between different roots, a tile pair at a time."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +366,7 @@ def _compare(percent: int):
 
         for b in batches:
             for r in b.to_pylist():
-                now = (r["block"], r["i"], r["j"])
+                now = (r["sig"], r["i"], r["j"])
                 if now != key and held:
                     yield done()
                     held = []
@@ -350,19 +378,41 @@ def _compare(percent: int):
     return run
 
 
-def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: tuple[int, ...] = (32, 1024)) -> DataFrame:
+def _candidates(sigs: DataFrame, first: DataFrame, nodes: DataFrame, folder: str, parts: int) -> DataFrame:
+    """Tile pairs (sig, i, j) of nodes that share a signature but not a root.
+
+    Nodes outside a signature's largest root are asked (tiles j), all its nodes are what they are compared with (tiles i).
+    """
+    rooted = stored(sigs.join(first, "node", "left").select("sig", "node", "s", F.coalesce("root", "node").alias("root")), f"{folder}/rooted")
+    of = rooted.groupBy("sig", "root").agg(F.count("*").alias("m"), F.sum(8 * F.col("s")).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    most = F.max(F.struct("m", "root", "size"))
+    mixed = of.groupBy("sig").agg(most.getField("root").alias("major"), (F.sum("size") - most.getField("size")).alias("rest"), F.sum("size").alias("size"), F.sum("m").alias("m"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count("*").alias("roots")).where("roots > 1")
+    one = mixed.groupBy("x", "y", "m").agg(F.min(F.struct("sig", "major", F.ceil(F.col("size") / TILE).alias("tiles"), F.ceil(F.col("rest") / TILE).alias("asks"))).alias("g")).select("g.*")
+    held = stored(rooted.join(one, "sig").join(nodes.select("node", "n", "tokens"), "node"), f"{folder}/held")
+    at = lambda n: F.pmod(F.xxhash64("node"), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    base = held.withColumns({"i": at("tiles"), "asked": F.lit(False)}).withColumn("j", every("asks"))
+    asked = held.where("root <> major").withColumns({"j": at("asks"), "asked": F.lit(True)}).withColumn("i", every("tiles"))
+    cols = ["sig", "i", "j", "asked", "node", "root", "n", "tokens"]
+    return base.select(*cols).union(asked.select(*cols)).repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "asked", "node")
+
+
+def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: tuple[int, ...] = (32, 1024), hot: tuple[int, int, int] = (4096, 16, 64)) -> DataFrame:
     """(doc_id, n_shingles, component_id): the classes of the n-gram Jaccard join of ``docs`` (doc_id long, text).
 
     percent: two texts link when 100 * |A & B| >= percent * |A | B|. Texts that are null, empty or without words have
     n_shingles 0 and link with nothing, each its own component. A repeated row gives a repeated result row; rows with
     the same doc_id share that id as component_id unless a smaller id is reachable. A null doc_id stays null, takes
     part in links, and is never a component_id unless its whole component is null. Other columns are ignored. An empty
-    table gives an empty table. Equal sets are told by 63-bit hashes and tokens by 64-bit hashes, so a false link needs
-    a collision. Memory of a task follows 1/spark.sql.shuffle.partitions of the tokens: raise it with the input.
+    table gives an empty table. Equal sets are told by 63-bit hashes and words and tokens by 64-bit hashes, so a false
+    link needs a collision: some five are to be expected among 10**10 different sets. doc_id -2**63 counts as null.
+    hot: (rows of the sample, share, least) of _hot_tokens; it moves data and changes no result. Memory of a task follows
+    1/spark.sql.shuffle.partitions of the tokens: raise it with the input.
     """
     spark = docs.sparkSession
     folder, parts = shared_dir(spark, "ngram"), partitions(spark)
-    sent = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_send_tokens(k, parts), BLOCK)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    sent = docs.mapInArrow(_send_tokens(k, parts, _hot_tokens(docs, k, *hot)), BLOCK)
     shared = sent.repartitionById(parts, F.col("part")).mapInArrow(_find_shared(parts), BLOCK)
     rows = shared.repartitionById(parts, F.col("part")).mapInArrow(_gather_nodes(percent), "doc_id long, n long, node long, tokens binary, dfs binary")
     rows = stored(rows, f"{folder}/rows")
@@ -375,16 +425,9 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: t
     first = components(_links(pairs, nodes, percent), f"{folder}/one")
     first = stored(first, f"{folder}/first")
 
-    rooted = stored(sigs.select("sig", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{folder}/rooted")
-    mixed = rooted.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("b")).where("r0 < r1").select("sig", "b")
-    meet = rooted.join(mixed, "sig").select(F.col("node").alias("a"), "b").distinct()
-    block = components(meet, f"{folder}/blocks").withColumnRenamed("root", "block")
-    work = stored(block.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")).join(nodes.select("node", "n", "tokens"), "node"), f"{folder}/work")
-    tiles = work.groupBy("block").agg(F.ceil(F.sum(F.octet_length("tokens")) / TILE).alias("tiles"))
-    work = work.join(tiles, "block").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles")).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    work = work.withColumns({"i": F.least("tile", "k"), "j": F.greatest("tile", "k")}).select("block", "i", "j", "node", "root", "n", "tokens")
-    work = work.repartition(parts, "block", "i", "j").sortWithinPartitions("block", "i", "j", "node")
+    work = _candidates(sigs, first, nodes, folder, parts)
     more = stored(work.mapInArrow(_compare(percent), "a long, b long"), f"{folder}/more")
+    remove(spark, *(f"{folder}/{x}" for x in ("one", "sigs", "rooted", "held")))
 
     merged = stored(components(more, f"{folder}/two").select(F.col("node").alias("root"), F.col("root").alias("last")), f"{folder}/second")
     singles = merged.join(first.select("node").distinct(), merged.root == F.col("node"), "left_anti").select(F.col("root").alias("node"), "last")
@@ -392,6 +435,7 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: t
 
     out = rows.where("tokens is null").select(F.when(F.col("doc_id") != F.lit(-(2**63)), F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), "node")
     words_ = out.where("n_shingles > 0").join(final, "node", "left").withColumn("root", F.coalesce("last", "node"))
-    low = words_.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    low = stored(words_.groupBy("root").agg(F.min("doc_id").alias("component_id")), f"{folder}/low")
+    remove(spark, f"{folder}/two", f"{folder}/more")
     linked = words_.join(low, "root").select("doc_id", "n_shingles", "component_id")
     return linked.union(out.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

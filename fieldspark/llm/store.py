@@ -14,14 +14,23 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset (tests) below a temp folder, which is then set."""
+    """A new folder below spark.checkpoint.dir. Unset, it becomes a temp folder in local mode (tests) and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "fieldspark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes finished tables below the shared folder that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Writes df below the shared folder and reads it back: cuts the lineage, survives lost executors."""
     df.write.mode("overwrite").parquet(path)
@@ -79,5 +88,5 @@ def hashed_sample(df: DataFrame, most: int, *columns: str) -> DataFrame:
     h, n = F.xxhash64(*columns), df.count()
     if n > 2 * most:
         share = min(1.0, (2 * most + 200) / n)
-        df = df.where(h < int(-(2**63) + share * (2**64 - 1)))
+        df = df.where(h < min(2**63 - 1, int(share * 2**64) - 2**63))
     return df.orderBy(h, *columns).limit(most)

@@ -57,6 +57,28 @@ def test_matches_brute_force(spark, frequent):
     assert sorted((tuple(r) for r in out), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [(4096, 4096, 2), (4096, 16, 4), (3, 3, 2)])
+def test_hot_tokens_change_nothing(spark, hot):
+    rows = made(6, 150) + [(1000 + i, "the same words again in every copy of it") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted((tuple(r) for r in ngram_components(df, hot=hot).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_words_that_a_polynomial_confuses(spark, parts):
+    """Thue-Morse words and their complements: one sum for any two values of the letters."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, b), (3, a), (4, f"{a} x y z w"), (5, f"{b} x y z w"), (6, f"x {b}"), (7, f"x {b}")]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert sorted((tuple(r) for r in out), key=str) == brute(rows)
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \t "), (4, "one"), (5, "ONE"), (6, "one"), (None, "a b c d e f g"), (7, "a b c d e f g"), (7, "a b c d e f g"), (8, "x " * 30000), (9, "a b c")]
     df = spark.createDataFrame([(d, t, "z", 1) for d, t in rows], "doc_id long, text string, node string, n int")
