@@ -29,7 +29,7 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     """
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e, was, k = stored(e, f"{folder}/e0"), None, 0
-    while True:
+    while not e.isEmpty():
         k += 1
         e = stored(_star(_star(e, True), False), f"{folder}/e{k}")
         remove(edges.sparkSession, f"{folder}/e{k - 1}")

@@ -16,9 +16,10 @@ reaches the threshold. All counts cover all texts, no text is cut and no posting
    signs for its own size class and the next.
 4. Round one verifies each node against one node of each of its signatures, the one with the largest share of shared
    tokens, and joins what links. Round two decides the candidates that are left: nodes that share a signature but not a
-   component. Of signatures with the same nodes one is taken. Its nodes outside its largest component are compared with
-   all its nodes, in pairs of tiles of bounded bytes, by counting overlaps over the tokens' posting lists. No pair leaves
-   a task unless it joins two components.
+   component. What such signatures connect is a block. A block of bounded bytes is decided in one task. A larger one
+   falls apart into its signatures (of those with the same nodes one is taken): a signature's nodes outside its largest
+   component are compared with all its nodes, in pairs of tiles of bounded bytes. Overlaps are counted over the tokens'
+   posting lists. No pair leaves a task unless it joins two components.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ from .worker import tidy
 
 FLUSH = 3 << 19  # tokens held by a map task before its blocks are sent on
 FLUSH_DOCS = 1 << 17  # documents held, where copies add no tokens
-TILE = 8 << 20  # bytes of token sets of a tile
+TILE = 8 << 20  # bytes of token sets of a tile, or of a block that is decided at once
+BASE, ASKED, BOTH = range(3)  # what a node is in a pair of tiles: one to compare with, one that is compared, either
 TOP = 0xFFFFFFFF  # stands for the frequency of hot tokens
 BLOCK = "part int, kind int, nodes binary, counts binary, tokens binary, extra binary"
 _BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("nodes", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("extra", pa.binary())])
@@ -322,12 +324,13 @@ def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _merges(rows: list[dict], percent: int) -> list[tuple[int, int]]:
-    """Roots of one tile pair that a link joins, as a forest: rows marked as asked are compared with those that are not."""
+    """Roots of one tile pair that a link joins, as a forest: each pair of different roots is decided once."""
     sets = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
     size, root = (np.array([r[c] for r in rows], np.int64) for c in ("n", "root"))
-    asked = np.array([r["asked"] for r in rows], bool)
+    role = np.array([r["role"] for r in rows])
     names, at = np.unique(root, return_inverse=True)
-    base = np.flatnonzero(~asked)
+    base = np.flatnonzero(role != ASKED)
+    most = np.bincount(at).argmax()  # where all are compared with all, one of two different roots is not the most frequent one
     if len(names) < 2 or not len(base):
         return []
     known, flat = np.unique(np.concatenate([sets[i] for i in base]), return_inverse=True)
@@ -336,7 +339,7 @@ def _merges(rows: list[dict], percent: int) -> list[tuple[int, int]]:
     first = np.searchsorted(flat[order], np.arange(len(known) + 1))
     up, size_of, root_of = np.arange(len(names)), size[base], at[base]
     out = []
-    for x in np.flatnonzero(asked):
+    for x in np.flatnonzero((role == ASKED) | (role == BOTH) & (at != most)):
         t = np.minimum(np.searchsorted(known, sets[x]), len(known) - 1)
         t = t[known[t] == sets[x]]
         if not len(t):
@@ -378,26 +381,32 @@ def _compare(percent: int):
     return run
 
 
-def _candidates(sigs: DataFrame, first: DataFrame, nodes: DataFrame, folder: str, parts: int) -> DataFrame:
-    """Tile pairs (sig, i, j) of nodes that share a signature but not a root.
-
-    Nodes outside a signature's largest root are asked (tiles j), all its nodes are what they are compared with (tiles i).
-    """
+def _candidates(sigs: DataFrame, first: DataFrame, nodes: DataFrame, folder: str, parts: int, tile: int) -> DataFrame:
+    """Nodes that share a signature but not a root, in groups (sig, i, j) of one task each."""
     rooted = stored(sigs.join(first, "node", "left").select("sig", "node", "s", F.coalesce("root", "node").alias("root")), f"{folder}/rooted")
-    of = rooted.groupBy("sig", "root").agg(F.count("*").alias("m"), F.sum(8 * F.col("s")).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    mixed = rooted.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("b")).where("r0 < r1").select("sig", "b")
+    meet = stored(rooted.join(mixed, "sig"), f"{folder}/meet")
+    block = components(meet.select(F.col("node").alias("a"), "b"), f"{folder}/blocks").withColumnRenamed("root", "block")
+    one = stored(block.join(meet.groupBy("node").agg(F.max("s").alias("s"), F.max("root").alias("root")), "node"), f"{folder}/members")
+    large = one.groupBy("block").agg(F.sum(8 * F.col("s")).alias("size")).withColumn("large", F.col("size") > tile).select("block", "large")
+    one = one.join(large, "block")
+    whole = one.where(~F.col("large")).select(F.col("block").alias("sig"), F.lit(-1).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(BOTH).alias("role"), "node", "root")
+
+    rest = meet.join(one.where("large").select("node"), "node").select("sig", "node", "s", "root")
+    of = rest.groupBy("sig", "root").agg(F.count("*").alias("m"), F.sum(8 * F.col("s")).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     most = F.max(F.struct("m", "root", "size"))
-    mixed = of.groupBy("sig").agg(most.getField("root").alias("major"), (F.sum("size") - most.getField("size")).alias("rest"), F.sum("size").alias("size"), F.sum("m").alias("m"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count("*").alias("roots")).where("roots > 1")
-    one = mixed.groupBy("x", "y", "m").agg(F.min(F.struct("sig", "major", F.ceil(F.col("size") / TILE).alias("tiles"), F.ceil(F.col("rest") / TILE).alias("asks"))).alias("g")).select("g.*")
-    held = stored(rooted.join(one, "sig").join(nodes.select("node", "n", "tokens"), "node"), f"{folder}/held")
+    group = of.groupBy("sig").agg(most.getField("root").alias("major"), F.ceil((F.sum("size") - most.getField("size")) / tile).alias("asks"), F.ceil(F.sum("size") / tile).alias("tiles"), F.sum("m").alias("m"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    group = group.groupBy("x", "y", "m").agg(F.min(F.struct("sig", "major", "tiles", "asks")).alias("g")).select("g.*")
+    held = rest.join(group, "sig")
     at = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    base = held.withColumns({"i": at("tiles"), "asked": F.lit(False)}).withColumn("j", every("asks"))
-    asked = held.where("root <> major").withColumns({"j": at("asks"), "asked": F.lit(True)}).withColumn("i", every("tiles"))
-    cols = ["sig", "i", "j", "asked", "node", "root", "n", "tokens"]
-    return base.select(*cols).union(asked.select(*cols)).repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "asked", "node")
+    base = held.withColumns({"i": at("tiles"), "role": F.lit(BASE)}).withColumn("j", every("asks"))
+    asked = held.where("root <> major").withColumns({"j": at("asks"), "role": F.lit(ASKED)}).withColumn("i", every("tiles"))
+    ids = whole.union(base.select(*whole.columns)).union(asked.select(*whole.columns))
+    return ids.join(nodes.select("node", "n", "tokens"), "node").repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "role", "node")
 
 
-def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: tuple[int, ...] = (32, 1024), hot: tuple[int, int, int] = (4096, 16, 64)) -> DataFrame:
+def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: tuple[int, ...] = (32, 1024), hot: tuple[int, int, int] = (4096, 16, 64), tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id): the classes of the n-gram Jaccard join of ``docs`` (doc_id long, text).
 
     percent: two texts link when 100 * |A & B| >= percent * |A | B|. Texts that are null, empty or without words have
@@ -406,7 +415,7 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: t
     part in links, and is never a component_id unless its whole component is null. Other columns are ignored. An empty
     table gives an empty table. Equal sets are told by 63-bit hashes and words and tokens by 64-bit hashes, so a false
     link needs a collision: some five are to be expected among 10**10 different sets. doc_id -2**63 counts as null.
-    hot: (rows of the sample, share, least) of _hot_tokens; it moves data and changes no result. Memory of a task follows
+    hot: (rows of the sample, share, least) of _hot_tokens; hot and tile move data and change no result. Memory of a task follows
     1/spark.sql.shuffle.partitions of the tokens: raise it with the input.
     """
     spark = docs.sparkSession
@@ -425,9 +434,9 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: t
     first = components(_links(pairs, nodes, percent), f"{folder}/one")
     first = stored(first, f"{folder}/first")
 
-    work = _candidates(sigs, first, nodes, folder, parts)
+    work = _candidates(sigs, first, nodes, folder, parts, tile)
     more = stored(work.mapInArrow(_compare(percent), "a long, b long"), f"{folder}/more")
-    remove(spark, *(f"{folder}/{x}" for x in ("one", "sigs", "rooted", "held")))
+    remove(spark, *(f"{folder}/{x}" for x in ("one", "sigs", "rooted", "meet", "blocks", "members")))
 
     merged = stored(components(more, f"{folder}/two").select(F.col("node").alias("root"), F.col("root").alias("last")), f"{folder}/second")
     singles = merged.join(first.select("node").distinct(), merged.root == F.col("node"), "left_anti").select(F.col("root").alias("node"), "last")

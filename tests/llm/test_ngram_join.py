@@ -50,10 +50,10 @@ def made(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("frequent", [(32, 1024), (2, 4), (1, 3)])
-def test_matches_brute_force(spark, frequent):
+@pytest.mark.parametrize("frequent,tile", [((32, 1024), 8 << 20), ((2, 4), 1000), ((1, 3), 8 << 20)])
+def test_matches_brute_force(spark, frequent, tile):
     rows = made(3, 220)
-    out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), frequent=frequent).collect()
+    out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), frequent=frequent, tile=tile).collect()
     assert sorted((tuple(r) for r in out), key=str) == brute(rows)
 
 
@@ -92,7 +92,8 @@ def test_copies_over_many_tasks(spark):
     assert sorted((tuple(r) for r in ngram_components(df).collect()), key=str) == brute(rows)
 
 
-def test_large_near_copy_group(spark):
+@pytest.mark.parametrize("tile", [60_000, 8 << 20])
+def test_large_near_copy_group(spark, tile):
     r = random.Random(5)
     base = [f"t{i}" for i in range(300)]
     rows = []
@@ -101,7 +102,7 @@ def test_large_near_copy_group(spark):
         for _ in range(6):
             w[r.randrange(300)] = f"u{r.randrange(10**6)}"
         rows.append((i, " ".join(w)))
-    out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), tile=tile).collect()
     assert sorted((tuple(x) for x in out), key=str) == brute(rows)
 
 
