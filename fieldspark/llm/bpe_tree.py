@@ -134,7 +134,10 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, bytes) per row of encoded (doc_id, ids): the exact bytes of the ids; null ids give null."""
+    """(doc_id, bytes) per row of encoded (doc_id, ids): the exact bytes of the ids; null ids give null.
+
+    Null and repeated doc_ids and repeated rows are kept; an id without token is an error; an empty table stays empty.
+    """
     return encoded.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(_coder(path, pattern, _texts), "doc_id long, bytes binary")
 
 

@@ -95,13 +95,18 @@ class LanguageModel:
         return out, score
 
 
-def _sampled(docs: DataFrame, max_rows: int) -> DataFrame:
-    """At most max_rows labelled rows (lang, features): per language those with the smallest hashes of id and text."""
-    keyed = docs.where("lang is not null and text is not null").withColumn("h", F.xxhash64("doc_id", "text"))
-    langs = max(1, len(keyed.select("lang").distinct().collect()))
+def _sampled(docs: DataFrame, max_rows: int, max_langs: int) -> DataFrame:
+    """At most max_rows labelled rows (lang, features): per language those with the smallest hashes of id and text.
+
+    Rows are thinned by their hashes to about twice as many before they meet; equal rows count once.
+    """
+    keyed = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string"), F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("string"))
+    langs = keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    most = max(1, max_rows // max(1, len(langs)))
+    bound = [(r["lang"], min(2**63 - 1, int((2 * most + 200) / r["count"] * 2**64) - 2**63)) for r in langs]
+    thin = keyed.join(F.broadcast(docs.sparkSession.createDataFrame(bound, "lang string, top long")), "lang").where("h <= top")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = keyed.select("lang", "h").withColumn("k", rank).where(F.col("k") <= max(1, max_rows // langs)).select("lang", "h").distinct()
-    texts = keyed.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    texts = thin.groupBy("lang", "h").agg(F.min("text").alias("text")).withColumn("k", rank).where(F.col("k") <= most)
 
     @tidy
     def features(batches):
@@ -113,24 +118,26 @@ def _sampled(docs: DataFrame, max_rows: int) -> DataFrame:
     return texts.select("lang", "h", "text").mapInArrow(features, "lang string, h long, x binary")
 
 
-def fit_languages(docs: DataFrame, max_rows: int = 2000) -> LanguageModel:
+def fit_languages(docs: DataFrame, max_rows: int = 2000, max_langs: int = 256) -> LanguageModel:
     """A model from the columns doc_id, text and lang of docs; rows without text or lang teach nothing.
 
-    max_rows bounds the sample that comes to the driver (8 kB a row). No labelled row: a model that knows no language.
+    max_rows bounds the sample that comes to the driver (8 kB a row), max_langs the languages that are learned: the most
+    frequent ones, ties by name. No labelled row: a model that knows no language. Repeated rows teach once.
     """
-    rows = sorted(_sampled(docs, max_rows).collect(), key=lambda r: (r["lang"], r["h"]))
+    rows = sorted(_sampled(docs, max_rows, max_langs).collect(), key=lambda r: (r["lang"], r["h"]))
     lang = np.array([r["lang"] for r in rows], object)
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]) if rows else np.zeros((0, DIM), np.float32)
     return LanguageModel(sorted(set(lang.tolist())), x, lang)
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """docs with lang_pred and score appended; existing columns of these names are replaced.
+def predict_languages(docs: DataFrame, model: LanguageModel, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with lang_pred and score appended under the given names; existing columns of these names are replaced.
 
     lang_pred is a learned language, or ``und`` with score 0 if the text is null or has no letter or no language was
-    learned. Only the text is read. Nothing is shuffled; all other columns and repeated rows pass as they are.
+    learned. Equal margins go to the name that comes first. Only the text is read. Nothing is shuffled; all other columns
+    and repeated rows pass as they are; an empty table stays empty.
     """
-    base = docs.drop("lang_pred", "score")
+    base = docs.drop(lang_pred, score)
     names = [c for c in base.columns if c != "text"]
     kept = base.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").cast("string"))
 
@@ -138,13 +145,13 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches):
         for whole in batches:
             for b in slices(whole):
-                lang, score = model.predict(_profiles(b))
+                lang, p = model.predict(_profiles(b))
                 letter = pc.fill_null(pc.match_substring_regex(b.column("text"), r"\p{L}"), False).to_numpy(zero_copy_only=False)
-                lang[~letter], score[~letter] = "und", 0.0
-                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), pa.array(lang.tolist(), pa.string()), pa.array(score, pa.float64())], ["row", "text", "lang_pred", "score"])
+                lang[~letter], p[~letter] = "und", 0.0
+                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), pa.array(lang.tolist(), pa.string()), pa.array(p, pa.float64())], ["row", "text", "lang_pred", "score"])
 
     out = kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
-    return out.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in base.columns), "lang_pred", "score")
+    return out.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in base.columns), F.col("lang_pred").alias(lang_pred), F.col("score").alias(score))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -1,9 +1,9 @@
 """SimHash fingerprints, the likeness of neighbouring documents, and the search within a Hamming radius.
 
 Terms are runs of k words (k = 3; a shorter text is one term), weighted by 1 + ln(term frequency). Each term's hash
-votes on every bit, for or against by its sign. Fingerprints have 128 bits. The search cuts them into blocks: of
-radius + 1 blocks two fingerprints within the radius agree in at least one, of radius + 2 in at least two, so tables
-permuted to lead with each block, or each pair of blocks, find every pair, and the full distance is then checked.
+votes on every bit, for or against by its sign. Fingerprints have 128 bits. The search cuts them into radius + 2 blocks,
+of which two fingerprints within the radius agree in at least two, so tables permuted to lead with each pair of blocks
+find every pair, and the full distance is then checked.
 """
 
 from __future__ import annotations
@@ -137,27 +137,6 @@ def neighbouring(docs: DataFrame) -> DataFrame:
     )
 
 
-def hamming_pairs(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """(a, b, distance), a < b: all pairs of different fingerprints (column fingerprint, 32 hex digits) within radius.
-
-    Equal fingerprints count once; nulls take no part. A pair comes from the first block that its two agree in.
-    radius 1 to 31. Near copies that differ within the radius give a row for each pair of different fingerprints.
-    """
-    blocks = radius + 1
-    edge = [round(i * 32 / blocks) for i in range(blocks + 1)]
-    one = prints.where("fingerprint is not null").select("fingerprint").distinct()
-    block = lambda c, i: F.substring(c, edge[i] + 1, edge[i + 1] - edge[i])
-    half = lambda c, i: F.conv(F.substring(c, 1 + 16 * i, 16), 16, -10).cast("long")
-    table = one.select("fingerprint", half("fingerprint", 0).alias("h0"), half("fingerprint", 1).alias("h1"), F.posexplode(F.array(*(block("fingerprint", i) for i in range(blocks)))).alias("lead", "key"))
-    x, y = (table.select("lead", "key", *(F.col(c).alias(c + t) for c in ("fingerprint", "h0", "h1"))) for t in "xy")
-    apart = F.bit_count(F.col("h0x").bitwiseXOR(F.col("h0y"))) + F.bit_count(F.col("h1x").bitwiseXOR(F.col("h1y")))
-    earlier = F.lit(False)
-    for i in range(blocks - 1):
-        earlier = earlier | ((F.col("lead") > i) & (block("fingerprintx", i) == block("fingerprinty", i)))
-    found = x.join(y, ["lead", "key"]).where((F.col("fingerprintx") < F.col("fingerprinty")) & (apart <= radius) & ~earlier)
-    return found.select(F.col("fingerprintx").alias("a"), F.col("fingerprinty").alias("b"), apart.alias("distance"))
-
-
 def _leads(radius: int) -> tuple[np.ndarray, np.ndarray]:
     """The bits of each of radius + 2 blocks, as two words a block, and the pairs of blocks that lead a table."""
     edge = [round(i * BITS / (radius + 2)) for i in range(radius + 3)]
@@ -254,7 +233,8 @@ def with_near_counts(rows: DataFrame, radius: int = 10) -> DataFrame:
     All of them are counted, in tables that lead with two of radius + 2 blocks; no pair leaves a task. radius 10 is the
     distance at which a text of 100 words stands, on average, from its copy with one word changed (3 of 98 terms): short
     texts with more edits are further off and not counted; op1 is the exact join for those. Within a table, fingerprints
-    of equal lead are compared pair by pair.
+    of equal lead are compared pair by pair. A row without fingerprint is left out; repeated rows count each other; other
+    columns pass; an empty table stays empty.
     """
     parts = partitions(rows.sparkSession)
     size = rows.where("fingerprint is not null").groupBy("fingerprint").agg(F.count("*").alias("n"))
@@ -262,4 +242,5 @@ def with_near_counts(rows: DataFrame, radius: int = 10) -> DataFrame:
     found = dealt.repartitionById(parts, F.col("part")).mapInArrow(_near(radius), "fp binary, more long")
     near = found.groupBy(F.lower(F.hex("fp")).alias("fingerprint")).agg(F.sum("more").alias("more"))
     count = size.join(near, "fingerprint", "left").select("fingerprint", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_near"))
+    count = stored(count, f"{shared_dir(rows.sparkSession, 'simhash')}/counts")  # a plain side: the join can split a frequent fingerprint
     return rows.join(count, "fingerprint")

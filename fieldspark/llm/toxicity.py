@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .hashing import U, buffers, slices, words
 from .linear import fit_logistic, sigmoid
+from .store import hashed_sample
 from .worker import tidy
 
 BITS = 18
@@ -29,14 +30,14 @@ def _hashed(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return (h & U((1 << BITS) - 1)).astype(np.int64), doc
 
 
-def _rates(slot: np.ndarray, doc: np.ndarray, n: int, terms: np.ndarray) -> np.ndarray:
-    """Square roots of the percentages of a text's words that are each of the terms."""
+def _rates(slot: np.ndarray, doc: np.ndarray, n: int, terms: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+    """Square roots of the percentages of a text's words that are each of the terms. times: how often each slot stands there."""
     where = np.full(1 << BITS, -1, np.int32)
     where[terms] = np.arange(len(terms))
     at = where[slot]
     hit = at >= 0
-    x = np.bincount(doc[hit] * len(terms) + at[hit], minlength=n * len(terms)).reshape(n, len(terms)) if len(terms) else np.zeros((n, 0))
-    return np.sqrt(100 * x / np.maximum(1, np.bincount(doc, minlength=n))[:, None])
+    x = np.bincount(doc[hit] * len(terms) + at[hit], None if times is None else times[hit], n * len(terms)).reshape(n, len(terms)) if len(terms) else np.zeros((n, 0))
+    return np.sqrt(100 * x / np.maximum(1, np.bincount(doc, times, n))[:, None])
 
 
 class ToxicityChain:
@@ -59,10 +60,9 @@ class ToxicityChain:
         best = np.argsort(-np.abs(z), kind="stable")[: self.terms]
         return np.sort(best[np.abs(z[best]) >= self.least])
 
-    def fit(self, slots: list[np.ndarray], y: np.ndarray, fold: np.ndarray) -> ToxicityChain:
-        """slots: each text's hashed words; y: rows by categories, 0 or 1; fold: each row's fold."""
-        has = [np.unique(s) for s in slots]
-        flat = np.concatenate(slots) if slots else np.zeros(0, np.int64)
+    def fit(self, slots: list[np.ndarray], times: list[np.ndarray], y: np.ndarray, fold: np.ndarray) -> ToxicityChain:
+        """slots, times: each text's different hashed words and their counts; y: rows by categories, 0 or 1; fold: each row's fold."""
+        flat, often = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (slots, times))
         doc = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
         before = np.zeros((len(slots), 0))
         for k in range(len(self.categories)):
@@ -71,12 +71,12 @@ class ToxicityChain:
             for f in np.unique(fold):
                 rows, out = fold != f, fold == f
                 if 0 < label[rows].sum() < rows.sum():
-                    t = self._pick([h for h, r in zip(has, rows) if r], label[rows])
-                    x = np.hstack([_rates(flat, doc, len(slots), t), before])
+                    t = self._pick([h for h, r in zip(slots, rows) if r], label[rows])
+                    x = np.hstack([_rates(flat, doc, len(slots), t, often), before])
                     w = fit_logistic(x[rows], label[rows], self.l2)
                     oof[out] = sigmoid(x[out] @ w[:-1] + w[-1])
-            t = self._pick(has, label) if 0 < label.sum() < len(label) else np.zeros(0, np.int64)
-            x = np.hstack([_rates(flat, doc, len(slots), t), before])
+            t = self._pick(slots, label) if 0 < label.sum() < len(label) else np.zeros(0, np.int64)
+            x = np.hstack([_rates(flat, doc, len(slots), t, often), before])
             w = fit_logistic(x, label, self.l2) if 0 < label.sum() < len(label) else np.append(np.zeros(x.shape[1]), 40.0 if len(label) and label.all() else -40.0)
             self.picked.append(t)
             self.weights.append(w)
@@ -96,16 +96,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], max_
     """A chain over the categories, which are columns of ``labels`` (doc_id, 0/1 each; null counts as 0), in order.
 
     max_rows bounds the labelled rows that are used: half of those with any category set and half of the others, by the
-    smallest hashes of doc_id; several labels of a document count as their maxima. A text has a row of at most 2**18
-    hashed words. Labels without a document, null ids and null texts teach nothing. Without rows of a category, or
-    without others, its probability is 0 or 1.
+    smallest hashes of doc_id; several labels of a document count as their maxima, and of several texts under one doc_id
+    the smallest teaches. A text sends its different hashed words and their counts, at most 2**18 of each. Labels without
+    a document, null ids and null texts teach nothing. Without rows of a category, or without others, its probability is
+    0 or 1.
     """
     one = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*(F.max(F.coalesce(F.col(c), F.lit(0)).cast("int")).alias(c) for c in categories))
-    some = F.greatest(*(F.col(c) for c in categories), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("some").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = one.withColumn("some", some).withColumn("k", rank).where(F.col("k") <= max_rows // 2).drop("k", "some")
+    some = F.greatest(*(F.col(c) for c in categories), F.lit(0)) > 0
+    chosen = hashed_sample(one.where(some), max_rows // 2, "doc_id").union(hashed_sample(one.where(~some), max_rows // 2, "doc_id"))
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *categories).agg(F.min("text").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *categories).agg(F.min("text").alias("text"))  # at most max_rows are broadcast
 
     @tidy
     def bags(batches):
@@ -113,13 +113,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], max_
             for b in slices(whole):
                 slot, doc = _hashed(b)
                 edge = np.searchsorted(doc, np.arange(b.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([slot[i:j].astype(np.int32).tobytes() for i, j in zip(edge[:-1], edge[1:])], pa.binary()), *(b.column(c) for c in categories)], ["doc_id", "slots", *categories])
+                sets = [np.unique(slot[i:j], return_counts=True) for i, j in zip(edge[:-1], edge[1:])]
+                sent = [pa.array([x[k].astype(np.int32).tobytes() for x in sets], pa.binary()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *sent, *(b.column(c) for c in categories)], ["doc_id", "slots", "times", *categories])
 
-    got = rows.select("doc_id", "text", *categories).mapInArrow(bags, f"doc_id long, slots binary, {', '.join(f'`{c}` int' for c in categories)}").collect()
+    got = rows.select("doc_id", "text", *categories).mapInArrow(bags, f"doc_id long, slots binary, times binary, {', '.join(f'`{c}` int' for c in categories)}").collect()
     got.sort(key=lambda r: r["doc_id"])
     y = np.array([[r[c] for c in categories] for r in got], float).reshape(len(got), len(categories))
     fold = np.array([(r["doc_id"] * 2654435761 >> 7) % folds for r in got], int)
-    return ToxicityChain(categories, folds).fit([np.frombuffer(r["slots"], np.int32).astype(np.int64) for r in got], y, fold)
+    slots, times = ([np.frombuffer(r[c], np.int32).astype(np.int64) for r in got] for c in ("slots", "times"))
+    return ToxicityChain(categories, folds).fit(slots, times, y, fold)
 
 
 def predict_toxicity(docs: DataFrame, chain: ToxicityChain, prefix: str = "p_") -> DataFrame:

@@ -114,20 +114,21 @@ def _write(folder: str, dictionary: bytes, roll: int):
     return run
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample: int = 500, roll: int = 16 << 20) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample: int = 500, sample_chars: int = 8192, roll: int = 16 << 20) -> DataFrame:
     """Writes a record per row of pages (page_id, url, html) and gives (path, records, bytes) of the files.
 
     Of payloads of at least min_bytes that are equal, the row with the smallest page_id is the response (each of its
     repeats too, and all rows of a group without ids); smaller payloads are all responses. A null html is an empty
-    payload; a null url leaves out the header. Other columns are ignored; an empty table writes no file. sample bounds
-    the rows (8 kB each at most) from which the dictionary is trained; it affects sizes only.
+    payload; a null url leaves out the header. Other columns are ignored; an empty table writes no file. sample and
+    sample_chars bound the rows, and the characters of each, from which the dictionary is trained; they affect sizes only.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1("html"))
-    some = hashed_sample(rows.select("page_id", "url", F.substring("html", 1, 8192).alias("html")), sample, "page_id", "url")
+    some = hashed_sample(rows.select("page_id", "url", F.substring("html", 1, sample_chars).alias("html")), sample, "page_id", "url")
     samples = [record(r["page_id"], r["url"], r["html"].encode(), digest(r["html"].encode())) for r in some.collect()]
     first = rows.where(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("low"), F.count("*").alias("n")).where("n > 1 and low is not null").select("sha", "low")
+    first = stored(first, f"{folder}/first")  # a plain side: the join can split a page that has many copies
     joined = rows.join(first, "sha", "left").withColumn("first", F.when(F.coalesce(F.col("page_id") != F.col("low"), F.lit(True)) & (F.octet_length("html") >= min_bytes), F.col("low")))
     out = joined.select("page_id", "url", "html", "sha", "first").mapInArrow(_write(folder, train(samples), roll), "path string, records long, bytes long")
     return stored(out, f"{folder}/index")
@@ -173,13 +174,15 @@ def _read(keep: bool):
 def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) per record of the files (path).
 
-    Digests of responses are computed from what was read. payloads False leaves the payload column null.
+    Digests of responses are computed from what was read; a payload that does not have its digest is a ValueError.
+    payloads False leaves the payload column null. Records of a null page_id have a null one, a record without an address
+    a null url, repeated records a row each. No file, no row.
     """
     spread = files.select("path").repartition(max(partitions(files.sparkSession), 1))
     return spread.mapInArrow(_read(payloads), _READ)
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """Writes pages and reads the archives back, without payloads."""
+    """Writes pages and reads the archives back, without payloads: a row per row of pages, with write_archives' results."""
     folder = shared_dir(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, folder), False).drop("payload")

@@ -2,13 +2,19 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldspark.llm import ann, langid, queries, simhash, toxicity, warc
+from fieldspark.llm import ann, langid, linear, queries, simhash, toxicity, warc
+from fieldspark.llm.hashing import mix, shingles, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -21,7 +27,7 @@ def test_neighbouring(spark):
     got = {x["doc_id"]: x for x in simhash.neighbouring(df).collect()}
     order = sorted(rows, reverse=True)
     bits = lambda a, b: 1 - bin(int(a, 16) ^ int(b, 16)).count("1") / 128
-    print_of = lambda t: simhash.fingerprints(__import__("pyarrow").array([t]))[0].hex()
+    print_of = lambda t: simhash.fingerprints(pa.array([t]))[0].hex()
     for (d, t), (_, after) in zip(order, order[1:] + order[:1]):
         t, after, x = t or "", after or "", got[d]
         half = len(t) // 2
@@ -35,20 +41,22 @@ def test_neighbouring(spark):
     assert simhash.neighbouring(same.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("radius", [1, 3, 6])
-def test_hamming_pairs(spark, radius):
-    r = random.Random(radius)
-    base = [r.getrandbits(128) for _ in range(12)]
-    prints = []
-    for b in base:
-        for _ in range(8):
-            x = b
-            for _ in range(r.randrange(9)):
-                x ^= 1 << r.randrange(128)
-            prints.append(f"{x:032x}")
-    df = spark.createDataFrame([(p,) for p in [*prints, prints[0], None]], "fingerprint string")
-    want = sorted((a, b, bin(int(a, 16) ^ int(b, 16)).count("1")) for a in set(prints) for b in set(prints) if a < b and bin(int(a, 16) ^ int(b, 16)).count("1") <= radius)
-    assert sorted(tuple(x) for x in simhash.hamming_pairs(df, radius).collect()) == want
+def test_fingerprints_by_votes():
+    """Bit by bit: 1 + ln(times) votes of each run of three words, by the bits of its 64-bit hash and of a second one."""
+    r = random.Random(9)
+    for text in ["", "one", "one two", "A b a b a b", " ".join(r.choice("abcde") for _ in range(400)), "x" * 5000 + " y z"]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        off = np.array([0, len(data)])
+        terms, _ = shingles(*words(data, off)[:2], 1, 3)
+        votes = [0.0] * 128
+        for term, times in Counter(terms.tolist()).items():
+            other = int(mix(np.array([(term + 0x51ED27) % 2**64], np.uint64))[0])
+            raw = term.to_bytes(8, "little") + other.to_bytes(8, "little")
+            for i in range(128):
+                votes[i] += (1 if raw[i // 8] >> (7 - i % 8) & 1 else -1) * (1 + math.log(times))
+        want = sum((votes[i] > 1e-4) << (127 - i) for i in range(128))
+        sure = sum((abs(votes[i]) > 1e-4 or not terms.size) << (127 - i) for i in range(128))
+        assert (int.from_bytes(simhash.fingerprints(pa.array([text]))[0], "big") ^ want) & sure == 0
 
 
 def test_near_counts_of_edited_texts(spark):
@@ -65,7 +73,7 @@ def test_near_counts_of_edited_texts(spark):
         w[r.randrange(400)] = f"u{i}"
         texts.append(" ".join(w))
     texts += ["", "", texts[0]]
-    prints = [x.hex() for x in simhash.fingerprints(__import__("pyarrow").array(texts))]
+    prints = [x.hex() for x in simhash.fingerprints(pa.array(texts))]
     apart = lambda a, b: bin(int(a, 16) ^ int(b, 16)).count("1")
     df = spark.createDataFrame(list(enumerate(prints)), "i int, fingerprint string").repartition(5)
     for radius in (1, 3, 10):
@@ -210,3 +218,130 @@ def test_toxicity(spark):
     assert toxicity.predict_toxicity(odd.limit(0), chain).collect() == []
     none = toxicity.fit_toxicity(docs, labels.limit(0), ["toxic"])
     assert {r["p_toxic"] < 0.5 for r in toxicity.predict_toxicity(odd, none).collect()} == {True}
+
+
+def test_linear_models_reach_their_optimum():
+    r = np.random.default_rng(2)
+    x = r.standard_normal((80, 3))
+    y = (x @ [1.0, -2.0, 0.5] + r.standard_normal(80) > 0.7).astype(float)
+    s, share = 2 * y - 1, y.mean()
+    weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
+    hinge = lambda w: (weight * np.maximum(0, 1 - s * (x @ w[:3] + w[3])) ** 2).mean() + 0.005 * (w[:3] ** 2).sum()
+    log = lambda w: np.logaddexp(0, -s * (x @ w[:3] + w[3])).mean() + 0.005 * (w[:3] ** 2).sum()
+    for f, w in ((hinge, linear.fit_svm(x, s, 1e-2, 4000)), (log, linear.fit_logistic(x, y, 1e-2, 4000))):
+        for i in range(4):
+            d = np.eye(4)[i] * 1e-4
+            assert abs(f(w + d) - f(w - d)) / 2e-4 < 1e-3
+
+
+def test_language_by_brute_force(spark):
+    """Shares of hashed byte n-grams, pairwise SVMs and their votes, family first, in plain loops."""
+    r = random.Random(1)
+    vocab = {"de": "der die und nicht schön", "en": "the and of not nice", "nl": "de het en niet mooi", "fr": "le la et pas été", "xx": "qa qo qi qu qe"}
+    rows = [(i, " ".join(r.choice(vocab[c].split() + ["a", "o"]) for _ in range(r.randrange(1, 30))), c) for i, c in enumerate(r.choices(list(vocab), k=150))]
+    df = spark.createDataFrame([*rows, *rows[:9], (900, None, "de"), (901, "und", None)], "doc_id long, text string, lang string")
+
+    def vector(text):
+        b, x = b" " + text.lower().encode() + b" ", [0.0] * 2048
+        for i in range(len(b) - 1):
+            x[((b[i] * 256 + b[i + 1]) * 2654435761 % 2**32) >> 22] += 1 / len(b)
+        for i in range(len(b) - 2):
+            x[1024 + (((b[i] * 65536 + b[i + 1] * 256 + b[i + 2]) * 2246822519 % 2**32) >> 22)] += 1 / len(b)
+        return np.sqrt(x).astype(np.float32)
+
+    x, lang = np.stack([vector(t) for _, t, _ in rows]), np.array([c for *_, c in rows])
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][2], i))
+    x_fit, lang_fit = x[order], lang[order]
+    family = {"de": "germanic", "en": "germanic", "nl": "germanic", "fr": "romance", "xx": "xx"}
+
+    def choose(names, of, v):
+        wins, p = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0)
+        for a, b in combinations(names, 2):
+            own = np.isin(of, [a, b])
+            w = fitted.setdefault((a, b), linear.fit_svm(x_fit[own], np.where(of[own] == a, 1.0, -1.0)))
+            q = 1 / (1 + math.exp(-3 * float(v @ w[:-1] + w[-1])))
+            wins[a if q >= 0.5 else b] += 1
+            p[a] += q
+            p[b] += 1 - q
+        mean = {n: p[n] / max(1, len(names) - 1) if len(names) > 1 else 1.0 for n in names}
+        best = max(names, key=lambda n: wins[n] + mean[n] / 2)
+        return best, mean[best]
+
+    fitted, families = {}, np.array([family[c] for c in lang_fit])
+    got = {x["doc_id"]: x for x in langid.predict_languages(df, langid.fit_languages(df)).collect()}
+    hits = 0
+    for (i, _, c), v in zip(rows, x):
+        f, p = choose(["germanic", "romance", "xx"], families, v)
+        name, q = choose([n for n in sorted(family) if family[n] == f], lang_fit, v)
+        assert got[i]["lang_pred"] == name and got[i]["score"] == pytest.approx(p * q, abs=2e-3)
+        hits += name == c
+    assert hits >= 0.9 * len(rows) and got[900]["lang_pred"] == "und"
+    one = langid.fit_languages(df, max_langs=1)
+    assert one.langs == [Counter(c for *_, c in rows).most_common(1)[0][0]]
+    assert langid.predict_languages(df.limit(0), one).collect() == []
+    named = langid.predict_languages(df.withColumn("score", F.lit("mine")), one, "l", "s").first()
+    assert named["score"] == "mine" and named["l"] == one.langs[0]
+    assert len(langid.fit_languages(df, max_rows=15).langs) == 5
+
+
+def test_toxicity_chain_by_brute_force(spark):
+    """Document frequencies, z-scores, out-of-fold probabilities and the chain in plain loops."""
+    r = random.Random(6)
+    docs, labels = [], []
+    for i in range(160):
+        rude, odd = r.random() < 0.4, r.random() < 0.5
+        w = [r.choice("fine good day river stone walk".split()) for _ in range(r.randrange(3, 20))] + ["bad"] * (2 * rude) + ["zz"] * odd
+        r.shuffle(w)
+        docs.append((i, ", ".join(w)))
+        labels.append((i, int(odd), int(rude)))
+    labels += [(3, 0, 0), (None, 1, 1), (999, 1, 1)]
+    df, lf = spark.createDataFrame([*docs, docs[5], (5, "zzz later")], "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, odd int, rude int")
+    slot = {}
+    for _, t in docs:
+        for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", t):
+            slot[w] = int(toxicity._hashed(pa.record_batch({"text": [w]}))[0][0])
+    bags = [Counter(slot[w] for w in re.findall(r"\w+", t)) for _, t in docs]
+    y = np.array([x[1:] for x in labels[:160]], float)
+    fold = [(d * 2654435761 >> 7) % 5 for d, _ in docs]
+
+    def terms(rows, label):
+        n1, n0, found = sum(label[i] for i in rows), sum(1 - label[i] for i in rows), []
+        for s in sorted(set(slot.values())):
+            a, b = (sum(s in bags[i] for i in rows if label[i] == v) for v in (1, 0))
+            p = (a + b) / (n0 + n1)
+            z = (a / n1 - b / n0) / math.sqrt(max(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
+            if p and abs(z) >= 5:
+                found.append(s)
+        return found
+
+    def features(found, before):
+        return np.array([[math.sqrt(100 * bag[s] / sum(bag.values())) for s in found] + list(b) for bag, b in zip(bags, before)])
+
+    every, before_fit, before, want = range(160), [()] * 160, [()] * 160, []
+    for k in range(2):
+        oof = [0.0] * 160
+        for f in range(5):
+            rows, out = ([i for i in every if (fold[i] == f) == side] for side in (False, True))
+            x = features(terms(rows, y[:, k]), before_fit)
+            w = linear.fit_logistic(x[rows], y[rows, k], 1e-3)
+            for i in out:
+                oof[i] = 1 / (1 + math.exp(-float(x[i] @ w[:-1] + w[-1])))
+        found = terms(every, y[:, k])
+        w = linear.fit_logistic(features(found, before_fit), y[:, k], 1e-3)
+        p = [1 / (1 + math.exp(-float(v @ w[:-1] + w[-1]))) for v in features(found, before)]
+        want.append(p)
+        before_fit, before = [(*b, q) for b, q in zip(before_fit, oof)], [(*b, q) for b, q in zip(before, p)]
+    chain = toxicity.fit_toxicity(df, lf, ["odd", "rude"])
+    got = toxicity.predict_toxicity(df.limit(160), chain).collect()
+    for x in got:
+        assert (x["p_odd"], x["p_rude"]) == (pytest.approx(want[0][x["doc_id"]], abs=1e-6), pytest.approx(want[1][x["doc_id"]], abs=1e-6))
+    assert len(got) == 160
+    few = toxicity.fit_toxicity(df, lf, ["odd", "rude"], max_rows=20)
+    assert all(0 <= x["p_rude"] <= 1 for x in toxicity.predict_toxicity(df, few).collect())
+
+
+def test_small_payloads_are_all_responses(spark, tmp_path):
+    rows = [(3, "u", "aa"), (1, "u", "aa"), (2, "u", "bbbb"), (9, "u", "bbbb"), (9, "u", "bbbb"), (2, "u", "bbbb"), (4, "u", None), (5, "u", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.read_archives(warc.write_archives(df, f"file://{tmp_path}/w", min_bytes=3, sample_chars=2)).collect()
+    assert sorted((x["page_id"], x["record_type"], x["refers_to"]) for x in got) == sorted([(3, "response", None), (1, "response", None), (2, "response", None), (2, "response", None), (9, "revisit", 2), (9, "revisit", 2), (4, "response", None), (5, "response", None)])
