@@ -8,7 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.projection import project_laea, unproject_laea
-from ..functions.scalars import cell_id
+from ..functions.scalars import cell_id, pick_column, safe_double
+
+
+# The names by which a grid table's columns are found.
+CENTROID_COLUMNS = {
+    "presence": ["presence", "pres", "is_presence"],
+    "lon": ["lon_center", "lon_cent", "lon", "longitude"],
+    "lat": ["lat_center", "lat_cent", "lat", "latitude"],
+    "cell_id": ["cell_id", "grid_id", "id"],
+    "n_points": ["n_points_in_cell", "n_points", "count", "n"],
+}
 
 
 @dataclass(frozen=True)
@@ -20,10 +30,20 @@ class Extent:
     cell: float
 
 
-def snapped_extent(spark: SparkSession, box=(-25.0, 34.0, 45.0, 72.0), cell: float = 25_000.0) -> DataFrame:
-    """xmin, xmax, ymin, ymax, ncol, nrow: the four projected corners of a box, out to whole cells."""
+def box_corners(spark: SparkSession, box=(-25.0, 34.0, 45.0, 72.0)) -> DataFrame:
     w, s, e, n = box
-    corners = spark.createDataFrame([(w, s), (e, s), (e, n), (w, n)], "lon double, lat double")
+    return spark.createDataFrame([(w, s), (e, s), (e, n), (w, n)], "lon double, lat double")
+
+
+def corners_of(points: DataFrame) -> DataFrame:
+    """The four corners (lon, lat) of the box of all points, out to whole degrees; no row without points."""
+    box = points.agg(F.floor(F.min("lon")).cast("double").alias("w"), F.ceil(F.max("lon")).cast("double").alias("e"), F.floor(F.min("lat")).cast("double").alias("s"), F.ceil(F.max("lat")).cast("double").alias("n"))
+    four = F.array(*(F.struct(F.col(a).alias("lon"), F.col(b).alias("lat")) for a, b in ("ws", "es", "en", "wn")))
+    return box.where("w is not null and s is not null").select(F.explode(four).alias("c")).select("c.lon", "c.lat")
+
+
+def snapped_extent(corners: DataFrame, cell: float = 25_000.0) -> DataFrame:
+    """xmin, xmax, ymin, ymax, ncol, nrow: the projected corners (lon, lat) of a box, out to whole cells."""
     x, y = project_laea(F.col("lon"), F.col("lat"))
     snap = corners.select(x.alias("x"), y.alias("y")).agg(
         (F.floor(F.min("x") / cell) * cell).alias("xmin"), (F.ceil(F.max("x") / cell) * cell).alias("xmax"), (F.floor(F.min("y") / cell) * cell).alias("ymin"), (F.ceil(F.max("y") / cell) * cell).alias("ymax")
@@ -31,8 +51,8 @@ def snapped_extent(spark: SparkSession, box=(-25.0, 34.0, 45.0, 72.0), cell: flo
     return snap.withColumns({"ncol": ((F.col("xmax") - F.col("xmin")) / cell).cast("int"), "nrow": ((F.col("ymax") - F.col("ymin")) / cell).cast("int")})
 
 
-def extent_of(spark: SparkSession, box=(-25.0, 34.0, 45.0, 72.0), cell: float = 25_000.0) -> Extent:
-    r = snapped_extent(spark, box, cell).first()
+def extent_of(corners: DataFrame, cell: float = 25_000.0) -> Extent:
+    r = snapped_extent(corners, cell).first()
     return Extent(r["xmin"], r["ymin"], r["ncol"], r["nrow"], cell)
 
 
@@ -50,16 +70,29 @@ def assign_cell(df: DataFrame, g: Extent) -> DataFrame:
     return rows.withColumn("in_bounds", F.coalesce(F.col("col").between(1, g.ncol) & F.col("row").between(1, g.nrow), F.lit(False)))
 
 
+def cells_met(points: DataFrame, g: Extent) -> DataFrame:
+    """The cells of the grid that hold a point, with centre and id."""
+    met = assign_cell(points.where("lon is not null and lat is not null"), g).where("in_bounds").select("col", "row").distinct()
+    return met.withColumns({"x_center": g.xmin + (F.col("col") - 0.5) * g.cell, "y_center": g.ymin + (F.col("row") - 0.5) * g.cell, "cell_id": cell_id(F.col("row"), F.col("col"))})
+
+
 def cell_counts(points: DataFrame, g: Extent) -> DataFrame:
     inside = assign_cell(points.where("lon is not null and lat is not null"), g).where("in_bounds")
     return inside.groupBy("species_slug", "row", "col").agg(F.count("*").cast("int").alias("n"))
 
 
-def inside_polygon(points: DataFrame, edges: DataFrame, key: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Keys of points inside a polygon, by the parity of crossings. edges: one small row per ring edge of a land mask."""
-    e, x, y = F.broadcast(edges), F.col(lon), F.col(lat)
+def inside_polygon(points: DataFrame, edges: DataFrame, key: str, lon: str = "lon", lat: str = "lat", band: float = 1.0) -> DataFrame:
+    """Keys of points inside a polygon, by the parity of crossings. key must tell points apart; edges: a row per ring edge.
+
+    Points and edges meet in bands of ``band`` degrees of latitude, an equi-join that Spark broadcasts or shuffles by the
+    edges' size. An edge stands in each band that it spans.
+    """
+    x, y, at = F.col(lon), F.col(lat), lambda c: F.floor(c / band)
+    spans = F.sequence(at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))
+    e = edges.where("y1 <> y2").withColumn("_band", F.explode(spans))
+    p = points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)).select(key, lon, lat, at(y).alias("_band"))
     crosses = ((F.col("y1") > y) != (F.col("y2") > y)) & (x < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    hits = points.select(key, lon, lat).join(e, crosses).groupBy(key, "poly_id").agg((F.count("*") % 2).alias("odd"))
+    hits = p.join(e, "_band").where(crosses).groupBy(key, "poly_id").agg((F.count("*") % 2).alias("odd"))
     return hits.where("odd = 1").select(key).distinct()
 
 
@@ -86,6 +119,21 @@ def presence_centroids(presence: DataFrame) -> DataFrame:
     return presence.where(fine).select("species_slug", F.col("lon_center").alias("lon"), F.col("lat_center").alias("lat"), "cell_id", "n_points_in_cell")
 
 
+def centroids_of_table(table: DataFrame) -> DataFrame:
+    """(lon, lat, cell_id, n_points_in_cell) of the presence cells of any grid table, its columns found by usual names.
+
+    ValueError if the table has no presence, longitude or latitude; cell_id and n_points_in_cell are null where absent.
+    """
+    at = {name: pick_column(table, names) for name, names in CENTROID_COLUMNS.items()}
+    missing = [n for n in ("presence", "lon", "lat") if at[n] is None]
+    if missing:
+        raise ValueError(f"no column for {missing} among {table.columns[:60]}")
+    number = lambda n: safe_double(F.col(f"`{at[n]}`").cast("string"))
+    rows = table.where((number("presence") == 1) & number("lon").isNotNull() & number("lat").isNotNull())
+    other = lambda n, kind: F.col(f"`{at[n]}`").cast(kind) if at[n] else F.lit(None).cast(kind)
+    return rows.select(number("lon").alias("lon"), number("lat").alias("lat"), other("cell_id", "string").alias("cell_id"), other("n_points", "long").alias("n_points_in_cell"))
+
+
 def grid_summary(points: DataFrame, presence: DataFrame, g: Extent, species: DataFrame) -> DataFrame:
     """Counts along the way per asked species, zero rows included."""
     placed = assign_cell(points, g)

@@ -16,24 +16,48 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def add_basics(df: DataFrame, order: list[Column], dp: int = 4) -> DataFrame:
+def row_numbers(df: DataFrame, keys: list[str], order: list[Column], bucket: Column) -> DataFrame:
+    """Adds _n, each row's place by ``order`` within its keys, from 1.
+
+    bucket must not fall along the order. Rows are numbered within (keys, bucket), and a bucket starts behind the counts
+    of the earlier ones, so that a key's rows don't meet in one task.
+    """
+    rows = df.withColumn("_b", bucket)
+    sizes = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_b").alias("_s"), F.coalesce(before, F.lit(0)).alias("_before"))
+    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_b").eqNullSafe(F.col("_s")))
+    own = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
+    return own.join(starts, same).withColumn("_n", F.col("_n") + F.col("_before")).drop("_b", "_s", "_before", *(f"_{k}" for k in keys))
+
+
+def add_basics(df: DataFrame, order: list[Column], dp: int = 4, bucket: Column | None = None) -> DataFrame:
     """Adds occ_uid, date_is_range, event_day, year, date_precision, lon_k, lat_k, lon_r, lat_r.
 
-    Rows without an id get row_<n> by ``order`` within species and source. The year comes from event_day only where a
-    species' source has no year at all; that is decided by a small aggregate.
+    Rows without an id get row_<n> by ``order`` within species and source; only they are shuffled, and numbered by
+    ``bucket`` (see row_numbers; none: a species' source in one task). The year comes from event_day only where a species'
+    source has no year at all; that is decided by a small aggregate.
     """
     day = parse_day(F.col("date_raw"))
     has_id = F.col("source_record_id").isNotNull() & (F.length("source_record_id") > 0)
     rows = df.withColumns({"date_is_range": F.coalesce(F.contains("date_raw", F.lit("/")), F.lit(False)), "event_day": day, "_id": has_id})
-    any_year = df.groupBy("species_slug", "source").agg(F.count("year_raw").alias("_years"))
-    rows = rows.join(any_year, ["species_slug", "source"])
+    keys = ["species_slug", "source"]
+    nameless = row_numbers(rows.where(~F.col("_id")), keys, order, F.lit(0) if bucket is None else bucket)
+    named = rows.where("_id").withColumn("_n", F.lit(None).cast("long"))
+    uid = F.concat("source", F.lit(":"), F.coalesce(F.concat(F.lit("row_"), F.col("_n").cast("string")), "source_record_id"))
+    any_year = df.groupBy(*keys).agg(F.count("year_raw").alias("_years"))
     year = F.when(F.col("_years") > 0, F.col("year_raw")).otherwise(F.year("event_day"))
-    n = F.row_number().over(Window.partitionBy("species_slug", "source").orderBy(*order))
-    nameless = rows.where(~F.col("_id")).withColumn("occ_uid", F.concat("source", F.lit(":row_"), n.cast("string")))
-    named = rows.where("_id").withColumn("occ_uid", F.concat("source", F.lit(":"), "source_record_id"))
-    out = named.unionByName(nameless).withColumn("year", year)
+    out = named.unionByName(nameless).withColumn("occ_uid", uid).join(any_year, keys, "left").withColumn("year", year)
     keyed = out.withColumns({"date_precision": date_precision(F.col("event_day"), F.col("year")), "lon_k": coord_key(F.col("lon"), dp), "lat_k": coord_key(F.col("lat"), dp)})
-    return keyed.withColumns({"lon_r": F.col("lon_k") / 10**dp, "lat_r": F.col("lat_k") / 10**dp}).drop("_id", "_years", "year_raw")
+    return keyed.withColumns({"lon_r": F.col("lon_k") / 10**dp, "lat_r": F.col("lat_k") / 10**dp}).drop("_id", "_n", "_years", "year_raw")
+
+
+def key_texts(df: DataFrame, dp: int = 4) -> DataFrame:
+    """Adds key_day and key_year as texts: species, rounded place and day or year, joined by bars; null without them."""
+    place = lambda c: F.format_string(f"%.{dp}f", F.col(c))
+    text = lambda last: F.when(last.isNotNull(), F.concat_ws("|", "species", place("lon_r"), place("lat_r"), last.cast("string")))
+    here = F.col("lon_r").isNotNull() & F.col("lat_r").isNotNull()
+    return df.withColumns({"key_day": F.when(here, text(F.col("event_day"))), "key_year": F.when(here, text(F.col("year")))})
 
 
 def keyed_by_day(df: DataFrame) -> Column:
@@ -47,17 +71,26 @@ def dup_group_counts(df: DataFrame, key: list[str] = KEY) -> DataFrame:
     return df.where(keyed_by_day(df)).groupBy(*key).agg(F.count("*").alias("n"), gbif.alias("n_gbif"), nbn.alias("n_nbn"))
 
 
+def strict_keys(df: DataFrame) -> DataFrame:
+    """Keys that have one row of each source and no other: aggregated in part before anything is shuffled."""
+    return dup_group_counts(df).where("n = 2 and n_gbif = 1 and n_nbn = 1").select(*KEY)
+
+
+def strict_uids(df: DataFrame, prefer: str = "GBIF") -> DataFrame:
+    """(species_slug, occ_uid) to drop: of strict keys, the row of the source that is not preferred."""
+    rest = df.where(keyed_by_day(df) & (F.upper("source") != prefer)).select(*KEY, "occ_uid")
+    return rest.join(strict_keys(df), KEY, "left_semi").select("species_slug", "occ_uid").distinct()
+
+
 def flag_strict(df: DataFrame, prefer: str = "GBIF") -> DataFrame:
-    """Adds strict_drop: the row of the source that is not preferred, of a key with one row from each."""
-    w = Window.partitionBy(*KEY)
-    one = lambda s: F.count_if(F.upper("source") == s).over(w) == 1
-    pair = keyed_by_day(df) & (F.count("*").over(w) == 2) & one("GBIF") & one("NBN")
-    return df.withColumn("strict_drop", F.coalesce(pair & (F.upper("source") != prefer), F.lit(False)))
+    """Adds strict_drop to every row of a species that has a dropped uid, with or without a key."""
+    drop = strict_uids(df, prefer).withColumn("_d", F.lit(True))
+    return df.join(drop, ["species_slug", "occ_uid"], "left").withColumn("strict_drop", F.coalesce("_d", F.lit(False))).drop("_d")
 
 
 def dedup_cross_source(df: DataFrame, prefer: str = "GBIF") -> DataFrame:
-    """df without the strict duplicates: one window, so one shuffle. Every row that shares a dropped uid goes too."""
-    return flag_strict(df, prefer).where(~F.col("strict_drop")).drop("strict_drop")
+    """df without the strict duplicates: every row of a species that shares a dropped uid goes."""
+    return df.join(strict_uids(df, prefer), ["species_slug", "occ_uid"], "left_anti")
 
 
 def cross_dup_flags(df: DataFrame) -> DataFrame:

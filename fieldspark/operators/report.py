@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .merge import KEY, crossdup_review, dup_group_counts
+from .merge import KEY, cross_dup_flags, crossdup_review, dup_group_counts, flag_strict, strict_keys
 
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
@@ -45,15 +45,34 @@ def screening_funnel(raw: DataFrame, screened: DataFrame, by_id: DataFrame, dedu
     return count(raw, "n_raw").join(count(screened, "n_screened"), "source", "left").join(count(by_id, "n_by_id"), "source", "left").join(count(deduped, "n_deduped"), "source", "left").fillna(0)
 
 
-def runlog_merged(pre: DataFrame, strict: DataFrame) -> DataFrame:
-    """Stage 01 counts and status per species. strict: pre with strict_drop."""
+def runlog_merged(pre: DataFrame, strict: DataFrame, asked: DataFrame | None = None, files: DataFrame | None = None, group_dir: str = "", out_root: str | None = None) -> DataFrame:
+    """Stage 01's log, a row per species: what came in and from where, counts, status and note.
+
+    strict: pre with strict_drop. asked: (species, species_slug) to report on, with or without input; none: those of pre.
+    files: (source, slug, path) as resolve_layout gives them.
+    """
     of = lambda s, *c: F.count_if(F.col("source").eqNullSafe(s) if not c else F.col("source").eqNullSafe(s) & (F.col("date_precision") == c[0]))
     log = strict.groupBy("species_slug").agg(
-        of("GBIF").alias("n_gbif"), of("NBN").alias("n_nbn"), F.count("*").alias("n_premerge"), F.count_if("strict_drop").alias("n_dropped_strict"), F.count_if(~F.col("strict_drop")).alias("n_final"),
+        F.min(F.trim("species")).alias("_species"), of("GBIF").alias("n_gbif"), of("NBN").alias("n_nbn"), F.count("*").alias("n_premerge"), F.count_if("strict_drop").alias("n_dropped_strict"), F.count_if(~F.col("strict_drop")).alias("n_final"),
         *(of(s, p).alias(f"n_{p}_{s.lower()}") for s in ("GBIF", "NBN") for p in ("day", "year", "unknown")),
     )
-    both = (F.col("n_gbif") > 0) & (F.col("n_nbn") > 0)
-    return log.withColumn("status", F.when(both, "ok_both_sources").when(F.col("n_gbif") > 0, "ok_gbif_only").when(F.col("n_nbn") > 0, "ok_nbn_only").otherwise("no_inputs"))
+    keys = strict_keys(pre).groupBy("species_slug").agg(F.count("*").alias("n_strict_keys"))
+    every = log.select(F.col("_species").alias("species"), "species_slug") if asked is None else asked.select("species", "species_slug")
+    log = every.join(log.drop("_species"), "species_slug", "left").join(keys, "species_slug", "left")
+    if files is not None:
+        at = lambda s: F.max(F.when(F.col("source") == s, F.col("path")))
+        log = log.join(files.groupBy(F.col("slug").alias("species_slug")).agg(at("GBIF").alias("gbif_file"), at("NBN").alias("nbn_file")), "species_slug", "left")
+    else:
+        log = log.withColumns({"gbif_file": F.lit(None).cast("string"), "nbn_file": F.lit(None).cast("string")})
+    gbif, nbn = (F.coalesce(F.col(c), F.lit(0)) > 0 for c in ("n_gbif", "n_nbn"))
+    status = F.when(gbif & nbn, "ok_both_sources").when(gbif, "ok_gbif_only").when(nbn, "ok_nbn_only").otherwise("no_inputs")
+    out = F.concat(F.lit(f"{out_root}/species_slug="), "species_slug") if out_root else F.lit(None).cast("string")
+    counts = ["n_gbif", "n_nbn", "n_premerge", "n_strict_keys", "n_dropped_strict", "n_final", *(f"n_{p}_{s}" for s in ("gbif", "nbn") for p in ("day", "year", "unknown"))]
+    return log.select(
+        "species", F.col("species_slug").alias("slug"), F.lit(group_dir).alias("group_dir"), "gbif_file", "nbn_file", gbif.alias("gbif_exists"), nbn.alias("nbn_exists"),
+        *(F.when(gbif | nbn, F.coalesce(c, F.lit(0))).alias(c) for c in counts),
+        F.when(gbif | nbn, out).alias("out_file"), status.alias("status"), F.when(gbif | nbn, "").otherwise("Neither GBIF nor NBN input found.").alias("note"),
+    )
 
 
 def dup_group_sizes(df: DataFrame) -> DataFrame:
@@ -95,8 +114,9 @@ def ranges(df: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, x: Column, at=(0.0, 0.5, 0.9, 0.95, 0.99, 1.0)) -> DataFrame:
-    """Exact quantiles with linear interpolation."""
-    got = df.agg(F.percentile(x, F.array(*map(F.lit, at))).alias("q"))
+    """Exact quantiles with linear interpolation. Equal values are counted first, so the last step holds different ones only."""
+    count = df.select(x.alias("_x")).where("_x is not null").groupBy("_x").agg(F.count("*").alias("_n"))
+    got = count.agg(F.percentile("_x", F.array(*map(F.lit, at)), F.col("_n")).alias("q"))
     return got.select(*(F.col("q")[i].alias(f"q{round(100 * p)}") for i, p in enumerate(at)))
 
 
@@ -130,3 +150,69 @@ def drop_reason_ranking(log: DataFrame, n: int = 12) -> DataFrame:
     names = [c for c in log.columns if c.startswith("dropped_") and c != "dropped_total"]
     long = log.unpivot(["species_slug"], names, "reason", "dropped")
     return long.groupBy("reason").agg(F.sum("dropped").alias("n_dropped")).where("n_dropped > 0").orderBy(F.desc("n_dropped"), "reason").limit(n)
+
+
+# --- composed reports: (section, item, value), a row per figure -------------------------------------------------------
+
+
+def _figures(section: str, df: DataFrame, item: Column, *values: str) -> DataFrame:
+    """A row per value column of each row of df."""
+    pairs = F.array(*(F.struct(F.concat(item, F.lit(f"{v}")).alias("item"), F.col(v).cast("double").alias("value")) for v in values))
+    return df.select(F.lit(section).alias("section"), F.explode(pairs).alias("p")).select("section", "p.item", "p.value")
+
+
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
+
+
+def _named(*columns: str) -> Column:
+    return F.concat(*(F.concat(F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(" ")) for c in columns))
+
+
+def policy_report(log: DataFrame, policy_id: str | None = None) -> DataFrame:
+    """Stage 03: per species what went and why, totals, and the ranking of reasons. A policy_id takes its latest good rows of a log."""
+    latest = log if policy_id is None else runlog_latest(log, policy_id)
+    summary = policy_summary(latest)
+    return _stack([
+        _figures("species", summary, _named("species_slug"), "n_in", "n_out", "kept_pct", "dropped_total", "top_drop_n"),
+        _figures("top reason", summary, _named("species_slug", "top_drop_reason"), "top_drop_n"),
+        _figures("totals", policy_totals(latest), F.lit(""), "n_in", "n_out", "dropped_total", "kept_pct"),
+        _figures("reasons", drop_reason_ranking(latest), _named("reason"), "n_dropped"),
+    ])
+
+
+def profile_report(df: DataFrame, in_sea: DataFrame, uncertainty: Column, inside: Column) -> DataFrame:
+    """Stage 03's sanity figures: completeness, uncertainty, box, basis, year range, and points in the sea (in_sea: a column so named)."""
+    place = F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    box = df.agg(F.count_if(inside).alias("n_inside"), F.count_if(place & ~inside).alias("n_outside"))
+    sea = in_sea.agg(F.count("in_sea").alias("n_checked"), F.count_if("in_sea").alias("n_in_sea"))
+    return _stack([
+        _figures("completeness", completeness(df, uncertainty), F.lit(""), "n", "n_coords", "pct_coords", "n_uncertainty", "pct_uncertainty"),
+        _figures("uncertainty", quantiles(df, uncertainty), F.lit(""), "q0", "q50", "q90", "q95", "q99", "q100"),
+        _figures("box", box, F.lit(""), "n_inside", "n_outside"),
+        _figures("basis", top(df, 12, "source", "basisOfRecord"), _named("source", "basisOfRecord"), "n"),
+        _figures("range", ranges(df), F.lit(""), "min_year", "max_year"),
+        _figures("sea", sea, F.lit(""), "n_checked", "n_in_sea"),
+    ])
+
+
+def crossdup_report(pre: DataFrame, prefer: str = "GBIF") -> DataFrame:
+    """Cross-source duplicates of merged records (a stored table: each section reads it): inputs, precision, flags, what the strict rule drops, and what is left to review."""
+    strict = flag_strict(pre, prefer)
+    dropped = strict.where("strict_drop")
+    totals = strict.agg(F.count("*").alias("n_merged"), F.count_if("strict_drop").alias("n_dropped"), F.count_if(~F.col("strict_drop")).alias("n_remaining"))
+    count = lambda df, *c: df.groupBy(*c).agg(F.count("*").alias("n"))
+    return _stack([
+        _figures("rows", count(pre, "source"), _named("source"), "n"),
+        _figures("totals", totals, F.lit(""), "n_merged", "n_dropped", "n_remaining"),
+        _figures("precision", count(pre, "source", "date_precision"), _named("source", "date_precision"), "n"),
+        _figures("flags", cross_dup_flags(pre).agg(F.count_if("flag_both_sources").alias("n_day"), F.count_if("flag_loose_year").alias("n_loose")), F.lit(""), "n_day", "n_loose"),
+        _figures("dropped by precision", count(dropped, "source", "date_precision"), _named("source", "date_precision"), "n"),
+        _figures("dropped by licence", count(dropped, "licence"), _named("licence"), "n"),
+        _figures("dropped by year", top(dropped, 15, "year"), _named("year"), "n"),
+        _figures("groups", dup_group_sizes(pre), _named("group_size"), "n_groups"),
+        _figures("review", ambiguous_counts(pre), F.lit(""), "n_keys", "n_rows"),
+    ])

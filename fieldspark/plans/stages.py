@@ -2,31 +2,76 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import slugify
 from ..operators import grid, merge, normalise, policy, qc, report
+from ..sources import files
 
 ORDER = ["copy_no", "k"]
+#: Rows are numbered in runs of so many values of k.
+RUN = 1 << 16
 
 
 def order() -> list[Column]:
     return [F.col(c) for c in ORDER]
 
 
+def bucket() -> Column:
+    """Follows the order in runs of bounded length."""
+    return F.struct(F.col("copy_no"), F.floor(F.col("k") / RUN).alias("run"))
+
+
 def normalise_stage(raw: DataFrame) -> DataFrame:
-    """Both sources of a landed frame in the clean schema (source, k and copy_no kept)."""
-    return merge.union_sources([normalise.normalise(raw.where(F.col("source") == s), s) for s in ("GBIF", "NBN")])
+    """Both sources of a landed frame in one clean schema. record_id names a record of either source, if the raw frame has it."""
+    names = {"GBIF": "gbifID", "NBN": "recordID"}
+    split = {s: raw.withColumnRenamed("record_id", names[s]) for s in names}
+    return merge.union_sources([normalise.normalise(split[s].where(F.col("source") == s), s) for s in names])
+
 
+def normalise_landed(spark: SparkSession, root: str) -> DataFrame:
+    """All raw files below a folder in the clean schema, by the first layout that has them; no rows if there are none.
 
-def merge_stage(clean: DataFrame, dp: int = 4, prefer: str = "GBIF") -> tuple[DataFrame, DataFrame]:
-    """(merged without strict duplicates, run log) of screened and within-source deduplicated records."""
-    pre = merge.add_basics(normalise.dedup_within_source(normalise.screen_coords(clean), order()), order(), dp)
+    The files of a source share their header. File names come to the driver, one per species and source.
+    """
+    found = files.resolve_layout(files.landed_tables(spark, root))
+    frames = []
+    for source in ("GBIF", "NBN"):
+        paths = [r["path"] for r in found.where(F.col("source") == source).select("path").collect()]
+        raw = spark.read.csv(paths, header=True, nullValue="NA") if paths else files.empty_typed(spark, "species string")
+        frames.append(normalise.normalise(raw, source))
+    return merge.union_sources(frames)
+
+
+def merge_stage(clean: DataFrame, dp: int = 4, prefer: str = "GBIF", **log) -> tuple[DataFrame, DataFrame]:
+    """(merged without strict duplicates, run log) of screened and within-source deduplicated records. log: see runlog_merged."""
+    pre = merge.add_basics(normalise.dedup_within_source(normalise.screen_coords(clean), order()), order(), dp, bucket())
     strict = merge.flag_strict(pre, prefer)
-    return strict.where(~F.col("strict_drop")).drop("strict_drop"), report.runlog_merged(pre, strict)
+    return strict.where(~F.col("strict_drop")).drop("strict_drop"), report.runlog_merged(pre, strict, **log)
+
+
+def merge_into(clean: DataFrame, inputs: DataFrame, out: str, overwrite: bool = False, refresh_if_newer: bool = True, continue_on_error: bool = False, **how) -> DataFrame:
+    """Merges the species that need it into the stage table at ``out`` and gives the log of all species with input.
+
+    inputs: (slug, modified). Species that stay as they are have the status skipped_cached. With continue_on_error a
+    failed run gives rows of status error with its message; its species keep what they had, as all are one job.
+    """
+    spark = clean.sparkSession
+    had = files.modified_by_species(spark, out)
+    todo = files.needs_refresh(inputs, had, overwrite, refresh_if_newer)
+    todo = spark.createDataFrame(todo.collect(), todo.schema)  # what is to be done is fixed before anything is written
+    stay = inputs.select("slug").distinct().join(todo, "slug", "left_anti")
+    try:
+        rows = clean.join(todo.withColumnRenamed("slug", "species_slug"), "species_slug", "left_semi")
+        merged, log = merge_stage(rows, out_root=out, **how)
+        files.sink_stage(merged, out)
+    except Exception as e:  # noqa: BLE001
+        if not continue_on_error:
+            raise
+        log = todo.select("slug", F.lit("error").alias("status"), F.lit(str(e)[:500]).alias("note"))
+    note = "Merged output exists and inputs are not newer (overwrite=FALSE)." if refresh_if_newer else "Merged output exists (overwrite=FALSE)."
+    return log.unionByName(stay.select("slug", F.lit("skipped_cached").alias("status"), F.lit(note).alias("note")), allowMissingColumns=True)
 
 
 def qc_stage(df: DataFrame, as_of: Column | None = None, config: qc.QcConfig = qc.QcConfig()) -> tuple[DataFrame, DataFrame]:
@@ -47,10 +92,19 @@ def grid_stage(df: DataFrame, extent: grid.Extent, edges: DataFrame | None) -> t
     return cells, presence, grid.grid_summary(df, presence, extent, df)
 
 
+def grid_into(df: DataFrame, root: str, tag: str, box=(-25.0, 34.0, 45.0, 72.0), cell_km: int = 25, edges: DataFrame | None = None) -> DataFrame:
+    """Grids the records over a box in degrees, writes cells, tables and summary below root, and gives the presence centroids."""
+    extent = grid.extent_of(grid.box_corners(df.sparkSession, box), 1000.0 * cell_km)
+    cells, presence, summary = grid_stage(df, extent, edges)
+    files.sink_grid(cells, presence, summary, root, tag, cell_km)
+    return grid.presence_centroids(files.scan_stage(df.sparkSession, f"{root}/{tag}/grid{cell_km}km"))
+
+
 def missing_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """The schema contract: a row per required column that df lacks."""
     return df.sparkSession.createDataFrame([(c,) for c in required if c not in df.columns], "missing string")
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(and_, conditions)
+def asked_species(names: DataFrame) -> DataFrame:
+    """(species, species_slug) of names (species)."""
+    return names.select("species", slugify(F.col("species")).alias("species_slug"))

@@ -7,22 +7,69 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared spark.checkpoint.dir; a temp folder only where that is unset, as in tests."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/fieldspark-work"
+    """A new folder below the shared spark.checkpoint.dir; unset, below a temp folder in local mode, else an error."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = f"file://{tempfile.gettempdir()}/fieldspark-work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def empty_typed(spark: SparkSession, schema) -> DataFrame:
+    """No rows with the right columns, so that later stages go on."""
+    return spark.createDataFrame([], schema)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back, for what is read several times."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """(path, modified, bytes) of all files below a folder, without reading them; none if there is no such folder."""
+    if not exists(spark, root):
+        return empty_typed(spark, "path string, modified timestamp, bytes long")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    return found.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
+
+
 def land(df: DataFrame, folder: str) -> DataFrame:
-    """Adds Parquet files to a landing folder; returns what lies there now."""
-    df.write.mode("append").parquet(folder)
+    """Adds Parquet files to a landing folder, by species where df has them; returns what lies there now."""
+    by = ["species_slug"] if "species_slug" in df.columns else []
+    df.write.mode("append").partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def scan_csv_all_string(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    return spark.read.csv(path, header=True, sep=sep, nullValue="NA")
+    """All columns as text; NA is null. A path that does not exist gives a frame without rows and columns."""
+    return spark.read.csv(path, header=True, sep=sep, nullValue="NA") if exists(spark, path) else empty_typed(spark, T.StructType([]))
+
+
+def landed_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """(path) of the tables below a folder; one that Spark wrote as a folder of parts counts as one."""
+    return list_files(spark, root, glob).select(F.regexp_replace("path", r"(\.(csv|parquet))/[^/]+$", "$1").alias("path")).distinct()
+
+
+def scan_any_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The table in a folder of files: names with "grid" before others, Parquet before CSV, then by path."""
+    name = F.lower(F.element_at(F.split("path", "/"), -1))
+    kinds = F.when(name.endswith(".parquet"), 0).when(name.endswith(".csv"), 1)
+    best = landed_tables(spark, folder, "*").withColumn("_k", kinds).where("_k is not null").orderBy(~F.contains(name, F.lit("grid")), "_k", "path").first()
+    if best is None:
+        raise FileNotFoundError(f"no table in {folder}")
+    return spark.read.parquet(best["path"]) if best["_k"] == 0 else scan_csv_all_string(spark, best["path"])
 
 
 def scan_delimited_typed(spark: SparkSession, path: str, schema: dict[str, str], sep: str = "\t") -> DataFrame:
@@ -47,9 +94,26 @@ def sink_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").options(header=True, sep=sep, **keep).csv(path)
 
 
-def scan_sample(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
-    """n rows of the whole table, the same each time: those with the smallest seeded hashes."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+def scan_sample(df: DataFrame, n: int, key: str, seed: int = 1, columns: list[str] | None = None) -> DataFrame:
+    """n rows of the whole table, the same each time: those with the smallest seeded digests of the key.
+
+    columns: the wanted ones; those that df lacks are left out.
+    """
+    rows = df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+    return rows if columns is None else rows.select(*(F.col(f"`{c}`") for c in columns if c in df.columns))
+
+
+def sink_runlog(log: DataFrame, path: str, schema: dict[str, str], append: bool = False) -> None:
+    """Writes a log by one fixed schema: columns that it lacks are null, others are left out. Also for a run that ends early, with no rows."""
+    fixed = log.select(*((F.col(f"`{c}`") if c in log.columns else F.lit(None)).cast(t).alias(c) for c, t in schema.items()))
+    fixed.write.mode("append" if append else "overwrite").parquet(path)
+
+
+def sink_grid(cells: DataFrame, presence: DataFrame, summary: DataFrame, root: str, tag: str, cell_km: int) -> None:
+    """<root>/<tag>: land cells once per grid, the gridded table by species, and the summary as text."""
+    cells.where("on_land").write.mode("overwrite").parquet(f"{root}/{tag}/grid{cell_km}km_land_cells")
+    sink_stage(presence, f"{root}/{tag}/grid{cell_km}km")
+    sink_csv(summary, f"{root}/{tag}/_summary_grid")
 
 
 def ingest_pages(pages: list[DataFrame], most: int | None = None) -> DataFrame:
@@ -77,11 +141,34 @@ def resolve_layout(files: DataFrame) -> DataFrame:
     return found.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("source", "slug", "path")
 
 
-def needs_refresh(inputs: DataFrame, outputs: DataFrame, overwrite: bool = False) -> DataFrame:
-    """Species to rebuild: (slug, modified) of the inputs against those of the outputs."""
+def resolve_stage(files: DataFrame, root: str, suffix: str = "merged") -> DataFrame:
+    """(slug, path): of files (path) in a stage's layouts, the first hit per species.
+
+    Ranks: <root>/<group>/<slug>/occ_<slug>__<suffix>, then <root>/<slug>/occ_<slug>__<suffix>; Parquet before CSV.
+    """
+    name = F.regexp_extract("path", rf"occ_([^/]+)__{suffix}\.(parquet|csv)$", 1)
+    parent = F.element_at(F.split("path", "/"), -2)
+    depth = F.size(F.split(F.regexp_extract("path", rf"{root.rstrip('/').split('/')[-1]}/(.*)$", 1), "/"))
+    found = files.withColumns({"slug": name, "rank": F.when(depth == 3, 1).when(depth == 2, 2), "csv": F.col("path").endswith(".csv")})
+    w = Window.partitionBy("slug").orderBy("rank", "csv", "path")
+    return found.where((F.col("slug") != "") & (parent == F.col("slug")) & F.col("rank").isNotNull()).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("slug", "path")
+
+
+def modified_by_species(spark: SparkSession, root: str) -> DataFrame:
+    """(slug, modified): the latest file time per species of a stage table or a folder of <slug>_clean.csv files."""
+    slug = F.coalesce(F.nullif(F.regexp_extract("path", r"species_slug=([^/]+)/", 1), F.lit("")), F.regexp_replace(F.nullif(F.regexp_extract("path", r"([^/]+)_clean\.csv", 1), F.lit("")), "^(gbif|nbn)_", ""))
+    return list_files(spark, root).where(~F.contains("path", F.lit("/_"))).withColumn("slug", slug).where("slug is not null").groupBy("slug").agg(F.max("modified").alias("modified"))
+
+
+def needs_refresh(inputs: DataFrame, outputs: DataFrame, overwrite: bool = False, refresh_if_newer: bool = True) -> DataFrame:
+    """Species to rebuild: (slug, modified) of the inputs against those of the outputs.
+
+    All with overwrite; else those without output and, with refresh_if_newer, those whose input is newer.
+    """
     a = inputs.groupBy("slug").agg(F.max("modified").alias("i"))
     b = outputs.groupBy("slug").agg(F.max("modified").alias("o"))
-    return a.join(b, "slug", "left").where(F.lit(overwrite) | F.col("o").isNull() | (F.col("i") > F.col("o"))).select("slug")
+    newer = F.lit(refresh_if_newer) & (F.col("i") > F.col("o"))
+    return a.join(b, "slug", "left").where(F.lit(overwrite) | F.col("o").isNull() | newer).select("slug")
 
 
 def scan_runlog(spark: SparkSession, path: str, schema: str) -> DataFrame:

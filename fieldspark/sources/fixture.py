@@ -1,11 +1,12 @@
-"""Occurrence records and land polygons derived from the given tables, by SQL that Spark and DuckDB both run."""
+"""Occurrence records and land polygons derived from the given tables: one scan in Spark, and SQL for the comparison."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Each order makes one to three dirty records in up to two sources; copy_no stands for the place in a file.
-OCC_SQL = """
+_FIELDS = """
 SELECT source, k, copy_no,
   CASE k % 6 WHEN 0 THEN 'Alpha minor' WHEN 1 THEN 'Beta  major' WHEN 2 THEN 'Gamma (x) rubra'
              WHEN 3 THEN ' Delta nigra' WHEN 4 THEN 'Epsilon alba.' ELSE 'Zeta fulva' END AS species,
@@ -13,6 +14,7 @@ SELECT source, k, copy_no,
        WHEN source = 'GBIF' AND copy_no = 2 THEN concat('G', CAST(k AS STRING), 'x')
        WHEN source = 'GBIF' THEN concat('G', CAST(k AS STRING))
        ELSE concat('N', CAST(k AS STRING), '_', CAST(copy_no AS STRING)) END AS record_id,
+  CASE WHEN source = 'GBIF' AND k % 3 > 0 THEN concat('urn:', CAST(k % 1000 AS STRING)) END AS occurrenceID,
   CASE WHEN k % 97 = 0 THEN NULL WHEN k % 101 = 0 THEN '200' WHEN k % 103 = 0 THEN 'n/a' WHEN k % 107 = 0 THEN 'NaN'
        ELSE CAST(CAST(-249950000 + ((k * 7919) % 7000) * 100000
                  + CASE WHEN source = 'NBN' THEN copy_no * 100 ELSE 0 END AS DOUBLE) / 10000000 AS STRING) END AS decimalLongitude,
@@ -38,8 +40,20 @@ SELECT source, k, copy_no,
   CASE WHEN source = 'NBN' THEN NULL WHEN k % 12 < 7 THEN 'HUMAN_OBSERVATION' WHEN k % 12 = 7 THEN ' observation '
        WHEN k % 12 = 8 THEN 'MACHINE_OBSERVATION' WHEN k % 12 = 9 THEN 'PRESERVED_SPECIMEN' WHEN k % 12 = 10 THEN 'FOSSIL_SPECIMEN' ELSE NULL END AS basisOfRecord,
   CASE WHEN k % 14 = 0 THEN 'GENUS' WHEN k % 14 = 1 THEN 'subspecies' WHEN k % 14 = 2 THEN NULL ELSE 'SPECIES' END AS taxonRank,
-  CASE WHEN source = 'GBIF' THEN NULL WHEN k % 3 = 0 THEN 'Definite' WHEN k % 3 = 1 THEN ' probable' ELSE 'uncertain' END AS certainty
-FROM (
+  CASE WHEN source = 'GBIF' THEN NULL WHEN k % 3 = 0 THEN 'Definite' WHEN k % 3 = 1 THEN ' probable' ELSE 'uncertain' END AS certainty,
+  CASE WHEN k % 5 < 3 THEN concat('status ', CAST(k % 5 AS STRING)) END AS identificationVerificationStatus,
+  CASE WHEN k % 9 > 1 THEN concat('person ', CAST(k % 90 AS STRING)) END AS identifiedBy,
+  CASE WHEN source = 'GBIF' AND k % 4 = 0 THEN substr(CAST(o_orderdate AS STRING), 1, 10) END AS dateIdentified,
+  CASE WHEN source = 'NBN' THEN CAST(k % 4 AS STRING) END AS coordinatePrecision,
+  CASE WHEN k % 23 = 0 THEN 'ABSENT' ELSE 'PRESENT' END AS occurrenceStatus,
+  concat('key-', CAST(k % 40 AS STRING)) AS datasetKey, concat('Set ', CAST(k % 40 AS STRING)) AS datasetName,
+  CASE WHEN k % 6 > 0 THEN concat('org-', CAST(k % 12 AS STRING)) END AS publishingOrgKey,
+  CASE WHEN k % 7 > 0 THEN concat('I', CAST(k % 14 AS STRING)) END AS institutionCode,
+  CASE WHEN k % 8 > 0 THEN concat('C', CAST(k % 16 AS STRING)) END AS collectionCode
+FROM"""
+
+#: In SQL, the copies of an order by one branch each.
+OCC_SQL = f"""{_FIELDS} (
   SELECT o_orderkey AS k, o_orderdate, 'GBIF' AS source, 0 AS copy_no FROM orders WHERE o_orderkey % 5 <> 4
   UNION ALL SELECT o_orderkey, o_orderdate, 'GBIF', 1 FROM orders WHERE o_orderkey % 5 <> 4 AND o_orderkey % 13 = 0
   UNION ALL SELECT o_orderkey, o_orderdate, 'GBIF', 2 FROM orders WHERE o_orderkey % 5 <> 4 AND o_orderkey % 17 = 0
@@ -48,6 +62,9 @@ FROM (
 ) base
 """
 
+#: In Spark, the copies of an order, and when it has them.
+_COPIES = (("GBIF", 0, "k % 5 <> 4"), ("GBIF", 1, "k % 5 <> 4 and k % 13 = 0"), ("GBIF", 2, "k % 5 <> 4 and k % 17 = 0"), ("NBN", 0, "k % 4 = 0 or k % 5 = 4"), ("NBN", 1, "k % 20 = 0"))
+
 #: Closed rings in degrees.
 LAND_SQL = """
 SELECT * FROM (VALUES
@@ -60,7 +77,19 @@ SELECT * FROM (VALUES
 
 
 def occ_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(OCC_SQL.replace("FROM orders", "FROM {orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    """The records in one scan of orders."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_orderdate")
+    copies = F.array(*(F.when(F.expr(when), F.struct(F.lit(source).alias("source"), F.lit(n).alias("copy_no"))) for source, n, when in _COPIES))
+    base = orders.select("k", "o_orderdate", F.explode(F.array_compact(copies)).alias("c")).select("k", "o_orderdate", "c.source", "c.copy_no")
+    return spark.sql(f"{_FIELDS} {{base}}", base=base)
+
+
+def gbif_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return occ_raw(spark, sf_dir).where("source = 'GBIF'").withColumnRenamed("record_id", "gbifID")
+
+
+def nbn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return occ_raw(spark, sf_dir).where("source = 'NBN'").withColumnRenamed("record_id", "recordID")
 
 
 def land_edges(spark: SparkSession) -> DataFrame:

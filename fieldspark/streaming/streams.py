@@ -31,16 +31,16 @@ def judged(stream: DataFrame, policy: Policy, as_of: Column) -> DataFrame:
 
 
 def grid_counts(stream: DataFrame, all_rows: str, out: str, checkpoint: str, extent: Extent) -> None:
-    """Rebuilds the cell counts of the species that a batch touches, from the whole table at all_rows."""
+    """Rebuilds the cell counts of the species that a batch touches, from the whole table at all_rows.
+
+    The table is partitioned by species_slug, so only the touched partitions are read.
+    """
 
     def rebuild(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        touched = spark.read.parquet(all_rows).join(batch.select("species_slug").distinct(), "species_slug", "left_semi")
+        slugs = batch.select("species_slug").distinct()
+        touched = spark.read.parquet(all_rows).join(F.broadcast(slugs), "species_slug", "left_semi")  # a row per species: prunes partitions
         counts = cell_counts(touched, extent)
         counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("species_slug").parquet(out)
 
     stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def seen_species(stream: DataFrame) -> DataFrame:
-    return stream.groupBy("species_slug").agg(F.count("*").alias("n"))

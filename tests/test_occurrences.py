@@ -1,5 +1,6 @@
 """Occurrence operators: hand-written edge cases, published figures, and queries against their SQL."""
 
+import os
 from datetime import date
 
 import duckdb
@@ -10,6 +11,7 @@ from fieldspark import queries
 from fieldspark.functions import scalars as S
 from fieldspark.functions.projection import project_laea, unproject_laea
 from fieldspark.operators import grid, merge, normalise, policy, qc
+from fieldspark.plans import stages
 from fieldspark.sources import files
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +38,10 @@ def test_projection(spark):
     assert one(spark, x) == pytest.approx(3962799.45, abs=0.01) and one(spark, y) == pytest.approx(2999718.85, abs=0.01)
     lon, lat = unproject_laea(x, y)
     assert one(spark, lon) == pytest.approx(5, abs=1e-8) and one(spark, lat) == pytest.approx(50, abs=1e-8)
-    assert grid.extent_of(spark) == queries.EXTENT
+    assert grid.extent_of(grid.box_corners(spark)) == queries.EXTENT
+    assert grid.corners_of(spark.createDataFrame([], "lon double, lat double")).collect() == []
+    got = sorted(map(tuple, grid.corners_of(spark.createDataFrame([(1.5, 2.5), (-3.0, 7.2)], "lon double, lat double")).collect()))
+    assert got == [(-3.0, 2.0), (-3.0, 8.0), (2.0, 2.0), (2.0, 8.0)]
 
 
 def test_first_rows_and_null_ids(spark):
@@ -49,10 +54,76 @@ def test_first_rows_and_null_ids(spark):
 def test_strict_pairs(spark):
     day = date(2020, 1, 1)
     rows = [("s", "GBIF", 1, 1, day, "a"), ("s", "NBN", 1, 1, day, "b"), ("s", "GBIF", 2, 2, day, "c"), ("s", "NBN", 2, 2, day, "d"), ("s", "NBN", 2, 2, day, "e"), ("s", "GBIF", 3, 3, None, "f"), ("s", "NBN", 3, 3, None, "g")]
-    df = spark.createDataFrame(rows, "species_slug string, source string, lon_k long, lat_k long, event_day date, id string")
-    assert sorted(r["id"] for r in merge.dedup_cross_source(df).collect()) == list("acdefg")
-    assert sorted(r["id"] for r in merge.dedup_cross_source(df, "NBN").collect()) == list("bcdefg")
-    assert sorted(r["id"] for r in merge.crossdup_review(df).collect()) == list("cde")
+    df = spark.createDataFrame(rows, "species_slug string, source string, lon_k long, lat_k long, event_day date, occ_uid string")
+    uids = lambda out: sorted(r["occ_uid"] for r in out.collect())
+    assert uids(merge.dedup_cross_source(df)) == list("acdefg")
+    assert uids(merge.dedup_cross_source(df, "NBN")) == list("bcdefg")
+    assert uids(merge.crossdup_review(df)) == list("cde")
+    # a dropped uid takes every row of its species along, also one without a day
+    more = [("s", "NBN", 9, 9, day, "b"), ("s", "NBN", None, None, None, "b"), ("t", "NBN", 9, 9, day, "b")]
+    wide = spark.createDataFrame([*rows, *more], df.schema)
+    assert uids(merge.dedup_cross_source(wide)) == list("abcdefg") and sum(r["strict_drop"] for r in merge.flag_strict(wide).collect()) == 3
+
+
+def test_row_numbers_by_bucket(spark):
+    df = spark.createDataFrame([("a" if i % 3 else None, i) for i in range(50)], "s string, k int").repartition(5)
+    for bucket in (F.lit(0), F.floor(F.col("k") / 7), F.col("k")):
+        got = {r["k"]: r["_n"] for r in merge.row_numbers(df, ["s"], [F.col("k")], bucket).collect()}
+        assert got == {i: i // 3 + 1 if i % 3 == 0 else i - i // 3 for i in range(50)}
+
+
+def test_polygon_bands(spark):
+    ring = [(0.0, 0.0), (10.0, 0.5), (9.0, 9.7), (0.5, 10.0)]
+    edges = spark.createDataFrame([(1, *ring[i], *ring[(i + 1) % 4]) for i in range(4)] + [(2, 20.0, 0.0, 30.0, 0.0)], "poly_id int, x1 double, y1 double, x2 double, y2 double")
+    points = [(0, 5.0, 5.0), (1, -1.0, 5.0), (2, 9.9, 9.0), (3, 5.0, 9.9), (4, 5.0, -3.0), (5, None, 5.0), (6, 5.0, float("nan")), (7, 0.3, 1.0), (8, 25.0, 0.0)]
+    df = spark.createDataFrame(points, "id int, lon double, lat double")
+    for band in (0.25, 1.0, 90.0):
+        assert sorted(r["id"] for r in grid.inside_polygon(df, edges, "id", band=band).collect()) == [0, 7]
+    sea = {r["id"]: r["in_sea"] for r in grid.flag_in_sea(df, edges, "id").collect()}
+    assert sea[0] is False and sea[1] is True and sea[5] is None
+
+
+def test_plans(spark):
+    plan = lambda name: queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan("cell_counts").count("Relation [") == 1
+    physical = queries.QUERIES["point_in_polygon"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in physical and "CartesianProduct" not in physical
+    dedup = queries.QUERIES["dedup_by_id"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert dedup.count("WindowGroupLimit") == 2  # one of them before the shuffle
+
+
+def test_missing_and_empty(spark, tmp_path):
+    assert files.scan_csv_all_string(spark, f"{tmp_path}/none.csv").collect() == []
+    assert files.list_files(spark, f"{tmp_path}/none").collect() == []
+    empty = normalise.normalise(files.empty_typed(spark, "species string, decimalLongitude string"), "GBIF")
+    assert stages.merge_stage(empty.withColumns({"k": F.lit(1), "copy_no": F.lit(0)}))[1].collect() == []
+    assert stages.normalise_landed(spark, f"{tmp_path}/none").collect() == []
+    with pytest.raises(FileNotFoundError):
+        files.scan_any_table(spark, f"{tmp_path}/none")
+    with pytest.raises(ValueError, match="presence"):
+        grid.centroids_of_table(spark.range(3))
+    assert files.ingest_pages([spark.range(5), spark.range(5).withColumn("x", F.lit(1))], 7).count() == 7
+
+
+def test_refresh_by_file_times(spark, tmp_path):
+    for s, when in (("a", 100), ("b", 300), ("c", 100)):
+        for root in ("in", "out"):
+            if (s, root) != ("c", "out"):
+                spark.range(1).withColumn("species_slug", F.lit(s)).write.mode("append").partitionBy("species_slug").parquet(f"{tmp_path}/{root}")
+                for f in (tmp_path / root / f"species_slug={s}").iterdir():
+                    os.utime(f, (when if root == "in" else 200,) * 2)
+    i, o = (files.modified_by_species(spark, f"file://{tmp_path}/{x}") for x in ("in", "out"))
+    slugs = lambda **how: sorted(r["slug"] for r in files.needs_refresh(i, o, **how).collect())
+    assert slugs() == ["b", "c"] and slugs(refresh_if_newer=False) == ["c"] and slugs(overwrite=True) == ["a", "b", "c"]
+
+
+def test_a_failed_merge_is_logged(spark, tmp_path):
+    clean, inputs = queries._clean(spark, SF), spark.createDataFrame([("alpha_minor", date(2020, 1, 1))], "slug string, modified date").withColumn("modified", F.col("modified").cast("timestamp"))
+    broken = clean.withColumn("lon", F.expr("raise_error('bad file')").cast("double"))
+    with pytest.raises(Exception, match="bad file"):
+        stages.merge_into(broken, inputs, f"{tmp_path}/out")
+    log = stages.merge_into(broken, inputs, f"{tmp_path}/out", continue_on_error=True).collect()
+    assert [(r["slug"], r["status"]) for r in log] == [("alpha_minor", "error")] and "bad file" in log[0]["note"]
 
 
 def test_policy_credits_first_rule(spark):
@@ -77,7 +148,7 @@ def test_files(spark, tmp_path):
     assert sorted(r["slug"] for r in files.needs_refresh(i, o).collect()) == ["a", "c"]
 
 
-@pytest.mark.parametrize("name", ["normalise_nbn", "dedup_cross_source", "crossdup_review", "qc_flags", "policy_date_window", "runlog_filtered", "cell_counts", "sink_stage", "scan_csv_all_string", "scan_runlog", "resolve_layout", "parse_utc", "stream_ingest", "stream_dedup", "stream_qc", "stream_grid_counts"])
+@pytest.mark.parametrize("name", ["normalise_nbn", "dedup_cross_source", "crossdup_review", "qc_flags", "policy_date_window", "runlog_filtered", "cell_counts", "sink_stage", "scan_csv_all_string", "scan_runlog", "resolve_layout", "parse_utc", "stream_dedup", "stream_qc", "stream_grid_counts", "runlog_merged", "merge_into", "normalise_landed", "schema_contract", "snapped_extent", "land_mask", "scan_any_table", "sink_runlog", "policy_report", "profile_report", "crossdup_report"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     con.sql(f"create view orders as select * from read_parquet('{SF}/orders.parquet')")
