@@ -1,172 +1,214 @@
-"""Interpolated modified Kneser-Ney bigram model: counted in Spark, kept as sorted hash arrays, scored by shards.
+"""Interpolated modified Kneser-Ney model of any order from two on: counted in Spark, kept as sorted hash arrays, scored by shards.
 
-Files below the shared folder, memory-mapped by the workers:
+Words are 64-bit hashes throughout; there is no table of the vocabulary. An n-gram belongs to the shard of its context's
+last word, where all longer contexts that end in that word lie too: counts, context totals and back-off weights of all
+orders from two up are sums within one shard. The few words that hold more than a shard's share are hot: their n-grams
+are spread by the word before (order two: by the word after), and what only the sum over shards can tell, which is the
+bigrams after hot words and the unigrams, is summed in a second sharding by the predicted word and sent back.
 
-- vocabulary: sorted 64-bit word hashes and their counts; a word's place is its id;
-- continuation: for each id the number of different words before it;
-- per shard: sorted keys (context id << 32 | word id) and counts.
-
-Bigrams are sharded by their context. The ``hot`` most frequent words are spread over all shards instead, and bigrams of
-two hot words are scored on the spot from a table of bounded size: whatever holds more than 1/hot of all rows is among
-them. Texts are read three times; counts are summed per task before they are shuffled. Each text is scored whole.
+Each shard writes one file below the shared folder and maps it in memory to score: sorted context keys, the words that
+follow each, their counts. The second sharding has files of its own, for what a shard has never seen. Texts are read
+three times; n-grams are summed per task before they are shuffled; of equal texts held at a time one is scored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard as zstd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import U, buffers, mix, slices, words
 from .store import map_array, partitions, shared_dir, stored, write_file
+from .worker import tidy
 
-END = np.uint64(0x5E9D0E9D0E9D0E9D)  # the end token's hash
+END, START = U(0x5E9D0E9D0E9D0E9D), U(0x57A2757A2757A275)  # stand for the end of a text and for what is before it
 FLUSH = 3 << 20
-_ROW = "kind int, part int, a binary, b binary, c binary, d binary"
-_ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), *((x, pa.binary()) for x in "abcd")])
-_DOC = np.dtype([("doc", "i8"), ("null", "u1"), ("held", "u1"), ("n", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")])
-COUNT, HOT, FOLLOWED, CONTINUED, DOCS, ASK = range(6)
+_ROW = "kind int, part int, a long, b long, c binary, d binary"
+_ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.binary()), ("d", pa.binary())])
+_DOC = np.dtype([("doc", "i8"), ("null", "u1"), ("held", "u1"), ("text", "i4"), ("n", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")])
+GRAMS, LOWER, STATS, ANSWER, DOCS, SUMS, ASK = range(7)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[(*r, *[None] * (6 - len(r))) for r in rows]), _ARROW.types)], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW.types)] if rows else [pa.array([], t) for t in _ARROW.types], schema=_ARROW)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Byte planes of uint32 values: the shuffle's compression drops the empty ones."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def is_held_out(doc_id: str = "doc_id") -> Column:
+    """Whether crc32 of the id as text leaves 2 when divided by 7; a null id is not held out."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
 
 
-def _unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+# --- arrays as bytes --------------------------------------------------------------------------------------------------
 
 
-def is_held_out(doc_id: str = "doc_id") -> Column:
-    """Whether crc32 of the id as text leaves 2 when divided by 7; a null id is not held out."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """int64 arrays in byte planes, uint64 arrays (hashes) as they are, compressed together."""
+    out = [np.array([len(arrays), *((-len(a) - 1) if a.dtype == np.uint64 else len(a) for a in arrays)], "<i8").tobytes()]
+    out += [a.tobytes() if a.dtype == np.uint64 else np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays]
+    return zstd.ZstdCompressor(level=1).compress(b"".join(out))
+
+
+def unpack_arrays(raw: bytes) -> list[np.ndarray]:
+    raw = zstd.ZstdDecompressor().decompress(raw)
+    count = int(np.frombuffer(raw, "<i8", 1)[0])
+    at, out = 8 * (count + 1), []
+    for n in np.frombuffer(raw, "<i8", count, 8).tolist():
+        size = n if n >= 0 else -n - 1
+        flat = np.frombuffer(raw, np.uint8, 8 * size, at)
+        out.append(np.ascontiguousarray(flat.reshape(8, -1).T).view("<i8").reshape(-1) if n >= 0 else flat.view(np.uint64))
+        at += 8 * size
+    return out
+
+
+def save_arrays(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """One file: sorted hashes (uint64) and places (uint32) as they are, counts (int64) as a byte each where they are below 255."""
+    parts = {}
+    for name, a in arrays.items():
+        if a.dtype == np.int64:
+            big = np.flatnonzero(a >= 255)
+            parts |= {name: np.minimum(a, 255).astype(np.uint8), name + "@": big.astype("<i8"), name + "=": a[big].astype("<i8")}
+        else:
+            parts[name] = a
+    head = ";".join(f"{n},{a.dtype.str},{len(a)}" for n, a in parts.items()).encode()
+    head += b" " * (-(len(head) + 8) % 8)
+    body = [np.array([len(head)], "<i8").tobytes(), head]
+    for a in parts.values():
+        body += [a.tobytes(), b"\0" * (-a.nbytes % 8)]
+    write_file(path, b"".join(body))
+
+
+class Arrays:
+    """What save_arrays wrote, mapped in memory."""
+
+    def __init__(self, path: str):
+        raw = map_array(path, np.uint8)
+        size = int(raw[:8].view("<i8")[0])
+        at, self.parts = 8 + size, {}
+        for part in bytes(raw[8:at]).decode().strip().split(";"):
+            name, kind, n = part.split(",")
+            a = raw[at : at + int(n) * np.dtype(kind).itemsize].view(kind)
+            self.parts[name] = a
+            at += a.nbytes + -a.nbytes % 8
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        a = self.parts[name]
+        if name + "@" not in self.parts:
+            return a
+        a = a.astype(np.int64)
+        a[self.parts[name + "@"]] = self.parts[name + "="]
+        return a
+
+
+def place(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted keys, whether it is there) of each asked value."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
+
+
+# --- n-grams ----------------------------------------------------------------------------------------------------------
+
+
+def key_of(columns) -> np.ndarray:
+    """A hash of a run of words, given as columns."""
+    h = np.full(len(columns[0]), len(columns), np.uint64)
+    for c in columns:
+        h = mix(h * U(0x9E3779B97F4A7C15) + c)
+    return h
 
 
 def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """(hashes with an end token after each text, tokens per text)."""
-    data, off = buffers(b.column("text"))
-    h, doc, _, _ = words(data, off)
+    h, doc, _, _ = words(*buffers(b.column("text")))
     n = np.bincount(doc, minlength=b.num_rows)
     out = np.full(len(h) + b.num_rows, END, np.uint64)
     out[np.arange(len(h)) + doc] = h
     return out, n + 1
 
 
-def _sum_runs(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+def _windows(t: np.ndarray, n: np.ndarray, order: int) -> list[np.ndarray]:
+    """For each token the ``order`` words that end in it, as columns; before a text stand starts."""
+    place_in, out = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n), []
+    for back in range(order - 1, 0, -1):
+        c = np.empty_like(t)
+        c[back:] = t[:-back]
+        c[place_in < back] = START
+        out.append(c)
+    return [*out, t]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _shard(w: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarray:
+    """By the context's last word; if that is hot, with the word before it, or after it in bigrams."""
+    v = w[-2]
+    spread = mix(v + mix(w[-3] if len(w) > 2 else w[-1]))
+    return (mix(np.where(place(hot, v)[1], spread, v)) % U(shards)).astype(np.int64)
 
-    def flush():
-        u, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["h", "c"])
 
-    for whole in batches:
-        for b in slices(whole):
-            t, _ = _tokens(b)
-            held.append(t)
-            size += len(t)
-            if size > FLUSH:
-                yield flush()
-                held, size = [], 0
-    if held:
-        yield flush()
+def _second(w: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(w + U(0x2D)) % U(shards)).astype(np.int64)
 
 
-def _save_words(folder: str):
-    def run(batches):
-        rows = [(b.column("h").to_numpy(), b.column("c").to_numpy()) for b in batches if b.num_rows]
-        part = TaskContext.get().partitionId()
-        h = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
-        c = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.int64)
-        write_file(f"{folder}/words-{part}", h.astype("<i8").tobytes())
-        write_file(f"{folder}/counts-{part}", c.astype("<i8").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(h)], pa.int64()), pa.array([int(h[0]) if len(h) else 0], pa.int64())], ["part", "n", "low"])
+def _deal(to: np.ndarray, shards: int):
+    """(shard, rows) of each shard that has some; rows keep their order."""
+    order = np.argsort(to.astype(np.uint16) if shards < 65536 else to, kind="stable")
+    edge = np.searchsorted(to[order], np.arange(shards + 1))
+    return [(p, order[i:j]) for p, (i, j) in enumerate(zip(edge[:-1], edge[1:])) if i < j]
 
-    return run
 
+def _coded(w: list[np.ndarray], hot: np.ndarray, shards: int):
+    """(shard, rows, [its dictionary of words, columns of places in it]) of each shard that has n-grams of w."""
+    u = np.unique(np.append(w[-1], START))  # every word of a text is the last of some n-gram
+    places = [np.searchsorted(u, c) for c in w]
+    for p, rows in _deal(_shard(w, hot, shards), shards):
+        own, mark = [x[rows] for x in places], np.zeros(len(u), bool)
+        for x in own:
+            mark[x] = True
+        new = np.cumsum(mark) - 1
+        yield p, rows, [u[mark], *(new[x] for x in own)]
 
-class Vocabulary:
-    """Ids of word hashes from the mapped vocabulary files. files: (part, size, lowest hash) in order."""
 
-    def __init__(self, folder: str, files: list[tuple[int, int, int]]):
-        files = [f for f in files if f[1]]
-        self.words = [map_array(f"{folder}/words-{p}", "<i8") for p, _, _ in files]
-        self.counts = [map_array(f"{folder}/counts-{p}", "<i8") for p, _, _ in files]
-        self.low = np.array([f[2] for f in files], np.int64)
-        self.first = np.concatenate(([0], np.cumsum([f[1] for f in files]))).astype(np.int64)
-        self.size = int(self.first[-1])
+def _runs(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, np.int64)
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, counts) of sorted int64 hashes; unknown ones have the id ``size`` and count 0."""
-        ids, c = np.full(len(h), self.size, np.int64), np.zeros(len(h), np.int64)
-        edge = np.append(np.searchsorted(h, self.low), len(h))
-        for k, (w, n) in enumerate(zip(self.words, self.counts)):
-            a, b = edge[k], edge[k + 1]
-            if a < b:
-                at = np.minimum(np.searchsorted(w, h[a:b]), len(w) - 1)
-                hit = w[at] == h[a:b]
-                ids[a:b][hit] = self.first[k] + at[hit]
-                c[a:b][hit] = n[at[hit]]
-        return ids, c
 
+def _sum(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted different keys, a row of each, its sum)"""
+    order = np.argsort(keys, kind="stable")
+    first = _runs(keys[order])
+    return keys[order][first], order[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
 
-@lru_cache(2)
-def _vocabulary(folder: str, files: tuple) -> Vocabulary:
-    return Vocabulary(folder, list(files))
 
+def _of_counts(c: np.ndarray) -> list[int]:
+    return np.bincount(np.minimum(c, 5), minlength=6)[1:5].tolist()
 
-def _route(v: np.ndarray, w: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    """Shards: by context, or by the whole bigram where the context is hot (a sorted array of ids)."""
-    at = np.minimum(np.searchsorted(hot, v), len(hot) - 1)
-    key = np.where(hot[at] == v, (v.astype(np.uint64) << U(32)) | w.astype(np.uint64), v.astype(np.uint64))
-    return (mix(key) % U(shards)).astype(np.int64)
 
+# --- fit --------------------------------------------------------------------------------------------------------------
 
-def _bigrams(b: pa.RecordBatch, vocabulary: Vocabulary):
-    """(contexts, words, tokens per text, count of each token); the first context of a text is start = size + 1."""
-    t, n = _tokens(b)
-    u, inv = np.unique(t.view(np.int64), return_inverse=True)
-    ids, c = vocabulary.find(u)
-    w = ids[inv]
-    v = np.empty_like(w)
-    v[1:] = w[:-1]
-    v[np.cumsum(n) - n] = vocabulary.size + 1
-    return v, w, n, c[inv]
 
+def _frequent(most: int):
+    """The most frequent words of each flush with their counts; all tokens under a null word."""
 
-def _count_bigrams(folder: str, files: tuple, hot: np.ndarray, shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, held, size = _vocabulary(folder, files), [], 0
+    @tidy
+    def run(batches):
+        held, size = [], 0
 
         def flush():
-            k, n = np.unique(np.concatenate(held), return_counts=True)
-            v, w = (k >> U(32)).astype(np.int64), (k & U(0xFFFFFFFF)).astype(np.int64)
-            to = _route(v, w, hot, shards)
-            order = np.argsort(to.astype(np.uint16) if shards < 65536 else to, kind="stable")
-            edge = np.searchsorted(to[order], np.arange(shards + 1))
-            v, w, n = v[order], w[order], n[order]
-            return _batch([(COUNT, p, _planes(v[i:j]), _planes(w[i:j]), _planes(n[i:j])) for p, (i, j) in enumerate(zip(edge[:-1], edge[1:])) if i < j])
+            u, n = np.unique(np.concatenate(held), return_counts=True)
+            top = np.argsort(-n, kind="stable")[:most]
+            return pa.RecordBatch.from_arrays([pa.array([None, *u[top].view(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[top].tolist()], pa.int64())], ["h", "c"])
 
         for whole in batches:
             for b in slices(whole):
-                v, w, _, _ = _bigrams(b, vocabulary)
-                held.append((v.astype(np.uint64) << U(32)) | w.astype(np.uint64))
-                size += len(v)
+                held.append(_tokens(b)[0])
+                size += len(held[-1])
                 if size > FLUSH:
                     yield flush()
                     held, size = [], 0
@@ -176,61 +218,146 @@ def _count_bigrams(folder: str, files: tuple, hot: np.ndarray, shards: int):
     return run
 
 
-def _of_counts(c: np.ndarray) -> np.ndarray:
-    return np.bincount(np.minimum(c, 5), minlength=6)[1:5].astype("<i8")
+def _count(order: int, hot: np.ndarray, shards: int):
+    @tidy
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            w = [np.concatenate(c) for c in zip(*held)]
+            _, first, n = np.unique(key_of(w), return_index=True, return_counts=True)
+            w = [c[first] for c in w]
+            by = np.lexsort((w[-1], w[-2]))
+            w, n = [c[by] for c in w], n[by]
+            return _batch([(GRAMS, p, 0, 0, pack_arrays(n[rows], *coded), None) for p, rows, coded in _coded(w, hot, shards)])
+
+        for whole in batches:
+            for b in slices(whole):
+                t, n = _tokens(b)
+                held.append(_windows(t, n, order))
+                size += len(t)
+                if size > FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return run
 
 
-def _contexts(v: np.ndarray, c: np.ndarray):
-    """For sorted contexts: (contexts, totals, followers seen once, twice, more often)."""
-    u, first = np.unique(v, return_index=True)
-    add = lambda x: np.add.reduceat(x, first) if len(first) else np.zeros(0, np.int64)
-    return u, add(c), add((c == 1).astype(np.int64)), add((c == 2).astype(np.int64)), add((c > 2).astype(np.int64))
+def _table(keys: np.ndarray, follower: np.ndarray, counts: np.ndarray, k: int) -> dict[str, np.ndarray]:
+    """Contexts and their followers (places in the shard's words), sorted by both."""
+    by = np.lexsort((follower, keys))
+    first = _runs(keys[by])
+    return {f"context{k}": keys[by][first], f"followers{k}": np.diff(np.append(first, len(by))), f"word{k}": follower[by].astype("<u4"), f"count{k}": counts[by]}
 
 
-def _build_shard(folder: str, hot: np.ndarray, ranges: int, span: int):
-    """Counts of one shard -> its files; what other shards need goes on in rows."""
+def _build(folder: str, order: int, hot: np.ndarray, shards: int):
+    """The n-grams of one shard -> its file; what the second sharding sums goes on in rows, as do counts of counts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, keys, counts = TaskContext.get().partitionId(), [], []
+    @tidy
+    def run(batches):
+        part, blocks = TaskContext.get().partitionId(), []
         for b in batches:
             for r in b.to_pylist():
-                keys.append((_unplanes(r["a"]).astype(np.uint64) << U(32)) | _unplanes(r["b"]).astype(np.uint64))
-                counts.append(_unplanes(r["c"]).astype(np.int64))
-        k, c = _sum_runs(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        write_file(f"{folder}/bigrams-{part}", k.astype("<u8").tobytes())
-        write_file(f"{folder}/bicounts-{part}", c.astype("<u4").tobytes())
-        v, w = (k >> U(32)).astype(np.int64), (k & U(0xFFFFFFFF)).astype(np.int64)
-        hv, hw = np.isin(v, hot), np.isin(w, hot)
-        both = hv & hw
-        yield _batch([
-            (HOT, part, k[both].tobytes(), c[both].tobytes(), _of_counts(c).tobytes(), None),
-            (FOLLOWED, part, *(x.astype("<i8").tobytes() for x in (lambda q: (q[0], np.stack(q[1:])))(_contexts(v[hv], c[hv])))),
-        ])
-        u, n = np.unique(w, return_counts=True)
-        edge = np.searchsorted(u, np.arange(ranges + 1) * span)
-        for p, (i, j) in enumerate(zip(edge[:-1], edge[1:])):
-            if i < j:
-                yield _batch([(CONTINUED, p, u[i:j].astype("<i8").tobytes(), n[i:j].astype("<i8").tobytes())])
+                n, u, *places = unpack_arrays(r["c"])
+                blocks.append((n, *(u[x] for x in places)))
+        n, *w = [np.concatenate(x) for x in zip(*blocks)] if blocks else [np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * order]
+        del blocks
+        stats, files = [], {}
+        known = np.unique(w[-1])  # the words that follow something here
+        if len(known) >= 1 << 32:
+            raise ValueError("a shard has too many words: raise spark.sql.shuffle.partitions")
+        _, rows, counts = _sum(key_of(w), n)
+        w = [c[rows] for c in w]
+        at, is_hot = place(hot, w[-2])
+        v, first, total = _sum(w[-2], counts)  # each word but the last of a text is a context's last word once
+        spread = is_hot[first]
+        stats += [("uses", int(at[f]), int(c)) for f, c in zip(first[spread], total[spread])]
+        files |= {"uses": total[~spread].astype(np.int64)}
+        uses_of = v[~spread]
+        stats.append(("tokens", 0, int(counts.sum())))
+        stats.append(("texts", 0, int(counts[w[-1] == END].sum())))
+        for k in range(order, 1, -1):
+            if k < order:  # counts of the lower orders: how many different words stand before
+                _, rows, counts = _sum(key_of(w[order - k :]), np.ones(len(w[0]), np.int64))
+                w = [c[rows] for c in w]
+                at, is_hot = place(hot, w[-2])
+            own = np.ones(len(counts), bool) if k > 2 else ~is_hot
+            stats += [("order", 4 * k + i, c) for i, c in enumerate(_of_counts(counts[own]))]
+            context = key_of(w[order - k : -1]) if k > 2 else w[-2]
+            files |= _table(context[own], np.searchsorted(known, w[-1][own]), counts[own], k)
+        assert np.array_equal(files["context2"], uses_of)
+        save_arrays(f"{folder}/shard-{part}", {**files, "words": known})
+        many = np.bincount(np.searchsorted(known, w[-1][~is_hot]), minlength=len(known))
+        pair_v, pair_w, pair_n = at[is_hot], w[-1][is_hot], counts[is_hot]
+        to_word, to_pair = _second(known, shards), _second(pair_w, shards)
+        pairs = dict(_deal(to_pair, shards))
+        for p, rows in _deal(to_word, shards):
+            x = pairs.get(p, np.zeros(0, np.int64))
+            x = x[np.lexsort((pair_w[x], pair_v[x]))]
+            yield _batch([(LOWER, p, part, 0, pack_arrays(known[rows], many[rows], pair_v[x], np.searchsorted(known[rows], pair_w[x]), pair_n[x]), None)])
+        yield _batch([(STATS, part, i, c, name.encode(), None) for name, i, c in stats])
 
     return run
 
 
-def _build_range(folder: str, hot: np.ndarray, span: int, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        low = part * span
-        total = np.zeros(max(0, min(span, size - low)), np.int64)
+def _pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return key_of([v.astype(np.uint64), w])
+
+
+def _sum_lower(folder: str, shards: int):
+    """What the shards say of the words of one part of the second sharding -> its file, answers to the shards, counts of counts."""
+
+    @tidy
+    def run(batches):
+        part, got = TaskContext.get().partitionId(), []
         for b in batches:
             for r in b.to_pylist():
-                total[np.frombuffer(r["a"], "<i8") - low] += np.frombuffer(r["b"], "<i8")  # ids of a row differ
-        write_file(f"{folder}/continuation-{part}", total.astype("<u4").tobytes())
-        own = hot[(hot >= low) & (hot < low + len(total))]
-        yield _batch([(HOT, part, own.tobytes(), total[own - low].tobytes(), _of_counts(total[total > 0]).tobytes(), np.array([total.sum()], "<i8").tobytes())])
+                if r["kind"] == LOWER:
+                    got.append((r["a"], unpack_arrays(r["c"])))
+                else:
+                    yield _batch([tuple(r.values())])
+        if not got:
+            got = [(0, [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4])]
+        got.sort(key=lambda x: x[0])
+        pair_v, pair_w, pair_n = (np.concatenate(x) for x in zip(*((v, w[i], n) for _, (w, _, v, i, n) in got)))
+        key, row, total = _sum(_pair_key(pair_v, pair_w), pair_n)
+        word, _, before = _sum(np.concatenate([*(x[0] for _, x in got), pair_w[row]]), np.concatenate([*(x[1] for _, x in got), np.ones(len(row), np.int64)]))
+        save_arrays(f"{folder}/second-{part}", {"words": word, "before": before, "pairs": key, "count": total})
+        stats = [("words", 0, len(word)), ("before", 0, int(before.sum())), *(("order", 4 + i, c) for i, c in enumerate(_of_counts(before))), *(("order", 8 + i, c) for i, c in enumerate(_of_counts(total)))]
+        v = pair_v[row]
+        for name, what in (("total", total), ("once", total == 1), ("twice", total == 2), ("more", total > 2)):
+            s = np.bincount(v, what).astype(np.int64) if len(v) else np.zeros(0, np.int64)
+            stats += [(name, int(i), int(s[i])) for i in np.flatnonzero(s)]
+        yield _batch([(STATS, part, i, int(c), name.encode(), None) for name, i, c in stats])
+        for to, (w, _, v, i, _) in got:
+            k = _pair_key(v, w[i])
+            yield _batch([(ANSWER, to, 0, 0, pack_arrays(w, before[np.searchsorted(word, w)], k, total[np.searchsorted(key, k)]), None)])
 
     return run
 
 
-def discounts(n: np.ndarray) -> np.ndarray:
+def _save_lower(folder: str):
+    """Answers to one shard -> its second file: how many words stand before each of its words, and its bigrams after hot words."""
+
+    @tidy
+    def run(batches):
+        part, got = TaskContext.get().partitionId(), []
+        for b in batches:
+            for r in b.to_pylist():
+                if r["kind"] == ANSWER:
+                    got.append(unpack_arrays(r["c"]))
+                else:
+                    yield _batch([tuple(r.values())])
+        w, before, key, total = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, t) for t in (np.uint64, np.int64, np.uint64, np.int64))
+        i, j = np.argsort(w), np.argsort(key)
+        save_arrays(f"{folder}/lower-{part}", {"words": w[i], "before": before[i], "pairs": key[j], "count": total[j]})
+
+    return run
+
+
+def discounts(n) -> np.ndarray:
     """Modified Kneser-Ney discounts for counts 0, 1, 2, 3 and more, from the counts of counts 1 to 4.
 
     Where a count of counts is missing, as in tiny corpora, the published fallback 0.5, 1, 1.5 is taken for all.
@@ -244,214 +371,260 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Constants, the tables of hot words, and where the files are. Small: goes to the tasks as a broadcast."""
+    """Constants, the totals of hot words, and where the files are. Small: goes to the tasks as a broadcast."""
 
     folder: str
-    files: tuple
+    order: int
     shards: int
-    span: int
-    ranges: int
-    size: int  # V
+    hot: np.ndarray  # sorted hashes, the start among them
     tokens: int  # N
-    hot: np.ndarray  # sorted ids, start included
-    d2: np.ndarray  # discounts of bigrams
-    d1: np.ndarray  # discounts of continuation counts
-    total1: int
-    free1: float  # probability of a word without continuation count
-    hot_total: np.ndarray
+    size: int  # V
+    texts: int  # occurrences of the end token
+    discount: dict[int, np.ndarray]  # by order
+    hot_uses: np.ndarray
+    hot_total: np.ndarray  # of bigrams after a hot word
     hot_gamma: np.ndarray
-    hot_log: np.ndarray  # log10 probabilities of hot words after hot words
+    before: int  # different bigrams
+    free: float  # probability of a word that stands after nothing
 
-    def lower(self, a: np.ndarray) -> np.ndarray:
-        """Unigram probabilities for continuation counts."""
-        return np.maximum(a - self.d1[np.minimum(a, 3)], 0) / max(1, self.total1) + self.free1
+    def cut(self, k: int, c: np.ndarray) -> np.ndarray:
+        """Counts less their discounts."""
+        return np.maximum(c - self.discount[k][np.minimum(c, 3)], 0)
 
-    def continuation(self, ids: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(ids), np.int64)
-        if self.ranges == 1:
-            known = ids < self.size
-            out[known] = _mapped(f"{self.folder}/continuation-0", "<u4")[ids[known]]
-            return out
-        of = ids // self.span
-        for p in np.unique(of[ids < self.size]).tolist():
-            rows = (of == p) & (ids < self.size)
-            out[rows] = _mapped(f"{self.folder}/continuation-{p}", "<u4")[ids[rows] - p * self.span]
-        return out
+    def unigram(self, before: np.ndarray) -> np.ndarray:
+        return self.cut(1, before) / max(1, self.before) + self.free
 
+    def after_hot(self, v: np.ndarray, count: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+        """Bigram probabilities after hot words (by number)."""
+        return self.cut(2, count) / np.maximum(1, self.hot_total[v]) + self.hot_gamma[v] * unigram
 
-@lru_cache(64)
-def _mapped(path: str, dtype: str) -> np.ndarray:
-    return map_array(path, dtype)
 
+def fit(docs: DataFrame, order: int = 3, hot_share: float | None = None) -> Model:
+    """The model of all texts of docs (doc_id, text); null texts count as empty: one end token. Repeated rows count again.
 
-def fit(docs: DataFrame, hot: int = 1024) -> Model:
-    """The model of all texts of docs (doc_id, text); null texts count as empty: one end token.
-
-    hot bounds the words whose tables are gathered on the driver and broadcast (hot**2 * 4 bytes); it does not change
-    probabilities. An empty table gives a model of no words, which scores every token by the free probability.
+    order: 2 or more. hot_share: words of a larger share of the tokens are spread over shards (none: one part in
+    spark.sql.shuffle.partitions); it moves data and changes no probability. The totals of hot words come to the driver:
+    at most 1/hot_share. An empty table gives a model of no words, which scores every token by the free probability.
     """
-    spark = docs.sparkSession
-    m = Model()
-    m.folder, m.shards = shared_dir(spark, "lm"), partitions(spark)
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
+    spark, m = docs.sparkSession, Model()
+    m.folder, m.order, m.shards = shared_dir(spark, "lm"), order, partitions(spark)
     text = docs.select(F.col("text").cast("string"))
-    vocab = stored(text.mapInArrow(_count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), f"{m.folder}/vocabulary")
-    m.size, m.tokens = (int(x or 0) for x in vocab.agg(F.count("*"), F.sum("c")).first())
-    parts = max(1, m.size >> 21)
-    ranged = vocab.repartitionByRange(parts, "h").sortWithinPartitions("h").mapInArrow(_save_words(m.folder), "part int, n long, low long")
-    m.files = tuple(sorted((tuple(r) for r in ranged.collect() if r["n"]), key=lambda f: f[2]))
-    vocabulary = Vocabulary(m.folder, list(m.files))
-    top = np.sort(np.array([r["h"] for r in vocab.orderBy(F.desc("c"), "h").limit(hot).collect()], np.int64))
-    m.hot = np.append(np.sort(vocabulary.find(top)[0]), m.size + 1).astype(np.int64)
-    m.span = 1 << 21
-    m.ranges = max(1, -(-m.size // m.span))
-
-    sent = text.mapInArrow(_count_bigrams(m.folder, m.files, m.hot, m.shards), _ROW)
-    built = sent.repartitionById(m.shards, F.col("part")).mapInArrow(_build_shard(m.folder, m.hot, m.ranges, m.span), _ROW)
-    built = stored(built, f"{m.folder}/built")
-    low = built.where(F.col("kind") == CONTINUED).repartitionById(m.ranges, F.col("part")).mapInArrow(_build_range(m.folder, m.hot, m.span, m.size), _ROW).collect()
-
-    n2, n1, m.total1 = np.zeros(4, np.int64), np.zeros(4, np.int64), 0
-    k = len(m.hot)
-    table, followed, a = np.zeros((k, k), np.int64), np.zeros((4, k), np.int64), np.zeros(k, np.int64)
-    for r in built.where(F.col("kind").isin(HOT, FOLLOWED)).toLocalIterator():
-        if r["kind"] == HOT:
-            key, c = np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int64)
-            v, w = np.searchsorted(m.hot, (key >> U(32)).astype(np.int64)), np.searchsorted(m.hot, (key & U(0xFFFFFFFF)).astype(np.int64))
-            np.add.at(table, (v, w), c)
-            n2 += np.frombuffer(r["c"], "<i8")
-        else:
-            followed[:, np.searchsorted(m.hot, np.frombuffer(r["a"], "<i8"))] += np.frombuffer(r["b"], "<i8").reshape(4, -1)
-    for r in low:
-        a[np.searchsorted(m.hot, np.frombuffer(r["a"], np.int64))] += np.frombuffer(r["b"], np.int64)
-        n1 += np.frombuffer(r["c"], "<i8")
-        m.total1 += int(np.frombuffer(r["d"], "<i8")[0])
-    m.d2, m.d1 = discounts(n2), discounts(n1)
-    words_by = [int(n1[0]), int(n1[1]), m.size - int(n1[0] + n1[1])]
-    free = sum(d * n for d, n in zip(m.d1[1:], words_by)) / m.total1 if m.total1 else 1.0
-    m.free1 = free / (m.size + 1)
-    m.hot_total = followed[0]
-    m.hot_gamma = np.where(followed[0] > 0, m.d2[1:] @ followed[1:] / np.maximum(1, followed[0]), 1.0)
-    first = np.maximum(table - m.d2[np.minimum(table, 3)], 0) / np.maximum(1, followed[0])[:, None]
-    m.hot_log = np.log10(first + m.hot_gamma[:, None] * m.lower(a)[None, :])
+    share = 1 / m.shards if hot_share is None else hot_share
+    seen = text.mapInArrow(_frequent(max(256, 2 * m.shards)), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    seen = stored(seen, f"{m.folder}/frequent")
+    every = seen.where("h is null").select("c").first()
+    top = seen.where(F.col("h").isNotNull() & (F.col("c") > share * (every["c"] if every else 0))).select("h").collect()
+    m.hot = np.unique(np.array([*(np.uint64(r["h"] % 2**64) for r in top), START], np.uint64))
+
+    grams = text.mapInArrow(_count(order, m.hot, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
+    built = grams.mapInArrow(_build(m.folder, order, m.hot, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
+    lower = built.mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
+    stats = stored(lower.mapInArrow(_save_lower(m.folder), _ROW), f"{m.folder}/stats")
+    sums: dict[str, dict[int, int]] = {}
+    for r in stats.groupBy(F.col("c").cast("string").alias("name"), "a").agg(F.sum("b").alias("b")).collect():
+        sums.setdefault(r["name"], {})[r["a"]] = r["b"]
+    one = lambda name: sums.get(name, {}).get(0, 0)
+    of_hot = lambda name: np.array([sums.get(name, {}).get(i, 0) for i in range(len(m.hot))], np.int64)
+    m.tokens, m.texts, m.size, m.before = (one(x) for x in ("tokens", "texts", "words", "before"))
+    counts = {k: [sums.get("order", {}).get(4 * k + i, 0) for i in range(4)] for k in range(1, order + 1)}
+    m.discount = {k: discounts(n) for k, n in counts.items()}
+    m.hot_uses, m.hot_total = of_hot("uses"), of_hot("total")
+    spare = sum(d * of_hot(x) for d, x in zip(m.discount[2][1:], ("once", "twice", "more")))
+    m.hot_gamma = np.where(m.hot_total > 0, spare / np.maximum(1, m.hot_total), 1.0)
+    by = [counts[1][0], counts[1][1], m.size - counts[1][0] - counts[1][1]]
+    m.free = (sum(d * n for d, n in zip(m.discount[1][1:], by)) / m.before if m.before else 1.0) / (m.size + 1)
     return m
 
 
-def _ask(shared, shards: int):
-    """Texts -> a row block of documents with what is known here, and blocks of bigrams to be scored by their shard."""
+# --- score ------------------------------------------------------------------------------------------------------------
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _ask(shared):
+    """Texts -> a block of documents with what is known here, and blocks of n-grams for their shards."""
+
+    @tidy
+    def run(batches):
         m: Model = shared.value
-        vocabulary, part = _vocabulary(m.folder, m.files), TaskContext.get().partitionId()
-        norm = np.log10(float(m.tokens + m.size + 1))
-        docs, asked, size, seen = [], [], 0, 0
+        part, norm = TaskContext.get().partitionId(), np.log10(float(m.tokens + m.size + 1))
+        number, docs, asked, size, known, texts = 0, [], [], 0, {}, 0
 
         def flush():
-            rows = [(DOCS, part % shards, np.array([part], "<i8").tobytes(), np.array([seen - sum(map(len, docs))], "<i8").tobytes(), np.concatenate(docs).tobytes())]
-            if size:
-                of, v, w = (np.concatenate(x) for x in zip(*asked))
-                to = _route(v, w, m.hot, shards)
-                order = np.argsort(to.astype(np.uint16) if shards < 65536 else to, kind="stable")
-                edge = np.searchsorted(to[order], np.arange(shards + 1))
-                of, v, w = of[order], v[order], w[order]
-                for p, (i, j) in enumerate(zip(edge[:-1], edge[1:])):
-                    if i < j:
-                        d, n = np.unique(of[i:j], return_counts=True)  # texts stay in order within a shard
-                        rows.append((ASK, p, np.array([part], "<i8").tobytes(), _planes(d) + _planes(n), _planes(v[i:j]), _planes(w[i:j])))
+            rows = [(DOCS, part % m.shards, part, number, np.concatenate(docs).tobytes(), None)]
+            if asked:
+                of, *w = (np.concatenate(x) for x in zip(*asked))
+                for p, r, coded in _coded(w, m.hot, m.shards):
+                    d, n = np.unique(of[r], return_counts=True)  # texts stay in order within a shard
+                    rows.append((GRAMS, p, part, number, pack_arrays(d, n, *coded), None))
             return _batch(rows)
 
         for whole in batches:
             for b in slices(whole):
-                v, w, n, c = _bigrams(b, vocabulary)
+                t, n = _tokens(b)
+                end = np.cumsum(n)
+                data, off = buffers(b.column("text"))
+                raw, new, text = data.tobytes(), np.zeros(b.num_rows, bool), np.zeros(b.num_rows, np.int32)
+                for i, (x, y) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+                    key = xxhash.xxh3_128_digest(raw[x:y])
+                    if key not in known:
+                        known[key], new[i] = texts, True
+                        texts += 1
+                    text[i] = known[key]
+                w = _windows(t, n, m.order)
                 of = np.repeat(np.arange(b.num_rows), n)
+                v, hot = place(m.hot, w[-2])
+                hot &= w[-2] != START
                 row = np.zeros(b.num_rows, _DOC)
                 row["doc"], row["null"] = b.column("doc_id").fill_null(0).to_numpy(), b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-                row["held"] = b.column("held").to_numpy(zero_copy_only=False)
-                row["n"], row["known"] = n, np.bincount(of, c > 0, b.num_rows)
-                row["base"] = np.bincount(of, np.log10(c + 1.0), b.num_rows) - n * norm
-                hv, hw = np.minimum(np.searchsorted(m.hot, v), len(m.hot) - 1), np.minimum(np.searchsorted(m.hot, w), len(m.hot) - 1)
-                ish, whot = m.hot[hv] == v, m.hot[hw] == w
-                log = np.zeros(len(v))
-                both = ish & whot
-                log[both] = m.hot_log[hv[both], hw[both]]
-                odd = ish & (w == m.size)
-                log[odd] = np.log10(m.hot_gamma[hv[odd]] * m.free1)
-                alone = v == m.size
-                log[alone] = np.log10(m.lower(m.continuation(w[alone])))
-                row["score"] = np.bincount(of, log, b.num_rows)
-                rest = ~(both | odd | alone)
+                row["held"], row["text"], row["n"] = b.column("held").to_numpy(zero_copy_only=False), text, n
+                uses = m.hot_uses[v[hot]]
+                row["known"] = np.bincount(of[hot], uses > 0, b.num_rows).astype(np.int64) + (m.texts > 0)
+                row["base"] = np.bincount(of[hot], np.log10(uses + 1.0), b.num_rows) + np.log10(m.texts + 1.0) - n * norm
                 docs.append(row)
-                asked.append((of[rest] + seen, v[rest], w[rest]))
-                size += int(rest.sum())
-                seen += b.num_rows
+                fresh = np.repeat(new, n)
+                asked.append((text[of[fresh]].astype(np.int64), *(c[fresh] for c in w)))
+                size += int(fresh.sum()) + b.num_rows
+                del end
                 if size > FLUSH:
                     yield flush()
-                    docs, asked, size = [], [], 0
+                    number, docs, asked, size, known, texts = number + 1, [], [], 0, {}, 0
         if docs:
             yield flush()
 
     return run
 
 
-def _answer(shared, shards: int):
-    """Bigrams of one shard -> sums of log10 probabilities by text, from the shard's mapped files."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Shard:
+    """One shard's files: probabilities of n-grams whose context ends in one of its words."""
+
+    def __init__(self, m: Model, part: int):
+        self.m, self.files, self.lower = m, Arrays(f"{m.folder}/shard-{part}"), Arrays(f"{m.folder}/lower-{part}")
+        self.words, self.uses = self.files["words"], self.files["uses"]
+        self.before, self.pairs, self.pair_count = self.lower["before"], self.lower["pairs"], self.lower["count"]
+        self.level = {}
+        for k in range(2, m.order + 1):
+            contexts, followers, count = (self.files[f"{x}{k}"] for x in ("context", "followers", "count"))
+            of = np.repeat(np.arange(len(contexts)), followers)
+            add = lambda x: np.bincount(of, x, len(contexts))  # noqa: B023, E731
+            total = add(count)
+            gamma = sum(d * add(c) for d, c in zip(m.discount[k][1:], (count == 1, count == 2, count > 2))) / np.maximum(1, total)
+            self.level[k] = (contexts, of * len(self.words) + self.files[f"word{k}"].astype(np.int64), count, total, gamma)
+
+    def score(self, w: list[np.ndarray]):
+        """(log10 probability of each n-gram, or of its back-off alone; whether the rest is for the second sharding; uses of the context's last word)."""
+        m, n = self.m, len(w[0])
+        word, here = place(self.words, w[-1])
+        hot, is_hot = place(m.hot, w[-2])
+        p = np.ones(n)
+        p[here] = m.unigram(self.before[word[here]])
+        pair, met = place(self.pairs, _pair_key(hot, w[-1]))
+        met &= is_hot & here
+        far = np.where(is_hot, ~met, ~here)
+        p[met] = m.after_hot(hot[met], self.pair_count[pair[met]], p[met])
+        p[far] = 1.0
+        for k in range(2, m.order + 1):
+            contexts, grams, count, total, gamma = self.level[k]
+            at, has = place(contexts, key_of(w[m.order - k : -1]) if k > 2 else w[-2])
+            if k == 2:
+                has &= ~is_hot
+                uses = np.zeros(n, np.int64)
+                uses[has] = self.uses[at[has]]
+            gram, hit = place(grams, at * len(self.words) + word)
+            hit &= has & here & ~far
+            c = np.zeros(n, np.int64)
+            c[hit] = count[gram[hit]]
+            t, g = (np.where(has, x[at] if len(x) else 1.0, 1.0) for x in (total, gamma))
+            p = np.where(far, g * p, m.cut(k, c) / np.maximum(1, t) + g * p)
+        return np.log10(p), far, uses
+
+
+def _answer(shared):
+    """N-grams of one shard -> sums by text; those whose last bigram the shard has never seen go on to the second sharding."""
+
+    @tidy
+    def run(batches):
         m: Model = shared.value
-        part = TaskContext.get().partitionId()
-        keys = counts = None
+        part, shard = TaskContext.get().partitionId(), None
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == DOCS:
                     yield _batch([tuple(r.values())])
                     continue
-                if keys is None:
-                    keys, counts = map_array(f"{m.folder}/bigrams-{part}", "<u8"), map_array(f"{m.folder}/bicounts-{part}", "<u4")
-                    u, total, once, twice, more = _contexts((keys >> U(32)).astype(np.int64), counts.astype(np.int64))
-                    gamma = (m.d2[1] * once + m.d2[2] * twice + m.d2[3] * more) / np.maximum(1, total)
-                    at = np.minimum(np.searchsorted(m.hot, u), len(m.hot) - 1)
-                    hot = m.hot[at] == u
-                    total, gamma = np.where(hot, m.hot_total[at], total), np.where(hot, m.hot_gamma[at], gamma)
-                v, w = _unplanes(r["c"]).astype(np.int64), _unplanes(r["d"]).astype(np.int64)
-                k = (v.astype(np.uint64) << U(32)) | w.astype(np.uint64)
-                c = np.zeros(len(k), np.int64)
-                t, g = np.ones(len(k)), np.ones(len(k))
-                if len(keys):
-                    i = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                    hit = keys[i] == k
-                    c[hit] = counts[i[hit]]
-                    i = np.minimum(np.searchsorted(u, v), len(u) - 1)
-                    hit = u[i] == v
-                    t[hit], g[hit] = total[i[hit]], gamma[i[hit]]
-                i = np.minimum(np.searchsorted(m.hot, v), len(m.hot) - 1)
-                hit = m.hot[i] == v  # a hot context may have no bigram in this shard
-                t[hit], g[hit] = np.maximum(1, m.hot_total[i[hit]]), m.hot_gamma[i[hit]]
-                log = np.log10(np.maximum(c - m.d2[np.minimum(c, 3)], 0) / t + g * m.lower(m.continuation(w)))
-                half = len(r["b"]) // 2
-                d, n = _unplanes(r["b"][:half]), _unplanes(r["b"][half:]).astype(np.int64)
-                sums = np.add.reduceat(log, np.cumsum(n) - n)
-                yield _batch([(ASK, int(np.frombuffer(r["a"], "<i8")[0]) % shards, r["a"], d.tobytes(), sums.tobytes())])
+                shard = shard or Shard(m, part)
+                d, n, u, *places = unpack_arrays(r["c"])
+                w = [u[x] for x in places]
+                log, far, uses = shard.score(w)
+                first = np.cumsum(n) - n
+                sums = [np.add.reduceat(x, first) for x in (log, np.log10(uses + 1.0), (uses > 0).astype(np.int64))]
+                rows = [(SUMS, r["a"] % m.shards, r["a"], r["b"], np.stack([d.astype(np.float64), *sums]).tobytes(), None)]
+                of, hot = np.repeat(d, n)[far], place(m.hot, w[-2][far])
+                last, v = w[-1][far], np.where(hot[1], hot[0], -1)
+                rows += [(ASK, p, r["a"], r["b"], pack_arrays(of[x], v[x], last[x]), None) for p, x in _deal(_second(last, m.shards), m.shards)]
+                yield _batch(rows)
+
+    return run
+
+
+def _answer_second(shared):
+    """Words of one part of the second sharding -> sums by text. Sums of the shards are added up on the way."""
+
+    @tidy
+    def run(batches):
+        m: Model = shared.value
+        file, sums = None, {}
+        for b in batches:
+            for r in b.to_pylist():
+                if r["kind"] == DOCS:
+                    yield _batch([tuple(r.values())])
+                elif r["kind"] == SUMS:
+                    sums.setdefault((r["a"], r["b"]), []).append(r["c"])
+                else:
+                    if file is None:
+                        f = Arrays(f"{m.folder}/second-{TaskContext.get().partitionId()}")
+                        file = [f[x] for x in ("words", "before", "pairs", "count")]
+                    known, before, pairs, count = file
+                    of, v, w = unpack_arrays(r["c"])
+                    at, here = place(known, w)
+                    p = np.full(len(w), m.free)
+                    p[here] = m.unigram(before[at[here]])
+                    at, met = place(pairs, _pair_key(v, w))
+                    c = np.zeros(len(w), np.int64)
+                    c[met] = count[at[met]]
+                    hot = v >= 0
+                    p[hot] = m.after_hot(v[hot], c[hot], p[hot])
+                    d, inv = np.unique(of, return_inverse=True)
+                    s = np.zeros((4, len(d)))
+                    s[0], s[1] = d, np.bincount(inv, np.log10(p), len(d))
+                    yield _batch([(SUMS, r["a"] % m.shards, r["a"], r["b"], s.tobytes(), None)])
+        for (a, b), blocks in sums.items():
+            yield _batch([(SUMS, a % m.shards, a, b, _added(blocks).tobytes(), None)])
 
     return run
 
 
+def _added(blocks: list[bytes]) -> np.ndarray:
+    """Sums by text, in one order whatever came first."""
+    d, *x = np.concatenate([np.frombuffer(s, np.float64).reshape(4, -1) for s in sorted(blocks)], 1)
+    u, inv = np.unique(d, return_inverse=True)
+    return np.stack([u, *(np.bincount(inv, y, len(u)) for y in x)])
+
+
+@tidy
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    docs: dict[int, list] = {}
-    sums: dict[int, list] = {}
+    docs, sums = {}, {}
     for b in batches:
         for r in b.to_pylist():
-            part = int(np.frombuffer(r["a"], "<i8")[0])
-            if r["kind"] == DOCS:
-                docs.setdefault(part, []).append((int(np.frombuffer(r["b"], "<i8")[0]), np.frombuffer(r["c"], _DOC)))
-            else:
-                sums.setdefault(part, []).append((np.frombuffer(r["b"], "<u4"), np.frombuffer(r["c"], np.float64)))
-    for part, blocks in docs.items():
-        rows = np.concatenate([x for _, x in sorted(blocks, key=lambda x: x[0])])
-        score = rows["score"].copy()
-        for at, s in sorted(sums.pop(part, []), key=lambda x: (len(x[0]), x[1].tobytes())):  # one order, whatever came first
-            np.add.at(score, at, s)
-        null = rows["null"].astype(bool)
+            (docs if r["kind"] == DOCS else sums).setdefault((r["a"], r["b"]), []).append(r["c"])
+    for key, (raw,) in docs.items():
+        rows = np.frombuffer(raw, _DOC)
+        total = np.zeros((3, rows["text"].max() + 1))
+        if key in sums:
+            d, *x = _added(sums.pop(key))
+            total[:, d.astype(np.int64)] = x
+        score, base, known = total[:, rows["text"]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows["doc"], mask=null), pa.array(rows["held"].astype(bool)), pa.array(rows["n"]), pa.array(rows["known"]), pa.array(rows["base"]), pa.array(score)],
+            [pa.array(rows["doc"], mask=rows["null"].astype(bool)), pa.array(rows["held"].astype(bool)), pa.array(rows["n"]), pa.array(rows["known"] + known.astype(np.int64)), pa.array(rows["base"] + base), pa.array(score)],
             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
         )
 
@@ -464,8 +637,9 @@ def score(docs: DataFrame, model: Model, held_out: Column | None = None) -> Data
     empty table stays empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    deal = lambda df: df.repartitionById(model.shards, F.col("part"))
     rows = docs.select(F.col("doc_id").cast("long"), (F.lit(False) if held_out is None else held_out).alias("held"), F.col("text").cast("string"))
-    asked = rows.mapInArrow(_ask(shared, model.shards), _ROW).repartitionById(model.shards, F.col("part"))
-    back = asked.mapInArrow(_answer(shared, model.shards), _ROW).repartitionById(model.shards, F.col("part"))
+    asked = deal(rows.mapInArrow(_ask(shared), _ROW))
+    back = deal(deal(asked.mapInArrow(_answer(shared), _ROW)).mapInArrow(_answer_second(shared), _ROW))
     out = back.mapInArrow(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

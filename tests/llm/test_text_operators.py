@@ -122,49 +122,77 @@ def test_bpe_spark(docs):
         assert r["decoded_sha256"] == hashlib.sha256((rows[r["doc_id"]][1] or "").encode()).hexdigest()
 
 
-def kneser_ney(rows):
-    """The scores by plain dictionaries."""
+def kneser_ney(rows, order):
+    """The scores by plain dictionaries: counts, continuation counts, discounts, back-off, all written out."""
     tok = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
+    grams = lambda w: [tuple((["<s>"] * (order - 1) + w)[i : i + order]) for i in range(len(w))]
     held = {i: zlib.crc32(str(d).encode()) % 7 == 2 if d is not None else False for i, (d, *_) in enumerate(rows)}
-    uni, bi = collections.Counter(), collections.Counter()
+    count = {order: collections.Counter()}
+    uni = collections.Counter()
     for i, (_, t, *_) in enumerate(rows):
         if not held[i]:
-            w = tok(t)
-            uni.update(w)
-            bi.update(zip(["<s>", *w], w))
-    n, v = sum(uni.values()), len(uni)
-    cont = collections.Counter(w for _, w in bi)
-    d2 = lm.discounts([sum(c == k for c in bi.values()) for k in (1, 2, 3, 4)])
-    d1 = lm.discounts([sum(c == k for c in cont.values()) for k in (1, 2, 3, 4)])
-    total1 = sum(cont.values())
-    free = sum(d1[min(c, 3)] for c in cont.values()) / total1 / (v + 1)
-    low = lambda w: max(cont[w] - d1[min(cont[w], 3)], 0) / total1 + free
-    after = collections.defaultdict(list)
-    for (a, _), c in bi.items():
-        after[a].append(c)
+            uni.update(tok(t))
+            count[order].update(grams(tok(t)))
+    for k in range(order - 1, 0, -1):
+        count[k] = collections.Counter(g[1:] for g in count[k + 1])
+    n, v, cut = sum(uni.values()), len(uni), {}
+    for k, c in count.items():
+        n1, n2, n3, n4 = (sum(x == j for x in c.values()) for j in (1, 2, 3, 4))
+        cut[k] = {0: 0, 1: 0.5, 2: 1.0, 3: 1.5}
+        if min(n1, n2, n3, n4) > 0:
+            y = n1 / (n1 + 2 * n2)
+            d = {0: 0, 1: 1 - 2 * y * n2 / n1, 2: 2 - 3 * y * n3 / n2, 3: 3 - 4 * y * n4 / n3}
+            if min(d.values()) >= 0 and all(d[j] <= j for j in d):
+                cut[k] = d
+    after = {k: collections.defaultdict(list) for k in count}
+    for k, c in count.items():
+        for g, x in c.items():
+            after[k][g[:-1]].append(x)
+
+    def p(g):
+        k = len(g)
+        if k == 0:
+            return 1 / (v + 1)
+        followers = after[k].get(g[:-1])
+        if not followers:
+            return p(g[1:])
+        total, spare = sum(followers), sum(cut[k][min(x, 3)] for x in followers)
+        x = count[k].get(g, 0)
+        return max(x - cut[k][min(x, 3)], 0) / total + spare / total * p(g[1:])
+
     out = []
     for i, (d, t, *_) in enumerate(rows):
         w = tok(t)
         base = sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w)
-        score = 0.0
-        for a, b in zip(["<s>", *w], w):
-            s = sum(after[a])
-            g = sum(d2[min(c, 3)] for c in after[a]) / s if s else 1.0
-            score += math.log10((max(bi[a, b] - d2[min(bi[a, b], 3)], 0) / s if s else 0) + g * low(b))
-        out.append((str(d), held[i], len(w), sum(uni[x] > 0 for x in w), n, base, score))
+        out.append((str(d), held[i], len(w), sum(uni[x] > 0 for x in w), n, base, sum(math.log10(p(g)) for g in grams(w))))
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [4, 1024])
-def test_kneser_ney(spark, hot):
+@pytest.mark.parametrize("order,hot_share", [(2, 0.0), (2, None), (3, 0.0), (3, 0.02), (3, 1.0), (4, 0.05)])
+def test_kneser_ney(spark, order, hot_share):
     r = random.Random(4)
     vocab = [f"w{i}" for i in range(300)] + ["The", "É"]
     rows = [(i, " ".join(vocab[min(len(vocab) - 1, int(r.paretovariate(0.7)))] for _ in range(r.randrange(80))), "x") for i in range(300)]
-    rows += [(None, "w1 w2", "x"), (900, None, "x"), (910, MORSE, "x"), (911, MORSE.translate(str.maketrans("ab", "ba")), "x"), (901, "", "x"), (902, "never seen words", "x"), rows[5]]
-    df = spark.createDataFrame(rows, "doc_id long, text string, part string")
-    got = sorted((str(x[0]), *x[1:]) for x in lm.score(df, lm.fit(df.where(~lm.is_held_out()), hot), lm.is_held_out()).collect())
-    want = kneser_ney(rows)
-    for a, b in zip(got, want, strict=True):
+    rows += [(None, "w1 w2", "x"), (900, None, "x"), (910, MORSE, "x"), (911, MORSE.translate(str.maketrans("ab", "ba")), "x"), (901, "", "x"), (902, "never seen words", "x"), (903, "w1 w1 w1 " * 5000, "x"), rows[5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, part string").repartition(3)
+    got = sorted((str(x[0]), *x[1:]) for x in lm.score(df, lm.fit(df.where(~lm.is_held_out()), order, hot_share), lm.is_held_out()).collect())
+    for a, b in zip(got, kneser_ney(rows, order), strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
-    empty = df.limit(0)
+
+
+def test_kneser_ney_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score(empty, lm.fit(empty)).collect() == []
+    some = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert sorted(x["score"] for x in lm.score(some, lm.fit(empty)).collect()) == [0.0, 0.0]
+    with pytest.raises(ValueError, match="order"):
+        lm.fit(empty, 1)
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    c = np.array([1, 254, 255, 256, 2**40, 0])
+    lm.save_arrays(f"file://{tmp_path}/a", {"c": c, "h": np.array([5, 2**64 - 1], np.uint64), "none": c[:0]})
+    a = lm.Arrays(f"file://{tmp_path}/a")
+    assert a["c"].tolist() == c.tolist() and a["h"].tolist() == [5, 2**64 - 1] and a["none"].tolist() == []
+    x, y = lm.unpack_arrays(lm.pack_arrays(c, a["h"]))
+    assert x.tolist() == c.tolist() and y.tolist() == a["h"].tolist()
