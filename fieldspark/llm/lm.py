@@ -6,8 +6,8 @@ orders from two up are sums within one shard. The few words that hold more than
 are spread by the word before (order two: by the word after), and what only the sum over shards can tell, which is the
 bigrams after hot words and the unigrams, is summed in a second sharding by the predicted word and sent back.
 
-Each shard writes one file below the shared folder and maps it in memory to score: sorted context keys, the words that
-follow each, their counts. The second sharding has files of its own, for what a shard has never seen. Texts are read
+Each shard writes one file below the shared folder and maps it in memory to score: its words as sorted hashes, its
+contexts as a trie from the last word to the first, the words that follow each, and their counts. The second sharding has files of its own, for what a shard has never seen. Texts are read
 three times; n-grams are summed per task before they are shuffled; of equal texts held at a time one is scored.
 """
 
@@ -28,7 +28,7 @@ from .store import map_array, partitions, shared_dir, stored, write_file
 from .worker import tidy
 
 END, START = U(0x5E9D0E9D0E9D0E9D), U(0x57A2757A2757A275)  # stand for the end of a text and for what is before it
-FLUSH = 3 << 20
+FLUSH = 4 << 20  # tokens held by a task before their n-grams are sent on
 _ROW = "kind int, part int, a long, b long, c binary, d binary"
 _ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.binary()), ("d", pa.binary())])
 _DOC = np.dtype([("doc", "i8"), ("null", "u1"), ("held", "u1"), ("text", "i4"), ("n", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")])
@@ -48,9 +48,9 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """int64 arrays in byte planes, uint64 arrays (hashes) as they are, compressed together."""
+    """int64 and uint64 arrays in byte planes, compressed together: of sorted hashes and small numbers whole planes vanish."""
     out = [np.array([len(arrays), *((-len(a) - 1) if a.dtype == np.uint64 else len(a) for a in arrays)], "<i8").tobytes()]
-    out += [a.tobytes() if a.dtype == np.uint64 else np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays]
+    out += [np.ascontiguousarray(a.astype(a.dtype if a.dtype == np.uint64 else "<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays]
     return zstd.ZstdCompressor(level=1).compress(b"".join(out))
 
 
@@ -59,9 +59,8 @@ def unpack_arrays(raw: bytes) -> list[np.ndarray]:
     count = int(np.frombuffer(raw, "<i8", 1)[0])
     at, out = 8 * (count + 1), []
     for n in np.frombuffer(raw, "<i8", count, 8).tolist():
-        size = n if n >= 0 else -n - 1
-        flat = np.frombuffer(raw, np.uint8, 8 * size, at)
-        out.append(np.ascontiguousarray(flat.reshape(8, -1).T).view("<i8").reshape(-1) if n >= 0 else flat.view(np.uint64))
+        size, kind = (n, "<i8") if n >= 0 else (-n - 1, "<u8")
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, -1).T).view(kind).reshape(-1))
         at += 8 * size
     return out
 
@@ -245,11 +244,32 @@ def _count(order: int, hot: np.ndarray, shards: int):
     return run
 
 
-def _table(keys: np.ndarray, follower: np.ndarray, counts: np.ndarray, k: int) -> dict[str, np.ndarray]:
-    """Contexts and their followers (places in the shard's words), sorted by both."""
-    by = np.lexsort((follower, keys))
-    first = _runs(keys[by])
-    return {f"context{k}": keys[by][first], f"followers{k}": np.diff(np.append(first, len(by))), f"word{k}": follower[by].astype("<u4"), f"count{k}": counts[by]}
+class Words:
+    """The words of a shard by place; a start has the place behind them, other words none."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, self.size = known, len(known) + 1
+
+    def place(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, here = place(self.known, w)
+        start = w == START
+        return np.where(start, len(self.known), at), here | start
+
+
+def _contexts(w: list[np.ndarray], k: int, second: np.ndarray, hot: np.ndarray, words: Words, levels: dict[int, np.ndarray]):
+    """(number, whether it is known) of the contexts of k-grams w, up a trie from the last word to the first.
+
+    second: sorted last words; hot words are numbered behind them. levels: sorted keys (number of the shorter context,
+    place of the word before) of the longer contexts.
+    """
+    at, has = place(second, w[-2])
+    spread, is_hot = place(hot, w[-2])
+    at, has = np.where(is_hot, len(second) + spread, at), has | is_hot
+    for j in range(3, k + 1):
+        before, known = words.place(w[-j])
+        at, found = place(levels[j], at * words.size + before)
+        has = has & known & found
+    return at, has
 
 
 def _build(folder: str, order: int, hot: np.ndarray, shards: int):
@@ -264,39 +284,48 @@ def _build(folder: str, order: int, hot: np.ndarray, shards: int):
                 blocks.append((n, *(u[x] for x in places)))
         n, *w = [np.concatenate(x) for x in zip(*blocks)] if blocks else [np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * order]
         del blocks
-        stats, files = [], {}
-        known = np.unique(w[-1])  # the words that follow something here
-        if len(known) >= 1 << 32:
+        known = np.unique(np.concatenate([*w[:-2], w[-1]]))
+        words = Words(known[known != START])
+        if words.size >= 1 << 32:
             raise ValueError("a shard has too many words: raise spark.sql.shuffle.partitions")
         _, rows, counts = _sum(key_of(w), n)
-        w = [c[rows] for c in w]
-        at, is_hot = place(hot, w[-2])
+        grams = {order: ([c[rows] for c in w], counts)}
+        for k in range(order - 1, 1, -1):  # counts of the lower orders: how many different words stand before
+            w, _ = grams[k + 1]
+            _, rows, counts = _sum(key_of(w[1:]), np.ones(len(w[0]), np.int64))
+            grams[k] = ([c[rows] for c in w[1:]], counts)
+        w, counts = grams[order]
+        stats = [("tokens", 0, int(counts.sum())), ("texts", 0, int(counts[w[-1] == END].sum()))]
         v, first, total = _sum(w[-2], counts)  # each word but the last of a text is a context's last word once
-        spread = is_hot[first]
-        stats += [("uses", int(at[f]), int(c)) for f, c in zip(first[spread], total[spread])]
-        files |= {"uses": total[~spread].astype(np.int64)}
-        uses_of = v[~spread]
-        stats.append(("tokens", 0, int(counts.sum())))
-        stats.append(("texts", 0, int(counts[w[-1] == END].sum())))
-        for k in range(order, 1, -1):
-            if k < order:  # counts of the lower orders: how many different words stand before
-                _, rows, counts = _sum(key_of(w[order - k :]), np.ones(len(w[0]), np.int64))
-                w = [c[rows] for c in w]
-                at, is_hot = place(hot, w[-2])
-            own = np.ones(len(counts), bool) if k > 2 else ~is_hot
+        at, is_hot = place(hot, v)
+        stats += [("uses", int(i), int(c)) for i, c in zip(at[is_hot], total[is_hot])]
+        second, files, levels, shorter = v[~is_hot], {"words": words.known, "context2": v[~is_hot], "uses": total[~is_hot].astype(np.int64)}, {}, len(v[~is_hot]) + len(hot)
+        for k in range(2, order + 1):
+            w, counts = grams[k]
+            if k > 2:
+                at, _ = _contexts(w, k - 1, second, hot, words, levels)
+                keys = at * words.size + words.place(w[-k])[0]
+                levels[k] = np.unique(keys)
+                files[f"longer{k}"] = np.bincount(levels[k] // words.size, minlength=shorter).astype(np.int64)
+                files[f"first{k}"] = (levels[k] % words.size).astype("<u4")
+                shorter, of = len(levels[k]), np.searchsorted(levels[k], keys)
+                own = np.ones(len(counts), bool)
+            else:
+                hot_at, is_hot = place(hot, w[-2])
+                own, of = ~is_hot, np.searchsorted(second, w[-2])
             stats += [("order", 4 * k + i, c) for i, c in enumerate(_of_counts(counts[own]))]
-            context = key_of(w[order - k : -1]) if k > 2 else w[-2]
-            files |= _table(context[own], np.searchsorted(known, w[-1][own]), counts[own], k)
-        assert np.array_equal(files["context2"], uses_of)
-        save_arrays(f"{folder}/shard-{part}", {**files, "words": known})
-        many = np.bincount(np.searchsorted(known, w[-1][~is_hot]), minlength=len(known))
-        pair_v, pair_w, pair_n = at[is_hot], w[-1][is_hot], counts[is_hot]
-        to_word, to_pair = _second(known, shards), _second(pair_w, shards)
-        pairs = dict(_deal(to_pair, shards))
-        for p, rows in _deal(to_word, shards):
+            follower = np.searchsorted(words.known, w[-1][own])
+            by = np.lexsort((follower, of[own]))
+            files |= {f"followers{k}": np.bincount(of[own], minlength=len(second) if k == 2 else shorter).astype(np.int64), f"word{k}": follower[by].astype("<u4"), f"count{k}": counts[own][by]}
+        save_arrays(f"{folder}/shard-{part}", files)
+        w, counts = grams[2]
+        many = np.bincount(np.searchsorted(words.known, w[-1][~is_hot]), minlength=len(words.known))
+        pair_v, pair_w, pair_n = hot_at[is_hot], w[-1][is_hot], counts[is_hot]
+        pairs = dict(_deal(_second(pair_w, shards), shards))
+        for p, rows in _deal(_second(words.known, shards), shards):
             x = pairs.get(p, np.zeros(0, np.int64))
             x = x[np.lexsort((pair_w[x], pair_v[x]))]
-            yield _batch([(LOWER, p, part, 0, pack_arrays(known[rows], many[rows], pair_v[x], np.searchsorted(known[rows], pair_w[x]), pair_n[x]), None)])
+            yield _batch([(LOWER, p, part, 0, pack_arrays(words.known[rows], many[rows], pair_v[x], np.searchsorted(words.known[rows], pair_w[x]), pair_n[x]), None)])
         yield _batch([(STATS, part, i, c, name.encode(), None) for name, i, c in stats])
 
     return run
@@ -499,22 +528,25 @@ class Shard:
     """One shard's files: probabilities of n-grams whose context ends in one of its words."""
 
     def __init__(self, m: Model, part: int):
-        self.m, self.files, self.lower = m, Arrays(f"{m.folder}/shard-{part}"), Arrays(f"{m.folder}/lower-{part}")
-        self.words, self.uses = self.files["words"], self.files["uses"]
-        self.before, self.pairs, self.pair_count = self.lower["before"], self.lower["pairs"], self.lower["count"]
-        self.level = {}
+        self.m, files, lower = m, Arrays(f"{m.folder}/shard-{part}"), Arrays(f"{m.folder}/lower-{part}")
+        self.words, self.second, self.uses = Words(files["words"]), files["context2"], files["uses"]
+        self.before, self.pairs, self.pair_count = lower["before"], lower["pairs"], lower["count"]
+        self.longer, self.level = {}, {}
         for k in range(2, m.order + 1):
-            contexts, followers, count = (self.files[f"{x}{k}"] for x in ("context", "followers", "count"))
-            of = np.repeat(np.arange(len(contexts)), followers)
-            add = lambda x: np.bincount(of, x, len(contexts))  # noqa: B023, E731
+            if k > 2:
+                longer = files[f"longer{k}"]
+                self.longer[k] = np.repeat(np.arange(len(longer)), longer) * self.words.size + files[f"first{k}"].astype(np.int64)
+            followers, count = files[f"followers{k}"], files[f"count{k}"]
+            of = np.repeat(np.arange(len(followers)), followers)
+            add = lambda x: np.bincount(of, x, len(followers))  # noqa: B023, E731
             total = add(count)
             gamma = sum(d * add(c) for d, c in zip(m.discount[k][1:], (count == 1, count == 2, count > 2))) / np.maximum(1, total)
-            self.level[k] = (contexts, of * len(self.words) + self.files[f"word{k}"].astype(np.int64), count, total, gamma)
+            self.level[k] = (of * self.words.size + files[f"word{k}"].astype(np.int64), count, total, gamma)
 
     def score(self, w: list[np.ndarray]):
         """(log10 probability of each n-gram, or of its back-off alone; whether the rest is for the second sharding; uses of the context's last word)."""
         m, n = self.m, len(w[0])
-        word, here = place(self.words, w[-1])
+        word, here = place(self.words.known, w[-1])
         hot, is_hot = place(m.hot, w[-2])
         p = np.ones(n)
         p[here] = m.unigram(self.before[word[here]])
@@ -524,13 +556,14 @@ class Shard:
         p[met] = m.after_hot(hot[met], self.pair_count[pair[met]], p[met])
         p[far] = 1.0
         for k in range(2, m.order + 1):
-            contexts, grams, count, total, gamma = self.level[k]
-            at, has = place(contexts, key_of(w[m.order - k : -1]) if k > 2 else w[-2])
+            grams, count, total, gamma = self.level[k]
+            at, has = _contexts(w, k, self.second, m.hot, self.words, self.longer)
             if k == 2:
                 has &= ~is_hot
+                at = np.where(has, at, 0)
                 uses = np.zeros(n, np.int64)
                 uses[has] = self.uses[at[has]]
-            gram, hit = place(grams, at * len(self.words) + word)
+            gram, hit = place(grams, at * self.words.size + word)
             hit &= has & here & ~far
             c = np.zeros(n, np.int64)
             c[hit] = count[gram[hit]]
