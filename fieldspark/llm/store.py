@@ -31,9 +31,21 @@ def remove(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """Writes df below the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    """Writes df below the shared folder and reads it back: cuts the lineage, survives lost executors.
+
+    What was shuffled for it has no more use once it is written, so Spark is told to drop those files.
+    """
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.set(CLEANUP, was)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
