@@ -44,9 +44,19 @@ def normalise_landed(spark: SparkSession, root: str) -> DataFrame:
     return merge.union_sources(frames)
 
 
+def premerge(clean: DataFrame, dp: int = 4) -> DataFrame:
+    """Screened, within-source deduplicated records with their derived columns.
+
+    The deduplicated records are written once to the shared folder: what follows reads them several times, each time with
+    other columns, and would sort and shuffle them anew.
+    """
+    within = files.kept(normalise.dedup_within_source(normalise.screen_coords(clean), order()), "within")
+    return merge.add_basics(within, order(), dp, bucket())
+
+
 def merge_stage(clean: DataFrame, dp: int = 4, prefer: str = "GBIF", **log) -> tuple[DataFrame, DataFrame]:
     """(merged without strict duplicates, run log) of screened and within-source deduplicated records. log: see runlog_merged."""
-    pre = merge.add_basics(normalise.dedup_within_source(normalise.screen_coords(clean), order()), order(), dp, bucket())
+    pre = premerge(clean, dp)
     strict = merge.flag_strict(pre, prefer)
     return strict.where(~F.col("strict_drop")).drop("strict_drop"), report.runlog_merged(pre, strict, **log)
 

@@ -143,7 +143,7 @@ def _within(spark, sf) -> DataFrame:
 
 
 def _pre(spark, sf) -> DataFrame:
-    return merge.add_basics(_within(spark, sf), stages.order(), bucket=stages.bucket())
+    return stages.premerge(_clean(spark, sf))
 
 
 def _all(spark, sf) -> DataFrame:
@@ -592,6 +592,12 @@ def _judged(name: str):
 for _name, (_, _found) in POLICIES.items():
     _query(f"SELECT {_ID}, {_reason(_found)} AS drop_reason FROM t", name=_name)(_judged(_name))
 
+
+@_query(f"SELECT {_ID} FROM t WHERE {_reason(_BASE_RULES)} IS NULL")
+def policy_filter(spark, sf):
+    return policy.policy_filter(_flagged(spark, sf), BASELINE, F.lit(AS_OF)).select(*_IDS)
+
+
 _ALL_RULES = [*RULES, "extra__in_situ_only"]
 _LOG = f"""judged AS (SELECT *, {_reason(_BASE_RULES)} AS drop_reason FROM t),
 lg AS (SELECT species_slug, count(*) AS n_in, count(*) FILTER (drop_reason IS NULL) AS n_out, {", ".join(f"count(*) FILTER (drop_reason = '{r}') AS dropped_{r}" for r in _ALL_RULES)} FROM judged GROUP BY species_slug)"""
