@@ -25,10 +25,10 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[Column], bucket: Col
     rows = df.withColumn("_b", bucket)
     sizes = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))
     before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_b").alias("_s"), F.coalesce(before, F.lit(0)).alias("_before"))
-    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_b").eqNullSafe(F.col("_s")))
+    starts = sizes.select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.col("_b").alias("_at"), F.coalesce(before, F.lit(0)).alias("_before"))
+    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_b").eqNullSafe(F.col("_at")))
     own = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
-    return own.join(starts, same).withColumn("_n", F.col("_n") + F.col("_before")).drop("_b", "_s", "_before", *(f"_{k}" for k in keys))
+    return own.join(starts, same).withColumn("_n", F.col("_n") + F.col("_before")).drop("_b", "_at", "_before", *(f"_of_{k}" for k in keys))
 
 
 def add_basics(df: DataFrame, order: list[Column], dp: int = 4, bucket: Column | None = None) -> DataFrame:

@@ -58,6 +58,33 @@ def normalise(df: DataFrame, source: str, expected: tuple[str, ...] | None = Non
     )
 
 
+def normalise_both(df: DataFrame) -> DataFrame:
+    """The clean schema of records of both sources (column source) in one pass; records of any other source are left out."""
+    gbif = F.col("source") == "GBIF"
+    pick = lambda a, b: F.when(gbif, a).otherwise(b)
+    raw = pick(col_or_null(df, "license"), col_or_null(df, "dcterms:license" if "dcterms:license" in df.columns else "license"))
+    code = pick(licence_code_gbif(raw), licence_code_nbn(raw))
+    return df.where(F.col("source").isin(*EXPECTED)).select(
+        "source",
+        col_or_null(df, "species").alias("species"),
+        slugify(col_or_null(df, "species")).alias("species_slug"),
+        pick(*(col_or_null(df, record_id_column(df.columns, s)) for s in ("GBIF", "NBN"))).alias("source_record_id"),
+        *(F.when(gbif if s == "GBIF" else ~gbif, col_or_null(df, c)).alias(c) for s in _OWN for c in _OWN[s]),
+        safe_double(col_or_null(df, "decimalLongitude")).alias("lon"),
+        safe_double(col_or_null(df, "decimalLatitude")).alias("lat"),
+        col_or_null(df, "eventDate").alias("date_raw"),
+        safe_int(col_or_null(df, "year")).alias("year_raw"),
+        col_or_null(df, "countryCode").alias("country"),
+        raw.alias("licence_raw"),
+        code.alias("licence"),
+        pick(*(licence_expected(code, EXPECTED[s]) for s in ("GBIF", "NBN"))).alias("licence_expected"),
+        safe_double(col_or_null(df, "coordinateUncertaintyInMeters")).alias("coordinateUncertaintyInMeters"),
+        *(col_or_null(df, c).alias(c) for c in _SHARED),
+        (col_or_null(df, "issues") if "issues" in df.columns else col_or_null(df, "issue")).alias("issues"),
+        *(F.col(c) for c in ("k", "copy_no") if c in df.columns),
+    )
+
+
 def refresh_expected(clean: DataFrame, source: str, expected: tuple[str, ...] | None = None) -> DataFrame:
     """A clean table that was kept: texts and numbers cast anew, licence_expected by the set that holds now."""
     number = {"lon": safe_double, "lat": safe_double, "coordinateUncertaintyInMeters": safe_double, "year_raw": safe_int}

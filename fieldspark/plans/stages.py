@@ -24,10 +24,10 @@ def bucket() -> Column:
 
 
 def normalise_stage(raw: DataFrame) -> DataFrame:
-    """Both sources of a landed frame in one clean schema. record_id names a record of either source, if the raw frame has it."""
-    names = {"GBIF": "gbifID", "NBN": "recordID"}
-    split = {s: raw.withColumnRenamed("record_id", names[s]) for s in names}
-    return merge.union_sources([normalise.normalise(split[s].where(F.col("source") == s), s) for s in names])
+    """Both sources of a landed frame in one clean schema, in one pass. record_id names a record of either source, if the raw frame has it."""
+    if "record_id" in raw.columns:
+        raw = raw.withColumns({"gbifID": F.col("record_id"), "recordID": F.col("record_id")})
+    return normalise.normalise_both(raw)
 
 
 def normalise_landed(spark: SparkSession, root: str) -> DataFrame:

@@ -77,8 +77,9 @@ SELECT * FROM (VALUES
 
 
 def occ_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records in one scan of orders."""
+    """The records in one scan of orders, whose two columns are spread first: its file may be a single split."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_orderdate")
+    orders = orders.repartition(spark.sparkContext.defaultParallelism, "k")
     copies = F.array(*(F.when(F.expr(when), F.struct(F.lit(source).alias("source"), F.lit(n).alias("copy_no"))) for source, n, when in _COPIES))
     base = orders.select("k", "o_orderdate", F.explode(F.array_compact(copies)).alias("c")).select("k", "o_orderdate", "c.source", "c.copy_no")
     return spark.sql(f"{_FIELDS} {{base}}", base=base)

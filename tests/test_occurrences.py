@@ -102,7 +102,7 @@ def test_missing_and_empty(spark, tmp_path):
         files.scan_any_table(spark, f"{tmp_path}/none")
     with pytest.raises(ValueError, match="presence"):
         grid.centroids_of_table(spark.range(3))
-    assert files.ingest_pages([spark.range(5), spark.range(5).withColumn("x", F.lit(1))], 7).count() == 7
+    assert files.ingest_pages([spark.range(5).toDF("id"), spark.range(5).withColumn("x", F.lit(1))], 7).count() == 7
 
 
 def test_refresh_by_file_times(spark, tmp_path):
