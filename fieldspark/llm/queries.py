@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_tree, langid, lm, packing, simhash, toxicity, warc
+from . import ann, bpe_tree, langid, lm, packing, simhash, token_align, toxicity, warc
 from .ngram_join import ngram_components
 from .token_counts import token_counts
 
@@ -65,7 +65,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict_toxicity(docs, chain).select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_token_counts, op4_kneser_ney, op5_warc, op6_learned_partitions, op7_packing, op8_language, op9_byte_bpe, op10_toxicity)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_token_counts, op4_kneser_ney, op5_warc, op6_learned_partitions, op7_packing, op8_language, op9_byte_bpe, op10_toxicity, op11_token_alignment)}
 
 _OP1 = """
 WITH RECURSIVE w AS (
