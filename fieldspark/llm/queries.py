@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_tree, langid, lm, packing, simhash, token_align, toxicity, warc
+from . import ann, bpe_tree, langid, license_scan, lm, packing, simhash, token_align, toxicity, warc
 from .ngram_join import ngram_components
 from .token_counts import token_counts
 
@@ -69,7 +69,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.alignment(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_token_counts, op4_kneser_ney, op5_warc, op6_learned_partitions, op7_packing, op8_language, op9_byte_bpe, op10_toxicity, op11_token_alignment)}
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_token_counts, op4_kneser_ney, op5_warc, op6_learned_partitions, op7_packing, op8_language, op9_byte_bpe, op10_toxicity, op11_token_alignment, op12_license_scan)}
 
 _OP1 = """
 WITH RECURSIVE w AS (
@@ -96,4 +100,25 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = low THEN 'res
        CASE WHEN page_id <> low THEN low END AS refers_to FROM f
 """
 
-ORACLE = {"op1_ngram_jaccard": _OP1, "op5_warc": _OP5}
+_RUNS = ", ".join(
+    f"({i}, '{x.label}', {x.exact}, {x.least}, {len(w)}, {k}, {t}, '{' '.join(w[t : t + k])}')"
+    for i, x in enumerate((*license_scan.PHRASES, *license_scan.NOTICES)) for w, k in [(x.text.split(), license_scan.RUNS[x.exact])] for t in range(len(w) - k + 1)
+)
+
+_OP12 = f"""
+WITH r(template, label, ex, least, size, k, t, run) AS (VALUES {_RUNS}),
+w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+g AS (SELECT rid, 2 AS k, unnest(range(0, len(ws) - 1)) AS p, ws FROM w UNION ALL SELECT rid, 4, unnest(range(0, len(ws) - 3)), ws FROM w),
+h AS (SELECT g.rid, g.p, r.* FROM (SELECT rid, k, p, array_to_string(ws[p+1:p+k], ' ') AS run FROM g) g JOIN r ON r.k = g.k AND r.run = g.run),
+d AS (SELECT rid, template, label, ex, least, size, p - t AS d, list(range(t, t + k)) AS cover, min(p) AS first, max(p + k) AS last FROM h GROUP BY ALL),
+n AS (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY rid, template ORDER BY d) > CASE WHEN ex THEN 0 ELSE 4 END THEN 1 ELSE 0 END AS new FROM d),
+c AS (SELECT *, sum(new) OVER (PARTITION BY rid, template ORDER BY d ROWS UNBOUNDED PRECEDING) AS place FROM n),
+m AS (SELECT rid, template, label, ex, least, size, place, len(list_distinct(flatten(flatten(list(cover))))) AS covered, min(first) AS b, max(last) AS e FROM c GROUP BY ALL),
+s AS (SELECT *, CAST(covered AS DOUBLE) / greatest(size, e - b) AS share FROM m),
+v AS (SELECT * FROM s WHERE CASE WHEN ex THEN share = 1 ELSE share >= least END)
+SELECT w.doc_id, CAST(len(any_value(w.ws)) AS BIGINT) AS n_words, count(*) FILTER (ex) AS n_base, CAST(min(b) FILTER (ex) AS BIGINT) AS first_word, CAST(max(b) FILTER (ex) AS BIGINT) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ex), '') AS base_labels, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0) AS score
+FROM w LEFT JOIN v ON v.rid = w.rid GROUP BY w.rid, w.doc_id
+"""
+
+ORACLE = {"op1_ngram_jaccard": _OP1, "op5_warc": _OP5, "op12_license_scan": _OP12}
