@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_tree, langid, license_scan, lm, packing, simhash, token_align, toxicity, warc
+from . import ann, bpe_tree, hard_negatives, langid, license_scan, lm, packing, simhash, token_align, toxicity, warc
 from .ngram_join import ngram_components
 from .token_counts import token_counts
 
@@ -73,7 +73,12 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_token_counts, op4_kneser_ney, op5_warc, op6_learned_partitions, op7_packing, op8_language, op9_byte_bpe, op10_toxicity, op11_token_alignment, op12_license_scan)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", hard_negatives.shifted_label())
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_simhash, op3_token_counts, op4_kneser_ney, op5_warc, op6_learned_partitions, op7_packing, op8_language, op9_byte_bpe, op10_toxicity, op11_token_alignment, op12_license_scan, op13_hard_negatives)}
 
 _OP1 = """
 WITH RECURSIVE w AS (
@@ -121,4 +126,15 @@ SELECT w.doc_id, CAST(len(any_value(w.ws)) AS BIGINT) AS n_words, count(*) FILTE
 FROM w LEFT JOIN v ON v.rid = w.rid GROUP BY w.rid, w.doc_id
 """
 
-ORACLE = {"op1_ngram_jaccard": _OP1, "op5_warc": _OP5, "op12_license_scan": _OP12}
+_OP13 = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INT) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE = {"op1_ngram_jaccard": _OP1, "op5_warc": _OP5, "op12_license_scan": _OP12, "op13_hard_negatives": _OP13}
