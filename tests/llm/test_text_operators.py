@@ -110,6 +110,24 @@ def test_bpe_tree(leaf, reach):
             assert c.decode(c.own(t)) == t.encode()
 
 
+@pytest.mark.parametrize("leaf", [64, 1024, 4096])
+def test_bpe_runs_of_white_space(leaf):
+    """Cut out early, runs give what the encoder gives; where it gives up, the bytes come back."""
+    c = bpe_tree.TreeBpe.from_file(P.path("byte_bpe_50k.tiktoken"), P.PATTERN, leaf=leaf, run=5)
+    r = random.Random(leaf)
+    blanks = [" ", " ", "\n", "\t", "\r\n", "\u3000", "\x85", "\x1c"]
+    for _ in range(200):
+        t = "".join(r.choice(["a", "Zü", "7", ".", "'s", "".join(r.choices(blanks, k=r.randrange(40)))]) for _ in range(r.randrange(60)))
+        assert c.encode(t) == c.own(t), repr(t)
+    c = bpe_tree.TreeBpe.from_file(P.path("byte_bpe_50k.tiktoken"), P.PATTERN, leaf=leaf)
+    for run in (" " * 2_000_000, "\n" * 2_000_000, " \n\t" * 700_000):
+        for t in (f"one two{run}three", f"x y{run}"):
+            ids = c.encode(t)
+            assert c.decode(ids) == t.encode()
+    few = "one two" + " \n" * 50_000 + "x"
+    assert c.encode(few) == c.own(few)
+
+
 def test_bpe_spark(docs):
     rows, df = docs
     path = P.path("byte_bpe_50k.tiktoken")
