@@ -16,6 +16,29 @@ from pyspark.sql import functions as F
 from .store import hashed_sample, shared_dir, stored
 
 
+#: Magnitudes between which squares neither run over nor vanish; other vectors are scaled before they are squared.
+PLAIN = (1e-100, 1e100)
+
+
+def unit_of(*arrays: np.ndarray) -> float:
+    """What the arrays are divided by so that their squares can be told: 1 unless their largest component is beyond PLAIN."""
+    most = max((float(np.abs(a).max()) for a in arrays if a.size), default=0.0)
+    return 1.0 if most == 0 or PLAIN[0] <= most <= PLAIN[1] else most
+
+
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of x from q; infinite where the distance itself is no double."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        apart = x - q
+        out = np.sqrt((apart**2).sum(1))
+        odd = np.flatnonzero(~((out > PLAIN[0]) & (out < np.inf)))
+        if len(odd):
+            most = np.abs(apart[odd]).max(1, initial=0)
+            fine = (most > 0) & (most < np.inf)
+            out[odd] = np.where(fine, most * np.sqrt(((apart[odd] / np.where(fine, most, 1)[:, None]) ** 2).sum(1)), most)
+    return out
+
+
 def nearest_lists(x: np.ndarray, y: np.ndarray, k: int, own: bool) -> np.ndarray:
     """The k rows of y nearest to each row of x (own: row i is not its own neighbour)."""
     out = np.empty((len(x), k), np.int64)
@@ -97,6 +120,8 @@ class Index:
     def __init__(self, x: np.ndarray, parts: int, k: int, recall: float):
         """parts: at most so many, and at most a sixteenth of the rows of x, so that each is learned from 16 rows or more."""
         held = max(1, len(x) // 8)
+        self.unit = unit_of(x)
+        x = x / self.unit
         q, x = x[:held], x[held:] if len(x) > held else x
         self.dim, near = x.shape[1], min(k, max(1, len(x) - 1))
         parts = max(1, min(parts, len(x) // 16))
@@ -139,8 +164,8 @@ def fit_index(rows: DataFrame, sample: int = 12_000, parts: int = 0, k: int = 10
     return Index(x, parts, k, recall)
 
 
-def _routed(index: Index, every: bool):
-    """Rows (vec_id, v) -> a row per part that they go to. A vector of another length goes to the part -length."""
+def _routed(index: Index, most: int):
+    """Rows (vec_id, v) -> a row for each of their ``most`` likeliest parts. A vector of another length goes to the part -length."""
 
     def run(batches):
         for b in batches:
@@ -149,7 +174,7 @@ def _routed(index: Index, every: bool):
             for d in np.unique(size):
                 own = np.flatnonzero(size == d)
                 x = lists.take(pa.array(own)).flatten().to_numpy().reshape(len(own), d)
-                order = index.router.order(x)[:, : index.probes if every else 1] if d == index.dim else np.full((len(own), 1), -d)
+                order = index.router.order(np.clip(x / index.unit, -1e12, 1e12))[:, :most] if d == index.dim else np.full((len(own), 1), -d)
                 n, raw = order.shape[1], [r.tobytes() for r in x]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[own], n)), pa.array(order.reshape(-1).astype(np.int32)), pa.array([r for r in raw for _ in range(n)], pa.binary())], ["vec_id", "part", "v"])
 
@@ -162,18 +187,20 @@ def _rank(k: int):
         if rows.num_rows and queries.num_rows:
             ids, row_id, qid = (t.column(c).to_numpy() for t, c in ((rows, "vec_id"), (rows, "row"), (queries, "query_id")))
             x, q = (np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(t.num_rows, -1) for t in (rows, queries))
-            sq = (x * x).sum(1)
+            unit = unit_of(x, q)
+            near_x, near_q = x / unit, q / unit
+            sq = (near_x * near_x).sum(1)
             for lo in range(0, len(q), 128):
-                part = q[lo : lo + 128]
-                own = (part * part).sum(1)
-                d = sq[None, :] - 2 * part @ x.T + own[:, None]
+                part, small = q[lo : lo + 128], near_q[lo : lo + 128]
+                own = (small * small).sum(1)
+                d = sq[None, :] - 2 * small @ near_x.T + own[:, None]
                 for i in range(len(part)):
                     row = d[i]
                     other = ids != qid[lo + i]
                     row[~other] = np.inf
                     least = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
                     near = np.flatnonzero((row <= least + 1e-9 * (own[i] + sq.max()) + 1e-300) & other)
-                    exact = np.sqrt(((x[near] - part[i]) ** 2).sum(1))
+                    exact = distances(x[near], part[i])
                     best = np.lexsort((row_id[near], ids[near], exact))[:k]
                     out_q += [qid[lo + i]] * len(best)
                     out_r += row_id[near[best]].tolist()
@@ -197,8 +224,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_00
     candidates are those of its own length, all of them if that is not the most common one. A row is no
     candidate for a query of its own vec_id; repeated rows are candidates of their own. A query row that is repeated asks
     once. Different vectors under one vec_id are one query: each of them is searched, and a candidate's score is its
-    distance to the nearest of them, so that a query_id has at most k result rows and each candidate row is one. With fewer candidates than k,
-    all that are found come. Parts of more than ``block`` rows, or of more than ``block`` queries, are searched in
+    distance to the nearest of them, so that a query_id has at most k result rows and each candidate row is one. A query whose parts hold fewer than
+    k candidates is searched in all parts; with fewer candidates than k in all, all of them come. Vectors of any finite magnitude are told apart; where a distance itself is beyond the doubles
+    its score is infinite. Parts of more than ``block`` rows, or of more than ``block`` queries, are searched in
     blocks of rows by blocks of queries, so that neither meet in one task without a bound. An empty table gives an
     empty table.
     """
@@ -209,9 +237,21 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 20_00
     if index is None:
         return empty
     folder = shared_dir(spark, "ann")
-    kept = stored(rows.mapInArrow(_routed(index, False), "vec_id long, part int, v binary").withColumn("row", F.monotonically_increasing_id()), f"{folder}/rows")
-    asked = stored(rows.where(is_query).distinct().mapInArrow(_routed(index, True), "vec_id long, part int, v binary").withColumnRenamed("vec_id", "query_id"), f"{folder}/asked")
-    sizes = stored(_sizes(kept, block, "of").join(_sizes(asked, block, "to"), "part"), f"{folder}/sizes")  # parts with rows and queries
+    routed = lambda df, most: df.mapInArrow(_routed(index, most), "vec_id long, part int, v binary")
+    kept = stored(routed(rows, 1).withColumn("row", F.monotonically_increasing_id()), f"{folder}/rows")
+    queries = rows.where(is_query).distinct()
+    found = stored(_found(kept, stored(routed(queries, index.probes).withColumnRenamed("vec_id", "query_id"), f"{folder}/asked"), k, block, f"{folder}/sizes"), f"{folder}/found")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = stored(routed(queries.join(full, "vec_id", "left_anti"), index.parts).withColumnRenamed("vec_id", "query_id"), f"{folder}/short")
+    if short.isEmpty():
+        return found
+    rest = _found(kept, short, k, block, f"{folder}/short_sizes")
+    return found.join(short.select("query_id").distinct(), "query_id", "left_anti").union(rest)
+
+
+def _found(kept: DataFrame, asked: DataFrame, k: int, block: int, path: str) -> DataFrame:
+    """The k nearest of kept (vec_id, part, v, row) for each query_id of asked (query_id, part, v), of its parts."""
+    sizes = stored(_sizes(kept, block, "of").join(_sizes(asked, block, "to"), "part"), path)  # parts with rows and queries
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     kept = kept.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), "of").cast("int")).withColumn("q_block", every("to")).drop("of", "to")
     asked = asked.join(sizes, "part").withColumn("q_block", F.pmod(F.xxhash64("query_id", "v"), "to").cast("int")).withColumn("block", every("of")).drop("of", "to")

@@ -148,6 +148,23 @@ def exact(rows, query, k=10):
     return sorted(out, key=lambda x: x[:2])
 
 
+@pytest.mark.parametrize("sizes", [[1e-200], [1e160], [1e300, 1e307], [1e-320, 1e-200, 1.0, 1e20, 1e160, 1e300]])
+def test_magnitudes(spark, sizes):
+    """Vectors whose squares run over or vanish are searched as others are; distances beyond the doubles are infinite."""
+    r = np.random.default_rng(3)
+    rows = [(i, (r.standard_normal(5) * sizes[i % len(sizes)]).tolist()) for i in range(240)] + [(900, [1e308] * 5), (901, [-1e308] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, ann.search(df, F.col("vec_id") % 100 == 0, parts=1).collect()))
+    want = []
+    for q, a in rows:
+        if q % 100 == 0:
+            best = sorted((math.dist(a, v), i) for i, v in rows if i != q)[:10]
+            want += [(q, n, d) for n, (d, _) in enumerate(best, 1)]
+    assert [(q, n) for q, n, *_ in got] == [(q, n) for q, n, _ in sorted(want)]
+    assert [x[3] for x in got] == pytest.approx([d for *_, d in sorted(want)], rel=1e-12, abs=0)
+    assert len({x[:2] for x in map(tuple, ann.search(df, F.col("vec_id") % 100 == 0).collect())}) == len(want)
+
+
 def test_parts_without_rows_or_queries(spark):
     r = np.random.default_rng(11)
     search = lambda rows, **more: sorted(map(tuple, ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, **more).collect()))
