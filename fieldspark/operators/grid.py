@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.projection import project_laea, unproject_laea
 from ..functions.scalars import cell_id, pick_column, safe_double
-
+from .cover import Cover, inside_cover
 
 # The names by which a grid table's columns are found.
 CENTROID_COLUMNS = {
@@ -81,12 +81,14 @@ def cell_counts(points: DataFrame, g: Extent) -> DataFrame:
     return inside.groupBy("species_slug", "row", "col").agg(F.count("*").cast("int").alias("n"))
 
 
-def inside_polygon(points: DataFrame, edges: DataFrame, key: str, lon: str = "lon", lat: str = "lat", band: float = 1.0) -> DataFrame:
+def inside_polygon(points: DataFrame, edges: DataFrame | Cover, key: str, lon: str = "lon", lat: str = "lat", band: float = 1.0) -> DataFrame:
     """Keys of points inside a polygon, by the parity of crossings. key must tell points apart; edges: a row per ring edge.
 
-    Points and edges meet in bands of ``band`` degrees of latitude, an equi-join that Spark broadcasts or shuffles by the
+    A polygon_cover() of many edges spares most points the edges. Otherwise points and edges meet in bands of ``band`` degrees of latitude, an equi-join that Spark broadcasts or shuffles by the
     edges' size. An edge stands in each band that it spans.
     """
+    if isinstance(edges, Cover):
+        return inside_cover(points, edges, key, lon, lat)
     x, y, at = F.col(lon), F.col(lat), lambda c: F.floor(c / band)
     spans = F.sequence(at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))
     e = edges.where("y1 <> y2").withColumn("_band", F.explode(spans))
@@ -96,7 +98,7 @@ def inside_polygon(points: DataFrame, edges: DataFrame, key: str, lon: str = "lo
     return hits.where("odd = 1").select(key).distinct()
 
 
-def land_mask(cells: DataFrame, edges: DataFrame | None) -> DataFrame:
+def land_mask(cells: DataFrame, edges: DataFrame | Cover | None) -> DataFrame:
     """cells with on_land: whether the centre is inside a polygon; True for all without polygons."""
     if edges is None:
         return cells.withColumn("on_land", F.lit(True))
@@ -151,7 +153,7 @@ def dense_raster(presence: DataFrame, cells: DataFrame, value: str, g: Extent) -
     return full.withColumn("raster_row", g.nrow - F.col("row") + 1).groupBy("species_slug", "raster_row").agg(line.alias("line"))
 
 
-def flag_in_sea(points: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+def flag_in_sea(points: DataFrame, edges: DataFrame | Cover, key: str) -> DataFrame:
     """points with in_sea: not inside a polygon, null without coordinates."""
     at = inside_polygon(points, edges, key).withColumn("_in", F.lit(True))
     return points.join(at, key, "left").withColumn("in_sea", F.when(F.col("lon").isNotNull() & F.col("lat").isNotNull(), F.col("_in").isNull())).drop("_in")

@@ -7,9 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import coord_key, date_precision, parse_day
+from ..functions.scalars import coord_key, date_precision, parse_day, safe_double
+
+# Other names of columns that add_basics() reads, by preference.
+ALTERNATES = {"lon": ["decimalLongitude"], "lat": ["decimalLatitude"], "date_raw": ["date", "eventDate"], "year_raw": ["year"]}
 
 KEY = ["species_slug", "lon_k", "lat_k", "event_day"]
+UID = ["species_slug", "occ_uid"]
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
@@ -31,23 +35,45 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[Column], bucket: Col
     return own.join(starts, same).withColumn("_n", F.col("_n") + F.col("_before")).drop("_b", "_at", "_before", *(f"_of_{k}" for k in keys))
 
 
-def add_basics(df: DataFrame, order: list[Column], dp: int = 4, bucket: Column | None = None) -> DataFrame:
-    """Adds occ_uid, date_is_range, event_day, year, date_precision, lon_k, lat_k, lon_r, lat_r.
+def usual_names(df: DataFrame) -> DataFrame:
+    """df with lon, lat, date_raw and year_raw, from their other names where it lacks them; coordinates as numbers, null if they can't be read."""
+    for name, others in ALTERNATES.items():
+        other = next((c for c in others if c in df.columns), None)
+        if name not in df.columns:
+            df = df.withColumn(name, F.col(other).cast("string") if other else F.lit(None).cast("string"))
+    number = {c: safe_double(F.col(c).cast("string")) for c in ("lon", "lat") if dict(df.dtypes)[c] != "double"}
+    return df.withColumns(number) if number else df
+
+
+def source_years(df: DataFrame) -> DataFrame:
+    """(species_slug, source, _years): how many records have a year; a row per species and source."""
+    return df.groupBy("species_slug", "source").agg(F.count("year_raw").alias("_years"))
+
+
+def add_basics(df: DataFrame, order: list[Column], dp: int = 4, bucket: Column | None = None, years: DataFrame | None = None) -> DataFrame:
+    """Adds species_input, occ_uid, date_is_range, event_day, year, date_precision, lon_k, lat_k, lon_r, lat_r.
 
+    lon, lat, date_raw and year_raw may go by their usual other names. species_input, if df lacks it, is species as written.
     Rows without an id get row_<n> by ``order`` within species and source; only they are shuffled, and numbered by
     ``bucket`` (see row_numbers; none: a species' source in one task). The year comes from event_day only where a species'
-    source has no year at all; that is decided by a small aggregate.
+    source has no year at all. years: source_years(df), if it is stored already: small, so that no record moves for it.
     """
+    df = usual_names(df)
+    if "species_input" not in df.columns:
+        df = df.withColumn("species_input", F.col("species"))
     day = parse_day(F.col("date_raw"))
     has_id = F.col("source_record_id").isNotNull() & (F.length("source_record_id") > 0)
     rows = df.withColumns({"date_is_range": F.coalesce(F.contains("date_raw", F.lit("/")), F.lit(False)), "event_day": day, "_id": has_id})
     keys = ["species_slug", "source"]
-    nameless = row_numbers(rows.where(~F.col("_id")), keys, order, F.lit(0) if bucket is None else bucket)
+    nameless = rows.where(~F.col("_id"))
+    if bucket is None:
+        nameless = nameless.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    else:
+        nameless = row_numbers(nameless, keys, order, bucket)
     named = rows.where("_id").withColumn("_n", F.lit(None).cast("long"))
     uid = F.concat("source", F.lit(":"), F.coalesce(F.concat(F.lit("row_"), F.col("_n").cast("string")), "source_record_id"))
-    any_year = df.groupBy(*keys).agg(F.count("year_raw").alias("_years"))
-    year = F.when(F.col("_years") > 0, F.col("year_raw")).otherwise(F.year("event_day"))
-    out = named.unionByName(nameless).withColumn("occ_uid", uid).join(any_year, keys, "left").withColumn("year", year)
+    year = F.when(F.col("_years") > 0, F.col("year_raw").cast("int")).otherwise(F.year("event_day"))
+    out = named.unionByName(nameless).withColumn("occ_uid", uid).join(source_years(df) if years is None else years, keys, "left").withColumn("year", year)
     keyed = out.withColumns({"date_precision": date_precision(F.col("event_day"), F.col("year")), "lon_k": coord_key(F.col("lon"), dp), "lat_k": coord_key(F.col("lat"), dp)})
     return keyed.withColumns({"lon_r": F.col("lon_k") / 10**dp, "lat_r": F.col("lat_k") / 10**dp}).drop("_id", "_n", "_years", "year_raw")
 
@@ -77,20 +103,31 @@ def strict_keys(df: DataFrame) -> DataFrame:
 
 
 def strict_uids(df: DataFrame, prefer: str = "GBIF") -> DataFrame:
-    """(species_slug, occ_uid) to drop: of strict keys, the row of the source that is not preferred."""
-    rest = df.where(keyed_by_day(df) & (F.upper("source") != prefer)).select(*KEY, "occ_uid")
-    return rest.join(strict_keys(df), KEY, "left_semi").select("species_slug", "occ_uid").distinct()
+    """(species_slug, occ_uid) to drop: of strict keys, the row of the source that is not preferred.
+
+    One aggregation, in part before the shuffle: a strict key has one row of a source, so the greatest uid is that row's.
+    A key with many rows sends a row per task.
+    """
+    source, others = F.upper("source"), [s for s in ("GBIF", "NBN") if s != prefer]
+    uids = [F.max(F.when(source == s, F.col("occ_uid"))).alias(f"_{s}") for s in others]
+    counts = [F.count("*").alias("n"), *(F.count_if(source == s).alias(f"n_{s}") for s in ("GBIF", "NBN"))]
+    groups = df.where(keyed_by_day(df)).groupBy(*KEY).agg(*counts, *uids).where("n = 2 and n_GBIF = 1 and n_NBN = 1")
+    return groups.select("species_slug", F.explode(F.array(*(f"_{s}" for s in others))).alias("occ_uid"))
 
 
 def flag_strict(df: DataFrame, prefer: str = "GBIF") -> DataFrame:
     """Adds strict_drop to every row of a species that has a dropped uid, with or without a key."""
-    drop = strict_uids(df, prefer).withColumn("_d", F.lit(True))
+    drop = strict_uids(df, prefer).distinct().withColumn("_d", F.lit(True))
     return df.join(drop, ["species_slug", "occ_uid"], "left").withColumn("strict_drop", F.coalesce("_d", F.lit(False))).drop("_d")
 
 
 def dedup_cross_source(df: DataFrame, prefer: str = "GBIF") -> DataFrame:
-    """df without the strict duplicates: every row of a species that shares a dropped uid goes."""
-    return df.join(strict_uids(df, prefer), ["species_slug", "occ_uid"], "left_anti")
+    """df without the strict duplicates: every row of a species that shares a dropped uid goes.
+
+    A df that is laid out by UID (files.kept_keyed) is not shuffled for it: only keys with their counts and the dropped
+    uids move.
+    """
+    return df.join(strict_uids(df, prefer), UID, "left_anti")
 
 
 def cross_dup_flags(df: DataFrame) -> DataFrame:
@@ -108,7 +145,7 @@ def cross_dup_flags(df: DataFrame) -> DataFrame:
 
 
 def crossdup_review(df: DataFrame) -> DataFrame:
-    """Rows of keys that both sources have, but not one each."""
-    w = Window.partitionBy(*KEY)
-    g, n = F.count_if(F.col("source") == "GBIF").over(w), F.count_if(F.col("source") == "NBN").over(w)
-    return df.where(keyed_by_day(df)).withColumns({"_g": g, "_n": n}).where("_g > 0 and _n > 0 and not (_g = 1 and _n = 1)").drop("_g", "_n")
+    """Rows of keys that both sources have, but not one each. The keys are counted in part before they are shuffled; then rows meet the few that are left."""
+    gbif, nbn = (F.count_if(F.col("source") == s).alias(f"_{s}") for s in ("GBIF", "NBN"))
+    keys = df.where(keyed_by_day(df)).groupBy(*KEY).agg(gbif, nbn).where("_GBIF > 0 and _NBN > 0 and not (_GBIF = 1 and _NBN = 1)")
+    return df.join(keys.select(*KEY), KEY, "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import slugify
-from ..operators import grid, merge, normalise, policy, qc, report
+from ..operators import cover, grid, merge, normalise, policy, qc, report
 from ..sources import files
 
 ORDER = ["copy_no", "k"]
@@ -44,14 +44,21 @@ def normalise_landed(spark: SparkSession, root: str) -> DataFrame:
     return merge.union_sources(frames)
 
 
+def basics(clean: DataFrame, dp: int = 4) -> DataFrame:
+    """Clean records of any kind with their derived columns. The years are counted first, by a job of their own over three columns."""
+    return merge.add_basics(clean, order(), dp, bucket(), files.kept(merge.source_years(clean), "years"))
+
+
 def premerge(clean: DataFrame, dp: int = 4) -> DataFrame:
-    """Screened, within-source deduplicated records with their derived columns.
+    """Screened, within-source deduplicated records with their derived columns, laid out by species and uid.
 
-    The deduplicated records are written once to the shared folder: what follows reads them several times, each time with
-    other columns, and would sort and shuffle them anew.
+    The deduplicated records are written once to the shared folder, and again with what is derived from them: what
+    follows reads those several times, each time with other columns, and would sort and shuffle them anew. A species'
+    source has two nameless records at most then, one with a null and one with an empty id, so they need no buckets.
     """
     within = files.kept(normalise.dedup_within_source(normalise.screen_coords(clean), order()), "within")
-    return merge.add_basics(within, order(), dp, bucket())
+    years = files.kept(merge.source_years(within), "years")
+    return files.kept_keyed(merge.add_basics(within, order(), dp, years=years), "merged", merge.UID)
 
 
 def merge_stage(clean: DataFrame, dp: int = 4, prefer: str = "GBIF", **log) -> tuple[DataFrame, DataFrame]:
@@ -95,14 +102,21 @@ def filter_stage(df: DataFrame, p: policy.Policy, as_of: Column) -> tuple[DataFr
     return judged.where("drop_reason is null").drop("drop_reason"), judged.where("drop_reason is not null"), policy.runlog_filtered(judged, tuple(p.extra))
 
 
-def grid_stage(df: DataFrame, extent: grid.Extent, edges: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def stored_cover(edges: DataFrame, cell: float = 0.25) -> cover.Cover:
+    """The polygons' cover, written once: points of any number of frames meet it."""
+    c = cover.polygon_cover(edges, cell)
+    own = files.kept(c.edges, "cover_edges")
+    return cover.Cover(files.kept(c.parts, "cover_parts"), own, cell)
+
+
+def grid_stage(df: DataFrame, extent: grid.Extent, edges: DataFrame | cover.Cover | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells with on_land, presence per species and land cell, summary)."""
     cells = grid.land_mask(grid.grid_cells(df.sparkSession, extent), edges)
     presence = grid.grid_presence(grid.cell_counts(df, extent), cells, df)
     return cells, presence, grid.grid_summary(df, presence, extent, df)
 
 
-def grid_into(df: DataFrame, root: str, tag: str, box=(-25.0, 34.0, 45.0, 72.0), cell_km: int = 25, edges: DataFrame | None = None) -> DataFrame:
+def grid_into(df: DataFrame, root: str, tag: str, box=(-25.0, 34.0, 45.0, 72.0), cell_km: int = 25, edges: DataFrame | cover.Cover | None = None) -> DataFrame:
     """Grids the records over a box in degrees, writes cells, tables and summary below root, and gives the presence centroids."""
     extent = grid.extent_of(grid.box_corners(df.sparkSession, box), 1000.0 * cell_km)
     cells, presence, summary = grid_stage(df, extent, edges)

@@ -106,16 +106,19 @@ def _unproject(source: str) -> str:
 _CROSS = "((y1 > {y}) <> (y2 > {y})) AND {x} < (x2 - x1) * ({y} - y1) / (y2 - y1) + x1"
 _GRID = f"""{_CHAIN}, spot AS MATERIALIZED ({_project("(SELECT * FROM clean WHERE lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90)")}),
 cellof AS (SELECT *, CAST(floor((x - {EXTENT.xmin}) / {CELL}) + 1 AS INT) AS col, CAST(floor((y - {EXTENT.ymin}) / {CELL}) + 1 AS INT) AS "row" FROM spot),
-placed AS (SELECT *, coalesce(col BETWEEN 1 AND {EXTENT.ncol} AND "row" BETWEEN 1 AND {EXTENT.nrow}, FALSE) AS in_bounds FROM cellof),
-counts AS (SELECT species_slug, "row", col, CAST(count(*) AS INT) AS n FROM placed WHERE in_bounds GROUP BY ALL),
+placed AS MATERIALIZED (SELECT *, coalesce(col BETWEEN 1 AND {EXTENT.ncol} AND "row" BETWEEN 1 AND {EXTENT.nrow}, FALSE) AS in_bounds FROM cellof),
+counts AS MATERIALIZED (SELECT species_slug, "row", col, CAST(count(*) AS INT) AS n FROM placed WHERE in_bounds GROUP BY ALL),
 cells AS (SELECT CAST(c AS INT) AS col, CAST(r AS INT) AS "row", CAST({EXTENT.xmin} + (c - 0.5) * {CELL} AS DOUBLE) AS x_center, CAST({EXTENT.ymin} + (r - 0.5) * {CELL} AS DOUBLE) AS y_center, printf('r%05d_c%05d', r, c) AS cell_id
   FROM range(1, {EXTENT.ncol + 1}) a(c), range(1, {EXTENT.nrow + 1}) b(r)),
 centres AS MATERIALIZED ({_unproject("cells")}),
-inland AS (SELECT DISTINCT cell_id FROM (SELECT cell_id, poly_id FROM centres JOIN land ON {_CROSS.format(x="clon", y="clat")} GROUP BY cell_id, poly_id HAVING count(*) % 2 = 1)),
-masked AS (SELECT c.*, i.cell_id IS NOT NULL AS on_land FROM centres c LEFT JOIN inland i ON i.cell_id = c.cell_id),
-presence AS (SELECT s.species_slug, m.*, coalesce(n.n, 0) AS n_points_in_cell, CAST(coalesce(n.n, 0) > 0 AS INT) AS presence FROM (SELECT DISTINCT species_slug FROM spot) s CROSS JOIN (SELECT * FROM masked WHERE on_land) m
+bands AS MATERIALIZED (SELECT *, unnest(range(CAST(floor(least(y1, y2)) AS INT), CAST(floor(greatest(y1, y2)) AS INT) + 1)) AS band FROM land WHERE y1 <> y2),
+banded AS MATERIALIZED (SELECT cell_id, clon, clat, CAST(floor(clat) AS INT) AS band FROM centres),
+inland AS MATERIALIZED (SELECT DISTINCT cell_id FROM (SELECT cell_id, poly_id, count(*) AS c FROM banded JOIN bands ON bands.band = banded.band WHERE {_CROSS.format(x="clon", y="clat")} GROUP BY cell_id, poly_id) WHERE c % 2 = 1),
+masked AS MATERIALIZED (SELECT c.*, i.cell_id IS NOT NULL AS on_land FROM centres c LEFT JOIN inland i ON i.cell_id = c.cell_id),
+presence AS MATERIALIZED (SELECT s.species_slug, m.*, coalesce(n.n, 0) AS n_points_in_cell, CAST(coalesce(n.n, 0) > 0 AS INT) AS presence FROM (SELECT DISTINCT species_slug FROM spot) s CROSS JOIN (SELECT * FROM masked WHERE on_land) m
   LEFT JOIN counts n ON n.species_slug = s.species_slug AND n."row" = m."row" AND n.col = m.col),
-insea AS (SELECT k, copy_no, source, poly_id FROM clean JOIN land ON {_CROSS.format(x="lon", y="lat")} GROUP BY ALL HAVING count(*) % 2 = 1)
+where_ AS MATERIALIZED (SELECT k, copy_no, source, lon, lat, CAST(floor(lat) AS INT) AS band FROM clean WHERE lon IS NOT NULL AND lat IS NOT NULL),
+insea AS MATERIALIZED (SELECT k, copy_no, source, poly_id FROM (SELECT k, copy_no, source, poly_id, count(*) AS c FROM where_ JOIN bands ON bands.band = where_.band WHERE {_CROSS.format(x="lon", y="lat")} GROUP BY k, copy_no, source, poly_id) WHERE c % 2 = 1)
 """
 
 
@@ -147,7 +150,7 @@ def _pre(spark, sf) -> DataFrame:
 
 
 def _all(spark, sf) -> DataFrame:
-    return merge.add_basics(_clean(spark, sf), stages.order(), bucket=stages.bucket())
+    return stages.basics(_clean(spark, sf))
 
 
 def _flagged(spark, sf) -> DataFrame:
@@ -379,6 +382,14 @@ def add_basics(spark, sf):
     return _all(spark, sf).select(*_IDS, "species_slug", *_BASIC)
 
 
+@_query(f"SELECT {_ID}, species_slug, species AS species_input, {', '.join(_BASIC)} FROM allb")
+def add_basics_other_names(spark, sf):
+    """Records whose coordinates, dates and years go by the names that they have before they are cleaned."""
+    df = _clean(spark, sf).withColumnsRenamed({"lon": "decimalLongitude", "lat": "decimalLatitude", "date_raw": "eventDate", "year_raw": "year"})
+    df = df.withColumns({c: F.col(c).cast("string") for c in ("decimalLongitude", "decimalLatitude")})
+    return merge.add_basics(df, stages.order(), bucket=stages.bucket()).select(*_IDS, "species_slug", "species_input", *_BASIC)
+
+
 @_query(f"SELECT {_ID}, species_slug, lon_k, lat_k, event_day FROM pre WHERE {_KEYED}")
 def key_day(spark, sf):
     df = _pre(spark, sf)
@@ -531,7 +542,7 @@ _REVIEW = " UNION ALL ".join([
 
 @_query(f", {_LOOSE} {_REVIEW}")
 def crossdup_report(spark, sf):
-    return report.crossdup_report(files.kept(_pre(spark, sf), "merged"))
+    return report.crossdup_report(_pre(spark, sf))
 
 
 # --- stage 02 --------------------------------------------------------------------------------------------------------
@@ -699,7 +710,7 @@ def cell_counts(spark, sf):
 
 @_query(f"SELECT c.cell_id, on_land FROM masked c {_MET}", _GRID)
 def land_mask(spark, sf):
-    return grid.land_mask(grid.cells_met(_points(spark, sf), EXTENT), land_edges(spark)).select("cell_id", "on_land")
+    return grid.land_mask(grid.cells_met(_points(spark, sf), EXTENT), stages.stored_cover(land_edges(spark))).select("cell_id", "on_land")
 
 
 def _presence(spark, sf) -> DataFrame:
@@ -759,17 +770,23 @@ def point_in_polygon(spark, sf):
     return grid.inside_polygon(_keyed(spark, sf), land_edges(spark), "id")
 
 
+@_query("SELECT DISTINCT concat_ws('|', source, k, copy_no) AS id FROM insea", _GRID)
+def point_in_cover(spark, sf):
+    """The same by a cover of half-degree cells: only points of boundary cells meet edges."""
+    return grid.inside_polygon(_keyed(spark, sf), stages.stored_cover(land_edges(spark), 0.5), "id")
+
+
 _SEA = "sea AS (SELECT a.*, CASE WHEN a.lon IS NOT NULL AND a.lat IS NOT NULL THEN i.k IS NULL END AS in_sea FROM clean a LEFT JOIN (SELECT DISTINCT source, k, copy_no FROM insea) i ON i.source = a.source AND i.k = a.k AND i.copy_no = a.copy_no)"
 
 
 @_query(f", {_SEA} SELECT {_ID}, in_sea FROM sea", _GRID)
 def flag_in_sea(spark, sf):
-    return grid.flag_in_sea(_keyed(spark, sf), land_edges(spark), "id").select(*_IDS, "in_sea")
+    return grid.flag_in_sea(_keyed(spark, sf), stages.stored_cover(land_edges(spark)), "id").select(*_IDS, "in_sea")
 
 
 @_query(f", {_SEA} SELECT count(*) FILTER (in_sea) AS n_sea, round(100.0 * count(*) FILTER (in_sea) / count(in_sea), 1) AS pct_sea FROM sea", _GRID)
 def in_sea_share(spark, sf):
-    sea = grid.flag_in_sea(_keyed(spark, sf), land_edges(spark), "id")
+    sea = grid.flag_in_sea(_keyed(spark, sf), stages.stored_cover(land_edges(spark)), "id")
     return sea.agg(F.count_if("in_sea").alias("n_sea"), F.round(100 * F.count_if("in_sea") / F.count("in_sea"), 1).alias("pct_sea"))
 
 
@@ -826,7 +843,7 @@ _PROFILE = " UNION ALL ".join([
 @_query(f", {_SEA} {_PROFILE}", _GRID)
 def profile_report(spark, sf):
     df = files.kept(_all(spark, sf), "records")
-    sea = grid.flag_in_sea(_keyed(spark, sf), land_edges(spark), "id")
+    sea = grid.flag_in_sea(_keyed(spark, sf), stages.stored_cover(land_edges(spark)), "id")
     return report.profile_report(df, sea, F.col("coordinateUncertaintyInMeters"), grid.bbox(F.col("lon"), F.col("lat"), (-25, 34, 45, 72)))
 
 

@@ -37,6 +37,25 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_keyed(df: DataFrame, name: str, keys: list[str], buckets: int = 0) -> DataFrame:
+    """df written once to the shared folder as a table of buckets by the keys, one file each, and read back.
+
+    Joins, aggregates and windows by the keys read it without another shuffle. The keys should be spread: a bucket is
+    written by one task. buckets 0: as many as spark.sql.shuffle.partitions. The session's catalog has the table under a
+    name of its own until forget().
+    """
+    spark = df.sparkSession
+    n, table = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), f"{name}_{uuid.uuid4().hex[:12]}"
+    df.repartition(n, *keys).write.format("parquet").option("path", work_dir(spark, name)).bucketBy(n, *keys).saveAsTable(table)
+    return spark.table(table)
+
+
+def forget(spark: SparkSession, name: str) -> None:
+    """Takes the tables of kept_keyed() out of the catalog; their files stay in the shared folder."""
+    for t in spark.catalog.listTables(pattern=f"{name}_*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """(path, modified, bytes) of all files below a folder, without reading them; none if there is no such folder."""
     if not exists(spark, root):

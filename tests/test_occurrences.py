@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldspark import queries
 from fieldspark.functions import scalars as S
 from fieldspark.functions.projection import project_laea, unproject_laea
-from fieldspark.operators import grid, merge, normalise, policy, qc
+from fieldspark.operators import cover, grid, merge, normalise, policy, qc
 from fieldspark.plans import stages
 from fieldspark.sources import files
 
@@ -158,3 +158,51 @@ def test_query_equals_sql(spark, name):
     assert sorted(got.columns) == cols
     rows = lambda data, names: sorted(str([r[names.index(c)] for c in cols]) for r in data)
     assert rows(map(tuple, got.collect()), got.columns) == rows(want.fetchall(), want.columns)
+
+
+# --- polygon covers --------------------------------------------------------------------------------------------------
+
+
+def star(n: int, poly_id: int = 1, cx: float = 5.0, cy: float = 50.0, phase: float = 0.0):
+    """The edges of a ragged closed ring of n corners."""
+    import math
+
+    at = [(cx + (8 + math.sin(37 * i / n * math.pi) + 0.4 * math.cos(1.7 * i)) * math.cos(2 * math.pi * i / n + phase), cy + (6 + math.cos(23 * i / n * math.pi)) * math.sin(2 * math.pi * i / n + phase)) for i in range(n)]
+    return [(poly_id, *at[i], *at[(i + 1) % n]) for i in range(n)]
+
+
+@pytest.mark.parametrize("cell", [0.1, 0.5, 3.0])
+def test_cover_equals_the_parity_of_all_edges(spark, cell):
+    import random
+
+    r = random.Random(1)
+    rings = star(300) + star(40, 1, 5.0, 50.0, 0.3)[:40] + star(60, 2, 9.0, 52.0) + [(3, 0.0, 40.0, 4.0, 40.0), (3, 4.0, 40.0, 4.0, 44.0), (3, 4.0, 44.0, 0.0, 44.0), (3, 0.0, 44.0, 0.0, 40.0)]
+    rings += [(4, -20.0, -3.0, -10.0, -3.0), (4, -10.0, -3.0, -15.0, 2.0), (4, -15.0, 2.0, -20.0, -3.0)]
+    places = [(r.uniform(-22, 20), r.uniform(-5, 62)) for _ in range(3000)] + [(0.0, 40.0), (4.0, 42.0), (2.0, 44.0), (2.0, 40.0), (3.0, 42.0), (-15.0, -3.0), (float("nan"), 1.0), (None, 42.0), (1e300, 42.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "id long, lon double, lat double")
+    edges = spark.createDataFrame(rings, "poly_id int, x1 double, y1 double, x2 double, y2 double")
+
+    def odd(x, y):
+        return any(sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for p, x1, y1, x2, y2 in rings if p == poly) % 2 for poly in (1, 2, 3, 4))
+
+    want = {i for i, (x, y) in enumerate(places) if x is not None and x == x and odd(x, y)}
+    got = [x["id"] for x in grid.inside_polygon(points, cover.polygon_cover(edges, cell), "id").collect()]
+    assert len(want) > 200 and sorted(got) == sorted(want)
+    assert {x["id"] for x in grid.inside_polygon(points, edges, "id").collect()} == want
+    assert grid.inside_polygon(points, cover.polygon_cover(edges.limit(0), cell), "id").count() == 0
+
+
+def test_cover_of_many_edges_spares_points_the_edges(spark):
+    """100,000 edges: a point meets five thousand of them by bands, a few by the cover."""
+    rings = spark.createDataFrame(star(100_000), "poly_id int, x1 double, y1 double, x2 double, y2 double")
+    points = spark.range(20_000).select("id", (F.col("id") * 7919 % 20_000 / 1000 - 5).alias("lon"), (F.col("id") * 104_729 % 16_000 / 1000 + 42).alias("lat"))
+    c = stages.stored_cover(rings, 0.05)
+    of = files.kept(cover.met(points, c, "id"), "met")
+    pairs = of.where("run is not null").join(c.edges, ["poly_id", "row", "run"]).count()
+    bands = points.join(rings.withColumn("_b", F.explode(F.sequence(F.floor(F.least("y1", "y2")), F.floor(F.greatest("y1", "y2"))))), F.floor("lat") == F.col("_b")).count()
+    n = of.count()
+    assert n < 20_000 and of.where("run is not null").count() < 0.1 * n and pairs < 0.02 * bands
+    assert bands > 4000 * 20_000 / 2
+    inside = {x["id"] for x in grid.inside_polygon(points, c, "id").collect()}
+    some = points.where("id % 100 = 0")
+    assert inside & {100 * i for i in range(200)} == {x["id"] for x in grid.inside_polygon(some, rings, "id").collect()}
