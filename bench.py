@@ -19,7 +19,9 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.local.dir", scratch).config("spark.checkpoint.dir", f"file://{scratch}/shared").config("spark.sql.warehouse.dir", f"{scratch}/warehouse").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.local.dir", scratch).config("spark.checkpoint.dir", f"file://{scratch}/shared").config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # the JVM compiles no larger method: those of the wide chains would be interpreted
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

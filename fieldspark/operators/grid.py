@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.projection import project_laea, unproject_laea
@@ -35,15 +36,40 @@ def box_corners(spark: SparkSession, box=(-25.0, 34.0, 45.0, 72.0)) -> DataFrame
     return spark.createDataFrame([(w, s), (e, s), (e, n), (w, n)], "lon double, lat double")
 
 
+def box_of(points: DataFrame) -> DataFrame:
+    """(w, s, e, n): the box of all points, out to whole degrees; no row without points."""
+    box = points.agg(F.floor(F.min("lon")).cast("double").alias("w"), F.floor(F.min("lat")).cast("double").alias("s"), F.ceil(F.max("lon")).cast("double").alias("e"), F.ceil(F.max("lat")).cast("double").alias("n"))
+    return box.where("w is not null and s is not null")
+
+
+def densified(box: DataFrame, still: float = 1.0, levels: int = 14) -> DataFrame:
+    """(lon, lat) along the edges of a box (w, s, e, n), halved until the projected bounds stand still to ``still`` metres.
+
+    Parallels curve in the projection, so the corners alone may leave out what lies between them. Each level has twice the
+    points of the one before; the first whose bounds are those of the level before is taken, or the last.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
+    parts = box.select("w", "s", "e", "n", level.alias("level")).withColumn("i", F.explode(F.sequence(F.lit(0), F.expr("shiftleft(1, level)"))))
+    t = F.col("i") / F.expr("shiftleft(1, level)")
+    along = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * t
+    sides = F.array(*(F.struct(lon.alias("lon"), lat.alias("lat")) for lon, lat in ((along("w", "e"), F.col("s")), (F.col("e"), along("s", "n")), (along("w", "e"), F.col("n")), (F.col("w"), along("s", "n")))))
+    points = parts.select("level", F.explode(sides).alias("p")).select("level", "p.lon", "p.lat")
+    x, y = project_laea(F.col("lon"), F.col("lat"))
+    bounds = points.groupBy("level").agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
+    before = Window.orderBy("level")  # a row per level
+    moved = reduce(F.greatest, [F.abs(F.col(c) - F.lag(c).over(before)) for c in ("x0", "x1", "y0", "y1")])
+    enough = bounds.withColumn("moved", moved).agg(F.coalesce(F.min(F.when(F.col("moved") < still, F.col("level"))), F.max("level")).alias("level"))
+    return points.join(F.broadcast(enough), "level", "left_semi").select("lon", "lat")
+
+
 def corners_of(points: DataFrame) -> DataFrame:
     """The four corners (lon, lat) of the box of all points, out to whole degrees; no row without points."""
-    box = points.agg(F.floor(F.min("lon")).cast("double").alias("w"), F.ceil(F.max("lon")).cast("double").alias("e"), F.floor(F.min("lat")).cast("double").alias("s"), F.ceil(F.max("lat")).cast("double").alias("n"))
     four = F.array(*(F.struct(F.col(a).alias("lon"), F.col(b).alias("lat")) for a, b in ("ws", "es", "en", "wn")))
-    return box.where("w is not null and s is not null").select(F.explode(four).alias("c")).select("c.lon", "c.lat")
+    return box_of(points).select(F.explode(four).alias("c")).select("c.lon", "c.lat")
 
 
 def snapped_extent(corners: DataFrame, cell: float = 25_000.0) -> DataFrame:
-    """xmin, xmax, ymin, ymax, ncol, nrow: the projected corners (lon, lat) of a box, out to whole cells."""
+    """xmin, xmax, ymin, ymax, ncol, nrow: the projected corners (lon, lat) of a box, or densified() points of its edges, out to whole cells."""
     x, y = project_laea(F.col("lon"), F.col("lat"))
     snap = corners.select(x.alias("x"), y.alias("y")).agg(
         (F.floor(F.min("x") / cell) * cell).alias("xmin"), (F.ceil(F.max("x") / cell) * cell).alias("xmax"), (F.floor(F.min("y") / cell) * cell).alias("ymin"), (F.ceil(F.max("y") / cell) * cell).alias("ymax")

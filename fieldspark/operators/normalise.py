@@ -114,9 +114,13 @@ def dedup_by_id(df: DataFrame, order: list[Column]) -> DataFrame:
     return keep_first(df, ["species_slug", "source", "source_record_id"], order)
 
 
+def dedup_by_place(df: DataFrame, order: list[Column]) -> DataFrame:
+    return keep_first(df, ["species_slug", "source", "lon", "lat", "date_raw"], order)
+
+
 def dedup_within_source(df: DataFrame, order: list[Column]) -> DataFrame:
     """First by id, then the survivors by exact place and date text."""
-    return keep_first(dedup_by_id(df, order), ["species_slug", "source", "lon", "lat", "date_raw"], order)
+    return dedup_by_place(dedup_by_id(df, order), order)
 
 
 def requested_year(df: DataFrame, year: int, column: str = "year") -> DataFrame:

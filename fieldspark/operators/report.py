@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil, floor
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,11 +117,51 @@ def ranges(df: DataFrame) -> DataFrame:
     return df.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("event_day", "year", "lon", "lat") for f in (F.min, F.max)))
 
 
-def quantiles(df: DataFrame, x: Column, at=(0.0, 0.5, 0.9, 0.95, 0.99, 1.0)) -> DataFrame:
-    """Exact quantiles with linear interpolation. Equal values are counted first, so the last step holds different ones only."""
-    count = df.select(x.alias("_x")).where("_x is not null").groupBy("_x").agg(F.count("*").alias("_n"))
-    got = count.agg(F.percentile("_x", F.array(*map(F.lit, at)), F.col("_n")).alias("q"))
-    return got.select(*(F.col("q")[i].alias(f"q{round(100 * p)}") for i, p in enumerate(at)))
+def quantiles(df: DataFrame, x: Column, at=(0.0, 0.5, 0.9, 0.95, 0.99, 1.0), accuracy: int = 1000, most: int = 100_000) -> DataFrame:
+    """Exact quantiles with linear interpolation, of values that are not null and numbers; nulls without any.
+
+    A mergeable sketch brackets the ranks, a counting pass proves each bracket and says how many values it holds. Brackets
+    of more than ``most`` different values are narrowed by another sketch of what they hold; then their values, counted,
+    give the quantiles. No task and no driver has more values than ``most`` a quantile.
+    """
+    values = df.select(x.cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
+    names = [f"q{round(100 * p)}" for p in at]
+    sketch = lambda v, share: F.percentile_approx(v, F.array(*(F.lit(min(max(share + d, 0.0), 1.0)) for d in (-2 / accuracy, 2 / accuracy))), accuracy)
+    first = values.agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"), *(sketch(F.col("_x"), p).alias(f"b{i}") for i, p in enumerate(at))).first()
+    n, low, high = first["n"], first["low"], first["high"]
+    if not n:
+        return df.sparkSession.createDataFrame([(None,) * len(at)], ", ".join(f"{c} double" for c in names))
+    ranks = [(floor(p * (n - 1)), ceil(p * (n - 1))) for p in at]
+    brackets = [tuple(first[f"b{i}"]) for i in range(len(at))]
+    proven: dict[int, int] = {}  # of a bracket: how many values lie before it
+    while len(proven) < len(at):
+        open_ = [i for i in range(len(at)) if i not in proven]
+        inside = {i: (F.col("_x") >= brackets[i][0]) & (F.col("_x") <= brackets[i][1]) for i in open_}
+        got = values.agg(*(c for i in open_ for c in (F.count_if(F.col("_x") < brackets[i][0]).alias(f"a{i}"), F.count_if(inside[i]).alias(f"c{i}"), F.approx_count_distinct(F.when(inside[i], F.col("_x")), 0.02).alias(f"d{i}")))).first()
+        wide = {}
+        for i in open_:
+            before, held, different = got[f"a{i}"], got[f"c{i}"], got[f"d{i}"]
+            if not (before <= ranks[i][0] and ranks[i][1] < before + held):
+                brackets[i] = (low, high)  # the sketch was wrong
+            elif min(held, different) <= most or brackets[i][0] == brackets[i][1]:
+                proven[i] = before
+            else:
+                wide[i] = (ranks[i][0] - before) / max(1, held - 1)
+        if wide:
+            finer = values.agg(*(sketch(F.when(inside[i], F.col("_x")), share).alias(f"b{i}") for i, share in wide.items())).first()
+            for i in wide:
+                brackets[i] = tuple(finer[f"b{i}"])
+    some = reduce(or_, [(F.col("_x") >= a) & (F.col("_x") <= b) for a, b in dict.fromkeys(brackets)])
+    counted = sorted((r["_x"], r["n"]) for r in values.where(some).groupBy("_x").agg(F.count("*").alias("n")).collect())
+    out = []
+    for i, p in enumerate(at):
+        end, found = proven[i], []
+        for v, k in counted:
+            if brackets[i][0] <= v <= brackets[i][1]:
+                found += [v for r in ranks[i][len(found) :] if end <= r < end + k]
+                end += k
+        out.append(found[0] + (found[1] - found[0]) * (p * (n - 1) - ranks[i][0]))
+    return df.sparkSession.createDataFrame([tuple(out)], ", ".join(f"{c} double" for c in names))
 
 
 def runlog_latest(log: DataFrame, policy_id: str) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import slugify
@@ -49,13 +53,41 @@ def basics(clean: DataFrame, dp: int = 4) -> DataFrame:
     return merge.add_basics(clean, order(), dp, bucket(), files.kept(merge.source_years(clean), "years"))
 
 
-def premerge(clean: DataFrame, dp: int = 4) -> DataFrame:
+def screened(clean: DataFrame, sources: tuple[str, ...] = ("GBIF", "NBN")) -> tuple[DataFrame, DataFrame]:
+    """(screened and within-source deduplicated records, written; the funnel: rows per source after each step).
+
+    The counts ride on the write, so the records pass once. Spark adds what each finished task has seen: if an executor is
+    lost and its part of an earlier shuffle is made again, counts before that shuffle can come out too high. Where they
+    must not, count with report.screening_funnel().
+    """
+    steps: dict[str, Observation] = {}
+
+    def watched(df: DataFrame, name: str) -> DataFrame:
+        steps[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+        return df.observe(steps[name], *(F.count_if(F.col("source") == s).alias(s) for s in sources))
+
+    rows = watched(normalise.screen_coords(watched(clean, "n_raw")), "n_screened")
+    rows = watched(normalise.dedup_by_id(rows, order()), "n_by_id")
+    rows = files.kept(watched(normalise.dedup_by_place(rows, order()), "n_deduped"), "within")
+    seen = {name: o.get for name, o in steps.items()}
+    funnel = [(s, *(seen[name][s] for name in steps)) for s in sources if seen["n_raw"][s]]
+    return rows, clean.sparkSession.createDataFrame(funnel, "source string, " + ", ".join(f"{name} long" for name in steps))
+
+
+#: What the merge itself reads of a clean record, beside the columns of the order.
+MERGED = ["source", "species", "species_slug", "source_record_id", "lon", "lat", "date_raw", "year_raw"]
+
+
+def premerge(clean: DataFrame, dp: int = 4, carry: list[str] | None = None) -> DataFrame:
     """Screened, within-source deduplicated records with their derived columns, laid out by species and uid.
 
     The deduplicated records are written once to the shared folder, and again with what is derived from them: what
     follows reads those several times, each time with other columns, and would sort and shuffle them anew. A species'
     source has two nameless records at most then, one with a null and one with an empty id, so they need no buckets.
+    carry: the other columns that are wanted; none named: all.
     """
+    if carry is not None:
+        clean = clean.select(*dict.fromkeys([*MERGED, *ORDER, *carry]))
     within = files.kept(normalise.dedup_within_source(normalise.screen_coords(clean), order()), "within")
     years = files.kept(merge.source_years(within), "years")
     return files.kept_keyed(merge.add_basics(within, order(), dp, years=years), "merged", merge.UID)
@@ -68,27 +100,56 @@ def merge_stage(clean: DataFrame, dp: int = 4, prefer: str = "GBIF", **log) -> t
     return strict.where(~F.col("strict_drop")).drop("strict_drop"), report.runlog_merged(pre, strict, **log)
 
 
+def isolated(slugs: list[str], run: Callable[[list[str]], DataFrame], most: int = 16) -> list[DataFrame]:
+    """run() over all species, or over halves of them where it fails, until what fails is one species alone.
+
+    Each call is a job group of its own. A species that fails alone gives (slug, status error, note); run() must leave
+    nothing behind when it fails. After ``most`` such species the error is raised: then it is no matter of single species.
+    """
+    done, errors, waiting = [], 0, [slugs] if slugs else []
+    while waiting:
+        part = waiting.pop()
+        sc = SparkSession.active().sparkContext
+        sc.setJobGroup(f"species-{part[0]}-{len(part)}", f"{len(part)} species from {part[0]} on")
+        try:
+            done.append(run(part))
+        except Exception as e:  # noqa: BLE001
+            if len(part) > 1:
+                waiting += [part[len(part) // 2 :], part[: len(part) // 2]]
+                continue
+            errors += 1
+            if errors > most:
+                raise
+            done.append(SparkSession.active().createDataFrame([(part[0], "error", str(e)[:500])], "slug string, status string, note string"))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+            sc.setLocalProperty("spark.job.description", None)
+    return done
+
+
 def merge_into(clean: DataFrame, inputs: DataFrame, out: str, overwrite: bool = False, refresh_if_newer: bool = True, continue_on_error: bool = False, **how) -> DataFrame:
     """Merges the species that need it into the stage table at ``out`` and gives the log of all species with input.
 
-    inputs: (slug, modified). Species that stay as they are have the status skipped_cached. With continue_on_error a
-    failed run gives rows of status error with its message; its species keep what they had, as all are one job.
+    inputs: (slug, modified). Species that stay as they are have the status skipped_cached. All that is to be done is one
+    job, published at once. With continue_on_error a species that fails has a row of status error with its message and
+    keeps what it had; the others are published, see isolated(). Slugs come to the driver, a row per species.
     """
     spark = clean.sparkSession
     had = files.modified_by_species(spark, out)
-    todo = files.needs_refresh(inputs, had, overwrite, refresh_if_newer)
-    todo = spark.createDataFrame(todo.collect(), todo.schema)  # what is to be done is fixed before anything is written
-    stay = inputs.select("slug").distinct().join(todo, "slug", "left_anti")
-    try:
-        rows = clean.join(todo.withColumnRenamed("slug", "species_slug"), "species_slug", "left_semi")
-        merged, log = merge_stage(rows, out_root=out, **how)
+    todo = sorted(r["slug"] for r in files.needs_refresh(inputs, had, overwrite, refresh_if_newer).collect())  # fixed before anything is written
+
+    def run(slugs: list[str]) -> DataFrame:
+        # A filter by values goes down to the source: what other species' records hold is not even computed.
+        merged, log = merge_stage(clean.where(F.col("species_slug").isin(*slugs)), out_root=out, **how)
+        log = files.kept(log, "log")
         files.sink_stage(merged, out)
-    except Exception as e:  # noqa: BLE001
-        if not continue_on_error:
-            raise
-        log = todo.select("slug", F.lit("error").alias("status"), F.lit(str(e)[:500]).alias("note"))
+        return log
+
+    logs = isolated(todo, run) if continue_on_error else [run(todo)] if todo else []
     note = "Merged output exists and inputs are not newer (overwrite=FALSE)." if refresh_if_newer else "Merged output exists (overwrite=FALSE)."
-    return log.unionByName(stay.select("slug", F.lit("skipped_cached").alias("status"), F.lit(note).alias("note")), allowMissingColumns=True)
+    stay = inputs.select("slug").distinct().where(~F.col("slug").isin(*todo))
+    logs.append(stay.select("slug", F.lit("skipped_cached").alias("status"), F.lit(note).alias("note")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
 
 
 def qc_stage(df: DataFrame, as_of: Column | None = None, config: qc.QcConfig = qc.QcConfig()) -> tuple[DataFrame, DataFrame]:
@@ -121,7 +182,7 @@ def grid_into(df: DataFrame, root: str, tag: str, box=(-25.0, 34.0, 45.0, 72.0),
     extent = grid.extent_of(grid.box_corners(df.sparkSession, box), 1000.0 * cell_km)
     cells, presence, summary = grid_stage(df, extent, edges)
     files.sink_grid(cells, presence, summary, root, tag, cell_km)
-    return grid.presence_centroids(files.scan_stage(df.sparkSession, f"{root}/{tag}/grid{cell_km}km"))
+    return grid.presence_centroids(files.scan_grid(df.sparkSession, root, tag, cell_km))
 
 
 def missing_columns(df: DataFrame, required: list[str]) -> DataFrame:

@@ -146,7 +146,8 @@ def _within(spark, sf) -> DataFrame:
 
 
 def _pre(spark, sf) -> DataFrame:
-    return stages.premerge(_clean(spark, sf))
+    """Merged records with what the queries below read of them."""
+    return stages.premerge(_clean(spark, sf), carry=["licence"])
 
 
 def _all(spark, sf) -> DataFrame:
@@ -295,6 +296,14 @@ def top_countries(spark, sf):
 @_query("""SELECT source, count(*) AS n_raw, count(*) FILTER (lon IS NOT NULL AND lat IS NOT NULL) AS n_screened, any_value(b.n) AS n_by_id, any_value(w.n) AS n_deduped FROM clean
   JOIN (SELECT source AS s, count(*) AS n FROM byid GROUP BY source) b ON b.s = source JOIN (SELECT source AS s, count(*) AS n FROM within GROUP BY source) w ON w.s = source GROUP BY source""")
 def screening_funnel(spark, sf):
+    """Counted on the way of one write."""
+    return stages.screened(_clean(spark, sf))[1]
+
+
+@_query("""SELECT source, count(*) AS n_raw, count(*) FILTER (lon IS NOT NULL AND lat IS NOT NULL) AS n_screened, any_value(b.n) AS n_by_id, any_value(w.n) AS n_deduped FROM clean
+  JOIN (SELECT source AS s, count(*) AS n FROM byid GROUP BY source) b ON b.s = source JOIN (SELECT source AS s, count(*) AS n FROM within GROUP BY source) w ON w.s = source GROUP BY source""")
+def screening_funnel_recounted(spark, sf):
+    """By an aggregate for each step."""
     raw = _clean(spark, sf)
     screened = normalise.screen_coords(raw)
     return report.screening_funnel(raw, screened, normalise.dedup_by_id(screened, stages.order()), normalise.dedup_within_source(screened, stages.order()))
@@ -519,6 +528,17 @@ def merge_into(spark, sf):
     return log.select("slug", "status", "n_final")
 
 
+@_query(f", {_LOG1} SELECT species_slug AS slug, CASE WHEN species_slug = 'gamma_x_rubra' THEN 'error' ELSE 'ok_both_sources' END AS status, CASE WHEN species_slug <> 'gamma_x_rubra' THEN n_final END AS n_final FROM lgm")
+def merge_into_isolated(spark, sf):
+    """One species' longitudes can't be computed: it is found by halves and logged, the others are merged and published."""
+    root, clean = files.work_dir(spark, "isolated"), _clean(spark, sf).select(*stages.MERGED, *stages.ORDER)
+    poison = F.when(F.col("species_slug") == "gamma_x_rubra", F.raise_error(F.lit("unreadable")).cast("double")).otherwise(F.col("lon"))
+    inputs = clean.select(F.col("species_slug").alias("slug")).distinct().withColumn("modified", F.lit(0).cast("timestamp"))
+    log = stages.merge_into(clean.withColumn("lon", poison), inputs, f"{root}/out", continue_on_error=True)
+    kept = files.scan_stage(spark, f"{root}/out").groupBy(F.col("species_slug").alias("slug")).agg(F.count("*").alias("n_final"))
+    return log.select("slug", "status").join(kept, "slug", "left")
+
+
 def _fig(section: str, rows: str, item: str, *values: str) -> str:
     return " UNION ALL ".join(f"SELECT '{section}' AS section, concat({item}, '{v}') AS item, CAST({v} AS DOUBLE) AS value FROM ({rows})" for v in values)
 
@@ -698,6 +718,42 @@ def snapped_extent(spark, sf):
     return grid.snapped_extent(grid.corners_of(_points(spark, sf)), CELL)
 
 
+def _sides(box: str, levels: int = 14) -> str:
+    """(level, lon, lat) along the edges of a box (w, s, e, n), halved ``levels`` times."""
+    return f"""SELECT level, unnest([w + (e - w) * t, e, w + (e - w) * t, w]) AS lon, unnest([s, s + (n - s) * t, n, s + (n - s) * t]) AS lat
+      FROM (SELECT *, i / CAST(1 << level AS DOUBLE) AS t FROM (SELECT *, unnest(range(0, (1 << level) + 1)) AS i FROM (SELECT *, unnest(range(0, {levels + 1})) AS level FROM ({box}))))"""
+
+
+def _dense(box: str) -> str:
+    """The snapped extent of a box's densified edges, as common tables that end in dense."""
+    return f""", sides AS MATERIALIZED ({_project(f"({_sides(box)})")}),
+    bounds AS (SELECT level, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM sides GROUP BY level),
+    moved AS (SELECT *, greatest(abs(x0 - lag(x0) OVER (ORDER BY level)), abs(x1 - lag(x1) OVER (ORDER BY level)), abs(y0 - lag(y0) OVER (ORDER BY level)), abs(y1 - lag(y1) OVER (ORDER BY level))) AS by_ FROM bounds),
+    dense AS (SELECT floor(x0 / {CELL}) * {CELL} AS xmin, ceil(x1 / {CELL}) * {CELL} AS xmax, floor(y0 / {CELL}) * {CELL} AS ymin, ceil(y1 / {CELL}) * {CELL} AS ymax FROM moved
+      WHERE level = (SELECT coalesce(min(level) FILTER (by_ < 1.0), max(level)) FROM moved))"""
+
+
+_BOX = "SELECT floor(min(lon)) AS w, floor(min(lat)) AS s, ceil(max(lon)) AS e, ceil(max(lat)) AS n FROM spot"
+
+
+@_query(f"{_dense(_BOX)} SELECT *, CAST((xmax - xmin) / {CELL} AS INT) AS ncol, CAST((ymax - ymin) / {CELL} AS INT) AS nrow FROM dense", _GRID)
+def densified_extent(spark, sf):
+    return grid.snapped_extent(grid.densified(grid.box_of(_points(spark, sf))), CELL)
+
+
+_DEFAULT_BOX = "SELECT CAST(-25 AS DOUBLE) AS w, CAST(34 AS DOUBLE) AS s, CAST(45 AS DOUBLE) AS e, CAST(72 AS DOUBLE) AS n"
+
+
+@_query(f"""{_dense(_DEFAULT_BOX)} SELECT {_ID}, in_bounds, coalesce(x >= xmin AND x < xmax AND y >= ymin AND y < ymax, FALSE) AS in_dense_bounds FROM placed CROSS JOIN dense WHERE lat BETWEEN 34 AND 40.4 AND lon BETWEEN -25 AND 45""", _GRID)
+def assign_cell_densified(spark, sf):
+    """Points of the default box's south, which the extent of its four corners leaves out in part: all are placed by the densified one."""
+    south = _points(spark, sf).where("lat between 34 and 40.4 and lon between -25 and 45")
+    box = spark.createDataFrame([(-25.0, 34.0, 45.0, 72.0)], "w double, s double, e double, n double")
+    dense = grid.extent_of(grid.densified(box), CELL)
+    placed = grid.assign_cell(south, EXTENT).drop("col", "row").select(*_IDS, "lon", "lat", "in_bounds")
+    return grid.assign_cell(placed.withColumnRenamed("in_bounds", "_four"), dense).select(*_IDS, F.col("_four").alias("in_bounds"), F.col("in_bounds").alias("in_dense_bounds"))
+
+
 @_query(f'SELECT {_ID}, col, "row", in_bounds FROM placed', _GRID)
 def assign_cell(spark, sf):
     return grid.assign_cell(_points(spark, sf), EXTENT).select(*_IDS, "col", "row", "in_bounds")
@@ -872,7 +928,7 @@ _TEXTS = ["record_id", "species", "decimalLongitude", "decimalLatitude", "eventD
 
 
 def _text_file(spark, sf, sep: str) -> str:
-    path = files.work_dir(spark, "texts")
+    path = files.work_dir(spark, "texts") + (".csv" if sep == "," else ".tsv")
     files.sink_csv(occ_raw(spark, sf).select(*_IDS, *_TEXTS), path, sep)
     return path
 
@@ -880,7 +936,14 @@ def _text_file(spark, sf, sep: str) -> str:
 @_query(f"SELECT {_ID}, record_id, TRY_CAST(decimalLongitude AS DOUBLE) AS decimalLongitude, TRY_CAST(coordinateUncertaintyInMeters AS DOUBLE) AS coordinateUncertaintyInMeters FROM raw")
 def scan_delimited_typed(spark, sf):
     wanted = {"source": "string", "k": "bigint", "copy_no": "int", "record_id": "string", "decimalLongitude": "double", "absent": "int", "coordinateUncertaintyInMeters": "double"}
-    return files.scan_delimited_typed(spark, _text_file(spark, sf, "\t"), wanted, "\t")
+    return files.scan_delimited_typed(spark, _text_file(spark, sf, "\t"), wanted)
+
+
+@_query(f"SELECT {_ID}, record_id, TRY_CAST(decimalLatitude AS DOUBLE) AS decimalLatitude, TRY_CAST(coordinateUncertaintyInMeters AS DOUBLE) AS coordinateUncertaintyInMeters FROM raw")
+def scan_delimited_by_extension(spark, sf):
+    """The same records with commas: the path's ending says so."""
+    wanted = {"source": "string", "k": "bigint", "copy_no": "int", "record_id": "string", "decimalLatitude": "double", "coordinateUncertaintyInMeters": "double"}
+    return files.scan_delimited_typed(spark, _text_file(spark, sf, ","), wanted)
 
 
 @_query("SELECT " + ", ".join(f"CAST({c} AS STRING) AS {c}" for c in [*_IDS, *_TEXTS]) + " FROM raw")
@@ -920,6 +983,17 @@ def scan_runlog(spark, sf):
     return files.scan_runlog(spark, path, ", ".join(f"`{c}` string" for c in log.columns))
 
 
+@_query(f", {_LOG} SELECT species_slug, CAST(n_in AS STRING) AS n_in, CASE WHEN kind > 0 THEN CAST(n_out AS STRING) END AS n_out, CASE WHEN kind = 2 THEN 'more, or less' END AS extra_col_1, CASE WHEN kind = 2 THEN 'last' END AS extra_col_2 FROM (SELECT *, length(species_slug) % 3 AS kind FROM lg)")
+def scan_runlog_ragged(spark, sf):
+    """A log of three columns with shorter rows, and rows with two more fields, one of them quoted with a comma."""
+    path, kind = files.work_dir(spark, "ragged"), F.length("species_slug") % 3
+    log = runlog_filtered(spark, sf).select("species_slug", F.concat_ws(",", F.col("species_slug"), F.col("n_in").cast("string")).alias("two"), F.col("n_out").cast("string").alias("n_out"))
+    line = F.when(kind == 0, F.col("two")).when(kind == 1, F.concat_ws(",", "two", "n_out")).otherwise(F.concat_ws(",", F.col("two"), F.col("n_out"), F.lit('"more, or less",last')))
+    rows = log.select(F.lit(1).alias("at"), line.alias("line")).union(spark.createDataFrame([(0, "species_slug,n_in,n_out")], "at int, line string"))
+    rows.coalesce(1).sortWithinPartitions("at").select("line").write.text(path)  # a log file: its header comes first
+    return files.scan_runlog(spark, path)
+
+
 _LAYOUT = """SELECT DISTINCT source, species_slug AS slug, k % 4 + 1 AS rank, concat('/landed/raw/', CASE k % 4 WHEN 0 THEN concat('group', CAST(k % 3 AS STRING), '/', lower(source), '/') WHEN 1 THEN concat(lower(source), '/')
   WHEN 2 THEN concat('group', CAST(k % 3 AS STRING), '/', lower(source), '_') ELSE concat(lower(source), '_') END, species_slug, '_clean.csv') AS path FROM {c} WHERE k % 16 > length(species_slug) % 3 + 8"""
 
@@ -1000,6 +1074,17 @@ def stream_dedup(spark, sf):
     return spark.read.schema(rows.schema).parquet(out).select("source", "record_id")
 
 
+@_query("SELECT source, record_id, min(k) FILTER (k % 2 = 0) AS first_even, count(*) FILTER (k % 2 = 0) > 0 AS in_first FROM raw GROUP BY source, record_id")
+def stream_dedup_exact(spark, sf):
+    """All ids pass once, also those that come first ten days late; an id of the first landing passes with its first record."""
+    at = F.lit(1_767_225_600) + 3600 * F.col("copy_no") - F.when(F.col("k") % 50 == 1, 864_000).otherwise(0)
+    rows = occ_raw(spark, sf).select(*_IDS, "record_id", F.timestamp_seconds(at).alias("landed_at"))
+    step = lambda _, s, out, check: streams.ingest(streams.dedup_exact(s, ["source", "record_id"], "landed_at", ["k", "copy_no"]), out, check, by_clock=True)
+    out = spark.read.schema(rows.schema).parquet(_landings(spark, "exact", rows, step))
+    first = F.col("k") % 2 == 0
+    return out.select("source", "record_id", F.when(first, F.col("k")).alias("first_even"), first.alias("in_first"))
+
+
 @_query(f"SELECT {_ID}, {_reason(_BASE_RULES)} AS drop_reason FROM t")
 def stream_qc(spark, sf):
     out = _landings(spark, "qc", _all(spark, sf), lambda _, s, out, at: streams.ingest(streams.judged(s, BASELINE, F.lit(AS_OF)).select(*_IDS, "drop_reason"), out, at))
@@ -1009,7 +1094,7 @@ def stream_qc(spark, sf):
 @_query('SELECT species_slug, "row", col, n FROM counts', _GRID)
 def stream_grid_counts(spark, sf):
     rows = _points(spark, sf).select("k", "species_slug", "lon", "lat")
-    return spark.read.parquet(_landings(spark, "counts", rows, lambda folder, s, out, at: streams.grid_counts(s, folder, out, at, EXTENT)))
+    return streams.counts_now(spark, _landings(spark, "counts", rows, lambda _, s, out, at: streams.grid_counts(s, out, at, EXTENT, fold=2)))
 
 
 assert set(EXPECTED) == {"GBIF", "NBN"}

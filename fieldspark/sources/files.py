@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import snapshots
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared spark.checkpoint.dir; unset, below a temp folder in local mode, else an error."""
@@ -91,20 +94,32 @@ def scan_any_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(best["path"]) if best["_k"] == 0 else scan_csv_all_string(spark, best["path"])
 
 
-def scan_delimited_typed(spark: SparkSession, path: str, schema: dict[str, str], sep: str = "\t") -> DataFrame:
-    """The wanted columns that the file has, cast where they can be; only they are parsed."""
-    raw = scan_csv_all_string(spark, path, sep)
+def separator_of(path: str) -> str:
+    """A comma for .csv, also packed; tabs otherwise, as downloads of records have them."""
+    return "," if re.search(r"\.csv(\.(gz|bz2|zst|deflate))?/?$", path.lower()) else "\t"
+
+
+def scan_delimited_typed(spark: SparkSession, path: str, schema: dict[str, str], sep: str | None = None) -> DataFrame:
+    """The wanted columns that the file has, cast where they can be; only they are parsed. sep: by the path's ending unless given."""
+    raw = scan_csv_all_string(spark, path, separator_of(path) if sep is None else sep)
     return raw.select(*(F.col(f"`{c}`").try_cast(t).alias(c) for c, t in schema.items() if c in raw.columns))
 
 
 def scan_stage(spark: SparkSession, root: str, species: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(root)
-    return df.where(F.col("species_slug").isin(*species)) if species is not None else df
+    """The last published snapshot of a stage table, or some of its species. FileNotFoundError if nothing was published."""
+    entries = snapshots.manifest(spark, root)
+    if not entries:
+        raise FileNotFoundError(f"no snapshot at {root}")
+    wanted = [e for k, e in entries.items() if species is None or k in species]
+    some = snapshots.read(spark, wanted)
+    return snapshots.read(spark, list(entries.values())[:1]).limit(0) if some is None else some
 
 
 def sink_stage(df: DataFrame, root: str) -> None:
-    """One partition per species; only the species in df are replaced, none if df is empty."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("species_slug").parquet(root)
+    """Publishes df, a folder per species: only the species in df are replaced, none if df is empty, all at once or not at all."""
+    new = snapshots.write_species(df, root)
+    if new:
+        snapshots.commit(df.sparkSession, root, new)
 
 
 def sink_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -129,12 +144,30 @@ def sink_runlog(log: DataFrame, path: str, schema: dict[str, str], append: bool
 
 
 def sink_grid(cells: DataFrame, presence: DataFrame, summary: DataFrame, root: str, tag: str, cell_km: int) -> None:
-    """<root>/<tag>: land cells once per grid, the gridded table by species, and the summary as text."""
-    cells.where("on_land").write.mode("overwrite").parquet(f"{root}/{tag}/grid{cell_km}km_land_cells")
-    sink_stage(presence, f"{root}/{tag}/grid{cell_km}km")
+    """Publishes a grid below <root>/<tag>/grid<km>: land cells, the gridded table by species, and the summary, in one snapshot.
+
+    The summary also lies there as text, under _summary_grid, written last.
+    """
+    at = f"{root}/{tag}/grid{cell_km}km"
+    new = {**snapshots.write_table(cells.where("on_land"), at, LAND), **snapshots.write_table(summary, at, SUMMARY)}
+    species = snapshots.write_species(presence, at)
+    snapshots.commit(cells.sparkSession, at, {**new, **{f"{GRIDDED}{k}": e for k, e in species.items()}}, replace=True)
     sink_csv(summary, f"{root}/{tag}/_summary_grid")
 
 
+#: Entries of a grid's snapshot; those of species come after GRIDDED.
+LAND, SUMMARY, GRIDDED = "land_cells", "summary", "grid/"
+
+
+def scan_grid(spark: SparkSession, root: str, tag: str, cell_km: int, part: str = GRIDDED) -> DataFrame:
+    """A part of the last published grid: LAND, SUMMARY, or GRIDDED for the table of all species."""
+    entries = snapshots.manifest(spark, f"{root}/{tag}/grid{cell_km}km")
+    found = snapshots.read(spark, [e for k, e in entries.items() if k == part or (part == GRIDDED and k.startswith(part))])
+    if found is None:
+        raise FileNotFoundError(f"no {part} published at {root}/{tag}/grid{cell_km}km")
+    return found
+
+
 def ingest_pages(pages: list[DataFrame], most: int | None = None) -> DataFrame:
     """Result pages whose columns may differ, stacked; at most so many records."""
     out = pages[0]
@@ -174,7 +207,11 @@ def resolve_stage(files: DataFrame, root: str, suffix: str = "merged") -> DataFr
 
 
 def modified_by_species(spark: SparkSession, root: str) -> DataFrame:
-    """(slug, modified): the latest file time per species of a stage table or a folder of <slug>_clean.csv files."""
+    """(slug, modified) of a stage table, when each species was published, or by file times of a folder of species_slug=<slug> folders or <slug>_clean.csv files."""
+    entries = snapshots.manifest(spark, root)
+    if entries:
+        rows = spark.createDataFrame([(k, e.modified) for k, e in entries.items()], "slug string, ms long")
+        return rows.select("slug", F.timestamp_millis("ms").alias("modified"))
     slug = F.coalesce(F.nullif(F.regexp_extract("path", r"species_slug=([^/]+)/", 1), F.lit("")), F.regexp_replace(F.nullif(F.regexp_extract("path", r"([^/]+)_clean\.csv", 1), F.lit("")), "^(gbif|nbn)_", ""))
     return list_files(spark, root).where(~F.contains("path", F.lit("/_"))).withColumn("slug", slug).where("slug is not null").groupBy("slug").agg(F.max("modified").alias("modified"))
 
@@ -190,7 +227,25 @@ def needs_refresh(inputs: DataFrame, outputs: DataFrame, overwrite: bool = False
     return a.join(b, "slug", "left").where(F.lit(overwrite) | F.col("o").isNull() | newer).select("slug")
 
 
-def scan_runlog(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log whose rows may differ in length; empty and NA are null."""
-    raw = spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE", enforceSchema=True)
-    return raw.select(*(F.when(~F.col(c).isin("", "NA"), F.col(c)).alias(c) for c in raw.columns))
+def widest_row(spark: SparkSession, path: str, sep: str = ",") -> int:
+    """The greatest number of fields of any line, quoted separators not counted: one pass over the lines, a number per task."""
+    bare = F.regexp_replace("value", '"([^"]|"")*"', "")
+    return spark.read.text(path).agg(F.max(F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))))).first()[0] or 0
+
+
+def scan_runlog(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A log whose rows may differ in length; empty and NA are null. Fields stand on one line each.
+
+    Shorter rows end in nulls. Fields beyond the header's become extra_col_1, extra_col_2, ..., as many as the longest row
+    has. The columns are those of the header, all text, unless ``schema`` names them.
+    """
+    if schema is None:
+        names = spark.read.csv(path, header=True).columns
+        kinds = ["string"] * len(names)
+    else:
+        fixed = T.StructType.fromDDL(schema)
+        names, kinds = fixed.names, [f.dataType.simpleString() for f in fixed]
+    extra = max(0, widest_row(spark, path) + 1 - len(names))
+    names, kinds = names + [f"extra_col_{i + 1}" for i in range(extra)], kinds + ["string"] * extra
+    raw = spark.read.schema(", ".join(f"`{n}` {k}" for n, k in zip(names, kinds))).csv(path, header=True, mode="PERMISSIVE", enforceSchema=True)
+    return raw.select(*(F.when(~F.col(f"`{c}`").cast("string").isin("", "NA"), F.col(f"`{c}`")).alias(c) for c in raw.columns))

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.grid import Extent, cell_counts
 from ..operators.policy import Policy, with_drop_reason
 from ..operators.qc import qc_flags
+from ..sources import snapshots
+from ..sources.files import exists
+
+#: Where keyed state lives: on the executors' disks, with its log in the checkpoint, so that it may outgrow memory.
+PROVIDER, ROCKSDB = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def landed(spark: SparkSession, folder: str, schema, per_trigger: int = 1000) -> DataFrame:
@@ -15,9 +24,23 @@ def landed(spark: SparkSession, folder: str, schema, per_trigger: int = 1000) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(folder)
 
 
-def ingest(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Appends what is new and stops; called again it goes on where it stopped."""
-    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def ingest(stream: DataFrame, out: str, checkpoint: str, by_clock: bool = False) -> None:
+    """Appends what is new and stops; called again it goes on where it stopped.
+
+    by_clock: for state that expires by the clock, as dedup_exact() has it. It would ask for batches without data for ever;
+    so it is looked at when there is data.
+    """
+    conf = stream.sparkSession.conf
+    own = {PROVIDER: ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": str(not by_clock).lower()}
+    was = {k: conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            conf.set(k, v)
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        for k, v in was.items():
+            conf.set(k, v)
+    query.awaitTermination()
 
 
 def dedup(stream: DataFrame, keys: list[str], landed_at: str, late: str = "1 day") -> DataFrame:
@@ -25,22 +48,78 @@ def dedup(stream: DataFrame, keys: list[str], landed_at: str, late: str = "1 day
     return stream.withWatermark(landed_at, late).dropDuplicatesWithinWatermark(keys)
 
 
+def _first_of_key(order: list[str], keep_ms: int):
+    """Lets the first row of a key pass, and remembers the key for ``keep_ms`` milliseconds of the clock."""
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+        elif not state.exists:
+            first = None
+            for rows in frames:  # a key's rows come in pieces, of which one row is kept
+                first = pd.concat([first, rows]).sort_values(order, na_position="first").head(1)
+            state.update((True,))
+            state.setTimeoutDuration(keep_ms)
+            yield first
+
+    return run
+
+
+def dedup_exact(stream: DataFrame, keys: list[str], landed_at: str, order: list[str] = (), keep: str = "365 days") -> DataFrame:
+    """The first row of each key, whenever its copies come: a late row goes only if its key was seen.
+
+    Of rows that come in one batch the first by landed_at, then by ``order``, passes; nulls come first. A key is forgotten
+    ``keep`` after it passed, by the clock: that bounds the state, which lies in RocksDB (see ingest(by_clock=True)).
+    """
+    number, unit = keep.split()
+    ms = int(number) * {"day": 86_400_000, "hour": 3_600_000, "minute": 60_000}[unit.removesuffix("s")]
+    run = _first_of_key([landed_at, *order], ms)
+    return stream.groupBy(*keys).applyInPandasWithState(run, stream.schema, "seen boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
 def judged(stream: DataFrame, policy: Policy, as_of: Column) -> DataFrame:
     """QC flags and the policy's drop reason on a stream: both are stateless columns."""
     return with_drop_reason(qc_flags(stream, as_of), policy, as_of)
 
 
-def grid_counts(stream: DataFrame, all_rows: str, out: str, checkpoint: str, extent: Extent) -> None:
-    """Rebuilds the cell counts of the species that a batch touches, from the whole table at all_rows.
+def _delta(root: str, batch_id: int) -> str:
+    return f"{root}/deltas/{batch_id:012d}"
 
-    The table is partitioned by species_slug, so only the touched partitions are read.
-    """
 
-    def rebuild(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        slugs = batch.select("species_slug").distinct()
-        touched = spark.read.parquet(all_rows).join(F.broadcast(slugs), "species_slug", "left_semi")  # a row per species: prunes partitions
-        counts = cell_counts(touched, extent)
-        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("species_slug").parquet(out)
+def add_counts(batch: DataFrame, batch_id: int, root: str, extent: Extent, fold: int = 50) -> None:
+    """Writes the cell counts of one batch under its id, which replaces what an earlier try of it left. Only the batch is read.
 
-    stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    Each ``fold`` batches all deltas so far become one base, published at once; readers add the later deltas to it.
+    """
+    spark = batch.sparkSession
+    cell_counts(batch, extent).write.mode("overwrite").parquet(_delta(root, batch_id))
+    if (batch_id + 1) % fold == 0:
+        base = f"{root}/bases"
+        if folded(spark, root) < batch_id:
+            entry = snapshots.write_table(counts_now(spark, root, batch_id), base, f"{batch_id:012d}")
+            snapshots.commit(spark, base, entry, replace=True)
+
+
+def folded(spark: SparkSession, root: str) -> int:
+    """The last batch that the base holds; -1 without a base."""
+    return max((int(k) for k in snapshots.manifest(spark, f"{root}/bases")), default=-1)
+
+
+def counts_now(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """(species_slug, row, col, n) of all batches: the base and the deltas after it. upto: the last batch that counts."""
+    entries = snapshots.manifest(spark, f"{root}/bases")
+    base, last = snapshots.read(spark, list(entries.values())), max((int(k) for k in entries), default=-1)
+    names = sorted(int(n) for n in snapshots._names(spark, f"{root}/deltas") if n.isdigit())
+    paths = [_delta(root, n) for n in names if n > last and (upto is None or n <= upto) and exists(spark, f"{_delta(root, n)}/_SUCCESS")]
+    schema = "species_slug string, row int, col int, n int"
+    frames = [f for f in (base, spark.read.schema(schema).parquet(*paths) if paths else None) if f is not None]
+    if not frames:
+        return spark.createDataFrame([], schema)
+    both = frames[0] if len(frames) == 1 else frames[0].union(frames[1])
+    return both.groupBy("species_slug", "row", "col").agg(F.sum("n").cast("int").alias("n"))
+
+
+def grid_counts(stream: DataFrame, root: str, checkpoint: str, extent: Extent, fold: int = 50) -> None:
+    """Keeps cell counts of a stream of points below root, by deltas: see add_counts() and counts_now()."""
+    step = lambda batch, batch_id: add_counts(batch, batch_id, root, extent, fold)
+    stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
