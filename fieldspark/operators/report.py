@@ -126,14 +126,14 @@ def quantiles(df: DataFrame, x: Column, at=(0.0, 0.5, 0.9, 0.95, 0.99, 1.0), acc
     """
     values = df.select(x.cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
     names = [f"q{round(100 * p)}" for p in at]
-    sketch = lambda v, share: F.percentile_approx(v, F.array(*(F.lit(min(max(share + d, 0.0), 1.0)) for d in (-2 / accuracy, 2 / accuracy))), accuracy)
-    first = values.agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"), *(sketch(F.col("_x"), p).alias(f"b{i}") for i, p in enumerate(at))).first()
+    sketch = lambda v, a, b: F.percentile_approx(v, F.array(F.lit(max(a - 2 / accuracy, 0.0)), F.lit(min(b + 2 / accuracy, 1.0))), accuracy)
+    first = values.agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"), *(sketch(F.col("_x"), p, p).alias(f"b{i}") for i, p in enumerate(at))).first()
     n, low, high = first["n"], first["low"], first["high"]
     if not n:
         return df.sparkSession.createDataFrame([(None,) * len(at)], ", ".join(f"{c} double" for c in names))
     ranks = [(floor(p * (n - 1)), ceil(p * (n - 1))) for p in at]
     brackets = [tuple(first[f"b{i}"]) for i in range(len(at))]
-    proven: dict[int, int] = {}  # of a bracket: how many values lie before it
+    proven, narrow, missed = {}, set(), {}  # of a proven bracket: how many values lie before it
     while len(proven) < len(at):
         open_ = [i for i in range(len(at)) if i not in proven]
         inside = {i: (F.col("_x") >= brackets[i][0]) & (F.col("_x") <= brackets[i][1]) for i in open_}
@@ -142,15 +142,18 @@ def quantiles(df: DataFrame, x: Column, at=(0.0, 0.5, 0.9, 0.95, 0.99, 1.0), acc
         for i in open_:
             before, held, different = got[f"a{i}"], got[f"c{i}"], got[f"d{i}"]
             if not (before <= ranks[i][0] and ranks[i][1] < before + held):
-                brackets[i] = (low, high)  # the sketch was wrong
-            elif min(held, different) <= most or brackets[i][0] == brackets[i][1]:
+                if brackets[i] == (low, high):
+                    raise ValueError(f"the values changed while their quantile {at[i]} was sought")
+                brackets[i] = (low, high)  # the sketch was wrong: once more from all values, and what they give is taken
+                missed[i] = missed.get(i, 0) + 1
+            elif min(held, different) <= most or brackets[i][0] == brackets[i][1] or i in narrow or missed.get(i, 0) > 3:
                 proven[i] = before
             else:
-                wide[i] = (ranks[i][0] - before) / max(1, held - 1)
+                wide[i] = ((ranks[i][0] - before) / held, (ranks[i][1] + 1 - before) / held)
         if wide:
-            finer = values.agg(*(sketch(F.when(inside[i], F.col("_x")), share).alias(f"b{i}") for i, share in wide.items())).first()
-            for i in wide:
-                brackets[i] = tuple(finer[f"b{i}"])
+            finer = values.agg(*(sketch(F.when(inside[i], F.col("_x")), *share).alias(f"b{i}") for i, share in wide.items())).first()
+            narrow |= {i for i in wide if brackets[i] == tuple(finer[f"b{i}"])}  # a sketch of so few values can't part them
+            brackets = [tuple(finer[f"b{i}"]) if i in wide else b for i, b in enumerate(brackets)]
     some = reduce(or_, [(F.col("_x") >= a) & (F.col("_x") <= b) for a, b in dict.fromkeys(brackets)])
     counted = sorted((r["_x"], r["n"]) for r in values.where(some).groupBy("_x").agg(F.count("*").alias("n")).collect())
     out = []

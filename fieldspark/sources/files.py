@@ -247,5 +247,5 @@ def scan_runlog(spark: SparkSession, path: str, schema: str | None = None) -> Da
         names, kinds = fixed.names, [f.dataType.simpleString() for f in fixed]
     extra = max(0, widest_row(spark, path) + 1 - len(names))
     names, kinds = names + [f"extra_col_{i + 1}" for i in range(extra)], kinds + ["string"] * extra
-    raw = spark.read.schema(", ".join(f"`{n}` {k}" for n, k in zip(names, kinds))).csv(path, header=True, mode="PERMISSIVE", enforceSchema=True)
+    raw = spark.read.schema(", ".join(f"`{n}` {k}" for n, k in zip(names, kinds))).csv(path, header=True, mode="PERMISSIVE", enforceSchema=True, escape='"')
     return raw.select(*(F.when(~F.col(f"`{c}`").cast("string").isin("", "NA"), F.col(f"`{c}`")).alias(c) for c in raw.columns))
