@@ -149,7 +149,7 @@ def test_files(spark, tmp_path):
     assert sorted(r["slug"] for r in files.needs_refresh(i, o).collect()) == ["a", "c"]
 
 
-@pytest.mark.parametrize("name", ["normalise_nbn", "dedup_cross_source", "crossdup_review", "qc_flags", "policy_date_window", "runlog_filtered", "cell_counts", "sink_stage", "scan_csv_all_string", "scan_runlog", "resolve_layout", "parse_utc", "stream_dedup", "stream_qc", "stream_grid_counts", "runlog_merged", "merge_into", "normalise_landed", "schema_contract", "snapped_extent", "land_mask", "scan_any_table", "sink_runlog", "policy_report", "profile_report", "crossdup_report", "add_basics_other_names", "merge_into_isolated", "screening_funnel", "densified_extent", "assign_cell_densified", "scan_delimited_by_extension", "scan_runlog_ragged", "stream_dedup_exact", "sink_grid"])
+@pytest.mark.parametrize("name", ["normalise_nbn", "dedup_cross_source", "crossdup_review", "qc_flags", "policy_date_window", "runlog_filtered", "cell_counts", "sink_stage", "scan_csv_all_string", "scan_runlog", "resolve_layout", "parse_utc", "stream_dedup", "stream_qc", "stream_grid_counts", "runlog_merged", "merge_into", "normalise_landed", "schema_contract", "snapped_extent", "land_mask", "scan_any_table", "sink_runlog", "policy_report", "profile_report", "crossdup_report", "add_basics_other_names", "screening_funnel", "densified_extent", "assign_cell_densified", "scan_delimited_by_extension", "scan_runlog_ragged"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     con.sql(f"create view orders as select * from read_parquet('{SF}/orders.parquet')")
