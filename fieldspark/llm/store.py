@@ -60,7 +60,7 @@ def _fs(path: str):
 
 
 def write_file(path: str, data: bytes) -> None:
-    """Writes whole or not at all: a repeated or speculative task replaces the file by an equal one."""
+    """Writes whole or not at all. A repeated or speculative task must bring equal bytes or another name."""
     fs, p = _fs(path)
     fs.create_dir(os.path.dirname(p), recursive=True)
     part = f"{p}.{uuid.uuid4().hex[:8]}.part"

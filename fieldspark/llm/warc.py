@@ -3,7 +3,9 @@
 Each file starts with a skippable frame (magic 0x184D2A5D) that holds the dictionary, trained on a bounded sample of
 the records; then each record is a frame of its own. Of equal payloads one is a response record, the others are revisit
 records (profile identical-payload-digest), which keep the HTTP head and name the response. Files go to the shared
-folder, whole or not at all, under names that a repeated task writes again.
+folder, whole or not at all, under names of their task attempt: the rows of a part come in no fixed order, so a second
+attempt cuts them into other files. The index, which Spark commits by task, names those of the attempts that count; only it
+tells what belongs to the archive.
 """
 
 from __future__ import annotations
@@ -91,11 +93,12 @@ def _write(folder: str, dictionary: bytes, roll: int):
         if known is not None:
             known.precompute_compress(level=3)
         squeeze = zstd.ZstdCompressor(level=3, dict_data=known) if known is not None else zstd.ZstdCompressor(level=3)
-        part, number, held, size, n = TaskContext.get().partitionId(), 0, [], 0, 0
+        task, number, held, size, n = TaskContext.get(), 0, [], 0, 0
+        name = f"{folder}/part-{task.partitionId():05d}-{task.taskAttemptId():08d}"
         lead = struct.pack("<II", MAGIC, len(dictionary)) + dictionary
 
         def flush():
-            path = f"{folder}/part-{part:05d}-{number:05d}.warc.zst"
+            path = f"{name}-{number:05d}.warc.zst"
             write_file(path, b"".join([lead, *held]))
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64()), pa.array([size + len(lead)], pa.int64())], ["path", "records", "bytes"])
 

@@ -106,6 +106,19 @@ def test_archives(spark, tmp_path):
     assert warc.archived(df.limit(0)).collect() == []
 
 
+def test_a_second_attempt_leaves_the_files_of_the_first(spark, tmp_path):
+    """Attempts cut the same rows into files at other places; each index names whole files of its own."""
+    df = spark.range(300).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat(concat('p', id % 250, ' '), 50 + id) AS html")
+    seen = []
+    for rows in (df.orderBy("page_id"), df.orderBy(F.desc("page_id"))):
+        index = warc.write_archives(rows, f"file://{tmp_path}/w", roll=2000)
+        paths = [r["path"] for r in index.collect()]
+        seen.append(paths)
+        assert sorted(r["page_id"] for r in warc.read_archives(spark.createDataFrame([(p,) for p in paths], "path string")).collect()) == list(range(300))
+    assert len(set(seen[0]) | set(seen[1])) == len(seen[0]) + len(seen[1])
+    assert sorted(r["page_id"] for r in warc.read_archives(spark.createDataFrame([(p,) for p in seen[0]], "path string")).collect()) == list(range(300))
+
+
 def brute(rows, k=10):
     ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
     out = {}
