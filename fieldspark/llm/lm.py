@@ -7,8 +7,11 @@ are spread by the word before (order two: by the word after), and what only the
 bigrams after hot words and the unigrams, is summed in a second sharding by the predicted word and sent back.
 
 Each shard writes one file below the shared folder and maps it in memory to score: its words as sorted hashes, its
-contexts as a trie from the last word to the first, the words that follow each, and their counts. The second sharding has files of its own, for what a shard has never seen. Texts are read
-three times; n-grams are summed per task before they are shuffled; of equal texts held at a time one is scored.
+contexts as a trie from the last word to the first, the words that follow each, and their counts. Lookups bisect the
+mapping between stored offsets; a task holds nothing that grows with its shard. What the second sharding answers is a
+file of counts alone, in the order of the shard's words. The second sharding has files of its own, for what a shard has
+never seen. Texts are read three times; n-grams are summed per task before they are shuffled; of equal texts held at a
+time one is scored.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import U, buffers, mix, slices, words
-from .store import map_array, partitions, shared_dir, stored, write_file
+from .store import map_array, partitions, remove, shared_dir, stored, write_file
 from .worker import tidy
 
 END, START = U(0x5E9D0E9D0E9D0E9D), U(0x57A2757A2757A275)  # stand for the end of a text and for what is before it
@@ -33,6 +36,8 @@ _ROW = "kind int, part int, a long, b long, c binary, d binary"
 _ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.binary()), ("d", pa.binary())])
 _DOC = np.dtype([("doc", "i8"), ("null", "u1"), ("held", "u1"), ("text", "i4"), ("n", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")])
 GRAMS, LOWER, STATS, ANSWER, DOCS, SUMS, ASK = range(7)
+BLOCK = 64  # contexts whose offsets count from one base
+LONG = 32  # contexts with more followers have their sums stored
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -103,6 +108,39 @@ class Arrays:
         a[self.parts[name + "@"]] = self.parts[name + "="]
         return a
 
+    def at(self, name: str, places: np.ndarray) -> np.ndarray:
+        """The counts at these places."""
+        out = self.parts[name][places].astype(np.int64)
+        full = np.flatnonzero(out == 255)
+        if len(full):
+            out[full] = self.parts[name + "="][np.searchsorted(self.parts[name + "@"], places[full])]
+        return out
+
+    def span(self, name: str, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, end) of the runs of these groups, as offsets() keeps them."""
+        base, rel = self.parts[name + "^"], self.parts[name + "+"]
+        return tuple(base[i // BLOCK].astype(np.int64) + rel[i] for i in (group, group + 1))
+
+    def find(self, name: str, group: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the array, whether it is there) of each asked value within the sorted run of its group."""
+        keys, (low, end) = self.parts[name], self.span(name, group)
+        high = end.copy()
+        while len(open_ := np.flatnonzero(low < high)):
+            mid = (low[open_] + high[open_]) // 2
+            less = keys[mid] < asked[open_]
+            low[open_[less]], high[open_[~less]] = mid[less] + 1, mid[~less]
+        here = low < end
+        here[here] = keys[low[here]] == asked[here]
+        return low, here
+
+
+def offsets(name: str, sizes: np.ndarray) -> dict[str, np.ndarray]:
+    """Where the runs of consecutive groups begin and the last one ends: a base for each block and what is beyond it, in few bytes."""
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    base = at[::BLOCK]
+    rel = at - np.repeat(base, BLOCK)[: len(at)]
+    return {name + "^": base.astype("<u4" if at[-1] < 1 << 32 else "<u8"), name + "+": rel.astype(np.min_scalar_type(int(rel.max())))}
+
 
 def place(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place in the sorted keys, whether it is there) of each asked value."""
@@ -256,22 +294,36 @@ class Words:
         return np.where(start, len(self.known), at), here | start
 
 
-def _contexts(w: list[np.ndarray], k: int, second: np.ndarray, hot: np.ndarray, words: Words, levels: dict[int, np.ndarray]):
+def _contexts(w: list[np.ndarray], k: int, second: np.ndarray, hot: np.ndarray, words: Words, find):
     """(number, whether it is known) of the contexts of k-grams w, up a trie from the last word to the first.
 
-    second: sorted last words; hot words are numbered behind them. levels: sorted keys (number of the shorter context,
-    place of the word before) of the longer contexts.
+    second: sorted last words; hot words are numbered behind them. find(j, numbers of the shorter contexts, places of the
+    words before) gives (number, whether it is there) of the contexts of j-grams.
     """
     at, has = place(second, w[-2])
     spread, is_hot = place(hot, w[-2])
     at, has = np.where(is_hot, len(second) + spread, at), has | is_hot
     for j in range(3, k + 1):
         before, known = words.place(w[-j])
-        at, found = place(levels[j], at * words.size + before)
-        has = has & known & found
+        has = has & known
+        at = np.where(has, at, 0)
+        at[has], has[has] = find(j, at[has], before[has])
     return at, has
 
 
+def _sums(count: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Of each run: the sum, and how many are 1, 2 and more."""
+    return [np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (count, count == 1, count == 2, count > 2)]
+
+
+def _long(k: int, sizes: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+    """The contexts with more than LONG followers and their sums."""
+    number = np.flatnonzero(sizes > LONG)
+    own = np.repeat(sizes > LONG, sizes)
+    sums = _sums(count[own], np.cumsum(sizes[number]) - sizes[number])
+    return {f"long{k}": number.astype("<u4" if len(sizes) < 1 << 32 else "<u8"), **{f"long{k}.{i}": x for i, x in enumerate(sums)}}
+
+
 def _build(folder: str, order: int, hot: np.ndarray, shards: int):
     """The n-grams of one shard -> its file; what the second sharding sums goes on in rows, as do counts of counts."""
 
@@ -300,14 +352,14 @@ def _build(folder: str, order: int, hot: np.ndarray, shards: int):
         at, is_hot = place(hot, v)
         stats += [("uses", int(i), int(c)) for i, c in zip(at[is_hot], total[is_hot])]
         second, files, levels, shorter = v[~is_hot], {"words": words.known, "context2": v[~is_hot], "uses": total[~is_hot].astype(np.int64)}, {}, len(v[~is_hot]) + len(hot)
+        find = lambda j, at, before: place(levels[j], at * words.size + before)
         for k in range(2, order + 1):
             w, counts = grams[k]
             if k > 2:
-                at, _ = _contexts(w, k - 1, second, hot, words, levels)
+                at, _ = _contexts(w, k - 1, second, hot, words, find)
                 keys = at * words.size + words.place(w[-k])[0]
                 levels[k] = np.unique(keys)
-                files[f"longer{k}"] = np.bincount(levels[k] // words.size, minlength=shorter).astype(np.int64)
-                files[f"first{k}"] = (levels[k] % words.size).astype("<u4")
+                files |= {f"first{k}": (levels[k] % words.size).astype("<u4"), **offsets(f"first{k}", np.bincount(levels[k] // words.size, minlength=shorter))}
                 shorter, of = len(levels[k]), np.searchsorted(levels[k], keys)
                 own = np.ones(len(counts), bool)
             else:
@@ -316,15 +368,17 @@ def _build(folder: str, order: int, hot: np.ndarray, shards: int):
             stats += [("order", 4 * k + i, c) for i, c in enumerate(_of_counts(counts[own]))]
             follower = np.searchsorted(words.known, w[-1][own])
             by = np.lexsort((follower, of[own]))
-            files |= {f"followers{k}": np.bincount(of[own], minlength=len(second) if k == 2 else shorter).astype(np.int64), f"word{k}": follower[by].astype("<u4"), f"count{k}": counts[own][by]}
-        save_arrays(f"{folder}/shard-{part}", files)
+            n = np.bincount(of[own], minlength=len(second) if k == 2 else shorter)
+            files |= {f"word{k}": follower[by].astype("<u4"), f"count{k}": counts[own][by], **offsets(f"word{k}", n), **_long(k, n, counts[own][by])}
         w, counts = grams[2]
         many = np.bincount(np.searchsorted(words.known, w[-1][~is_hot]), minlength=len(words.known))
-        pair_v, pair_w, pair_n = hot_at[is_hot], w[-1][is_hot], counts[is_hot]
+        by = np.flatnonzero(is_hot)
+        by = by[np.lexsort((w[-1][by], hot_at[by]))]
+        pair_v, pair_w, pair_n = hot_at[by], w[-1][by], counts[by]
+        save_arrays(f"{folder}/shard-{part}", files | {"pair": np.searchsorted(words.known, pair_w).astype("<u4"), **offsets("pair", np.bincount(pair_v, minlength=len(hot)))})
         pairs = dict(_deal(_second(pair_w, shards), shards))
         for p, rows in _deal(_second(words.known, shards), shards):
             x = pairs.get(p, np.zeros(0, np.int64))
-            x = x[np.lexsort((pair_w[x], pair_v[x]))]
             yield _batch([(LOWER, p, part, 0, pack_arrays(words.known[rows], many[rows], pair_v[x], np.searchsorted(words.known[rows], pair_w[x]), pair_n[x]), None)])
         yield _batch([(STATS, part, i, c, name.encode(), None) for name, i, c in stats])
 
@@ -362,26 +416,36 @@ def _sum_lower(folder: str, shards: int):
         yield _batch([(STATS, part, i, int(c), name.encode(), None) for name, i, c in stats])
         for to, (w, _, v, i, _) in got:
             k = _pair_key(v, w[i])
-            yield _batch([(ANSWER, to, 0, 0, pack_arrays(w, before[np.searchsorted(word, w)], k, total[np.searchsorted(key, k)]), None)])
+            yield _batch([(ANSWER, to, part, 0, pack_arrays(before[np.searchsorted(word, w)], total[np.searchsorted(key, k)]), None)])
 
     return run
 
 
-def _save_lower(folder: str):
-    """Answers to one shard -> its second file: how many words stand before each of its words, and its bigrams after hot words."""
+def _save_lower(folder: str, shards: int):
+    """Answers to one shard, each in the order it was asked in -> its second file: how many words stand before each of its
+    words, and the counts of its bigrams after hot words."""
 
     @tidy
     def run(batches):
-        part, got = TaskContext.get().partitionId(), []
+        part, got = TaskContext.get().partitionId(), {}
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == ANSWER:
-                    got.append(unpack_arrays(r["c"]))
+                    got[r["a"]] = unpack_arrays(r["c"])
                 else:
                     yield _batch([tuple(r.values())])
-        w, before, key, total = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, t) for t in (np.uint64, np.int64, np.uint64, np.int64))
-        i, j = np.argsort(w), np.argsort(key)
-        save_arrays(f"{folder}/lower-{part}", {"words": w[i], "before": before[i], "pairs": key[j], "count": total[j]})
+        if not got:
+            save_arrays(f"{folder}/lower-{part}", {"before": np.zeros(0, np.int64), "paired": np.zeros(0, np.int64)})
+            return
+        asked = Arrays(f"{folder}/shard-{part}")
+        words, pair = asked["words"], asked["pair"]
+        before, paired = np.zeros(len(words), np.int64), np.zeros(len(pair), np.int64)
+        pairs = dict(_deal(_second(words[pair], shards), shards))
+        for p, rows in _deal(_second(words, shards), shards):
+            before[rows], x = got[p]
+            if p in pairs:
+                paired[pairs[p]] = x
+        save_arrays(f"{folder}/lower-{part}", {"before": before, "paired": paired})
 
     return run
 
@@ -448,9 +512,10 @@ def fit(docs: DataFrame, order: int = 3, hot_share: float | None = None) -> Mode
     m.hot = np.unique(np.array([*(np.uint64(r["h"] % 2**64) for r in top), START], np.uint64))
 
     grams = text.mapInArrow(_count(order, m.hot, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
-    built = grams.mapInArrow(_build(m.folder, order, m.hot, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
-    lower = built.mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
-    stats = stored(lower.mapInArrow(_save_lower(m.folder), _ROW), f"{m.folder}/stats")
+    built = stored(grams.mapInArrow(_build(m.folder, order, m.hot, m.shards), _ROW), f"{m.folder}/built")  # the shuffled n-grams go now
+    lower = built.repartitionById(m.shards, F.col("part")).mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
+    stats = stored(lower.mapInArrow(_save_lower(m.folder, m.shards), _ROW), f"{m.folder}/stats")
+    remove(spark, f"{m.folder}/built")
     sums: dict[str, dict[int, int]] = {}
     for r in stats.groupBy(F.col("c").cast("string").alias("name"), "a").agg(F.sum("b").alias("b")).collect():
         sums.setdefault(r["name"], {})[r["a"]] = r["b"]
@@ -525,49 +590,57 @@ def _ask(shared):
 
 
 class Shard:
-    """One shard's files: probabilities of n-grams whose context ends in one of its words."""
+    """One shard's files, mapped: probabilities of n-grams whose context ends in one of its words."""
 
     def __init__(self, m: Model, part: int):
-        self.m, files, lower = m, Arrays(f"{m.folder}/shard-{part}"), Arrays(f"{m.folder}/lower-{part}")
-        self.words, self.second, self.uses = Words(files["words"]), files["context2"], files["uses"]
-        self.before, self.pairs, self.pair_count = lower["before"], lower["pairs"], lower["count"]
-        self.longer, self.level = {}, {}
-        for k in range(2, m.order + 1):
-            if k > 2:
-                longer = files[f"longer{k}"]
-                self.longer[k] = np.repeat(np.arange(len(longer)), longer) * self.words.size + files[f"first{k}"].astype(np.int64)
-            followers, count = files[f"followers{k}"], files[f"count{k}"]
-            of = np.repeat(np.arange(len(followers)), followers)
-            add = lambda x: np.bincount(of, x, len(followers))  # noqa: B023, E731
-            total = add(count)
-            gamma = sum(d * add(c) for d, c in zip(m.discount[k][1:], (count == 1, count == 2, count > 2))) / np.maximum(1, total)
-            self.level[k] = (of * self.words.size + files[f"word{k}"].astype(np.int64), count, total, gamma)
+        self.m, self.file, self.lower = m, Arrays(f"{m.folder}/shard-{part}"), Arrays(f"{m.folder}/lower-{part}")
+        self.words, self.second = Words(self.file["words"]), self.file["context2"]
+
+    def find(self, k: int, at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.file.find(f"first{k}", at, before)
+
+    def spread(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sum of the counts after these contexts, weight of their back-off)"""
+        number, of = np.unique(at, return_inverse=True)
+        begin, end = self.file.span(f"word{k}", number)
+        size = end - begin
+        sums = np.zeros((4, len(number)), np.int64)
+        far = np.flatnonzero(size > LONG)
+        long = self.file[f"long{k}"]
+        row = np.searchsorted(long, number[far].astype(long.dtype))
+        for i in range(4):
+            sums[i, far] = self.file.at(f"long{k}.{i}", row)
+        near = np.flatnonzero((size > 0) & (size <= LONG))
+        first = np.cumsum(size[near]) - size[near]
+        places = np.repeat(begin[near] - first, size[near]) + np.arange(int(size[near].sum()))
+        sums[:, near] = _sums(self.file.at(f"count{k}", places), first)
+        total = sums[0]
+        return total[of], ((self.m.discount[k][1:] @ sums[1:]) / np.maximum(1, total))[of]
 
     def score(self, w: list[np.ndarray]):
         """(log10 probability of each n-gram, or of its back-off alone; whether the rest is for the second sharding; uses of the context's last word)."""
         m, n = self.m, len(w[0])
         word, here = place(self.words.known, w[-1])
         hot, is_hot = place(m.hot, w[-2])
-        p = np.ones(n)
-        p[here] = m.unigram(self.before[word[here]])
-        pair, met = place(self.pairs, _pair_key(hot, w[-1]))
-        met &= is_hot & here
+        p, met = np.ones(n), is_hot & here
+        p[here] = m.unigram(self.lower.at("before", word[here]))
+        pair, met[met] = self.file.find("pair", hot[met], word[met])
+        known = met[is_hot & here]
         far = np.where(is_hot, ~met, ~here)
-        p[met] = m.after_hot(hot[met], self.pair_count[pair[met]], p[met])
+        p[met] = m.after_hot(hot[met], self.lower.at("paired", pair[known]), p[met])
         p[far] = 1.0
+        uses = np.zeros(n, np.int64)
         for k in range(2, m.order + 1):
-            grams, count, total, gamma = self.level[k]
-            at, has = _contexts(w, k, self.second, m.hot, self.words, self.longer)
+            at, has = _contexts(w, k, self.second, m.hot, self.words, self.find)
             if k == 2:
                 has &= ~is_hot
-                at = np.where(has, at, 0)
-                uses = np.zeros(n, np.int64)
-                uses[has] = self.uses[at[has]]
-            gram, hit = place(grams, at * self.words.size + word)
-            hit &= has & here & ~far
-            c = np.zeros(n, np.int64)
-            c[hit] = count[gram[hit]]
-            t, g = (np.where(has, x[at] if len(x) else 1.0, 1.0) for x in (total, gamma))
+                uses[has] = self.file.at("uses", at[has])
+            hit = has & here & ~far
+            gram, found = self.file.find(f"word{k}", at[hit], word[hit])
+            hit[hit] = found
+            c, t, g = np.zeros(n, np.int64), np.ones(n), np.ones(n)
+            c[hit] = self.file.at(f"count{k}", gram[found])
+            t[has], g[has] = self.spread(k, at[has])
             p = np.where(far, g * p, m.cut(k, c) / np.maximum(1, t) + g * p)
         return np.log10(p), far, uses
 
