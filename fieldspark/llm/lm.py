@@ -16,7 +16,9 @@ time one is scored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -170,22 +172,30 @@ def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, n + 1
 
 
-def _windows(t: np.ndarray, n: np.ndarray, order: int) -> list[np.ndarray]:
-    """For each token the ``order`` words that end in it, as columns; before a text stand starts."""
+def _windows(t: np.ndarray, n: np.ndarray, order: int, start) -> list[np.ndarray]:
+    """For each token the ``order`` tokens that end in it, as columns; before a text stand starts."""
     place_in, out = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n), []
     for back in range(order - 1, 0, -1):
         c = np.empty_like(t)
         c[back:] = t[:-back]
-        c[place_in < back] = START
+        c[place_in < back] = start
         out.append(c)
     return [*out, t]
 
 
-def _shard(w: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarray:
-    """By the context's last word; if that is hot, with the word before it, or after it in bigrams."""
-    v = w[-2]
-    spread = mix(v + mix(w[-3] if len(w) > 2 else w[-1]))
-    return (mix(np.where(place(hot, v)[1], spread, v)) % U(shards)).astype(np.int64)
+def _numbered(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the sorted different words of t, the start behind them; the place of each of t)"""
+    u, places = np.unique(t, return_inverse=True)
+    return np.append(u, START), places
+
+
+def _shard(u: np.ndarray, w: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarray:
+    """By the context's last word; if that is hot, with the word before it, or after it in bigrams. w: places in u."""
+    to = (mix(u) % U(shards)).astype(np.int64)[w[-2]]
+    spread = np.flatnonzero(place(hot, u)[1][w[-2]])
+    other = w[-3] if len(w) > 2 else w[-1]
+    to[spread] = mix(mix(u[w[-2][spread]] + mix(u[other[spread]]))) % U(shards)
+    return to
 
 
 def _second(w: np.ndarray, shards: int) -> np.ndarray:
@@ -199,18 +209,37 @@ def _deal(to: np.ndarray, shards: int):
     return [(p, order[i:j]) for p, (i, j) in enumerate(zip(edge[:-1], edge[1:])) if i < j]
 
 
-def _coded(w: list[np.ndarray], hot: np.ndarray, shards: int):
-    """(shard, rows, [its dictionary of words, columns of places in it]) of each shard that has n-grams of w."""
-    u = np.unique(np.append(w[-1], START))  # every word of a text is the last of some n-gram
-    places = [np.searchsorted(u, c) for c in w]
-    for p, rows in _deal(_shard(w, hot, shards), shards):
-        own, mark = [x[rows] for x in places], np.zeros(len(u), bool)
+def _coded(u: np.ndarray, w: list[np.ndarray], hot: np.ndarray, shards: int):
+    """(shard, rows, [its dictionary of words, columns of places in it]) of each shard that has n-grams of w, which are places in u."""
+    for p, rows in _deal(_shard(u, w, hot, shards), shards):
+        own, mark = [x[rows] for x in w], np.zeros(len(u), bool)
         for x in own:
             mark[x] = True
         new = np.cumsum(mark) - 1
         yield p, rows, [u[mark], *(new[x] for x in own)]
 
 
+def _distinct(columns: list[np.ndarray], sizes: list[int], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """(sorted different rows of places below the sizes, the sum of the counts of each, or how many there were)"""
+    if math.prod(sizes) < 1 << 64:
+        key = np.zeros(len(columns[0]), np.uint64)
+        for c, size in zip(columns, sizes):
+            key = key * U(size) + c.astype(np.uint64)
+        by = np.argsort(key)
+        first = _runs(key[by])
+    else:
+        by = np.lexsort(columns[::-1])
+        first = _changes([c[by] for c in columns])
+    n = np.diff(first, append=len(by)) if counts is None else np.add.reduceat(counts[by], first) if len(first) else counts[:0]
+    by = by[first]
+    return [c[by] for c in columns], n
+
+
+def _changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Where rows begin that differ from the one before."""
+    return np.unique(np.concatenate([_runs(c) for c in columns]))
+
+
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin."""
     return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.zeros(0, np.int64)
@@ -261,18 +290,15 @@ def _count(order: int, hot: np.ndarray, shards: int):
         held, size = [], 0
 
         def flush():
-            w = [np.concatenate(c) for c in zip(*held)]
-            _, first, n = np.unique(key_of(w), return_index=True, return_counts=True)
-            w = [c[first] for c in w]
-            by = np.lexsort((w[-1], w[-2]))
-            w, n = [c[by] for c in w], n[by]
-            return _batch([(GRAMS, p, 0, 0, pack_arrays(n[rows], *coded), None) for p, rows, coded in _coded(w, hot, shards)])
+            u, t = _numbered(np.concatenate([x for x, _ in held]))
+            *far, v, last = _windows(t, np.concatenate([x for _, x in held]), order, len(u) - 1)
+            (v, last, *far), n = _distinct([v, last, *far], [len(u)] * order)
+            return _batch([(GRAMS, p, 0, 0, pack_arrays(n[rows], *coded), None) for p, rows, coded in _coded(u, [*far, v, last], hot, shards)])
 
         for whole in batches:
             for b in slices(whole):
-                t, n = _tokens(b)
-                held.append(_windows(t, n, order))
-                size += len(t)
+                held.append(_tokens(b))
+                size += len(held[-1][0])
                 if size > FLUSH:
                     yield flush()
                     held, size = [], 0
@@ -333,53 +359,62 @@ def _build(folder: str, order: int, hot: np.ndarray, shards: int):
         for b in batches:
             for r in b.to_pylist():
                 n, u, *places = unpack_arrays(r["c"])
-                blocks.append((n, *(u[x] for x in places)))
-        n, *w = [np.concatenate(x) for x in zip(*blocks)] if blocks else [np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * order]
+                blocks.append((u, n, places))
+        every = np.unique(np.concatenate([START[None], *(u for u, _, _ in blocks)]))
+        n = np.concatenate([np.zeros(0, np.int64), *(n for _, n, _ in blocks)])
+        *far, v, last = [np.zeros(0, np.int64)] * order
+        if blocks:
+            new = [np.searchsorted(every, u) for u, _, _ in blocks]
+            *far, v, last = [np.concatenate([g[x[i]] for g, (_, _, x) in zip(new, blocks)]) for i in range(order)]
         del blocks
-        known = np.unique(np.concatenate([*w[:-2], w[-1]]))
-        words = Words(known[known != START])
-        if words.size >= 1 << 32:
+
+        # places in the file: words first, the start behind them; last words of contexts, hot ones behind them
+        here = np.zeros(len(every), bool)
+        for x in (*far, last):
+            here[x] = True
+        here[np.searchsorted(every, START)] = False
+        known, number = every[here], np.cumsum(here) - 1
+        number[np.searchsorted(every, START)], size = len(known), len(known) + 1
+        if size >= 1 << 32:
             raise ValueError("a shard has too many words: raise spark.sql.shuffle.partitions")
-        _, rows, counts = _sum(key_of(w), n)
-        grams = {order: ([c[rows] for c in w], counts)}
-        for k in range(order - 1, 1, -1):  # counts of the lower orders: how many different words stand before
-            w, _ = grams[k + 1]
-            _, rows, counts = _sum(key_of(w[1:]), np.ones(len(w[0]), np.int64))
-            grams[k] = ([c[rows] for c in w[1:]], counts)
-        w, counts = grams[order]
-        stats = [("tokens", 0, int(counts.sum())), ("texts", 0, int(counts[w[-1] == END].sum()))]
-        v, first, total = _sum(w[-2], counts)  # each word but the last of a text is a context's last word once
-        at, is_hot = place(hot, v)
-        stats += [("uses", int(i), int(c)) for i, c in zip(at[is_hot], total[is_hot])]
-        second, files, levels, shorter = v[~is_hot], {"words": words.known, "context2": v[~is_hot], "uses": total[~is_hot].astype(np.int64)}, {}, len(v[~is_hot]) + len(hot)
-        find = lambda j, at, before: place(levels[j], at * words.size + before)
-        for k in range(2, order + 1):
-            w, counts = grams[k]
+        at, is_hot = place(hot, every)
+        here = np.zeros(len(every), bool)
+        here[v] = True
+        here &= ~is_hot
+        second = every[here]
+        of = np.where(is_hot, len(second) + at, np.cumsum(here) - 1)
+        several = len(second) + len(hot)
+
+        columns, counts = _distinct([of[v], *(number[x] for x in far[::-1]), number[last]], [several, *[size] * (order - 1)], n)
+        total = np.bincount(columns[0], counts, several).astype(np.int64)  # each word but the last of a text is a context's last word once
+        end, has_end = place(known, END[None])
+        stats = [("tokens", 0, int(counts.sum())), ("texts", 0, int(counts[columns[-1] == end[0]].sum()) if has_end[0] else 0)]
+        stats += [("uses", int(i), int(total[len(second) + i])) for i in np.flatnonzero(total[len(second) :])]
+        files = {"words": known, "context2": second, "uses": total[: len(second)]}
+        for k in range(order, 1, -1):
+            if k < order:  # counts of the lower orders: how many different words stand before
+                columns, counts = _distinct([*columns[: k - 1], columns[-1]], [several, *[size] * (k - 1)])
+            own = np.ones(len(counts), bool)
             if k > 2:
-                at, _ = _contexts(w, k - 1, second, hot, words, find)
-                keys = at * words.size + words.place(w[-k])[0]
-                levels[k] = np.unique(keys)
-                files |= {f"first{k}": (levels[k] % words.size).astype("<u4"), **offsets(f"first{k}", np.bincount(levels[k] // words.size, minlength=shorter))}
-                shorter, of = len(levels[k]), np.searchsorted(levels[k], keys)
-                own = np.ones(len(counts), bool)
+                first = _changes(columns[:-1])
+                shorter = columns[0][first]
+                if k > 3:
+                    run = _changes([c[first] for c in columns[:-2]])
+                    shorter = np.repeat(np.arange(len(run)), np.diff(run, append=len(first)))
+                files |= {f"first{k}": columns[-2][first].astype("<u4"), **offsets(f"first{k}", np.bincount(shorter, minlength=several if k == 3 else 0))}
+                followers = np.diff(first, append=len(counts))
             else:
-                hot_at, is_hot = place(hot, w[-2])
-                own, of = ~is_hot, np.searchsorted(second, w[-2])
+                own = columns[0] < len(second)
+                followers = np.bincount(columns[0][own], minlength=len(second))
             stats += [("order", 4 * k + i, c) for i, c in enumerate(_of_counts(counts[own]))]
-            follower = np.searchsorted(words.known, w[-1][own])
-            by = np.lexsort((follower, of[own]))
-            n = np.bincount(of[own], minlength=len(second) if k == 2 else shorter)
-            files |= {f"word{k}": follower[by].astype("<u4"), f"count{k}": counts[own][by], **offsets(f"word{k}", n), **_long(k, n, counts[own][by])}
-        w, counts = grams[2]
-        many = np.bincount(np.searchsorted(words.known, w[-1][~is_hot]), minlength=len(words.known))
-        by = np.flatnonzero(is_hot)
-        by = by[np.lexsort((w[-1][by], hot_at[by]))]
-        pair_v, pair_w, pair_n = hot_at[by], w[-1][by], counts[by]
-        save_arrays(f"{folder}/shard-{part}", files | {"pair": np.searchsorted(words.known, pair_w).astype("<u4"), **offsets("pair", np.bincount(pair_v, minlength=len(hot)))})
-        pairs = dict(_deal(_second(pair_w, shards), shards))
-        for p, rows in _deal(_second(words.known, shards), shards):
-            x = pairs.get(p, np.zeros(0, np.int64))
-            yield _batch([(LOWER, p, part, 0, pack_arrays(words.known[rows], many[rows], pair_v[x], np.searchsorted(words.known[rows], pair_w[x]), pair_n[x]), None)])
+            files |= {f"word{k}": columns[-1][own].astype("<u4"), f"count{k}": counts[own], **offsets(f"word{k}", followers), **_long(k, followers, counts[own])}
+        many = np.bincount(columns[1][own], minlength=len(known))
+        pair_v, pair, pair_n = columns[0][~own] - len(second), columns[1][~own], counts[~own]
+        save_arrays(f"{folder}/shard-{part}", files | {"pair": pair.astype("<u4"), **offsets("pair", np.bincount(pair_v, minlength=len(hot)))})
+        pairs, row = dict(_deal(_second(known[pair], shards), shards)), np.zeros(len(known), np.int64)
+        for p, rows in _deal(_second(known, shards), shards):
+            x, row[rows] = pairs.get(p, np.zeros(0, np.int64)), np.arange(len(rows))
+            yield _batch([(LOWER, p, part, 0, pack_arrays(known[rows], many[rows], pair_v[x], row[pair[x]], pair_n[x]), None)])
         yield _batch([(STATS, part, i, c, name.encode(), None) for name, i, c in stats])
 
     return run
@@ -547,8 +582,9 @@ def _ask(shared):
         def flush():
             rows = [(DOCS, part % m.shards, part, number, np.concatenate(docs).tobytes(), None)]
             if asked:
-                of, *w = (np.concatenate(x) for x in zip(*asked))
-                for p, r, coded in _coded(w, m.hot, m.shards):
+                of, t, n = (np.concatenate(x) for x in zip(*asked))
+                u, t = _numbered(t)
+                for p, r, coded in _coded(u, _windows(t, n, m.order, len(u) - 1), m.hot, m.shards):
                     d, n = np.unique(of[r], return_counts=True)  # texts stay in order within a shard
                     rows.append((GRAMS, p, part, number, pack_arrays(d, n, *coded), None))
             return _batch(rows)
@@ -556,7 +592,6 @@ def _ask(shared):
         for whole in batches:
             for b in slices(whole):
                 t, n = _tokens(b)
-                end = np.cumsum(n)
                 data, off = buffers(b.column("text"))
                 raw, new, text = data.tobytes(), np.zeros(b.num_rows, bool), np.zeros(b.num_rows, np.int32)
                 for i, (x, y) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
@@ -565,10 +600,9 @@ def _ask(shared):
                         known[key], new[i] = texts, True
                         texts += 1
                     text[i] = known[key]
-                w = _windows(t, n, m.order)
                 of = np.repeat(np.arange(b.num_rows), n)
-                v, hot = place(m.hot, w[-2])
-                hot &= w[-2] != START
+                v, hot = place(m.hot, t)  # contexts' last words: all but the ends
+                hot &= t != END
                 row = np.zeros(b.num_rows, _DOC)
                 row["doc"], row["null"] = b.column("doc_id").fill_null(0).to_numpy(), b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
                 row["held"], row["text"], row["n"] = b.column("held").to_numpy(zero_copy_only=False), text, n
@@ -577,9 +611,8 @@ def _ask(shared):
                 row["base"] = np.bincount(of[hot], np.log10(uses + 1.0), b.num_rows) + np.log10(m.texts + 1.0) - n * norm
                 docs.append(row)
                 fresh = np.repeat(new, n)
-                asked.append((text[of[fresh]].astype(np.int64), *(c[fresh] for c in w)))
+                asked.append((text[of[fresh]].astype(np.int64), t[fresh], n[new]))
                 size += int(fresh.sum()) + b.num_rows
-                del end
                 if size > FLUSH:
                     yield flush()
                     number, docs, asked, size, known, texts = number + 1, [], [], 0, {}, 0
@@ -735,17 +768,22 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def score(docs: DataFrame, model: Model, held_out: Column | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, held_out: Column | None = None, rounds: int = 3) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of docs (doc_id, text).
 
     score: log10 probability of the whole text and its end by the model; base_score: the same by add-one unigrams.
     A null or empty text is its end token alone. Repeated rows and null ids are kept; other columns are ignored; an
-    empty table stays empty.
+    empty table stays empty. rounds: the texts are scored in so many shares, by their hashes, each written before the next
+    begins, so that no more than a share's n-grams are on the disks at a time; it changes no result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
     deal = lambda df: df.repartitionById(model.shards, F.col("part"))
     rows = docs.select(F.col("doc_id").cast("long"), (F.lit(False) if held_out is None else held_out).alias("held"), F.col("text").cast("string"))
-    asked = deal(rows.mapInArrow(_ask(shared), _ROW))
-    back = deal(deal(asked.mapInArrow(_answer(shared), _ROW)).mapInArrow(_answer_second(shared), _ROW))
-    out = back.mapInArrow(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    folder, parts = shared_dir(spark, "scores"), []
+    for i in range(rounds):
+        asked = deal(rows.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i).mapInArrow(_ask(shared), _ROW))
+        back = deal(deal(asked.mapInArrow(_answer(shared), _ROW)).mapInArrow(_answer_second(shared), _ROW))
+        out = back.mapInArrow(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        parts.append(stored(out, f"{folder}/{i}"))
+    return reduce(DataFrame.unionByName, parts).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
