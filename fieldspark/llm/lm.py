@@ -320,23 +320,6 @@ class Words:
         return np.where(start, len(self.known), at), here | start
 
 
-def _contexts(w: list[np.ndarray], k: int, second: np.ndarray, hot: np.ndarray, words: Words, find):
-    """(number, whether it is known) of the contexts of k-grams w, up a trie from the last word to the first.
-
-    second: sorted last words; hot words are numbered behind them. find(j, numbers of the shorter contexts, places of the
-    words before) gives (number, whether it is there) of the contexts of j-grams.
-    """
-    at, has = place(second, w[-2])
-    spread, is_hot = place(hot, w[-2])
-    at, has = np.where(is_hot, len(second) + spread, at), has | is_hot
-    for j in range(3, k + 1):
-        before, known = words.place(w[-j])
-        has = has & known
-        at = np.where(has, at, 0)
-        at[has], has[has] = find(j, at[has], before[has])
-    return at, has
-
-
 def _sums(count: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     """Of each run: the sum, and how many are 1, 2 and more."""
     return [np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (count, count == 1, count == 2, count > 2)]
@@ -629,9 +612,6 @@ class Shard:
         self.m, self.file, self.lower = m, Arrays(f"{m.folder}/shard-{part}"), Arrays(f"{m.folder}/lower-{part}")
         self.words, self.second = Words(self.file["words"]), self.file["context2"]
 
-    def find(self, k: int, at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.file.find(f"first{k}", at, before)
-
     def spread(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sum of the counts after these contexts, weight of their back-off)"""
         number, of = np.unique(at, return_inverse=True)
@@ -650,30 +630,38 @@ class Shard:
         total = sums[0]
         return total[of], ((self.m.discount[k][1:] @ sums[1:]) / np.maximum(1, total))[of]
 
-    def score(self, w: list[np.ndarray]):
-        """(log10 probability of each n-gram, or of its back-off alone; whether the rest is for the second sharding; uses of the context's last word)."""
+    def score(self, u: np.ndarray, w: list[np.ndarray]):
+        """(log10 probability of each n-gram, or of its back-off alone; whether the rest is for the second sharding; uses of the context's last word).
+
+        w: places in the words u, which are looked up once. Contexts go up the trie from the last word to the first.
+        """
         m, n = self.m, len(w[0])
-        word, here = place(self.words.known, w[-1])
-        hot, is_hot = place(m.hot, w[-2])
+        word_of, known = self.words.place(u)
+        hot_of, hot_known = place(m.hot, u)
+        second_of, second_known = place(self.second, u)
+        word, here, hot, is_hot = word_of[w[-1]], known[w[-1]], hot_of[w[-2]], hot_known[w[-2]]
+        at, has = np.where(hot_known, len(self.second) + hot_of, second_of)[w[-2]], (second_known | hot_known)[w[-2]]
         p, met = np.ones(n), is_hot & here
         p[here] = m.unigram(self.lower.at("before", word[here]))
         pair, met[met] = self.file.find("pair", hot[met], word[met])
-        known = met[is_hot & here]
         far = np.where(is_hot, ~met, ~here)
-        p[met] = m.after_hot(hot[met], self.lower.at("paired", pair[known]), p[met])
+        p[met] = m.after_hot(hot[met], self.lower.at("paired", pair[met[is_hot & here]]), p[met])
         p[far] = 1.0
         uses = np.zeros(n, np.int64)
         for k in range(2, m.order + 1):
-            at, has = _contexts(w, k, self.second, m.hot, self.words, self.find)
+            if k > 2:
+                has = has & known[w[-k]]
+                at = np.where(has, at, 0)
+                at[has], has[has] = self.file.find(f"first{k}", at[has], word_of[w[-k]][has])
+            own = has & ~is_hot if k == 2 else has
             if k == 2:
-                has &= ~is_hot
-                uses[has] = self.file.at("uses", at[has])
-            hit = has & here & ~far
+                uses[own] = self.file.at("uses", at[own])
+            hit = own & here & ~far
             gram, found = self.file.find(f"word{k}", at[hit], word[hit])
             hit[hit] = found
             c, t, g = np.zeros(n, np.int64), np.ones(n), np.ones(n)
             c[hit] = self.file.at(f"count{k}", gram[found])
-            t[has], g[has] = self.spread(k, at[has])
+            t[own], g[own] = self.spread(k, at[own])
             p = np.where(far, g * p, m.cut(k, c) / np.maximum(1, t) + g * p)
         return np.log10(p), far, uses
 
@@ -692,13 +680,12 @@ def _answer(shared):
                     continue
                 shard = shard or Shard(m, part)
                 d, n, u, *places = unpack_arrays(r["c"])
-                w = [u[x] for x in places]
-                log, far, uses = shard.score(w)
+                log, far, uses = shard.score(u, places)
                 first = np.cumsum(n) - n
                 sums = [np.add.reduceat(x, first) for x in (log, np.log10(uses + 1.0), (uses > 0).astype(np.int64))]
                 rows = [(SUMS, r["a"] % m.shards, r["a"], r["b"], np.stack([d.astype(np.float64), *sums]).tobytes(), None)]
-                of, hot = np.repeat(d, n)[far], place(m.hot, w[-2][far])
-                last, v = w[-1][far], np.where(hot[1], hot[0], -1)
+                of, hot = np.repeat(d, n)[far], place(m.hot, u[places[-2][far]])
+                last, v = u[places[-1][far]], np.where(hot[1], hot[0], -1)
                 rows += [(ASK, p, r["a"], r["b"], pack_arrays(of[x], v[x], last[x]), None) for p, x in _deal(_second(last, m.shards), m.shards)]
                 yield _batch(rows)
 
