@@ -10,7 +10,7 @@ Each shard writes one file below the shared folder and maps it in memory to scor
 contexts as a trie from the last word to the first, the words that follow each, and their counts. Lookups bisect the
 mapping between stored offsets; a task holds nothing that grows with its shard. What the second sharding answers is a
 file of counts alone, in the order of the shard's words. The second sharding has files of its own, for what a shard has
-never seen. Texts are read three times; n-grams are summed per task before they are shuffled; of equal texts held at a
+never seen. Texts are read for the frequent words, for each turn of shards and for each round of scores; n-grams are summed per task before they are shuffled; of equal texts held at a
 time one is scored.
 """
 
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard as zstd
@@ -37,7 +38,8 @@ FLUSH = 4 << 20  # tokens held by a task before their n-grams are sent on
 _ROW = "kind int, part int, a long, b long, c binary, d binary"
 _ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.binary()), ("d", pa.binary())])
 _DOC = np.dtype([("doc", "i8"), ("null", "u1"), ("held", "u1"), ("text", "i4"), ("n", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")])
-GRAMS, LOWER, STATS, ANSWER, DOCS, SUMS, ASK = range(7)
+GRAMS, LOWER, STATS, ANSWER, DOCS, SUMS = range(6)
+HELD = 1 << 20  # sums and questions held by a task before they are sent on
 BLOCK = 64  # contexts whose offsets count from one base
 LONG = 32  # contexts with more followers have their sums stored
 
@@ -126,11 +128,15 @@ class Arrays:
     def find(self, name: str, group: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the array, whether it is there) of each asked value within the sorted run of its group."""
         keys, (low, end) = self.parts[name], self.span(name, group)
-        high = end.copy()
-        while len(open_ := np.flatnonzero(low < high)):
-            mid = (low[open_] + high[open_]) // 2
-            less = keys[mid] < asked[open_]
-            low[open_[less]], high[open_[~less]] = mid[less] + 1, mid[~less]
+        open_ = np.flatnonzero(low < end)
+        a, b, what = low[open_], end[open_], asked[open_].astype(keys.dtype)
+        while len(open_):
+            mid = (a + b) >> 1
+            less = keys[mid] < what
+            a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            wide = a < b
+            low[open_[~wide]] = a[~wide]
+            open_, a, b, what = open_[wide], a[wide], b[wide], what[wide]
         here = low < end
         here[here] = keys[low[here]] == asked[here]
         return low, here
@@ -185,8 +191,11 @@ def _windows(t: np.ndarray, n: np.ndarray, order: int, start) -> list[np.ndarray
 
 def _numbered(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the sorted different words of t, the start behind them; the place of each of t)"""
-    u, places = np.unique(t, return_inverse=True)
-    return np.append(u, START), places
+    places, u = pd.factorize(t)
+    order = np.argsort(u)
+    rank = np.empty(len(u), np.int64)
+    rank[order] = np.arange(len(u))
+    return np.append(u[order], START), rank[places]
 
 
 def _shard(u: np.ndarray, w: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarray:
@@ -209,9 +218,9 @@ def _deal(to: np.ndarray, shards: int):
     return [(p, order[i:j]) for p, (i, j) in enumerate(zip(edge[:-1], edge[1:])) if i < j]
 
 
-def _coded(u: np.ndarray, w: list[np.ndarray], hot: np.ndarray, shards: int):
+def _coded(u: np.ndarray, w: list[np.ndarray], to: np.ndarray, shards: int):
     """(shard, rows, [its dictionary of words, columns of places in it]) of each shard that has n-grams of w, which are places in u."""
-    for p, rows in _deal(_shard(u, w, hot, shards), shards):
+    for p, rows in _deal(to, shards):
         own, mark = [x[rows] for x in w], np.zeros(len(u), bool)
         for x in own:
             mark[x] = True
@@ -219,17 +228,34 @@ def _coded(u: np.ndarray, w: list[np.ndarray], hot: np.ndarray, shards: int):
         yield p, rows, [u[mark], *(new[x] for x in own)]
 
 
-def _distinct(columns: list[np.ndarray], sizes: list[int], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """(sorted different rows of places below the sizes, the sum of the counts of each, or how many there were)"""
+def _order(columns: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(an order that sorts rows of places below the sizes, where in it rows begin that differ from the one before)"""
     if math.prod(sizes) < 1 << 64:
-        key = np.zeros(len(columns[0]), np.uint64)
-        for c, size in zip(columns, sizes):
-            key = key * U(size) + c.astype(np.uint64)
+        key = _key(columns, sizes)
         by = np.argsort(key)
-        first = _runs(key[by])
-    else:
-        by = np.lexsort(columns[::-1])
-        first = _changes([c[by] for c in columns])
+        return by, _runs(key[by])
+    by = np.lexsort(columns[::-1])
+    return by, _changes([c[by] for c in columns])
+
+
+def _key(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c, size in zip(columns, sizes):
+        key = key * U(size) + c.astype(np.uint64)
+    return key
+
+
+def _distinct(columns: list[np.ndarray], sizes: list[int], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """(sorted different rows of places below the sizes, the sum of the counts of each, or how many there were)"""
+    if counts is None and math.prod(sizes) < 1 << 64:  # nothing else has to follow the keys, from which the columns can be had again
+        key = np.sort(_key(columns, sizes))
+        first, out = _runs(key), []
+        left = key[first]
+        for size in sizes[::-1]:
+            left, full = left // U(size), left
+            out.append((full - left * U(size)).astype(np.int64))
+        return out[::-1], np.diff(first, append=len(key))
+    by, first = _order(columns, sizes)
     n = np.diff(first, append=len(by)) if counts is None else np.add.reduceat(counts[by], first) if len(first) else counts[:0]
     by = by[first]
     return [c[by] for c in columns], n
@@ -237,7 +263,11 @@ def _distinct(columns: list[np.ndarray], sizes: list[int], counts: np.ndarray |
 
 def _changes(columns: list[np.ndarray]) -> np.ndarray:
     """Where rows begin that differ from the one before."""
-    return np.unique(np.concatenate([_runs(c) for c in columns]))
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
 
 
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
@@ -284,16 +314,23 @@ def _frequent(most: int):
     return run
 
 
-def _count(order: int, hot: np.ndarray, shards: int):
+def _count(order: int, hot: np.ndarray, shards: int, rounds: int, turn: int):
+    """Texts -> the n-grams of each flush with their counts, for the shards whose turn it is."""
+
     @tidy
     def run(batches):
         held, size = [], 0
 
         def flush():
             u, t = _numbered(np.concatenate([x for x, _ in held]))
-            *far, v, last = _windows(t, np.concatenate([x for _, x in held]), order, len(u) - 1)
+            w = _windows(t, np.concatenate([x for _, x in held]), order, len(u) - 1)
+            if rounds > 1:
+                own = _shard(u, w, hot, shards) % rounds == turn
+                w = [x[own] for x in w]
+            *far, v, last = w
             (v, last, *far), n = _distinct([v, last, *far], [len(u)] * order)
-            return _batch([(GRAMS, p, 0, 0, pack_arrays(n[rows], *coded), None) for p, rows, coded in _coded(u, [*far, v, last], hot, shards)])
+            w = [*far, v, last]
+            return _batch([(GRAMS, p // rounds, 0, 0, pack_arrays(n[rows], *coded), None) for p, rows, coded in _coded(u, w, _shard(u, w, hot, shards), shards)])
 
         for whole in batches:
             for b in slices(whole):
@@ -333,12 +370,14 @@ def _long(k: int, sizes: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]
     return {f"long{k}": number.astype("<u4" if len(sizes) < 1 << 32 else "<u8"), **{f"long{k}.{i}": x for i, x in enumerate(sums)}}
 
 
-def _build(folder: str, order: int, hot: np.ndarray, shards: int):
+def _build(folder: str, order: int, hot: np.ndarray, shards: int, rounds: int, turn: int):
     """The n-grams of one shard -> its file; what the second sharding sums goes on in rows, as do counts of counts."""
 
     @tidy
     def run(batches):
-        part, blocks = TaskContext.get().partitionId(), []
+        part, blocks = TaskContext.get().partitionId() * rounds + turn, []
+        if part >= shards:
+            return
         for b in batches:
             for r in b.to_pylist():
                 n, u, *places = unpack_arrays(r["c"])
@@ -510,12 +549,13 @@ class Model:
         return self.cut(2, count) / np.maximum(1, self.hot_total[v]) + self.hot_gamma[v] * unigram
 
 
-def fit(docs: DataFrame, order: int = 3, hot_share: float | None = None) -> Model:
+def fit(docs: DataFrame, order: int = 3, hot_share: float | None = None, rounds: int = 2) -> Model:
     """The model of all texts of docs (doc_id, text); null texts count as empty: one end token. Repeated rows count again.
 
     order: 2 or more. hot_share: words of a larger share of the tokens are spread over shards (none: one part in
     spark.sql.shuffle.partitions); it moves data and changes no probability. The totals of hot words come to the driver:
-    at most 1/hot_share. An empty table gives a model of no words, which scores every token by the free probability.
+    at most 1/hot_share. rounds: the shards are built in so many turns, for each of which the texts are read, so that no more
+    than a turn's n-grams are on the disks at a time; it changes no result. An empty table gives a model of no words, which scores every token by the free probability.
     """
     if order < 2:
         raise ValueError("the order must be 2 or more")
@@ -529,9 +569,11 @@ def fit(docs: DataFrame, order: int = 3, hot_share: float | None = None) -> Mode
     top = seen.where(F.col("h").isNotNull() & (F.col("c") > share * (every["c"] if every else 0))).select("h").collect()
     m.hot = np.unique(np.array([*(np.uint64(r["h"] % 2**64) for r in top), START], np.uint64))
 
-    grams = text.mapInArrow(_count(order, m.hot, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
-    built = stored(grams.mapInArrow(_build(m.folder, order, m.hot, m.shards), _ROW), f"{m.folder}/built")  # the shuffled n-grams go now
-    lower = built.repartitionById(m.shards, F.col("part")).mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
+    rounds, built = min(rounds, m.shards), []
+    for turn in range(rounds):
+        grams = text.mapInArrow(_count(order, m.hot, m.shards, rounds, turn), _ROW).repartitionById(-(-m.shards // rounds), F.col("part"))
+        built.append(stored(grams.mapInArrow(_build(m.folder, order, m.hot, m.shards, rounds, turn), _ROW), f"{m.folder}/built/{turn}"))  # the shuffled n-grams go now
+    lower = reduce(DataFrame.unionByName, built).repartitionById(m.shards, F.col("part")).mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
     stats = stored(lower.mapInArrow(_save_lower(m.folder, m.shards), _ROW), f"{m.folder}/stats")
     remove(spark, f"{m.folder}/built")
     sums: dict[str, dict[int, int]] = {}
@@ -567,7 +609,8 @@ def _ask(shared):
             if asked:
                 of, t, n = (np.concatenate(x) for x in zip(*asked))
                 u, t = _numbered(t)
-                for p, r, coded in _coded(u, _windows(t, n, m.order, len(u) - 1), m.hot, m.shards):
+                w = _windows(t, n, m.order, len(u) - 1)
+                for p, r, coded in _coded(u, w, _shard(u, w, m.hot, m.shards), m.shards):
                     d, n = np.unique(of[r], return_counts=True)  # texts stay in order within a shard
                     rows.append((GRAMS, p, part, number, pack_arrays(d, n, *coded), None))
             return _batch(rows)
@@ -614,13 +657,12 @@ class Shard:
 
     def spread(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sum of the counts after these contexts, weight of their back-off)"""
-        number, of = np.unique(at, return_inverse=True)
-        begin, end = self.file.span(f"word{k}", number)
+        begin, end = self.file.span(f"word{k}", at)
         size = end - begin
-        sums = np.zeros((4, len(number)), np.int64)
+        sums = np.zeros((4, len(at)), np.int64)
         far = np.flatnonzero(size > LONG)
         long = self.file[f"long{k}"]
-        row = np.searchsorted(long, number[far].astype(long.dtype))
+        row = np.searchsorted(long, at[far].astype(long.dtype))
         for i in range(4):
             sums[i, far] = self.file.at(f"long{k}.{i}", row)
         near = np.flatnonzero((size > 0) & (size <= LONG))
@@ -628,51 +670,109 @@ class Shard:
         places = np.repeat(begin[near] - first, size[near]) + np.arange(int(size[near].sum()))
         sums[:, near] = _sums(self.file.at(f"count{k}", places), first)
         total = sums[0]
-        return total[of], ((self.m.discount[k][1:] @ sums[1:]) / np.maximum(1, total))[of]
+        spare = sum(d * x for d, x in zip(self.m.discount[k][1:], sums[1:]))
+        return total, spare / np.maximum(1, total)
 
     def score(self, u: np.ndarray, w: list[np.ndarray]):
         """(log10 probability of each n-gram, or of its back-off alone; whether the rest is for the second sharding; uses of the context's last word).
 
-        w: places in the words u, which are looked up once. Contexts go up the trie from the last word to the first.
+        w: places in the words u, which are looked up once. N-grams are looked up once each, sorted by their contexts from
+        the last word to the first, so that contexts of every length are runs, looked up once each too.
         """
-        m, n = self.m, len(w[0])
-        word_of, known = self.words.place(u)
-        hot_of, hot_known = place(m.hot, u)
-        second_of, second_known = place(self.second, u)
-        word, here, hot, is_hot = word_of[w[-1]], known[w[-1]], hot_of[w[-2]], hot_known[w[-2]]
-        at, has = np.where(hot_known, len(self.second) + hot_of, second_of)[w[-2]], (second_known | hot_known)[w[-2]]
+        m = self.m
+        columns = [w[-2], *w[-3::-1], w[-1]]
+        by, first = _order(columns, [len(u)] * m.order)
+        back = np.empty(len(by), np.int64)
+        back[by] = np.repeat(np.arange(len(first)), np.diff(first, append=len(by)))
+        *context, last = [c[by[first]] for c in columns]
+
+        n, (word_of, known), (hot_of, hot_known), (second_of, second_known) = len(last), self.words.place(u), place(m.hot, u), place(self.second, u)
+        word, here, hot, is_hot = word_of[last], known[last], hot_of[context[0]], hot_known[context[0]]
         p, met = np.ones(n), is_hot & here
         p[here] = m.unigram(self.lower.at("before", word[here]))
         pair, met[met] = self.file.find("pair", hot[met], word[met])
         far = np.where(is_hot, ~met, ~here)
         p[met] = m.after_hot(hot[met], self.lower.at("paired", pair[met[is_hot & here]]), p[met])
         p[far] = 1.0
-        uses = np.zeros(n, np.int64)
+        uses, of = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for k in range(2, m.order + 1):
-            if k > 2:
-                has = has & known[w[-k]]
-                at = np.where(has, at, 0)
-                at[has], has[has] = self.file.find(f"first{k}", at[has], word_of[w[-k]][has])
-            own = has & ~is_hot if k == 2 else has
+            edge = _changes(context[: k - 1])
             if k == 2:
-                uses[own] = self.file.at("uses", at[own])
-            hit = own & here & ~far
-            gram, found = self.file.find(f"word{k}", at[hit], word[hit])
+                v = context[0][edge]
+                at, has = np.where(hot_known, len(self.second) + hot_of, second_of)[v], (second_known | hot_known)[v]
+                own = has & ~is_hot[edge]
+            else:
+                at, x = at[of[edge]], context[k - 2][edge]
+                has = has[of[edge]] & known[x]
+                at[has], has[has] = self.file.find(f"first{k}", at[has], word_of[x[has]])
+                own = has
+            of = np.repeat(np.arange(len(edge)), np.diff(edge, append=n))
+            if k == 2:
+                used = np.zeros(len(edge), np.int64)
+                used[own] = self.file.at("uses", at[own])
+                uses = used[of]
+            hit = own[of] & here & ~far
+            gram, found = self.file.find(f"word{k}", at[of[hit]], word[hit])
             hit[hit] = found
-            c, t, g = np.zeros(n, np.int64), np.ones(n), np.ones(n)
+            c, t, g = np.zeros(n, np.int64), np.ones(len(edge)), np.ones(len(edge))
             c[hit] = self.file.at(f"count{k}", gram[found])
             t[own], g[own] = self.spread(k, at[own])
-            p = np.where(far, g * p, m.cut(k, c) / np.maximum(1, t) + g * p)
-        return np.log10(p), far, uses
+            t, g = np.maximum(1, t)[of], g[of]
+            p = np.where(far, g * p, m.cut(k, c) / t + g * p)
+        return np.log10(p)[back], far[back], uses[back]
+
+
+class Sums:
+    """Sums of some texts, each known by its task, flush and number there, on their way to where their task's documents are."""
+
+    def __init__(self):
+        self.held: list[list[np.ndarray]] = []
+        self.size = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        """columns: task, flush, number; log10 probability, log10 of the uses and how many words are known."""
+        self.held.append([*columns[:3], *(np.asarray(x, np.float64) for x in columns[3:])])
+        self.size += len(columns[0])
+
+    def read(self, raw: bytes) -> None:
+        columns = unpack_arrays(raw)
+        self.add(*columns[:3], *(x.view(np.float64) for x in columns[3:]))
+
+    def take(self) -> list[np.ndarray]:
+        """The columns held, added up by text in an order that does not depend on who came first."""
+        if not self.held:
+            return [*[np.zeros(0, np.int64)] * 3, *[np.zeros(0)] * 3]
+        columns = [np.concatenate(x) for x in zip(*self.held)]
+        self.held, self.size = [], 0
+        by = np.lexsort(columns[::-1])
+        columns = [c[by] for c in columns]
+        first = _changes(columns[:3])
+        return [*(c[first] for c in columns[:3]), *(np.add.reduceat(c, first) for c in columns[3:])]
+
+    def parts(self, shards: int) -> dict[int, bytes]:
+        columns = self.take()
+        return {p: pack_arrays(*(c[x] for c in columns[:3]), *(c[x].view(np.int64) for c in columns[3:])) for p, x in _deal(columns[0] % shards, shards)}
 
 
 def _answer(shared):
-    """N-grams of one shard -> sums by text; those whose last bigram the shard has never seen go on to the second sharding."""
+    """N-grams of one shard -> sums by text; those whose last bigram the shard has never seen go on to the second sharding.
+
+    What goes to the same place waits for the blocks after it and leaves as one row: c has sums, d has questions.
+    """
 
     @tidy
     def run(batches):
         m: Model = shared.value
-        part, shard = TaskContext.get().partitionId(), None
+        part, shard, sums, asks, asked = TaskContext.get().partitionId(), None, Sums(), [], 0
+
+        def flush():
+            nonlocal asks, asked
+            to = sums.parts(m.shards)
+            columns = [np.concatenate(x) for x in zip(*asks)]
+            ask = {p: pack_arrays(*(c[x] for c in columns)) for p, x in _deal(_second(columns[-1], m.shards), m.shards)} if asks else {}
+            asks, asked = [], 0
+            return _batch([(SUMS, p, part, 0, to.get(p), ask.get(p)) for p in sorted(to.keys() | ask.keys())])
+
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == DOCS:
@@ -681,13 +781,15 @@ def _answer(shared):
                 shard = shard or Shard(m, part)
                 d, n, u, *places = unpack_arrays(r["c"])
                 log, far, uses = shard.score(u, places)
-                first = np.cumsum(n) - n
-                sums = [np.add.reduceat(x, first) for x in (log, np.log10(uses + 1.0), (uses > 0).astype(np.int64))]
-                rows = [(SUMS, r["a"] % m.shards, r["a"], r["b"], np.stack([d.astype(np.float64), *sums]).tobytes(), None)]
+                first, a, b_ = np.cumsum(n) - n, r["a"], r["b"]
+                sums.add(np.full(len(d), a), np.full(len(d), b_), d, *(np.add.reduceat(x, first) for x in (log, np.log10(uses + 1.0), (uses > 0).astype(np.int64))))
                 of, hot = np.repeat(d, n)[far], place(m.hot, u[places[-2][far]])
-                last, v = u[places[-1][far]], np.where(hot[1], hot[0], -1)
-                rows += [(ASK, p, r["a"], r["b"], pack_arrays(of[x], v[x], last[x]), None) for p, x in _deal(_second(last, m.shards), m.shards)]
-                yield _batch(rows)
+                asks.append([np.full(len(of), a), np.full(len(of), b_), of, np.where(hot[1], hot[0], -1), u[places[-1][far]]])
+                asked += len(of)
+                if sums.size + asked > HELD:
+                    yield flush()
+        if sums.size or asked:
+            yield flush()
 
     return run
 
@@ -698,19 +800,21 @@ def _answer_second(shared):
     @tidy
     def run(batches):
         m: Model = shared.value
-        file, sums = None, {}
+        part, file, own, sums = TaskContext.get().partitionId(), None, Sums(), Sums()
+        send = lambda s: _batch([(SUMS, p, part, 0, c, None) for p, c in s.parts(m.shards).items()])
         for b in batches:
             for r in b.to_pylist():
                 if r["kind"] == DOCS:
                     yield _batch([tuple(r.values())])
-                elif r["kind"] == SUMS:
-                    sums.setdefault((r["a"], r["b"]), []).append(r["c"])
-                else:
+                    continue
+                if r["c"] is not None:
+                    own.read(r["c"])
+                if r["d"] is not None:
                     if file is None:
-                        f = Arrays(f"{m.folder}/second-{TaskContext.get().partitionId()}")
+                        f = Arrays(f"{m.folder}/second-{part}")
                         file = [f[x] for x in ("words", "before", "pairs", "count")]
                     known, before, pairs, count = file
-                    of, v, w = unpack_arrays(r["c"])
+                    *text, v, w = unpack_arrays(r["d"])
                     at, here = place(known, w)
                     p = np.full(len(w), m.free)
                     p[here] = m.unigram(before[at[here]])
@@ -719,35 +823,35 @@ def _answer_second(shared):
                     c[met] = count[at[met]]
                     hot = v >= 0
                     p[hot] = m.after_hot(v[hot], c[hot], p[hot])
-                    d, inv = np.unique(of, return_inverse=True)
-                    s = np.zeros((4, len(d)))
-                    s[0], s[1] = d, np.bincount(inv, np.log10(p), len(d))
-                    yield _batch([(SUMS, r["a"] % m.shards, r["a"], r["b"], s.tobytes(), None)])
-        for (a, b), blocks in sums.items():
-            yield _batch([(SUMS, a % m.shards, a, b, _added(blocks).tobytes(), None)])
+                    sums.add(*text, np.log10(p), *[np.zeros(len(p))] * 2)
+                for s in (own, sums):
+                    if s.size > HELD:
+                        yield send(s)
+        for s in (own, sums):
+            if s.size:
+                yield send(s)
 
     return run
 
 
-def _added(blocks: list[bytes]) -> np.ndarray:
-    """Sums by text, in one order whatever came first."""
-    d, *x = np.concatenate([np.frombuffer(s, np.float64).reshape(4, -1) for s in sorted(blocks)], 1)
-    u, inv = np.unique(d, return_inverse=True)
-    return np.stack([u, *(np.bincount(inv, y, len(u)) for y in x)])
-
-
 @tidy
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    docs, sums = {}, {}
+    docs, sums = {}, Sums()
     for b in batches:
         for r in b.to_pylist():
-            (docs if r["kind"] == DOCS else sums).setdefault((r["a"], r["b"]), []).append(r["c"])
-    for key, (raw,) in docs.items():
+            if r["kind"] == DOCS:
+                docs[r["a"], r["b"]] = r["c"]
+            else:
+                sums.read(r["c"])
+    task, flush, text, *sums = sums.take()
+    edge = _changes([task, flush])
+    place_of = {(a, b): slice(i, j) for a, b, i, j in zip(task[edge].tolist(), flush[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(task)])}
+    for key, raw in docs.items():
         rows = np.frombuffer(raw, _DOC)
         total = np.zeros((3, rows["text"].max() + 1))
-        if key in sums:
-            d, *x = _added(sums.pop(key))
-            total[:, d.astype(np.int64)] = x
+        if key in place_of:
+            x = place_of[key]
+            total[:, text[x]] = [c[x] for c in sums]
         score, base, known = total[:, rows["text"]]
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows["doc"], mask=rows["null"].astype(bool)), pa.array(rows["held"].astype(bool)), pa.array(rows["n"]), pa.array(rows["known"] + known.astype(np.int64)), pa.array(rows["base"] + base), pa.array(score)],
