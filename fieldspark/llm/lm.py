@@ -207,8 +207,13 @@ def _shard(u: np.ndarray, w: list[np.ndarray], hot: np.ndarray, shards: int) ->
     return to
 
 
+def _parts(shards: int) -> int:
+    """Parts of the second sharding: a quarter, as it holds words and few bigrams where the shards hold all n-grams."""
+    return -(-shards // 4)
+
+
 def _second(w: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(w + U(0x2D)) % U(shards)).astype(np.int64)
+    return (mix(w + U(0x2D)) % U(_parts(shards))).astype(np.int64)
 
 
 def _deal(to: np.ndarray, shards: int):
@@ -433,8 +438,8 @@ def _build(folder: str, order: int, hot: np.ndarray, shards: int, rounds: int, t
         many = np.bincount(columns[1][own], minlength=len(known))
         pair_v, pair, pair_n = columns[0][~own] - len(second), columns[1][~own], counts[~own]
         save_arrays(f"{folder}/shard-{part}", files | {"pair": pair.astype("<u4"), **offsets("pair", np.bincount(pair_v, minlength=len(hot)))})
-        pairs, row = dict(_deal(_second(known[pair], shards), shards)), np.zeros(len(known), np.int64)
-        for p, rows in _deal(_second(known, shards), shards):
+        pairs, row = dict(_deal(_second(known[pair], shards), _parts(shards))), np.zeros(len(known), np.int64)
+        for p, rows in _deal(_second(known, shards), _parts(shards)):
             x, row[rows] = pairs.get(p, np.zeros(0, np.int64)), np.arange(len(rows))
             yield _batch([(LOWER, p, part, 0, pack_arrays(known[rows], many[rows], pair_v[x], row[pair[x]], pair_n[x]), None)])
         yield _batch([(STATS, part, i, c, name.encode(), None) for name, i, c in stats])
@@ -497,8 +502,8 @@ def _save_lower(folder: str, shards: int):
         asked = Arrays(f"{folder}/shard-{part}")
         words, pair = asked["words"], asked["pair"]
         before, paired = np.zeros(len(words), np.int64), np.zeros(len(pair), np.int64)
-        pairs = dict(_deal(_second(words[pair], shards), shards))
-        for p, rows in _deal(_second(words, shards), shards):
+        pairs = dict(_deal(_second(words[pair], shards), _parts(shards)))
+        for p, rows in _deal(_second(words, shards), _parts(shards)):
             before[rows], x = got[p]
             if p in pairs:
                 paired[pairs[p]] = x
@@ -573,7 +578,7 @@ def fit(docs: DataFrame, order: int = 3, hot_share: float | None = None, rounds:
     for turn in range(rounds):
         grams = text.mapInArrow(_count(order, m.hot, m.shards, rounds, turn), _ROW).repartitionById(-(-m.shards // rounds), F.col("part"))
         built.append(stored(grams.mapInArrow(_build(m.folder, order, m.hot, m.shards, rounds, turn), _ROW), f"{m.folder}/built/{turn}"))  # the shuffled n-grams go now
-    lower = reduce(DataFrame.unionByName, built).repartitionById(m.shards, F.col("part")).mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
+    lower = reduce(DataFrame.unionByName, built).repartitionById(_parts(m.shards), F.pmod("part", F.lit(_parts(m.shards)))).mapInArrow(_sum_lower(m.folder, m.shards), _ROW).repartitionById(m.shards, F.col("part"))
     stats = stored(lower.mapInArrow(_save_lower(m.folder, m.shards), _ROW), f"{m.folder}/stats")
     remove(spark, f"{m.folder}/built")
     sums: dict[str, dict[int, int]] = {}
@@ -605,7 +610,7 @@ def _ask(shared):
         number, docs, asked, size, known, texts = 0, [], [], 0, {}, 0
 
         def flush():
-            rows = [(DOCS, part % m.shards, part, number, np.concatenate(docs).tobytes(), None)]
+            rows = [(DOCS, part % _parts(m.shards), part, number, np.concatenate(docs).tobytes(), None)]
             if asked:
                 of, t, n = (np.concatenate(x) for x in zip(*asked))
                 u, t = _numbered(t)
@@ -750,8 +755,8 @@ class Sums:
         return [*(c[first] for c in columns[:3]), *(np.add.reduceat(c, first) for c in columns[3:])]
 
     def parts(self, shards: int) -> dict[int, bytes]:
-        columns = self.take()
-        return {p: pack_arrays(*(c[x] for c in columns[:3]), *(c[x].view(np.int64) for c in columns[3:])) for p, x in _deal(columns[0] % shards, shards)}
+        columns, parts = self.take(), _parts(shards)
+        return {p: pack_arrays(*(c[x] for c in columns[:3]), *(c[x].view(np.int64) for c in columns[3:])) for p, x in _deal(columns[0] % parts, parts)}
 
 
 def _answer(shared):
@@ -769,7 +774,7 @@ def _answer(shared):
             nonlocal asks, asked
             to = sums.parts(m.shards)
             columns = [np.concatenate(x) for x in zip(*asks)]
-            ask = {p: pack_arrays(*(c[x] for c in columns)) for p, x in _deal(_second(columns[-1], m.shards), m.shards)} if asks else {}
+            ask = {p: pack_arrays(*(c[x] for c in columns)) for p, x in _deal(_second(columns[-1], m.shards), _parts(m.shards))} if asks else {}
             asks, asked = [], 0
             return _batch([(SUMS, p, part, 0, to.get(p), ask.get(p)) for p in sorted(to.keys() | ask.keys())])
 
@@ -869,12 +874,13 @@ def score(docs: DataFrame, model: Model, held_out: Column | None = None, rounds:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    deal = lambda df: df.repartitionById(model.shards, F.col("part"))
+    deal = lambda df, parts: df.repartitionById(parts, F.col("part"))
+    second = _parts(model.shards)
     rows = docs.select(F.col("doc_id").cast("long"), (F.lit(False) if held_out is None else held_out).alias("held"), F.col("text").cast("string"))
     folder, parts = shared_dir(spark, "scores"), []
     for i in range(rounds):
-        asked = deal(rows.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i).mapInArrow(_ask(shared), _ROW))
-        back = deal(deal(asked.mapInArrow(_answer(shared), _ROW)).mapInArrow(_answer_second(shared), _ROW))
+        asked = deal(rows.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i).mapInArrow(_ask(shared), _ROW), model.shards)
+        back = deal(deal(asked.mapInArrow(_answer(shared), _ROW), second).mapInArrow(_answer_second(shared), _ROW), second)
         out = back.mapInArrow(_gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
         parts.append(stored(out, f"{folder}/{i}"))
     return reduce(DataFrame.unionByName, parts).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
