@@ -354,3 +354,19 @@ def test_densified_extent_holds_the_whole_box(spark):
     inside = spark.range(71 * 39).select((F.col("id") % 71 - 25).cast("double").alias("lon"), (F.floor(F.col("id") / 71) + 34).cast("double").alias("lat"))
     assert grid.assign_cell(inside, dense).where("not in_bounds").count() == 0 < grid.assign_cell(inside, four).where("not in_bounds").count()
     assert grid.densified(box.limit(0)).count() == 0
+
+
+def test_exact_stream_dedup_of_many_keys(spark, tmp_path):
+    """No Python call per key: 20,000 keys with copies, nulls and a hot key land twice, and pass once with the first row of their first landing."""
+    rows = spark.range(60_000).select((F.col("id") % 20_000).alias("n"), "id").select(
+        F.when(F.col("n") % 100 > 0, F.concat(F.lit("r"), F.col("n").cast("string"))).alias("key"), F.timestamp_seconds(F.when(F.col("id") % 7 > 0, 60_000 - F.col("id"))).alias("landed_at"), "id"
+    )
+    first = [r["id"] for r in spark.sql("SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY key ORDER BY landed_at NULLS FIRST, id) AS n FROM {rows}) WHERE n = 1", rows=rows).collect()]
+    folder, out = f"{tmp_path}/landed", f"{tmp_path}/out"
+    for new in (0, 5):
+        files.land(rows.where("key is null or key <> 'r7'") if not new else rows, folder)  # the second time all keys but one are known
+        stream = streams.dedup_exact(streams.landed(spark, folder, rows.schema), ["key"], "landed_at", ["id"])
+        plan = stream._jdf.queryExecution().analyzed().toString()
+        assert "InPandasWithState" not in plan and "DeduplicateWithinWatermark" in plan
+        streams.ingest(stream, out, f"{tmp_path}/checkpoint", by_clock=True)
+    assert sorted(r["id"] for r in spark.read.schema(rows.schema).parquet(out).collect()) == sorted(first)
