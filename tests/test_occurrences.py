@@ -370,3 +370,12 @@ def test_exact_stream_dedup_of_many_keys(spark, tmp_path):
         assert "InPandasWithState" not in plan and "DeduplicateWithinWatermark" in plan
         streams.ingest(stream, out, f"{tmp_path}/checkpoint", by_clock=True)
     assert sorted(r["id"] for r in spark.read.schema(rows.schema).parquet(out).collect()) == sorted(first)
+
+
+def test_points_are_placed_in_one_pass(spark):
+    """What grid_stage gives reads stored counts, not the points again."""
+    points = spark.createDataFrame([("a", 5.0, 50.0), ("a", 5.0, 50.0), ("a", 100.0, 0.0), ("b", None, 50.0)], "species_slug string, lon double, lat double")
+    cells, presence, summary = stages.grid_stage(points, queries.EXTENT, None)
+    assert "LogicalRDD" not in summary._jdf.queryExecution().optimizedPlan().toString() and "LogicalRDD" not in presence._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, summary.collect())) == [("a", 3, 3, 2, 2, 1), ("b", 1, 0, 0, 0, 0)]
+    assert sorted(map(tuple, summary.collect())) == sorted(map(tuple, grid.grid_summary(points, presence, queries.EXTENT, points).collect()))
