@@ -379,3 +379,12 @@ def test_points_are_placed_in_one_pass(spark):
     assert "LogicalRDD" not in summary._jdf.queryExecution().optimizedPlan().toString() and "LogicalRDD" not in presence._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, summary.collect())) == [("a", 3, 3, 2, 2, 1), ("b", 1, 0, 0, 0, 0)]
     assert sorted(map(tuple, summary.collect())) == sorted(map(tuple, grid.grid_summary(points, presence, queries.EXTENT, points).collect()))
+
+
+def test_records_are_cleaned_once(spark):
+    """With the columns named, basics() reads stored records, and no others; the rows are the same."""
+    clean, cols = queries._clean(spark, SF), [*queries._IDS, "occ_uid", "year", "issues"]
+    once = stages.basics(clean, carry=["issues"]).select(*cols)
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderdate" not in plan and "licence" not in plan
+    assert once.exceptAll(stages.basics(clean).select(*cols)).count() == 0 and once.count() == clean.count()
