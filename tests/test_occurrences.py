@@ -127,6 +127,19 @@ def test_a_failed_merge_is_logged(spark, tmp_path):
     assert [(r["slug"], r["status"]) for r in log] == [("alpha_minor", "error")] and "bad file" in log[0]["note"]
 
 
+def test_a_merge_moves_other_columns_once(spark, monkeypatch):
+    clean, stored, kept, limit = files.kept(queries._clean(spark, SF), "clean"), [], files.kept, "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    monkeypatch.setattr(files, "kept", lambda df, name: stored.append(df.columns) or kept(df, name))
+    merged, _ = stages.merge_stage(clean)
+    assert stored and not any("issues" in columns for columns in stored) and spark.conf.get(limit) == before
+    pre = merge.add_basics(normalise.dedup_within_source(normalise.screen_coords(clean), stages.order()), stages.order())
+    want = merge.dedup_cross_source(pre)
+    assert sorted(merged.columns) == sorted(pre.columns) and merged.where("source_record_id is null").count() > 0
+    rows = lambda df: sorted(map(str, df.select(*pre.columns).collect()))
+    assert rows(merged) == rows(want)
+
+
 def test_policy_credits_first_rule(spark):
     flagged = queries._flagged(spark, SF)
     judged = policy.with_drop_reason(flagged, policy.BASELINE, F.lit(queries.AS_OF))
