@@ -140,6 +140,13 @@ def test_a_merge_moves_other_columns_once(spark, monkeypatch):
     assert rows(merged) == rows(want)
 
 
+def test_isolated_merges_read_stored_records(spark, monkeypatch):
+    seen, run = [], stages.merge_into
+    monkeypatch.setattr(stages, "merge_into", lambda clean, *a, **k: seen.append(clean.inputFiles()) or run(clean, *a, **k))
+    assert queries.QUERIES["merge_into_isolated"](spark, SF).where("status = 'error'").count() == 1
+    assert len(seen) == 1 and seen[0] and not any("orders.parquet" in f for f in seen[0])
+
+
 def test_policy_credits_first_rule(spark):
     flagged = queries._flagged(spark, SF)
     judged = policy.with_drop_reason(flagged, policy.BASELINE, F.lit(queries.AS_OF))
